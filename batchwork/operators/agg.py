@@ -35,7 +35,7 @@ def class_levels(df: DataFrame, keys, aggs: list[Column], type_col: str = "_type
     n = len(keys)
     return (df.dropna(subset=keys).cube(*keys)
               .agg(*aggs, F.grouping_id().alias("__gid"))
-              .withColumn(type_col, F.lit(2 ** n - 1) - F.col("__gid")).drop("__gid"))
+              .withColumn(type_col, (F.lit(2 ** n - 1) - F.col("__gid")).cast("int")).drop("__gid"))
 
 
 def grouping_sets(df: DataFrame, keys, aggs: list[Column], types: list[int], type_col: str = "_type_") -> DataFrame:
@@ -60,8 +60,7 @@ def crosstab_totals(df: DataFrame, row: str, col: str, value: str, col_values: l
 def break_report(df: DataFrame, groups, measures: list[str], detail_cols: list[str]) -> DataFrame:
     """Detail rows + subtotal per break level + grand total, ordered for printing.
 
-    ``level`` = 0 detail, 1..n-1 subtotals (deepest first), n grand total; ``sort_*``
-    columns put each subtotal after its detail rows.
+    ``level`` = 0 detail, 1..n subtotals (deepest break first), n+1 grand total.
     """
     groups = _cols(groups)
     n = len(groups)
@@ -69,10 +68,10 @@ def break_report(df: DataFrame, groups, measures: list[str], detail_cols: list[s
     aggs = [F.sum(m).alias(m) for m in measures] + [F.grouping_id().alias("__gid")]
     roll = df.rollup(*groups).agg(*aggs)
     # grouping_id bit count = number of rolled-up keys
-    roll = roll.withColumn("level", F.bit_count(F.col("__gid"))).drop("__gid")
+    roll = roll.withColumn("level", (F.bit_count(F.col("__gid")) + 1).cast("int")).drop("__gid")
     out = det.unionByName(roll, allowMissingColumns=True)
     return out.withColumn("row_kind", F.when(F.col("level") == 0, F.lit("detail"))
-                          .when(F.col("level") == n, F.lit("total")).otherwise(F.lit("subtotal")))
+                          .when(F.col("level") == n + 1, F.lit("total")).otherwise(F.lit("subtotal")))
 
 
 def mean_distinct_positive(df: DataFrame, keys, cols: list[str], suffix: str = "_avg") -> DataFrame:
