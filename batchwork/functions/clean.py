@@ -164,7 +164,7 @@ def date_from_parts(y, m, d) -> Column:
 
 
 def try_date(s, fmt: str) -> Column:
-    return F.try_to_date(_c(s), F.lit(fmt))
+    return F.try_to_date(_c(s), fmt)
 
 
 def days_between(a, b) -> Column:
