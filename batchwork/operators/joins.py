@@ -50,12 +50,13 @@ def reconcile(a: DataFrame, b: DataFrame, keys, status: str = "status",
     return j.withColumn(status, st).drop("__a", "__b")
 
 
-def latest_as_of(rates: DataFrame, keys, date_col: str, value_cols, asof) -> DataFrame:
-    """Newest value per key on or before ``asof`` (partial aggregation, skew-safe)."""
+def latest_as_of(rates: DataFrame, keys, date_col: str, value_cols, asof, order=None) -> DataFrame:
+    """Newest value per key on or before ``asof`` (partial aggregation, skew-safe).
+
+    Equal dates are resolved by ``order`` (extra tie-break columns), then the values."""
     vcols = _cols(value_cols)
     d = rates.where(F.col(date_col) <= asof)
-    # order by (date, value...) so equal dates resolve deterministically
-    ordk = F.struct(F.col(date_col), *[F.col(v) for v in vcols])
+    ordk = F.struct(F.col(date_col), *[F.col(o) for o in _cols(order)], *[F.col(v) for v in vcols])
     agg = [F.max_by(F.col(v), ordk).alias(v) for v in vcols] + [F.max(date_col).alias(date_col)]
     return d.groupBy(*_cols(keys)).agg(*agg)
 
@@ -111,17 +112,24 @@ def n_way_merge(frames: list[DataFrame], keys, how: str = "full") -> DataFrame:
     return reduce(lambda a, b: a.join(b, on=_cols(keys), how=how), frames)
 
 
-def parent_join(df: DataFrame, ref: str, child_id: str, parent_id: str, levels: int,
+def parent_join(df: DataFrame, ref: str | None, child_id: str, parent_id: str, levels: int,
                 keep: list[str]) -> DataFrame:
-    """Walk up to ``levels`` ancestors by repeated self-join on (ref, parent)."""
+    """Walk up to ``levels`` ancestors by repeated left self-join on
+    (ref, parent id); ``ref=None`` joins on the parent id alone."""
     out = df
     prev = parent_id
-    base = df.select(F.col(ref), F.col(child_id).alias("__cid"), F.col(parent_id).alias("__pid"), *keep)
+    refc = [F.col(ref).alias("__ref")] if ref else []
+    base = df.select(*refc, F.col(child_id).alias("__cid"), F.col(parent_id).alias("__pid"), *keep)
     for lv in range(1, levels + 1):
-        anc = base.select(F.col(ref), F.col("__cid").alias(f"anc{lv}_id"),
+        anc = base.select(*(["__ref"] if ref else []), F.col("__cid").alias(f"anc{lv}_id"),
                           F.col("__pid").alias(f"anc{lv}_parent"),
                           *[F.col(k).alias(f"anc{lv}_{k}") for k in keep])
-        out = out.join(anc, on=[out[ref] == anc[ref], F.col(prev) == F.col(f"anc{lv}_id")], how="left").drop(anc[ref])
+        cond = F.col(prev) == F.col(f"anc{lv}_id")
+        if ref:
+            cond = cond & (F.col(ref) == F.col("__ref"))
+        out = out.join(anc, on=cond, how="left")
+        if ref:
+            out = out.drop("__ref")
         prev = f"anc{lv}_parent"
     return out
 
@@ -130,7 +138,8 @@ def match_with_fallback(left: DataFrame, right: DataFrame, strong, weak, right_o
     """Two-pass match.  Pass 1 on the strong key; unmatched left rows try the weak
     key against right rows made unique on it.  ``match_pass`` says which pass hit."""
     strong, weak = _cols(strong), _cols(weak)
-    p1 = left.join(right.withColumn("__hit", F.lit(1)), on=strong, how="inner")
+    dup = [c for c in right.columns if c in left.columns and c not in strong]
+    p1 = left.join(right.drop(*dup).withColumn("__hit", F.lit(1)), on=strong, how="inner")
     rest = left.join(right.select(*strong).distinct(), on=strong, how="left_anti")
     r2 = first_by(right, weak, right_order)
     rcols = [c for c in right.columns if c not in weak and c not in left.columns]
