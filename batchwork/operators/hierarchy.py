@@ -9,26 +9,27 @@ from .joins import parent_join
 from .keys import best_with_ties
 
 
-def parent_chain_depth(df: DataFrame, ref: str, child_id: str, parent_id: str, levels: int = 3) -> DataFrame:
+def parent_chain_depth(df: DataFrame, ref: str | None, child_id: str, parent_id: str, levels: int = 3,
+                       rank_by: str | None = None) -> DataFrame:
     """H1: walk up to ``levels`` ancestors, count how many were found (depth), and keep
-    per ``ref`` only the deepest rows (rank 1, ties kept)."""
+    per ``rank_by`` (default ``ref``) only the deepest rows (rank 1, ties kept)."""
     chain = parent_join(df, ref, child_id, parent_id, levels, keep=[])
     depth = sum((F.col(f"anc{i}_id").isNotNull().cast("int") for i in range(1, levels + 1)), F.lit(0))
     chain = chain.withColumn("depth", depth)
-    return best_with_ties(chain, ref, [F.col("depth").desc()])
+    return best_with_ties(chain, rank_by or ref, [F.col("depth").desc()])
 
 
 def assign_levels(nodes: DataFrame, node: str, parent: str, root_value, max_level: int = 5) -> DataFrame:
     """H2: level of each node below the root, by a bounded level-by-level walk.
 
-    Level 1 = children of ``root_value``; level i = children of level i-1 nodes.  Nodes
+    Level 1 = the root ``root_value``; level i = children of level i-1 nodes.  Nodes
     not reached within ``max_level`` levels (too deep, orphans, cycles) keep a null
     level.  Each step is one join of the remaining nodes against the previous level;
     the loop is unrolled into one plan (``max_level`` joins, fixed), each frontier is
     cut to (node) only so the plan stays narrow.
     """
     rest = nodes.select(F.col(node).alias("__n"), F.col(parent).alias("__p"))
-    frontier = rest.where(F.col("__p") == F.lit(root_value)).select("__n").withColumn("level", F.lit(1))
+    frontier = rest.where(F.col("__n") == F.lit(root_value)).select("__n").withColumn("level", F.lit(1))
     found = frontier
     for lv in range(2, max_level + 1):
         nxt = (rest.join(frontier.select(F.col("__n").alias("__p")), on="__p", how="left_semi")
