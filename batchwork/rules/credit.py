@@ -18,3 +18,39 @@ def undrawn(limit: Column, balance: Column) -> tuple[Column, Column]:
     lim2 = F.when(lt_missing(limit, 0), F.when(balance > 0, balance).otherwise(F.lit(0))).otherwise(limit)
     und = row_sum(lim2, -balance)
     return lim2, F.when(lt_missing(und, 0), F.lit(0)).otherwise(und)
+
+
+def risk_class(days_overdue: Column) -> tuple[Column, Column]:
+    """Classification by days overdue, and the impaired flag (≥ 90 days)."""
+    d = days_overdue
+    cls = (F.when(d.isNull() | (d < 90), F.lit("PASS")).when(d < 183, F.lit("SUBSTANDARD"))
+            .when(d < 366, F.lit("DOUBTFUL")).otherwise(F.lit("LOSS")))
+    return cls, F.coalesce(d >= 90, F.lit(False))
+
+
+def overdue_days(first_unpaid: Column, next_bill: Column, rept: Column) -> Column:
+    """Days overdue from the earlier of two nullable dates (least skips nulls);
+    not yet due → 0; neither date → NULL."""
+    due = F.least(first_unpaid, next_bill)
+    d = F.datediff(rept, due)
+    return F.when(due.isNull(), F.lit(None)).when(d < 0, F.lit(0)).otherwise(d)
+
+
+def accrued_interest(principal: Column, rate: Column, days: Column, product: Column, basis_365: Column) -> Column:
+    """Interest accrued in four branches: no interest when the rate or the
+    principal is 0; discount products accrue on principal × rate / 100 over the
+    day basis (365 for local currency, 360 otherwise); other products likewise
+    but only from day 1."""
+    basis = F.when(basis_365, F.lit(365)).otherwise(F.lit(360))
+    base = principal * rate / 100 * days / basis
+    return (F.when((rate == 0) | (principal == 0), F.lit(0))
+             .when(product == "DISCOUNT", base)
+             .when(days <= 0, F.lit(0))
+             .otherwise(base))
+
+
+def release_amount(limit: Column, drawn: Column, revolving: Column) -> Column:
+    """Utilisation released: revolving facilities release the undrawn part,
+    others release nothing once drawn."""
+    return F.when(revolving, F.greatest(limit - F.coalesce(drawn, F.lit(0)), F.lit(0))) \
+            .when(F.coalesce(drawn, F.lit(0)) > 0, F.lit(0)).otherwise(limit)
