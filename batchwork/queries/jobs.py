@@ -50,3 +50,237 @@ def reconcile_break_totals(spark, sf):
                   money_sum("o_totalprice", "order_amount"),
                   money_sum("line_amount", "line_amount"),
                   F.sum("line_count").cast("bigint").alias("line_count")))
+
+
+# ---------------------------------------------------------------------------- L1-L18
+from ..functions import calendar as CAL  # noqa: E402
+from ..functions import clean as C  # noqa: E402
+from ..operators import agg as A  # noqa: E402
+from ..operators import joins as J  # noqa: E402
+from ..operators import keys as K  # noqa: E402
+from ..plans import jobs as P  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sinks import writers as W  # noqa: E402
+from ..sources import readers as R  # noqa: E402
+from ._common import REPORT_DATE  # noqa: E402
+
+
+@register("pl_payment_recon", """
+WITH c AS (SELECT l_orderkey AS k, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS coll_amount FROM lineitem
+           WHERE l_returnflag <> 'R' GROUP BY 1),
+fee AS (SELECT k, fee FROM (SELECT l_orderkey AS k, l_extendedprice AS fee,
+           ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_extendedprice) AS rn
+           FROM lineitem WHERE l_returnflag = 'R') WHERE rn = 1),
+f AS (SELECT o_orderkey AS k, CAST(o_totalprice AS DECIMAL(18,2)) AS feed_amount FROM orders),
+r AS (SELECT COALESCE(f.k, c.k) AS k, f.feed_amount, c.coll_amount,
+             CASE WHEN f.k IS NOT NULL AND c.k IS NOT NULL THEN 'matched' WHEN f.k IS NOT NULL THEN 'feed_only'
+                  ELSE 'collection_only' END AS status FROM f FULL JOIN c ON f.k = c.k),
+e AS (SELECT r.*, fee.fee FROM r LEFT JOIN fee ON r.k = fee.k WHERE status <> 'matched' OR feed_amount < coll_amount)
+SELECT k AS o_orderkey, status, CAST(feed_amount AS DOUBLE) AS feed_amount, CAST(coll_amount AS DOUBLE) AS coll_amount,
+       fee, 'detail' AS line_type FROM e
+UNION ALL SELECT NULL, NULL, CAST(COUNT(*) AS DOUBLE), CAST(SUM(COALESCE(feed_amount, coll_amount)) AS DOUBLE), NULL, 'total' FROM e
+""")
+def pl_payment_recon(spark, sf):
+    feed = load(spark, sf, "orders")
+    txn = load(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    out = P.payment_recon(feed, txn, "o_orderkey", "o_totalprice", "l_extendedprice",
+                          F.col("l_returnflag") == "R", ["l_linenumber", "l_extendedprice"])
+    rep = out["report"]
+    return rep.select("o_orderkey", "status", F.col("feed_amount").cast("double").alias("feed_amount"),
+                      F.col("coll_amount").cast("double").alias("coll_amount"), "fee", "line_type")
+
+
+@register("pl_freshness", """
+SELECT 'orders' AS feed, CAST(MAX(o_orderdate) AS DATE) AS latest_date, MAX(o_orderdate) >= DATE '2001-08-01' AS fresh FROM orders
+UNION ALL SELECT 'lineitem', CAST(MAX(l_shipdate) AS DATE), MAX(l_shipdate) >= DATE '2001-08-01' FROM lineitem
+""")
+def pl_freshness(spark, sf):
+    """Each feed is written with a header line carrying its newest date; the gate
+    reads only the headers back (one line per feed) and compares with the report date."""
+    feeds = {"orders": "o_orderdate", "lineitem": "l_shipdate"}
+    headers = {}
+    for name, dcol in feeds.items():
+        df = load(spark, sf, name)
+        path = scratch_path(spark, f"feed_{name}")
+        # the header line is the feed's date; the newest date is one aggregate row
+        hdr = df.agg(F.date_format(F.max(dcol), "yyyyMMdd").alias("value"))
+        hdr.write.text(path + "/h")
+        first = R.read_header(spark, path + "/h")
+        headers[name] = first.select(F.try_to_date(F.col("value"), "yyyyMMdd").alias("feed_date"))
+    v = P.freshness_from_headers(headers, "2001-08-01")
+    return v.select("feed", F.col("latest_date"), (F.col("latest_date") >= F.col("asof")).alias("fresh"))
+
+
+@register("pl_deal_join", """
+WITH lg AS (SELECT l_orderkey AS o_orderkey, COUNT(*) AS n_legs FROM lineitem GROUP BY 1),
+u AS (SELECT k, label FROM (SELECT k, label, ROW_NUMBER() OVER (PARTITION BY k ORDER BY src, label) AS rn FROM (
+        SELECT c_custkey AS k, c_mktsegment AS label, 0 AS src FROM customer WHERE c_nationkey < 12
+        UNION ALL SELECT s_suppkey, 'SUPPLIER', 1 FROM supplier)) WHERE rn = 1),
+m(code, custcode) AS (VALUES ('AUTOMOBILE','10'),('BUILDING','20'),('FURNITURE','30'),('HOUSEHOLD','40'),('MACHINERY','50'),('SUPPLIER','60'))
+SELECT o.o_orderkey, o.o_custkey, lg.n_legs, u.label, m.custcode
+FROM orders o JOIN lg ON o.o_orderkey = lg.o_orderkey LEFT JOIN u ON o.o_custkey = u.k LEFT JOIN m ON u.label = m.code
+""")
+def pl_deal_join(spark, sf):
+    from .scans import _write_text
+    # deals arrive fixed-width, legs as a pipe file
+    dpath, lpath = scratch_path(spark, "deals_fixed"), scratch_path(spark, "legs_pipe")
+    o = load(spark, sf, "orders")
+    _write_text(W.to_fixed(o, [W.Out("o_orderkey", 1, 10, "zero"), W.Out("o_custkey", 11, 10, "zero")]), dpath)
+    lg = load(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_legs"))
+    lg.select(F.concat_ws("|", F.col("l_orderkey").cast("string"), F.col("n_legs").cast("string")).alias("record")).write.text(lpath)
+    deals = R.read_fixed(spark, dpath, [R.Field("o_orderkey", 1, 10, "long"), R.Field("o_custkey", 11, 10, "long")])
+    legs = R.read_delimited(spark, lpath, "o_orderkey bigint, n_legs bigint", sep="|")
+    c = load(spark, sf, "customer").where("c_nationkey < 12").select(F.col("c_custkey").alias("o_custkey"),
+                                                                     F.col("c_mktsegment").alias("label"))
+    s = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("o_custkey"), F.lit("SUPPLIER").alias("label"))
+    cm = J.code_table(spark, [("AUTOMOBILE", "10"), ("BUILDING", "20"), ("FURNITURE", "30"), ("HOUSEHOLD", "40"),
+                              ("MACHINERY", "50"), ("SUPPLIER", "60")], "code string, custcode string")
+    out = P.deal_join(deals, legs, "o_orderkey", [c, s], "o_custkey", "label", cm, "code")
+    return out.select("o_orderkey", "o_custkey", "n_legs", "label", "custcode")
+
+
+@register("pl_maturity_split", """
+WITH d AS (SELECT o.o_orderkey, o.o_custkey, CAST(o.o_orderdate AS DATE) AS o_orderdate, o.o_totalprice, c.c_name,
+                  CASE WHEN o.o_custkey < 750 THEN 'local' ELSE 'foreign' END AS route
+           FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE year(o.o_orderdate) = 1998)
+SELECT 0 AS line_type, 'MATURITY LIST local' AS line, 'local' AS route
+UNION ALL SELECT 1, 'O_ORDERKEY,C_NAME,O_ORDERDATE,O_TOTALPRICE', 'local'
+UNION ALL SELECT 0, 'MATURITY LIST foreign', 'foreign'
+UNION ALL SELECT 1, 'O_ORDERKEY,C_NAME,O_ORDERDATE,O_TOTALPRICE', 'foreign'
+UNION ALL SELECT 2, CAST(o_orderkey AS VARCHAR) || ',' || c_name || ',' || strftime(o_orderdate, '%Y-%m-%d') || ',' || CAST(o_totalprice AS VARCHAR), route FROM d
+""")
+def pl_maturity_split(spark, sf):
+    o = (load(spark, sf, "orders").where(F.year("o_orderdate") == 1998)
+         .select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_totalprice", "o_orderstatus"))
+    books = {"PBB": o.where("o_orderstatus = 'F'").drop("o_orderstatus"), "PIBB": o.where("o_orderstatus <> 'F'").drop("o_orderstatus")}
+    cust = load(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    rep = P.maturity_split(books, cust, "o_custkey", {"local": F.col("o_custkey") < 750, "foreign": F.col("o_custkey") >= 750},
+                           "MATURITY LIST", ["o_orderkey", "c_name", "o_orderdate", "o_totalprice"])
+    return rep.select("line_type", "line", "route")
+
+
+@register("pl_gl_carry_forward", """
+WITH t AS (SELECT l_suppkey, l_returnflag, l_shipdate, CAST(l_extendedprice AS DECIMAL(18,2)) AS amt FROM lineitem),
+cur AS (SELECT l_suppkey, l_returnflag, SUM(CASE WHEN l_returnflag = 'R' AND l_suppkey < 20 THEN 0 ELSE amt END) AS balance
+        FROM t WHERE year(l_shipdate) = 1998 AND month(l_shipdate) = 8 GROUP BY 1, 2),
+prv AS (SELECT l_suppkey, l_returnflag, SUM(amt) AS balance FROM t WHERE year(l_shipdate) = 1998 AND month(l_shipdate) = 7 GROUP BY 1, 2)
+SELECT COALESCE(cur.l_suppkey, prv.l_suppkey) AS l_suppkey, COALESCE(cur.l_returnflag, prv.l_returnflag) AS l_returnflag,
+       CAST(CASE WHEN COALESCE(cur.l_returnflag, prv.l_returnflag) = 'R' AND COALESCE(cur.balance, 0) = 0 THEN prv.balance
+            ELSE cur.balance END AS DOUBLE) AS balance
+FROM cur FULL JOIN prv ON cur.l_suppkey = prv.l_suppkey AND cur.l_returnflag = prv.l_returnflag
+""")
+def pl_gl_carry_forward(spark, sf):
+    """Today's GL arrives as tagged text records with comma amounts; yesterday's is a table."""
+    li = load(spark, sf, "lineitem")
+    ym = lambda y, m: (F.year("l_shipdate") == y) & (F.month("l_shipdate") == m)
+    amt = F.col("l_extendedprice").cast("decimal(18,2)")
+    today = (li.where(ym(1998, 8)).groupBy("l_suppkey", "l_returnflag")
+             .agg(F.sum(F.when((F.col("l_returnflag") == "R") & (F.col("l_suppkey") < 20), F.lit(0)).otherwise(amt)).alias("balance")))
+    path = scratch_path(spark, "gl_feed")
+    txt = F.concat(F.lit("+"), F.lpad(F.col("l_suppkey").cast("string"), 6, "0"), F.col("l_returnflag"),
+                   F.lpad(F.format_number(F.col("balance"), 2), 22, " "))
+    junk = today.select(F.concat(F.lit("*"), F.lit(" page header")).alias("record")).limit(1)
+    today.select(txt.alias("record")).unionByName(junk).write.text(path)
+    feed = R.read_typed_records(spark, path, "+", [R.Field("l_suppkey", 2, 6, "long"), R.Field("l_returnflag", 8, 1),
+                                                    R.Field("balance", 9, 22, "amount")])
+    prior = li.where(ym(1998, 7)).groupBy("l_suppkey", "l_returnflag").agg(F.sum(amt).alias("balance"))
+    out = P.gl_carry_forward(feed, prior, ["l_suppkey", "l_returnflag"], "balance", F.col("l_returnflag") == "R")
+    return out.select("l_suppkey", "l_returnflag", F.col("balance").cast("double").alias("balance"))
+
+
+@register("pl_provision_load", f"""
+SELECT c_custkey, c_nationkey, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS DOUBLE) AS provision,
+       DATE '{REPORT_DATE}' AS load_date, 1998 AS period_year, 8 AS period_month FROM customer
+""")
+def pl_provision_load(spark, sf):
+    src, pub = scratch_path(spark, "provision_fixed"), scratch_path(spark, "provision_pub")
+    from .scans import _write_text
+    c = load(spark, sf, "customer")
+    _write_text(W.to_fixed(c, [W.Out("c_custkey", 1, 10, "zero"), W.Out("c_nationkey", 11, 3, "zero"),
+                               W.Out("c_acctbal", 14, 14, "implied", decimals=2)]), src)
+    t = R.read_fixed(spark, src, [R.Field("c_custkey", 1, 10, "long"), R.Field("c_nationkey", 11, 3, "int"),
+                                  R.Field("provision", 14, 14, "decimal", scale=2)])
+    t = t.withColumn("load_date", F.lit(REPORT_DATE).cast("date")).withColumn("period_year", F.lit(1998)) \
+         .withColumn("period_month", F.lit(8))
+    W.publish(t, pub, ["period_year", "period_month"])
+    back = spark.read.parquet(pub)
+    return back.select("c_custkey", "c_nationkey", F.col("provision").cast("double").alias("provision"), "load_date",
+                       F.col("period_year").cast("int"), F.col("period_month").cast("int"))
+
+
+@register("pl_fee_extract", f"""
+WITH eff AS (SELECT * FROM (SELECT o_custkey, o_orderkey AS plan_order, o_orderpriority AS plan,
+               ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey, o_orderpriority) AS rn
+             FROM orders WHERE o_orderdate <= TIMESTAMP '{REPORT_DATE} 00:00:00') WHERE rn = 1)
+SELECT o.o_orderkey, o.o_custkey, CAST(o.o_totalprice AS DECIMAL(15,2))::DOUBLE AS fee, eff.plan, o.o_orderstatus AS route,
+       DATE '1998-08-15' AS period_end
+FROM orders o LEFT JOIN eff ON o.o_custkey = eff.o_custkey
+""")
+def pl_fee_extract(spark, sf):
+    from .scans import _pack, write_packed
+    from ..session import local_path
+    path = scratch_path(spark, "fee_packed")
+    o = load(spark, sf, "orders")
+    rec = o.select(F.concat(_pack(F.col("o_orderkey"), 6), _pack(F.col("o_custkey"), 6), _pack(F.col("o_totalprice"), 8, 2),
+                            F.encode(F.col("o_orderstatus"), "US-ASCII")).alias("rec"))
+    write_packed(rec, "file://" + local_path(path) if path.startswith(("file:", "/")) else path)
+    fees = R.read_packed(spark, path, 21, [R.PackedField("o_orderkey", 1, 6), R.PackedField("o_custkey", 7, 6),
+                                           R.PackedField("fee", 13, 8, 2), R.PackedField("o_orderstatus", 21, 1, kind="text")])
+    fees = fees.select(F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"), "fee", "o_orderstatus")
+    plans = o.select("o_custkey", F.col("o_orderkey").alias("plan_order"), F.col("o_orderpriority").alias("plan"), "o_orderdate")
+    out = P.fee_extract(fees, plans, "o_custkey", "o_orderdate", REPORT_DATE, "o_orderstatus")
+    return out.select("o_orderkey", "o_custkey", F.col("fee").cast("double").alias("fee"), "plan", "route", "period_end")
+
+
+@register("pl_staff_exceptions", f"""
+WITH loans AS (SELECT o_orderkey, o_orderpriority, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders
+               WHERE COALESCE(date_trunc('month', o_orderdate) = DATE '1998-08-01', FALSE) OR COALESCE(o_orderstatus = 'O', FALSE)),
+ded AS (SELECT DISTINCT l_orderkey AS o_orderkey FROM lineitem WHERE l_linestatus = 'O' AND l_returnflag = 'N'),
+exc AS (SELECT COALESCE(l.o_orderkey, d.o_orderkey) AS o_orderkey, l.o_orderpriority, l.o_orderstatus, l.amount
+        FROM loans l FULL JOIN ded d ON l.o_orderkey = d.o_orderkey WHERE l.o_orderkey IS NULL OR d.o_orderkey IS NULL)
+SELECT o_orderpriority, o_orderstatus, o_orderkey, CAST(amount AS DOUBLE) AS amount, 0 AS level, 'detail' AS row_kind FROM exc
+UNION ALL SELECT o_orderpriority, o_orderstatus, NULL, CAST(SUM(amount) AS DOUBLE),
+       CAST(1 + GROUPING(o_orderpriority) + GROUPING(o_orderstatus) AS INTEGER),
+       CASE WHEN GROUPING(o_orderpriority) = 1 THEN 'total' ELSE 'subtotal' END
+FROM exc GROUP BY ROLLUP (o_orderpriority, o_orderstatus)
+""")
+def pl_staff_exceptions(spark, sf):
+    rd = F.lit(REPORT_DATE).cast("date")
+    o = load(spark, sf, "orders")
+    loans = o.where(F.coalesce(C.same_month(F.col("o_orderdate").cast("date"), rd), F.lit(False))
+                    | F.coalesce(F.col("o_orderstatus") == "O", F.lit(False))) \
+             .select("o_orderkey", "o_orderpriority", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("amount"))
+    ded = (load(spark, sf, "lineitem").where("l_linestatus = 'O' AND l_returnflag = 'N'")
+           .select(F.col("l_orderkey").alias("o_orderkey")).distinct())
+    rep = P.staff_exceptions(loans, ded, "o_orderkey", ["o_orderpriority", "o_orderstatus"], "amount")
+    return rep.select("o_orderpriority", "o_orderstatus", "o_orderkey", F.col("amount").cast("double").alias("amount"),
+                      "level", "row_kind")
+
+
+@register("pl_weekly_accumulate", """
+WITH t AS (SELECT c.c_nationkey AS nation, l.l_returnflag AS flag, l.l_shipdate, CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amt
+           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey),
+wk AS (SELECT nation, flag, SUM(amt) AS amount FROM t WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1998-08-09' AND DATE '1998-08-15' GROUP BY 1, 2),
+pr AS (SELECT nation, flag, SUM(amt) AS amount FROM t WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1998-08-01' AND DATE '1998-08-08' GROUP BY 1, 2),
+acc AS (SELECT CAST(CASE WHEN nation = 24 THEN 23 ELSE nation END AS VARCHAR) AS nation, flag, SUM(amount) AS amount
+        FROM (SELECT * FROM wk UNION ALL SELECT * FROM pr) GROUP BY 1, 2),
+c AS (SELECT CASE WHEN GROUPING(nation) = 1 THEN 'TOTAL' ELSE nation END AS nation,
+             CASE WHEN GROUPING(flag) = 1 THEN 'TOTAL' ELSE flag END AS flag, SUM(amount) AS v FROM acc GROUP BY CUBE (nation, flag))
+SELECT nation, CAST(MAX(CASE WHEN flag = 'A' THEN v END) AS DOUBLE) AS A, CAST(MAX(CASE WHEN flag = 'N' THEN v END) AS DOUBLE) AS N,
+       CAST(MAX(CASE WHEN flag = 'R' THEN v END) AS DOUBLE) AS R, CAST(MAX(CASE WHEN flag = 'TOTAL' THEN v END) AS DOUBLE) AS TOTAL
+FROM c GROUP BY nation
+""")
+def pl_weekly_accumulate(spark, sf):
+    li = load(spark, sf, "lineitem")
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    c = load(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    t = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == F.col("c_custkey"))
+           .select(F.col("c_nationkey").alias("nation"), F.col("l_returnflag").alias("flag"),
+                   F.col("l_shipdate").cast("date").alias("d"), F.col("l_extendedprice").cast("decimal(18,2)").alias("amt")))
+    rd = F.lit(REPORT_DATE).cast("date")
+    wstart = CAL.report_period(rd)["week_start"]
+    wk = t.where(F.col("d").between(wstart, rd)).groupBy("nation", "flag").agg(F.sum("amt").alias("amount"))
+    pr = t.where((F.col("d") >= CAL.month_start(rd)) & (F.col("d") < wstart)).groupBy("nation", "flag").agg(F.sum("amt").alias("amount"))
+    remap = F.when(F.col("nation") == 24, F.lit(23)).otherwise(F.col("nation")).cast("string")
+    x = P.weekly_accumulate(wk, pr, ["nation", "flag"], "amount", remap, "nation", "nation", "flag", ["A", "N", "R"])
+    return x.select("nation", *[F.col(k).cast("double").alias(k) for k in ["A", "N", "R", "TOTAL"]])
