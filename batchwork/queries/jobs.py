@@ -284,3 +284,151 @@ def pl_weekly_accumulate(spark, sf):
     remap = F.when(F.col("nation") == 24, F.lit(23)).otherwise(F.col("nation")).cast("string")
     x = P.weekly_accumulate(wk, pr, ["nation", "flag"], "amount", remap, "nation", "nation", "flag", ["A", "N", "R"])
     return x.select("nation", *[F.col(k).cast("double").alias(k) for k in ["A", "N", "R", "TOTAL"]])
+
+
+@register("pl_facility_master")
+def pl_facility_master(spark, sf):
+    """Facility master: lines as direct (filled) / indirect (open) balances per part,
+    children rolled onto parents, levels below root part 0, undrawn against the
+    part's limit, measures blanked on syndicated (large) parts."""
+    li = load(spark, sf, "lineitem")
+    p = load(spark, sf, "part").select("p_partkey", "p_retailprice", "p_size")
+    bal = (li.join(p, li.l_partkey == p.p_partkey)
+             .select(F.col("l_partkey").alias("node"),
+                     F.when(F.col("l_partkey") == 0, None).otherwise(F.floor(F.col("l_partkey") / 7).cast("bigint")).alias("parent"),
+                     F.when(F.col("l_linestatus") == "F", F.lit("D")).otherwise(F.lit("I")).alias("kind"),
+                     F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
+                     (F.col("p_retailprice").cast("decimal(18,2)") * 100).alias("limit"),
+                     (F.col("p_size") > 45).alias("flagged")))
+    out = P.facility_master(bal, "node", "parent", "kind", "amount", 0, "limit", F.col("flagged"))
+    return out.select("node", F.col("level").cast("int").alias("level"), F.col("dcurbal").cast("double").alias("dcurbal"),
+                      F.col("icurbal").cast("double").alias("icurbal"), F.col("undrawn").cast("double").alias("undrawn"),
+                      "flagged")
+
+
+@register("pl_trade_balances")
+def pl_trade_balances(spark, sf):
+    """Trade balances: customer transactions netted for reversals, split into
+    disbursements and repayments, balances with closed items carried from July."""
+    li = load(spark, sf, "lineitem")
+    o = load(spark, sf, "orders")
+    t = (li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey)
+           .where((F.year("l_shipdate") == 1998) & (F.month("l_shipdate") == 8))
+           .select(F.col("o_custkey").alias("custkey"), "l_orderkey", "l_linenumber",
+                   C.abs_flip(F.col("l_extendedprice").cast("decimal(18,2)"), F.col("l_returnflag") == "R").alias("amount"),
+                   F.col("l_shipdate").cast("date").alias("d")))
+    month = lambda m: (o.where((F.year("o_orderdate") == 1998) & (F.month("o_orderdate") == m))
+                        .groupBy(F.col("o_custkey").alias("custkey"))
+                        .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("balance")))
+    out = P.trade_balances(t, "custkey", "amount", "d", ["l_orderkey", "l_linenumber"], month(8), month(7))
+    b = out["balances"]
+    return b.select("custkey", F.col("balance").cast("double").alias("balance"), "closed",
+                    F.col("disburse").cast("double").alias("disburse"), F.col("repaid").cast("double").alias("repaid"))
+
+
+_REG_LAYOUT = [W.Out("o_orderkey", 1, 10, "zero"), W.Out("lines", 11, 30), W.Out("best_line", 41, 3, "zero"),
+               W.Out("arrears", 44, 3, "zero"), W.Out("risk", 47, 11)]
+
+
+@register("pl_trade_register", f"""
+WITH oo AS (SELECT o_orderkey, date_diff('day', CAST(o_orderdate AS DATE), DATE '{REPORT_DATE}') AS days FROM orders WHERE o_orderstatus = 'O'),
+agg AS (SELECT l_orderkey, string_agg(CAST(l_linenumber AS VARCHAR) || l_returnflag, '|' ORDER BY l_linenumber,
+                 CAST(l_linenumber AS VARCHAR) || l_returnflag) AS lines,
+               COALESCE(SUM(DISTINCT CASE WHEN l_tax > 0 THEN l_tax END) / COUNT(DISTINCT CASE WHEN l_tax > 0 THEN l_tax END), 0) AS avg_tax
+        FROM lineitem GROUP BY 1),
+best AS (SELECT l_orderkey, l_linenumber AS best_line FROM (SELECT l_orderkey, l_linenumber, ROW_NUMBER() OVER (PARTITION BY l_orderkey
+          ORDER BY CASE WHEN l_returnflag = 'R' THEN 1 WHEN l_linestatus = 'O' THEN 2 ELSE 99 END, l_extendedprice DESC,
+                   l_partkey, l_suppkey, l_linenumber, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS rn
+          FROM lineitem) WHERE rn = 1),
+r AS (SELECT oo.o_orderkey, oo.days, agg.lines, agg.avg_tax, best.best_line, CAST(floor(oo.days / 30.0005) AS BIGINT) AS arrears,
+             CASE WHEN days < 90 THEN 'PASS' WHEN days < 183 THEN 'SUBSTANDARD' WHEN days < 366 THEN 'DOUBTFUL' ELSE 'LOSS' END AS risk
+      FROM oo JOIN agg ON oo.o_orderkey = agg.l_orderkey JOIN best ON oo.o_orderkey = best.l_orderkey)
+SELECT o_orderkey, lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || rpad(lines, 30, ' ') || lpad(CAST(best_line AS VARCHAR), 3, '0')
+       || CASE WHEN arrears < 0 THEN '-' || lpad(CAST(abs(arrears) AS VARCHAR), 2, '0') ELSE lpad(CAST(arrears AS VARCHAR), 3, '0') END
+       || rpad(risk, 11, ' ') AS record, avg_tax
+FROM r
+""")
+def pl_trade_register(spark, sf):
+    li = load(spark, sf, "lineitem")
+    o = load(spark, sf, "orders").where("o_orderstatus = 'O'")
+    o = o.select("o_orderkey", F.datediff(F.lit(REPORT_DATE).cast("date"), F.col("o_orderdate").cast("date")).alias("days"))
+    cat = A.ordered_concat(li.withColumn("v", F.concat(F.col("l_linenumber").cast("string"), "l_returnflag")),
+                           "l_orderkey", "v", "l_linenumber", "|", "lines")                      # A9
+    mdp = A.mean_distinct_positive(li, "l_orderkey", ["l_tax"])                                  # A7
+    best = K.pick_by_priority(li, "l_orderkey", [(F.col("l_returnflag") == "R", 1), (F.col("l_linestatus") == "O", 2)],
+                              [F.col("l_extendedprice").desc()]).select("l_orderkey", F.col("l_linenumber").alias("best_line"))
+    from ..rules.credit import risk_class
+    cls, _ = risk_class(F.col("days"))
+    j = (o.join(cat.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
+          .join(mdp.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
+          .join(best.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
+          .withColumn("arrears", C.arrears_months("days").cast("bigint")).withColumn("risk", cls))
+    ext = W.to_fixed(j, _REG_LAYOUT, flag_overflow=False)                                        # K2
+    return ext.select("o_orderkey", "record", F.col("l_tax_avg").alias("avg_tax"))
+
+
+@register("pl_assembly", """
+WITH o AS (SELECT o_custkey AS custkey, COUNT(*) AS n_orders, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS amt FROM orders GROUP BY 1),
+lt AS (SELECT * FROM (SELECT o_custkey AS custkey, o_orderkey AS last_order,
+          ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey, o_orderstatus, o_totalprice, o_orderpriority) AS rn
+          FROM orders) WHERE rn = 1),
+f(seg, facility) AS (VALUES ('AUTOMOBILE','34111'),('BUILDING','34112')),
+c AS (SELECT c_custkey AS custkey, c_name, c_mktsegment FROM customer WHERE c_custkey NOT IN (3, 7, 11, 42, 100, 1001))
+SELECT c.custkey, o.n_orders, CAST(o.amt AS DOUBLE) AS amount, lt.last_order, COALESCE(f.facility, '99999') AS facility,
+       regexp_replace(c.c_name, '[^0-9]', '', 'g') AS clean_id, length(regexp_replace(c.c_name, '[^0-9]', '', 'g')) = 9 AS valid_id
+FROM c LEFT JOIN o ON c.custkey = o.custkey LEFT JOIN lt ON c.custkey = lt.custkey LEFT JOIN f ON c.c_mktsegment = f.seg
+""")
+def pl_assembly(spark, sf):
+    from ..operators.quality import id_cleanse_validate
+    from ..rules.codes import precedence_lookup
+    from .predicates import EXCLUDED_CUSTOMERS
+    orders = load(spark, sf, "orders")
+    o = orders.groupBy(F.col("o_custkey").alias("custkey")).agg(F.count(F.lit(1)).alias("n_orders"),
+                                                                F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("amt"))
+    lt = K.first_by(orders.withColumnRenamed("o_custkey", "custkey"), "custkey", [F.col("o_orderdate").desc_nulls_last(), "o_orderkey"]) \
+          .select("custkey", F.col("o_orderkey").alias("last_order"))                           # W4
+    ex = J.code_table(spark, EXCLUDED_CUSTOMERS, "custkey bigint")
+    c = load(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), "c_name", "c_mktsegment") \
+        .join(ex, "custkey", "left_anti")                                                       # J6
+    j = J.n_way_merge([c, o, lt], "custkey", "left")                                            # J11
+    fac = J.code_table(spark, [("AUTOMOBILE", "34111"), ("BUILDING", "34112")], "c_mktsegment string, facility string")
+    j = precedence_lookup(j, [(fac, "c_mktsegment", "facility")], "facility", "99999")          # D2
+    cleaned, valid = id_cleanse_validate("c_name", 9)                                          # Q4
+    return j.select("custkey", "n_orders", F.col("amt").cast("double").alias("amount"), "last_order", "facility",
+                    cleaned.alias("clean_id"), valid.alias("valid_id"))
+
+
+@register("pl_loan_register")
+def pl_loan_register(spark, sf):
+    """Loan register extract: loans (open) and overdrafts (partial) stacked with a
+    source flag, one representative line each, pricing / status / risk / overdue /
+    undrawn / scheme derived, impaired rows to a second extract, amounts unpivoted."""
+    from ..operators.sets import concat_with_source
+    from ..rules import credit as RK
+    li = load(spark, sf, "lineitem")
+    o = load(spark, sf, "orders")
+    acct = concat_with_source({"LN": o.where("o_orderstatus = 'O'"), "OD": o.where("o_orderstatus = 'P'")}, "source")  # U3
+    rep = K.pick_by_priority(li, "l_orderkey", [(F.col("l_returnflag") == "R", 1), (F.col("l_linestatus") == "O", 2)],
+                             [F.col("l_extendedprice").desc()])                                  # W13
+    drawn = li.groupBy("l_orderkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("drawn"),
+                                         F.min(F.when(F.col("l_linestatus") == "O", F.col("l_shipdate").cast("date"))).alias("first_unpaid"))
+    j = acct.join(rep.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey").join(
+        drawn.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left")
+    rd = F.lit(REPORT_DATE).cast("date")
+    od = RK.overdue_days(F.col("first_unpaid"), F.date_add(F.col("o_orderdate").cast("date"), 30), rd)   # D6
+    j = j.withColumn("overdue", od)
+    cls, imp = RK.risk_class(F.col("overdue"))                                                   # D5
+    j = j.withColumns({
+        "pricing": F.when(F.col("l_tax") == 0, F.lit("FIXED")).otherwise(F.lit("BLR")),           # D3
+        "risk": cls, "impaired": imp,
+        "undrawn": F.greatest(C.row_sum(F.col("o_totalprice").cast("decimal(18,2)"), -F.col("drawn")), F.lit(0)),  # D8
+        "scheme": F.when(F.col("o_totalprice") > 300000, F.lit("21")).otherwise(F.lit("00")),     # D10
+        "share": F.col("o_totalprice") / F.sum("o_totalprice").over(
+            __import__("pyspark.sql").sql.Window.partitionBy("source")),                        # A16
+    })
+    lay = [W.Out("o_orderkey", 1, 10, "zero"), W.Out("source", 11, 2), W.Out("pricing", 13, 5), W.Out("risk", 18, 11),
+           W.Out("overdue", 29, 5, "zero"), W.Out("undrawn", 34, 15, "implied", decimals=2), W.Out("scheme", 49, 2)]
+    main = W.to_fixed(j, lay, flag_overflow=False).select("o_orderkey", F.lit("main").alias("extract"), "record")   # K2
+    imp_ext = W.to_fixed(j.where("impaired"), lay[:5], flag_overflow=False) \
+               .select("o_orderkey", F.lit("impaired").alias("extract"), "record")                                # K6
+    return main.unionByName(imp_ext)
