@@ -432,3 +432,100 @@ def pl_loan_register(spark, sf):
     imp_ext = W.to_fixed(j.where("impaired"), lay[:5], flag_overflow=False) \
                .select("o_orderkey", F.lit("impaired").alias("extract"), "record")                                # K6
     return main.unionByName(imp_ext)
+
+
+@register("pl_application_register", """
+WITH r AS (SELECT event_type AS ccy, MAX_BY(value, (ts, event_id, value)) AS rate FROM events
+           WHERE ts <= TIMESTAMP '2024-01-20 23:59:59.999999' GROUP BY 1),
+app AS (SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderstatus = 'F' THEN 'approved' ELSE 'rejected' END AS route,
+               CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'purchase' ELSE 'view' END AS ccy
+        FROM orders WHERE year(o_orderdate) = 1998),
+j AS (SELECT c.c_custkey, a.o_orderkey, a.route, a.ccy,
+             ROUND(CAST(a.o_totalprice AS DECIMAL(18,2)) * CAST(r.rate AS DECIMAL(18,6)), 2) AS amt_local
+      FROM app a LEFT JOIN r ON a.ccy = r.ccy RIGHT JOIN customer c ON a.o_custkey = c.c_custkey)
+SELECT c_custkey, o_orderkey, route, CAST(amt_local AS DOUBLE) AS amt_local,
+       CASE WHEN o_orderkey IS NULL THEN NULL ELSE
+         lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || rpad(route, 8, ' ') ||
+         CASE WHEN amt_local IS NULL THEN repeat('0', 14) ELSE lpad(CAST(CAST(amt_local * 100 AS BIGINT) AS VARCHAR), 14, '0') END END AS record
+FROM j
+""")
+def pl_application_register(spark, sf):
+    """Applications (1998 orders) routed approved / rejected, right-merged onto the
+    customer master, amounts converted at the latest rate as of the report date,
+    one fixed-layout record per application."""
+    ev = load(spark, sf, "events")
+    rates = J.latest_as_of(ev.withColumnRenamed("event_type", "ccy"), "ccy", "ts", "value",
+                           F.lit("2024-01-20 23:59:59.999999").cast("timestamp_ntz"), order=["event_id"]) \
+             .select("ccy", F.col("value").alias("rate"))                                          # J13
+    o = load(spark, sf, "orders").where(F.year("o_orderdate") == 1998)
+    app = W.route(o, {"approved": F.col("o_orderstatus") == "F"}, exclusive=True, default="rejected")   # K5
+    app = app.withColumn("ccy", F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("purchase"))
+                         .otherwise(F.lit("view")))
+    app = app.join(rates, "ccy", "left").withColumn(
+        "amt_local", F.round(F.col("o_totalprice").cast("decimal(18,2)") * F.col("rate").cast("decimal(18,6)"), 2))
+    c = load(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    j = app.join(c, "o_custkey", "right")                                                           # J5
+    lay = [W.Out("o_orderkey", 1, 10, "zero"), W.Out("route", 11, 8), W.Out("amt_local", 19, 14, "implied", decimals=2)]
+    ext = W.to_fixed(j, lay, flag_overflow=False)
+    return ext.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "route",
+                      F.col("amt_local").cast("double").alias("amt_local"),
+                      F.when(F.col("o_orderkey").isNotNull(), F.col("record")).alias("record"))
+
+
+@register("pl_rollover_review", """
+WITH cur AS (SELECT * FROM (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS d, o_totalprice,
+               ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+             FROM orders WHERE o_orderdate < DATE '1998-09-01') WHERE rn = 1),
+prev AS (SELECT o_custkey, CAST(MAX(o_orderdate) AS DATE) AS pd FROM orders WHERE o_orderdate < DATE '1998-08-01' GROUP BY 1),
+j AS (SELECT cur.*, c.c_nationkey FROM cur JOIN prev ON cur.o_custkey = prev.o_custkey AND cur.d > prev.pd
+      JOIN customer c ON cur.o_custkey = c.c_custkey)
+SELECT o_custkey, o_orderkey, d AS rollover_date,
+       ROUND(o_totalprice / SUM(o_totalprice) OVER (PARTITION BY c_nationkey), 6) AS nation_share,
+       lpad(CAST(o_custkey AS VARCHAR), 8, '0') || strftime(d, '%d%m%Y') || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS record
+FROM j
+""")
+def pl_rollover_review(spark, sf):
+    """Rollovers: each customer's newest deal in the current generation whose date
+    moved forward since the previous generation, with its share of the nation total."""
+    o = load(spark, sf, "orders")
+    cur = K.first_by(o.where(F.col("o_orderdate") < F.lit("1998-09-01").cast("timestamp_ntz"))
+                      .select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("d"), "o_totalprice"),
+                     "o_custkey", [F.col("d").desc(), F.col("o_orderkey").desc()])                 # W4
+    prev = (o.where(F.col("o_orderdate") < F.lit("1998-08-01").cast("timestamp_ntz")).groupBy("o_custkey")
+             .agg(F.max(F.col("o_orderdate").cast("date")).alias("d")))
+    moved = J.snapshot_compare(cur, prev, "o_custkey", "d")                                         # J20
+    c = load(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    j = moved.join(c, "o_custkey", "inner")                                                        # J2
+    tot = j.groupBy("c_nationkey").agg(F.sum("o_totalprice").alias("__t"))                         # A16
+    j = j.join(tot, "c_nationkey").withColumn("nation_share", F.round(F.col("o_totalprice") / F.col("__t"), 6))
+    lay = [W.Out("o_custkey", 1, 8, "zero"), W.Out("d", 9, 8, "date", fmt="ddMMyyyy"), W.Out("o_orderkey", 17, 10, "zero")]
+    return W.to_fixed(j, lay, flag_overflow=False).select("o_custkey", "o_orderkey", F.col("d").alias("rollover_date"),
+                                                          "nation_share", "record")
+
+
+@register("pl_collateral", """
+WITH t(cclassc, collater) AS (VALUES {COLL}),
+p AS (SELECT p_partkey, lpad(CAST(p_partkey % 150 AS VARCHAR), 3, '0') AS code, p_retailprice FROM part),
+v AS (SELECT l_partkey, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS value FROM lineitem GROUP BY 1),
+j AS (SELECT p.p_partkey, p.code, t.collater, CAST(v.value AS DOUBLE) AS value,
+             LEAST(GREATEST(p.p_retailprice / 1000.0, 0.95), 1.5) AS margin
+      FROM p JOIN v ON p.p_partkey = v.l_partkey LEFT JOIN t ON p.code = t.cclassc)
+SELECT p_partkey, code, CASE WHEN collater IN ('10') THEN 'property' WHEN collater IN ('30', '40') THEN 'vehicle'
+                             WHEN collater IS NULL THEN 'unclassified' ELSE 'other' END AS route,
+       value, margin FROM j
+""".replace("{COLL}", ", ".join(f"('{k}','{v}')" for k, v in sorted(
+    {c: cat for cat, codes in __import__("batchwork.rules.codes", fromlist=["x"]).COLLATERAL_CLASSES.items()
+     for c in codes}.items()))))
+def pl_collateral(spark, sf):
+    """Collateral tables: class code → category, joined to its secured value, routed
+    to the category tables, margin bounded to [0.95, 1.5]."""
+    from ..rules.codes import collateral_category
+    p = load(spark, sf, "part").select("p_partkey", F.lpad((F.col("p_partkey") % 150).cast("string"), 3, "0").alias("code"),
+                                       "p_retailprice")
+    v = load(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")) \
+        .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("value"))
+    j = collateral_category(p, "code").join(v, "p_partkey", "inner")                                # D9 + J2
+    r = W.route(j, {"property": F.col("collater") == "10", "vehicle": F.col("collater").isin("30", "40"),
+                    "unclassified": F.col("collater").isNull()}, exclusive=True, default="other")   # K5
+    return r.select("p_partkey", "code", "route", F.col("value").cast("double").alias("value"),
+                    C.clamp(F.col("p_retailprice") / 1000.0, 0.95, 1.5).alias("margin"))           # P13
