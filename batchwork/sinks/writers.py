@@ -130,16 +130,17 @@ def to_fixed(df: DataFrame, layout: list[Out], record: str = "record", flag_over
     would silently cut them); the record is still produced, truncated.
     """
     segs = resolve_layout(layout)
-    rendered = {f.name: _pad(f, _render(f)) for f in layout}
+    # keyed by position in the layout: one column may be written at several places
+    rendered = {id(f): _pad(f, _render(f)) for f in layout}
     parts = []
     for start, length, f, off in segs:
         if f is None:
             parts.append(F.lit(" " * length))
         else:
-            parts.append(F.substring(rendered[f.name], off + 1, length))
+            parts.append(F.substring(rendered[id(f)], off + 1, length))
     out = df.withColumn(record, F.concat(*parts))
     if flag_overflow:
-        over = F.array_compact(F.array(*[F.when(_raw_width(f) > f.length, F.lit(f.name)) for f in layout]))
+        over = F.array_distinct(F.array_compact(F.array(*[F.when(_raw_width(f) > f.length, F.lit(f.name)) for f in layout])))
         out = out.withColumn("overflow", over)
     return out
 
