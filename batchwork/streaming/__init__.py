@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The workloads this library rebuilds are bounded, periodic batch jobs over dated
+feeds: there is no stream, watermark, event-time window, stateful operator or
+late-data rule to reproduce.  A dated feed that arrives incrementally is served by
+the batch readers plus partition pruning on the period columns.
+"""
