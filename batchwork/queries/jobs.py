@@ -286,7 +286,34 @@ def pl_weekly_accumulate(spark, sf):
     return x.select("nation", *[F.col(k).cast("double").alias(k) for k in ["A", "N", "R", "TOTAL"]])
 
 
-@register("pl_facility_master")
+@register("pl_facility_master", """
+WITH RECURSIVE bal AS (
+  SELECT l.l_partkey AS node, CASE WHEN l.l_partkey = 0 THEN NULL ELSE l.l_partkey // 7 END AS parent,
+         CASE WHEN l.l_linestatus = 'F' THEN 'D' ELSE 'I' END AS kind, CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amount,
+         CAST(p.p_retailprice AS DECIMAL(18,2)) * 100 AS lim, p.p_size > 45 AS flagged
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+piv AS (SELECT node, SUM(CASE WHEN kind = 'D' THEN amount END) AS d, SUM(CASE WHEN kind = 'I' THEN amount END) AS i FROM bal GROUP BY node),
+nodes AS (SELECT DISTINCT node, parent, lim, flagged FROM bal),
+pp AS (SELECT piv.*, nodes.parent FROM piv LEFT JOIN nodes ON piv.node = nodes.node),
+up AS (SELECT parent AS node, SUM(d) AS cd, SUM(i) AS ci FROM pp WHERE parent IS NOT NULL GROUP BY parent),
+rolled AS (SELECT COALESCE(pp.node, up.node) AS node,
+             CASE WHEN pp.d IS NULL AND up.cd IS NULL THEN NULL ELSE COALESCE(pp.d, 0) + COALESCE(up.cd, 0) END AS d,
+             CASE WHEN pp.i IS NULL AND up.ci IS NULL THEN NULL ELSE COALESCE(pp.i, 0) + COALESCE(up.ci, 0) END AS i
+           FROM pp FULL JOIN up ON pp.node = up.node),
+lv(node, level) AS (SELECT node, 1 FROM nodes WHERE node = 0
+                    UNION ALL SELECT n.node, lv.level + 1 FROM nodes n JOIN lv ON n.parent = lv.node WHERE lv.level < 5),
+u AS (SELECT r.node, lv.level, r.d, r.i, nodes.lim, nodes.flagged,
+             CASE WHEN r.d IS NULL AND r.i IS NULL THEN NULL ELSE COALESCE(r.d, 0) + COALESCE(r.i, 0) END AS bal
+      FROM rolled r LEFT JOIN lv ON r.node = lv.node LEFT JOIN nodes ON r.node = nodes.node),
+v AS (SELECT *, CASE WHEN lim IS NULL OR lim < 0 THEN (CASE WHEN bal > 0 THEN bal ELSE 0 END) ELSE lim END AS lim2 FROM u),
+w AS (SELECT *, CASE WHEN lim2 IS NULL AND bal IS NULL THEN NULL ELSE COALESCE(lim2, 0) - COALESCE(bal, 0) END AS und FROM v)
+SELECT node, CAST(level AS INTEGER) AS level,
+       CASE WHEN COALESCE(flagged, FALSE) THEN NULL ELSE CAST(d AS DOUBLE) END AS dcurbal,
+       CASE WHEN COALESCE(flagged, FALSE) THEN NULL ELSE CAST(i AS DOUBLE) END AS icurbal,
+       CASE WHEN COALESCE(flagged, FALSE) THEN NULL ELSE CAST(CASE WHEN und IS NULL OR und < 0 THEN 0 ELSE und END AS DOUBLE) END AS undrawn,
+       flagged
+FROM w
+""")
 def pl_facility_master(spark, sf):
     """Facility master: lines as direct (filled) / indirect (open) balances per part,
     children rolled onto parents, levels below root part 0, undrawn against the
@@ -306,7 +333,29 @@ def pl_facility_master(spark, sf):
                       "flagged")
 
 
-@register("pl_trade_balances")
+@register("pl_trade_balances", """
+WITH t AS (SELECT o.o_custkey AS custkey, l.l_orderkey, l.l_linenumber,
+                  CASE WHEN l.l_returnflag = 'R' THEN -abs(CAST(l.l_extendedprice AS DECIMAL(18,2)))
+                       ELSE abs(CAST(l.l_extendedprice AS DECIMAL(18,2))) END AS amount, CAST(l.l_shipdate AS DATE) AS d
+           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+           WHERE year(l.l_shipdate) = 1998 AND month(l.l_shipdate) = 8),
+k AS (SELECT *, abs(amount) AS aa, amount < 0 AS neg,
+             ROW_NUMBER() OVER (PARTITION BY custkey, abs(amount), d, amount < 0 ORDER BY l_orderkey, l_linenumber, amount, d) AS kk FROM t),
+c AS (SELECT custkey, aa, d, COUNT(*) FILTER (WHERE neg) AS nd, COUNT(*) FILTER (WHERE NOT neg) AS nc FROM k GROUP BY 1, 2, 3),
+net AS (SELECT k.* FROM k JOIN c ON k.custkey = c.custkey AND k.aa = c.aa AND k.d = c.d WHERE k.kk > LEAST(c.nd, c.nc) OR k.amount = 0),
+split AS (SELECT custkey, SUM(CASE WHEN amount > 0 THEN amount END) AS disburse, SUM(CASE WHEN amount < 0 THEN -amount END) AS repaid
+          FROM net GROUP BY 1),
+cur AS (SELECT o_custkey AS custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS balance FROM orders
+        WHERE year(o_orderdate) = 1998 AND month(o_orderdate) = 8 GROUP BY 1),
+prev AS (SELECT o_custkey AS custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS balance FROM orders
+         WHERE year(o_orderdate) = 1998 AND month(o_orderdate) = 7 GROUP BY 1),
+allb AS (SELECT custkey, balance, FALSE AS closed FROM cur
+         UNION ALL SELECT p.custkey, p.balance, TRUE FROM prev p
+         WHERE p.custkey IN (SELECT custkey FROM split) AND p.custkey NOT IN (SELECT custkey FROM cur))
+SELECT a.custkey, CAST(a.balance AS DOUBLE) AS balance, a.closed, CAST(s.disburse AS DOUBLE) AS disburse,
+       CAST(s.repaid AS DOUBLE) AS repaid
+FROM allb a LEFT JOIN split s ON a.custkey = s.custkey
+""")
 def pl_trade_balances(spark, sf):
     """Trade balances: customer transactions netted for reversals, split into
     disbursements and repayments, balances with closed items carried from July."""
@@ -398,7 +447,36 @@ def pl_assembly(spark, sf):
                     cleaned.alias("clean_id"), valid.alias("valid_id"))
 
 
-@register("pl_loan_register")
+def _z(x, w):
+    return (f"CASE WHEN {x} IS NULL THEN repeat('0', {w}) WHEN {x} < 0 THEN '-' || lpad(CAST(abs({x}) AS VARCHAR), {w - 1}, '0') "
+            f"ELSE lpad(CAST({x} AS VARCHAR), {w}, '0') END")
+
+
+@register("pl_loan_register", f"""
+WITH acct AS (SELECT *, 'LN' AS source FROM orders WHERE o_orderstatus = 'O'
+              UNION ALL SELECT *, 'OD' FROM orders WHERE o_orderstatus = 'P'),
+pr AS (SELECT *, CASE WHEN l_returnflag = 'R' THEN 1 WHEN l_linestatus = 'O' THEN 2 ELSE 99 END AS priority FROM lineitem),
+rep AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY priority, l_extendedprice DESC, l_partkey,
+          l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS rn
+        FROM pr) WHERE rn = 1),
+dr AS (SELECT l_orderkey, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS drawn,
+              MIN(CASE WHEN l_linestatus = 'O' THEN CAST(l_shipdate AS DATE) END) AS first_unpaid FROM lineitem GROUP BY 1),
+j AS (SELECT a.o_orderkey, a.source, a.o_totalprice, rep.l_tax, dr.drawn,
+             LEAST(dr.first_unpaid, CAST(a.o_orderdate AS DATE) + 30) AS due
+      FROM acct a JOIN rep ON a.o_orderkey = rep.l_orderkey LEFT JOIN dr ON a.o_orderkey = dr.l_orderkey),
+k AS (SELECT *, CASE WHEN due IS NULL THEN NULL WHEN date_diff('day', due, DATE '{REPORT_DATE}') < 0 THEN 0
+                     ELSE date_diff('day', due, DATE '{REPORT_DATE}') END AS overdue FROM j),
+m AS (SELECT o_orderkey, source, CASE WHEN l_tax = 0 THEN 'FIXED' ELSE 'BLR' END AS pricing,
+             CASE WHEN overdue IS NULL OR overdue < 90 THEN 'PASS' WHEN overdue < 183 THEN 'SUBSTANDARD'
+                  WHEN overdue < 366 THEN 'DOUBTFUL' ELSE 'LOSS' END AS risk, COALESCE(overdue >= 90, FALSE) AS impaired, overdue,
+             CAST(ROUND(GREATEST(CASE WHEN o_totalprice IS NULL AND drawn IS NULL THEN NULL
+                  ELSE COALESCE(CAST(o_totalprice AS DECIMAL(18,2)), 0) - COALESCE(drawn, 0) END, 0) * 100) AS BIGINT) AS und_cents,
+             CASE WHEN o_totalprice > 300000 THEN '21' ELSE '00' END AS scheme FROM k),
+r AS (SELECT *, {_z('o_orderkey', 10)} || rpad(source, 2, ' ') || rpad(pricing, 5, ' ') || rpad(risk, 11, ' ')
+                || {_z('overdue', 5)} AS head FROM m)
+SELECT o_orderkey, 'main' AS extract, head || {_z('und_cents', 15)} || rpad(scheme, 2, ' ') AS record FROM r
+UNION ALL SELECT o_orderkey, 'impaired', head FROM r WHERE impaired
+""")
 def pl_loan_register(spark, sf):
     """Loan register extract: loans (open) and overdrafts (partial) stacked with a
     source flag, one representative line each, pricing / status / risk / overdue /
@@ -423,8 +501,6 @@ def pl_loan_register(spark, sf):
         "risk": cls, "impaired": imp,
         "undrawn": F.greatest(C.row_sum(F.col("o_totalprice").cast("decimal(18,2)"), -F.col("drawn")), F.lit(0)),  # D8
         "scheme": F.when(F.col("o_totalprice") > 300000, F.lit("21")).otherwise(F.lit("00")),     # D10
-        "share": F.col("o_totalprice") / F.sum("o_totalprice").over(
-            __import__("pyspark.sql").sql.Window.partitionBy("source")),                        # A16
     })
     lay = [W.Out("o_orderkey", 1, 10, "zero"), W.Out("source", 11, 2), W.Out("pricing", 13, 5), W.Out("risk", 18, 11),
            W.Out("overdue", 29, 5, "zero"), W.Out("undrawn", 34, 15, "implied", decimals=2), W.Out("scheme", 49, 2)]
