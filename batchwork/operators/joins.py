@@ -68,19 +68,22 @@ def latest_effective(dim: DataFrame, keys, date_col: str, asof=None) -> DataFram
 
 
 def merge_by(left: DataFrame, right: DataFrame, keys, left_order, right_order,
-             shared: list[str] | None = None) -> DataFrame:
+             shared: list[str] | None = None, skew_safe: bool = True) -> DataFrame:
     """Positional BY-merge (many-to-many MERGE of sorted files).
 
     Within a key group the i-th left row pairs with the i-th right row; the shorter
     side repeats its last row; a column on both sides takes the right (read last)
     value whenever the right side still has a row at position i.  Rows are expanded
     only up to max(n_left, n_right) per key — the size of the result itself — and the
-    pairing join is on (key, position), so a hot key spreads over many tasks.
+    pairing join is on (key, position), so a hot key spreads over many tasks.  With
+    ``skew_safe`` the positions themselves are numbered without a per-key window
+    (``keys.row_number_skew_safe``).
     """
+    from .keys import row_number_in
     keys = _cols(keys)
     shared = shared if shared is not None else [c for c in left.columns if c in right.columns and c not in keys]
-    l = left.withColumn("__i", F.row_number().over(Window.partitionBy(*keys).orderBy(*total_order(left, keys, left_order))))
-    r = right.withColumn("__j", F.row_number().over(Window.partitionBy(*keys).orderBy(*total_order(right, keys, right_order))))
+    l = row_number_in(left, keys, left_order, "__i", skew_safe=skew_safe)
+    r = row_number_in(right, keys, right_order, "__j", skew_safe=skew_safe)
     nl = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__nl"))
     nr = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__nr"))
     n = nl.join(nr, on=keys, how="full").fillna(0, ["__nl", "__nr"]) \
@@ -156,6 +159,8 @@ def net_reversals(txn: DataFrame, keys, amount: str, date: str, order) -> DataFr
     keys = _cols(keys)
     grp = [*keys, "__abs", date]
     d = txn.withColumn("__abs", F.abs(F.col(amount))).withColumn("__neg", F.col(amount) < 0)
+    # k-th debit / k-th credit within the group; the groups are as fine as
+    # (account, amount, date), so a plain window is the cheaper plan here
     w = Window.partitionBy(*grp, "__neg").orderBy(*total_order(txn, keys, order))
     d = d.withColumn("__k", F.row_number().over(w))
     cnt = d.groupBy(*grp).agg(F.count_if(F.col("__neg")).alias("__nd"),

@@ -38,12 +38,43 @@ def _win(keys, order_cols):
     return w.orderBy(*order_cols)
 
 
-def row_number_in(df: DataFrame, keys, order, name: str = "seq", total: bool = True) -> DataFrame:
+def row_number_in(df: DataFrame, keys, order, name: str = "seq", total: bool = True,
+                  skew_safe: bool = False) -> DataFrame:
     """Running counter within each key group (1, 2, ...)."""
     oc = total_order(df, keys, order) if total else _cols(order)
+    if skew_safe:
+        return row_number_skew_safe(df, keys, oc, name)
     return df.withColumn(name, F.row_number().over(_win(keys, oc)))
 
 
+_IDX_BITS = 33          # monotonically_increasing_id: partition id << 33 | row index
+
+
+def row_number_skew_safe(df: DataFrame, keys, order_cols: list[Column], name: str,
+                         partitions: int | None = None) -> DataFrame:
+    """Per-key row numbers that do not put a hot key into one task.
+
+    Range-partition on (keys, order) — a key holding a third of the rows spreads over
+    a third of the partitions — sort within partitions and number rows by position;
+    each (partition, key) then adds the row count of the same key in all earlier
+    partitions (a table with one row per key and partition, aggregated map-side).
+    ``order_cols`` must be a total order.
+    """
+    keys = _cols(keys)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sort = [F.col(k).asc_nulls_first() for k in keys] + list(order_cols)
+    d = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+           .withColumn("__mid", F.monotonically_increasing_id()))
+    d = d.withColumn("__pid", F.shiftright("__mid", _IDX_BITS)) \
+         .withColumn("__idx", F.col("__mid").bitwiseAND(F.lit((1 << _IDX_BITS) - 1)))
+    per = d.groupBy("__pid", *keys).agg(F.min("__idx").alias("__first"), F.count(F.lit(1)).alias("__c"))
+    prior = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = per.withColumn("__off", F.coalesce(F.sum("__c").over(prior), F.lit(0))).drop("__c")
+    j = d.join(off, on=["__pid", *keys], how="inner")
+    return (j.withColumn(name, (F.col("__off") + F.col("__idx") - F.col("__first") + 1).cast("int"))
+             .drop("__mid", "__pid", "__idx", "__first", "__off"))
+
+
 def first_by(df: DataFrame, keys, order, k: int = 1) -> DataFrame:
     """The first ``k`` rows of each key under a total order (sort + NODUPKEY)."""
     oc = total_order(df, keys, order)
@@ -81,7 +112,21 @@ def surplus_rows(df: DataFrame, keys, order) -> DataFrame:
 
 
 def first_last_flags(df: DataFrame, keys, order) -> DataFrame:
-    """FIRST./LAST. flags of each row within its key group."""
+    """FIRST./LAST. flags of each row within its key group.
+
+    With an ascending order given by column names the group edges are the min / max of
+    the (total) order as a struct — a partial aggregation joined back, so a hot key is
+    not sorted in one task.  Other orders use the windowed form.
+    """
+    given = _cols(order)
+    if all(isinstance(c, str) for c in given):
+        keys = _cols(keys)
+        rest = [c for c in df.columns if c not in set(keys) | set(given)]
+        ordk = F.struct(*[F.col(c) for c in given + rest])
+        edges = df.groupBy(*keys).agg(F.min(ordk).alias("__lo"), F.max(ordk).alias("__hi"))
+        j = df.withColumn("__o", ordk).join(edges, on=keys, how="inner")
+        return (j.withColumn("is_first", F.col("__o") == F.col("__lo"))
+                 .withColumn("is_last", F.col("__o") == F.col("__hi")).drop("__o", "__lo", "__hi"))
     oc = total_order(df, keys, order)
     w = _win(keys, oc)
     return (df.withColumn("__rn", F.row_number().over(w))

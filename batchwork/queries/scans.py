@@ -140,24 +140,40 @@ def _pack(col, length, scale=0):
 
 
 def write_packed(df, path: str) -> str:
-    """Write fixed-length binary records, one file per partition (test-data writer)."""
+    """Write fixed-length binary records, one file per partition (test-data writer).
+
+    File names are the partition number and each file is written to a temporary name
+    then moved into place, so a retried or speculative task replaces its own output
+    instead of adding a second copy.
+    """
     import pyarrow.fs as pafs
 
-    def part(it):
-        import uuid
-        import pandas as pd
+    def part(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+        ctx = TaskContext.get()
+        pid, attempt = ctx.partitionId(), ctx.attemptNumber()
         fs, base = pafs.FileSystem.from_uri(path)
         fs.create_dir(base, recursive=True)
-        name = f"{base}/part-{uuid.uuid4().hex}.bin"
+        final = f"{base}/part-{pid:05d}.bin"
+        tmp = f"{base}/_tmp-{pid:05d}-{attempt}"
         n = 0
-        with fs.open_output_stream(name) as out:
-            for pdf in it:
-                for b in pdf["rec"]:
-                    out.write(b)
-                    n += 1
-        yield pd.DataFrame({"file": [name], "n": [n]})
-
-    df.select("rec").mapInPandas(part, "file string, n long").collect()
+        with fs.open_output_stream(tmp) as out:
+            for b in batches:
+                arr = b.column(0)
+                if len(arr) == 0:
+                    continue
+                # records are fixed length and never null: the values buffer between the
+                # first and last offset is the records back to back
+                width = np.int64 if pa.types.is_large_binary(arr.type) else np.int32
+                offs = np.frombuffer(arr.buffers()[1], dtype=width)[arr.offset:arr.offset + len(arr) + 1]
+                out.write(arr.buffers()[2][int(offs[0]):int(offs[-1])])
+                n += len(arr)
+        fs.move(tmp, final)
+        yield pa.RecordBatch.from_pydict({"file": [final], "n": [n]})
+
+    df.select("rec").mapInArrow(part, "file string, n long").write.format("noop").mode("overwrite").save()
     return path
 
 

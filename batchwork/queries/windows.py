@@ -94,7 +94,7 @@ FROM orders
 """)
 def sequence_in_group(spark, sf):
     o = load(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
-    return K.row_number_in(o, "o_custkey", ["o_orderdate", "o_orderkey"], "seq").drop("o_orderdate")
+    return K.row_number_in(o, "o_custkey", ["o_orderdate", "o_orderkey"], "seq", skew_safe=True).drop("o_orderdate")
 
 
 @register("duplicate_rows", """

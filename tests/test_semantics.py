@@ -221,3 +221,14 @@ def test_freshness_gate_raises(spark):
     assert check_fresh({"a": a}, "d", "2024-01-15").count() == 1
     with pytest.raises(StaleFeedError, match="b"):
         check_fresh({"a": a, "b": b}, "d", "2024-01-15")
+
+
+def test_skew_safe_row_numbers_equal_window(spark):
+    rnd = random.Random(11)
+    # one hot key holds about a third of the rows
+    data = [(0 if rnd.random() < 0.35 else rnd.randrange(1, 40), i, rnd.randrange(100)) for i in range(3000)]
+    df = spark.createDataFrame(data, "k int, id int, v int")
+    order = [F.col("v").asc(), F.col("id").asc()]
+    a = K.row_number_in(df, "k", order, "rn", total=False)
+    b = K.row_number_skew_safe(df, "k", order, "rn", partitions=7)
+    assert sorted(rows(a, "id", "rn")) == sorted(rows(b, "id", "rn"))
