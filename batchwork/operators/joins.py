@@ -31,6 +31,28 @@ def merge_left(left: DataFrame, right: DataFrame, keys, suffix: str | None = Non
     return left.join(right, on=_cols(keys), how="left")
 
 
+class DuplicateKeyError(ValueError):
+    pass
+
+
+def merge_checked(left: DataFrame, right: DataFrame, keys, how: str = "left", on_duplicate: str = "raise",
+                  right_order=None) -> DataFrame:
+    """Many-to-one merge with the "one" side checked (the default for a MERGE that is
+    meant to be 1:n).  ``on_duplicate='raise'`` fails when a key repeats on the right
+    (one aggregation; at most one offending key reaches the driver);
+    ``'first'`` keeps the first right row per key under ``right_order``."""
+    keys = _cols(keys)
+    if on_duplicate == "first":
+        right = first_by(right, keys, right_order or [])
+    elif on_duplicate == "raise":
+        dup = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").limit(1).collect()
+        if dup:
+            raise DuplicateKeyError(f"key repeats on the one side: {dup[0].asDict()}")
+    else:
+        raise ValueError(on_duplicate)
+    return left.join(right, on=keys, how=how)
+
+
 def with_indicators(left: DataFrame, right: DataFrame, keys, how: str = "full",
                     in_left: str = "in_a", in_right: str = "in_b") -> DataFrame:
     """``IN=`` flags as columns; keys coalesced (USING join)."""

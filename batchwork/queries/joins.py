@@ -16,7 +16,8 @@ SELECT o.o_orderkey, o.o_custkey, c.c_name, c.c_mktsegment FROM orders o LEFT JO
 def left_enrich(spark, sf):
     o = load(spark, sf, "orders").select("o_orderkey", F.col("o_custkey"))
     c = load(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
-    return J.merge_left(o, c, "o_custkey")
+    # the customer side is meant to be unique: checked, not assumed
+    return J.merge_checked(o, c, "o_custkey", how="left", on_duplicate="raise")
 
 
 @register("inner_match", """

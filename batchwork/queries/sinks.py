@@ -89,9 +89,11 @@ def route_outputs(spark, sf):
     # non-exclusive: a row may go to both 'urgent' and 'open'
     both = W.route(o, {"urgent": F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"),
                        "open": F.col("o_orderstatus") == "O"}, exclusive=False)
-    # exclusive: exactly one of two outputs by key range
+    # exclusive: exactly one of two outputs by key range, written in one pass
     excl = W.route(o, {"local_a": F.col("o_custkey") < 500}, exclusive=True, default="local_b")
-    return both.select("o_orderkey", "route").unionByName(excl.select("o_orderkey", "route"))
+    path = W.write_routes(excl.select("o_orderkey", "route"), scratch_path(spark, "routes"))
+    back = spark.read.parquet(path).select("o_orderkey", "route")
+    return both.select("o_orderkey", "route").unionByName(back)
 
 
 @register("conditional_extract", """

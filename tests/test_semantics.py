@@ -232,3 +232,28 @@ def test_skew_safe_row_numbers_equal_window(spark):
     a = K.row_number_in(df, "k", order, "rn", total=False)
     b = K.row_number_skew_safe(df, "k", order, "rn", partitions=7)
     assert sorted(rows(a, "id", "rn")) == sorted(rows(b, "id", "rn"))
+
+
+def test_merge_checked(spark):
+    import pytest
+    left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, x string")
+    right_ok = spark.createDataFrame([(1, 10), (2, 20)], "k int, y int")
+    right_dup = spark.createDataFrame([(1, 10), (1, 11), (2, 20)], "k int, y int")
+    assert J.merge_checked(left, right_ok, "k").count() == 2
+    with pytest.raises(J.DuplicateKeyError):
+        J.merge_checked(left, right_dup, "k")
+    got = sorted(rows(J.merge_checked(left, right_dup, "k", on_duplicate="first", right_order=[F.col("y").desc()]), "k", "y"))
+    assert got == [(1, 11), (2, 20)]
+
+
+def test_crosstab_margins_equal_sums(spark):
+    from batchwork.operators import agg as A
+    rnd = random.Random(5)
+    data = [(rnd.choice("xyz"), rnd.choice("pq"), rnd.randrange(100)) for _ in range(500)]
+    df = spark.createDataFrame(data, "r string, c string, v long")
+    x = {r["r"]: r for r in A.crosstab_totals(df, "r", "c", "v", ["p", "q"]).collect()}
+    for r in "xyz":
+        assert x[r]["TOTAL"] == sum(v for a, _, v in data if a == r)
+        assert x[r]["TOTAL"] == (x[r]["p"] or 0) + (x[r]["q"] or 0)
+    assert x["TOTAL"]["TOTAL"] == sum(v for *_, v in data)
+    assert x["TOTAL"]["p"] == sum(v for _, c, v in data if c == "p")
