@@ -83,6 +83,32 @@ def latest_as_of(rates: DataFrame, keys, date_col: str, value_cols, asof, order=
     return d.groupBy(*_cols(keys)).agg(*agg)
 
 
+def asof_join(facts: DataFrame, rates: DataFrame, keys, fact_time, rate_time, value: str, out: str,
+              tie_break=None, bucket=None) -> DataFrame:
+    """J13 per row: each fact gets the latest ``value`` of its key at or before its time.
+
+    Facts and rates are stacked (a rate sorts before a fact at the same instant), the
+    last non-missing rate is carried forward in time order and only fact rows are
+    kept.  The carry is the two-level scan of ``keys.carry_last``: within (key, bucket)
+    and then across buckets on one-row-per-(key, bucket) aggregates, so a hot key is
+    spread over its buckets and no pairs of facts and rates are ever formed.
+    ``fact_time`` / ``rate_time`` name the time columns; ``tie_break`` lists extra
+    ordering columns present on the facts (e.g. a sequence id).
+    """
+    from .keys import carry_last
+    keys = _cols(keys)
+    tb = _cols(tie_break)
+    f = facts.withColumn("__t", F.col(fact_time)).withColumn("__src", F.lit(1)).withColumn("__v", F.lit(None).cast(
+        rates.schema[value].dataType))
+    r = rates.select(*keys, F.col(rate_time).alias("__t"), F.lit(0).alias("__src"), F.col(value).alias("__v"))
+    u = f.unionByName(r, allowMissingColumns=True)
+    # rates at the same instant resolve deterministically (largest value last)
+    order = ["__t", "__src", *tb, "__v"]
+    b = bucket if bucket is not None else F.col("__t").cast("date")
+    c = carry_last(u, keys, order, "__v", out, bucket=b)
+    return c.where(F.col("__src") == 1).drop("__t", "__src", "__v")
+
+
 def latest_effective(dim: DataFrame, keys, date_col: str, asof=None) -> DataFrame:
     """The newest version of each key (effective on or before ``asof``)."""
     d = dim if asof is None else dim.where(F.col(date_col) <= asof)

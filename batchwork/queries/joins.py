@@ -187,8 +187,13 @@ SELECT event_id, user_id, event_type, value,
 FROM events
 """)
 def asof_per_row(spark, sf):
-    ev = load(spark, sf, "events").withColumn("pv", F.when(F.col("event_type") == "purchase", F.col("value")))
-    out = K.carry_last(ev, "user_id", ["ts", "event_id"], "pv", "last_purchase", bucket=F.col("ts").cast("date"))
+    ev = load(spark, sf, "events")
+    facts = ev.select("event_id", "user_id", "event_type", "value", "ts")
+    # rate series: each user's purchase values, effective from the purchase onwards
+    rates = ev.where("event_type = 'purchase'").select("user_id", F.col("ts").alias("rate_ts"),
+                                                      F.col("event_id").alias("rate_id"), F.col("value").alias("rate"))
+    # a purchase is both a fact and a rate at the same instant: the rate row sorts first
+    out = J.asof_join(facts, rates, "user_id", "ts", "rate_ts", "rate", "last_purchase", tie_break=["event_id"])
     return out.select("event_id", "user_id", "event_type", "value", "last_purchase")
 
 

@@ -257,3 +257,14 @@ def test_crosstab_margins_equal_sums(spark):
         assert x[r]["TOTAL"] == (x[r]["p"] or 0) + (x[r]["q"] or 0)
     assert x["TOTAL"]["TOTAL"] == sum(v for *_, v in data)
     assert x["TOTAL"]["p"] == sum(v for _, c, v in data if c == "p")
+
+
+def test_asof_join_rate_on_day_before_and_after(spark):
+    facts = spark.createDataFrame([("USD", 1, dt.date(2024, 1, 10)), ("USD", 2, dt.date(2024, 1, 5)),
+                                   ("USD", 3, dt.date(2024, 1, 1)), ("EUR", 4, dt.date(2024, 1, 10))],
+                                  "ccy string, id int, d date")
+    rates = spark.createDataFrame([("USD", dt.date(2024, 1, 10), 4.7), ("USD", dt.date(2024, 1, 3), 4.6),
+                                   ("EUR", dt.date(2024, 1, 11), 5.1)], "ccy string, rd date, rate double")
+    got = dict(rows(J.asof_join(facts, rates, "ccy", "d", "rd", "rate", "r", tie_break=["id"]), "id", "r"))
+    # rate on the day, the one before it, none before (only after)
+    assert got == {1: 4.7, 2: 4.6, 3: None, 4: None}
