@@ -103,7 +103,7 @@ def facility_master(bal: DataFrame, node: str, parent: str, kind: str, amount: s
     any-flag, undrawn limit, measures masked on flagged rows."""
     piv = bal.groupBy(node).pivot(kind, ["D", "I"]).agg(F.sum(amount))       # A11
     piv = piv.withColumnRenamed("D", "dcurbal").withColumnRenamed("I", "icurbal")
-    nodes = bal.select(node, parent, limit, "flagged").dropDuplicates([node])
+    nodes = bal.select(node, parent, limit, flag.alias("flagged")).dropDuplicates([node])
     rolled = A.rollup_child_to_parent(piv.join(nodes.select(node, parent), node, "left"), node,
                                       F.col(parent), ["dcurbal", "icurbal"])  # A20
     lv = H.assign_levels(nodes.select(node, parent), node, parent, root, 5)    # H2
@@ -123,3 +123,106 @@ def trade_balances(txn: DataFrame, key: str, amount: str, date: str, order, curr
     act = split.select(key)
     closed = J.closed_items(current, previous, act, key)                       # J19
     return {"netted": net, "split": split, "balances": closed.join(split, key, "left")}
+
+
+def trade_register(lines: DataFrame, accounts: DataFrame, rept_date: str, layout: list) -> dict[str, DataFrame]:
+    """Per account: its lines' codes in order, mean distinct positive tax, the
+    representative line by priority, arrears bucket and risk class, as a fixed-layout
+    register record.  ``accounts`` carries (o_orderkey, o_orderdate)."""
+    o = accounts.select("o_orderkey", F.datediff(F.lit(rept_date).cast("date"),
+                                                 F.col("o_orderdate").cast("date")).alias("days"))
+    cat = A.ordered_concat(lines.withColumn("v", F.concat(F.col("l_linenumber").cast("string"), "l_returnflag")),
+                           "l_orderkey", "v", "l_linenumber", "|", "lines")                      # A9
+    mdp = A.mean_distinct_positive(lines, "l_orderkey", ["l_tax"])                               # A7
+    best = K.pick_by_priority(lines, "l_orderkey",
+                              [(F.col("l_returnflag") == "R", 1), (F.col("l_linestatus") == "O", 2)],
+                              [F.col("l_extendedprice").desc()]) \
+            .select("l_orderkey", F.col("l_linenumber").alias("best_line"))                     # W13
+    cls, _ = RK.risk_class(F.col("days"))                                                       # D5
+    j = (o.join(cat.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
+          .join(mdp.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
+          .join(best.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
+          .withColumn("arrears", C.arrears_months("days").cast("bigint")).withColumn("risk", cls))  # F23
+    return {"register": W.to_fixed(j, layout, flag_overflow=False)}                            # K2
+
+
+def assembly(customers: DataFrame, orders: DataFrame, excluded: DataFrame, facility_map: DataFrame) -> DataFrame:
+    """Account master assembled from customers, their order totals and latest order,
+    excluded keys removed, facility code by precedence lookup, id cleansed."""
+    o = orders.groupBy(F.col("o_custkey").alias("custkey")).agg(
+        F.count(F.lit(1)).alias("n_orders"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("amt"))
+    lt = K.first_by(orders.withColumnRenamed("o_custkey", "custkey"), "custkey",
+                    [F.col("o_orderdate").desc_nulls_last(), "o_orderkey"]) \
+          .select("custkey", F.col("o_orderkey").alias("last_order"))                           # W4
+    c = customers.join(excluded, "custkey", "left_anti")                                        # J6
+    j = J.n_way_merge([c, o, lt], "custkey", "left")                                            # J11
+    j = RC.precedence_lookup(j, [(facility_map, "c_mktsegment", "facility")], "facility", "99999")  # D2
+    cleaned, valid = Q.id_cleanse_validate("c_name", 9)                                        # Q4
+    return j.select("custkey", "n_orders", F.col("amt").cast("double").alias("amount"), "last_order", "facility",
+                    cleaned.alias("clean_id"), valid.alias("valid_id"))
+
+
+def loan_register(orders: DataFrame, lines: DataFrame, rept_date: str) -> DataFrame:
+    """Loans (open) and overdrafts (partial) stacked with a source flag, one
+    representative line each, pricing / overdue / risk / undrawn / scheme derived,
+    impaired rows to a second extract."""
+    acct = S.concat_with_source({"LN": orders.where("o_orderstatus = 'O'"),
+                                 "OD": orders.where("o_orderstatus = 'P'")}, "source")          # U3
+    rep = K.pick_by_priority(lines, "l_orderkey", [(F.col("l_returnflag") == "R", 1), (F.col("l_linestatus") == "O", 2)],
+                             [F.col("l_extendedprice").desc()])                                  # W13
+    drawn = lines.groupBy("l_orderkey").agg(
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("drawn"),
+        F.min(F.when(F.col("l_linestatus") == "O", F.col("l_shipdate").cast("date"))).alias("first_unpaid"))
+    j = acct.join(rep.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey").join(
+        drawn.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left")
+    rd = F.lit(rept_date).cast("date")
+    j = j.withColumn("overdue", RK.overdue_days(F.col("first_unpaid"),
+                                                F.date_add(F.col("o_orderdate").cast("date"), 30), rd))  # D6
+    cls, imp = RK.risk_class(F.col("overdue"))                                                   # D5
+    j = j.withColumns({
+        "pricing": F.when(F.col("l_tax") == 0, F.lit("FIXED")).otherwise(F.lit("BLR")),           # D3
+        "risk": cls, "impaired": imp,
+        "undrawn": F.greatest(C.row_sum(F.col("o_totalprice").cast("decimal(18,2)"), -F.col("drawn")), F.lit(0)),  # D8
+        "scheme": F.when(F.col("o_totalprice") > 300000, F.lit("21")).otherwise(F.lit("00")),     # D10
+    })
+    lay = [W.Out("o_orderkey", 1, 10, "zero"), W.Out("source", 11, 2), W.Out("pricing", 13, 5), W.Out("risk", 18, 11),
+           W.Out("overdue", 29, 5, "zero"), W.Out("undrawn", 34, 15, "implied", decimals=2), W.Out("scheme", 49, 2)]
+    main = W.to_fixed(j, lay, flag_overflow=False).select("o_orderkey", F.lit("main").alias("extract"), "record")   # K2
+    imp_ext = W.to_fixed(j.where("impaired"), lay[:5], flag_overflow=False) \
+               .select("o_orderkey", F.lit("impaired").alias("extract"), "record")                                # K6
+    return main.unionByName(imp_ext)
+
+
+def application_register(apps: DataFrame, customers: DataFrame, rates: DataFrame) -> DataFrame:
+    """Applications routed approved / rejected, right-merged onto the customer
+    master, amounts converted at their currency's rate, one fixed record each."""
+    app = W.route(apps, {"approved": F.col("o_orderstatus") == "F"}, exclusive=True, default="rejected")  # K5
+    app = app.join(rates, "ccy", "left").withColumn(
+        "amt_local", F.round(F.col("o_totalprice").cast("decimal(18,2)") * F.col("rate").cast("decimal(18,6)"), 2))
+    j = app.join(customers, "o_custkey", "right")                                               # J5
+    lay = [W.Out("o_orderkey", 1, 10, "zero"), W.Out("route", 11, 8), W.Out("amt_local", 19, 14, "implied", decimals=2)]
+    ext = W.to_fixed(j, lay, flag_overflow=False)                                               # K2
+    return ext.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "route",
+                      F.col("amt_local").cast("double").alias("amt_local"),
+                      F.when(F.col("o_orderkey").isNotNull(), F.col("record")).alias("record"))
+
+
+def rollover_review(current: DataFrame, previous: DataFrame, customers: DataFrame) -> DataFrame:
+    """Newest deal per customer in the current generation whose date moved forward
+    since the previous one, with its share of the nation total, as fixed records."""
+    cur = K.first_by(current, "o_custkey", [F.col("d").desc(), F.col("o_orderkey").desc()])  # W4
+    moved = J.snapshot_compare(cur, previous, "o_custkey", "d")                                 # J20
+    j = moved.join(customers, "o_custkey", "inner")                                            # J2
+    tot = j.groupBy("c_nationkey").agg(F.sum("o_totalprice").alias("__t"))                     # A16
+    j = j.join(tot, "c_nationkey").withColumn("nation_share", F.round(F.col("o_totalprice") / F.col("__t"), 6))
+    lay = [W.Out("o_custkey", 1, 8, "zero"), W.Out("d", 9, 8, "date", fmt="ddMMyyyy"), W.Out("o_orderkey", 17, 10, "zero")]
+    return W.to_fixed(j, lay, flag_overflow=False).select("o_custkey", "o_orderkey", F.col("d").alias("rollover_date"),
+                                                          "nation_share", "record")
+
+
+def collateral(items: DataFrame, values: DataFrame, code_col: str, key: str) -> DataFrame:
+    """Class code → category (broadcast class table), joined to the secured value,
+    routed to the category tables."""
+    j = RC.collateral_category(items, code_col).join(values, key, "inner")                     # D9 + J2
+    return W.route(j, {"property": F.col("collater") == "10", "vehicle": F.col("collater").isin("30", "40"),
+                       "unclassified": F.col("collater").isNull()}, exclusive=True, default="other")   # K5

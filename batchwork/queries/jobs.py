@@ -400,22 +400,11 @@ FROM r
 def pl_trade_register(spark, sf):
     li = load(spark, sf, "lineitem")
     o = load(spark, sf, "orders").where("o_orderstatus = 'O'")
-    o = o.select("o_orderkey", F.datediff(F.lit(REPORT_DATE).cast("date"), F.col("o_orderdate").cast("date")).alias("days"))
-    cat = A.ordered_concat(li.withColumn("v", F.concat(F.col("l_linenumber").cast("string"), "l_returnflag")),
-                           "l_orderkey", "v", "l_linenumber", "|", "lines")                      # A9
-    mdp = A.mean_distinct_positive(li, "l_orderkey", ["l_tax"])                                  # A7
-    best = K.pick_by_priority(li, "l_orderkey", [(F.col("l_returnflag") == "R", 1), (F.col("l_linestatus") == "O", 2)],
-                              [F.col("l_extendedprice").desc()]).select("l_orderkey", F.col("l_linenumber").alias("best_line"))
-    from ..rules.credit import risk_class
-    cls, _ = risk_class(F.col("days"))
-    j = (o.join(cat.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
-          .join(mdp.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
-          .join(best.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
-          .withColumn("arrears", C.arrears_months("days").cast("bigint")).withColumn("risk", cls))
-    ext = W.to_fixed(j, _REG_LAYOUT, flag_overflow=False)                                        # K2
+    ext = P.trade_register(li, o, REPORT_DATE, _REG_LAYOUT)["register"]
     return ext.select("o_orderkey", "record", F.col("l_tax_avg").alias("avg_tax"))
 
 
+
 @register("pl_assembly", """
 WITH o AS (SELECT o_custkey AS custkey, COUNT(*) AS n_orders, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS amt FROM orders GROUP BY 1),
 lt AS (SELECT * FROM (SELECT o_custkey AS custkey, o_orderkey AS last_order,
@@ -428,23 +417,12 @@ SELECT c.custkey, o.n_orders, CAST(o.amt AS DOUBLE) AS amount, lt.last_order, CO
 FROM c LEFT JOIN o ON c.custkey = o.custkey LEFT JOIN lt ON c.custkey = lt.custkey LEFT JOIN f ON c.c_mktsegment = f.seg
 """)
 def pl_assembly(spark, sf):
-    from ..operators.quality import id_cleanse_validate
-    from ..rules.codes import precedence_lookup
     from .predicates import EXCLUDED_CUSTOMERS
-    orders = load(spark, sf, "orders")
-    o = orders.groupBy(F.col("o_custkey").alias("custkey")).agg(F.count(F.lit(1)).alias("n_orders"),
-                                                                F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("amt"))
-    lt = K.first_by(orders.withColumnRenamed("o_custkey", "custkey"), "custkey", [F.col("o_orderdate").desc_nulls_last(), "o_orderkey"]) \
-          .select("custkey", F.col("o_orderkey").alias("last_order"))                           # W4
     ex = J.code_table(spark, EXCLUDED_CUSTOMERS, "custkey bigint")
-    c = load(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), "c_name", "c_mktsegment") \
-        .join(ex, "custkey", "left_anti")                                                       # J6
-    j = J.n_way_merge([c, o, lt], "custkey", "left")                                            # J11
     fac = J.code_table(spark, [("AUTOMOBILE", "34111"), ("BUILDING", "34112")], "c_mktsegment string, facility string")
-    j = precedence_lookup(j, [(fac, "c_mktsegment", "facility")], "facility", "99999")          # D2
-    cleaned, valid = id_cleanse_validate("c_name", 9)                                          # Q4
-    return j.select("custkey", "n_orders", F.col("amt").cast("double").alias("amount"), "last_order", "facility",
-                    cleaned.alias("clean_id"), valid.alias("valid_id"))
+    c = load(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), "c_name", "c_mktsegment")
+    return P.assembly(c, load(spark, sf, "orders"), ex, fac)
+
 
 
 def _z(x, w):
@@ -478,36 +456,9 @@ SELECT o_orderkey, 'main' AS extract, head || {_z('und_cents', 15)} || rpad(sche
 UNION ALL SELECT o_orderkey, 'impaired', head FROM r WHERE impaired
 """)
 def pl_loan_register(spark, sf):
-    """Loan register extract: loans (open) and overdrafts (partial) stacked with a
-    source flag, one representative line each, pricing / status / risk / overdue /
-    undrawn / scheme derived, impaired rows to a second extract, amounts unpivoted."""
-    from ..operators.sets import concat_with_source
-    from ..rules import credit as RK
-    li = load(spark, sf, "lineitem")
-    o = load(spark, sf, "orders")
-    acct = concat_with_source({"LN": o.where("o_orderstatus = 'O'"), "OD": o.where("o_orderstatus = 'P'")}, "source")  # U3
-    rep = K.pick_by_priority(li, "l_orderkey", [(F.col("l_returnflag") == "R", 1), (F.col("l_linestatus") == "O", 2)],
-                             [F.col("l_extendedprice").desc()])                                  # W13
-    drawn = li.groupBy("l_orderkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("drawn"),
-                                         F.min(F.when(F.col("l_linestatus") == "O", F.col("l_shipdate").cast("date"))).alias("first_unpaid"))
-    j = acct.join(rep.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey").join(
-        drawn.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left")
-    rd = F.lit(REPORT_DATE).cast("date")
-    od = RK.overdue_days(F.col("first_unpaid"), F.date_add(F.col("o_orderdate").cast("date"), 30), rd)   # D6
-    j = j.withColumn("overdue", od)
-    cls, imp = RK.risk_class(F.col("overdue"))                                                   # D5
-    j = j.withColumns({
-        "pricing": F.when(F.col("l_tax") == 0, F.lit("FIXED")).otherwise(F.lit("BLR")),           # D3
-        "risk": cls, "impaired": imp,
-        "undrawn": F.greatest(C.row_sum(F.col("o_totalprice").cast("decimal(18,2)"), -F.col("drawn")), F.lit(0)),  # D8
-        "scheme": F.when(F.col("o_totalprice") > 300000, F.lit("21")).otherwise(F.lit("00")),     # D10
-    })
-    lay = [W.Out("o_orderkey", 1, 10, "zero"), W.Out("source", 11, 2), W.Out("pricing", 13, 5), W.Out("risk", 18, 11),
-           W.Out("overdue", 29, 5, "zero"), W.Out("undrawn", 34, 15, "implied", decimals=2), W.Out("scheme", 49, 2)]
-    main = W.to_fixed(j, lay, flag_overflow=False).select("o_orderkey", F.lit("main").alias("extract"), "record")   # K2
-    imp_ext = W.to_fixed(j.where("impaired"), lay[:5], flag_overflow=False) \
-               .select("o_orderkey", F.lit("impaired").alias("extract"), "record")                                # K6
-    return main.unionByName(imp_ext)
+    """Loan register extract (see ``plans.jobs.loan_register``)."""
+    return P.loan_register(load(spark, sf, "orders"), load(spark, sf, "lineitem"), REPORT_DATE)
+
 
 
 @register("pl_application_register", """
@@ -527,25 +478,17 @@ FROM j
 """)
 def pl_application_register(spark, sf):
     """Applications (1998 orders) routed approved / rejected, right-merged onto the
-    customer master, amounts converted at the latest rate as of the report date,
-    one fixed-layout record per application."""
+    customer master, amounts converted at the latest rate as of the report date."""
     ev = load(spark, sf, "events")
     rates = J.latest_as_of(ev.withColumnRenamed("event_type", "ccy"), "ccy", "ts", "value",
                            F.lit("2024-01-20 23:59:59.999999").cast("timestamp_ntz"), order=["event_id"]) \
              .select("ccy", F.col("value").alias("rate"))                                          # J13
     o = load(spark, sf, "orders").where(F.year("o_orderdate") == 1998)
-    app = W.route(o, {"approved": F.col("o_orderstatus") == "F"}, exclusive=True, default="rejected")   # K5
-    app = app.withColumn("ccy", F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("purchase"))
-                         .otherwise(F.lit("view")))
-    app = app.join(rates, "ccy", "left").withColumn(
-        "amt_local", F.round(F.col("o_totalprice").cast("decimal(18,2)") * F.col("rate").cast("decimal(18,6)"), 2))
+    apps = o.withColumn("ccy", F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("purchase"))
+                        .otherwise(F.lit("view")))
     c = load(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"))
-    j = app.join(c, "o_custkey", "right")                                                           # J5
-    lay = [W.Out("o_orderkey", 1, 10, "zero"), W.Out("route", 11, 8), W.Out("amt_local", 19, 14, "implied", decimals=2)]
-    ext = W.to_fixed(j, lay, flag_overflow=False)
-    return ext.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "route",
-                      F.col("amt_local").cast("double").alias("amt_local"),
-                      F.when(F.col("o_orderkey").isNotNull(), F.col("record")).alias("record"))
+    return P.application_register(apps, c, rates)
+
 
 
 @register("pl_rollover_review", """
@@ -561,22 +504,15 @@ SELECT o_custkey, o_orderkey, d AS rollover_date,
 FROM j
 """)
 def pl_rollover_review(spark, sf):
-    """Rollovers: each customer's newest deal in the current generation whose date
-    moved forward since the previous generation, with its share of the nation total."""
+    """Rollovers between the generations before 1998-09-01 and before 1998-08-01."""
     o = load(spark, sf, "orders")
-    cur = K.first_by(o.where(F.col("o_orderdate") < F.lit("1998-09-01").cast("timestamp_ntz"))
-                      .select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("d"), "o_totalprice"),
-                     "o_custkey", [F.col("d").desc(), F.col("o_orderkey").desc()])                 # W4
+    cur = (o.where(F.col("o_orderdate") < F.lit("1998-09-01").cast("timestamp_ntz"))
+            .select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("d"), "o_totalprice"))
     prev = (o.where(F.col("o_orderdate") < F.lit("1998-08-01").cast("timestamp_ntz")).groupBy("o_custkey")
              .agg(F.max(F.col("o_orderdate").cast("date")).alias("d")))
-    moved = J.snapshot_compare(cur, prev, "o_custkey", "d")                                         # J20
     c = load(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    j = moved.join(c, "o_custkey", "inner")                                                        # J2
-    tot = j.groupBy("c_nationkey").agg(F.sum("o_totalprice").alias("__t"))                         # A16
-    j = j.join(tot, "c_nationkey").withColumn("nation_share", F.round(F.col("o_totalprice") / F.col("__t"), 6))
-    lay = [W.Out("o_custkey", 1, 8, "zero"), W.Out("d", 9, 8, "date", fmt="ddMMyyyy"), W.Out("o_orderkey", 17, 10, "zero")]
-    return W.to_fixed(j, lay, flag_overflow=False).select("o_custkey", "o_orderkey", F.col("d").alias("rollover_date"),
-                                                          "nation_share", "record")
+    return P.rollover_review(cur, prev, c)
+
 
 
 @register("pl_collateral", """
@@ -593,15 +529,12 @@ SELECT p_partkey, code, CASE WHEN collater IN ('10') THEN 'property' WHEN collat
     {c: cat for cat, codes in __import__("batchwork.rules.codes", fromlist=["x"]).COLLATERAL_CLASSES.items()
      for c in codes}.items()))))
 def pl_collateral(spark, sf):
-    """Collateral tables: class code → category, joined to its secured value, routed
-    to the category tables, margin bounded to [0.95, 1.5]."""
-    from ..rules.codes import collateral_category
+    """Collateral tables: class code of each part, its secured value (sum of lines),
+    routed by category, margin bounded to [0.95, 1.5]."""
     p = load(spark, sf, "part").select("p_partkey", F.lpad((F.col("p_partkey") % 150).cast("string"), 3, "0").alias("code"),
                                        "p_retailprice")
     v = load(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")) \
         .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("value"))
-    j = collateral_category(p, "code").join(v, "p_partkey", "inner")                                # D9 + J2
-    r = W.route(j, {"property": F.col("collater") == "10", "vehicle": F.col("collater").isin("30", "40"),
-                    "unclassified": F.col("collater").isNull()}, exclusive=True, default="other")   # K5
+    r = P.collateral(p, v, "code", "p_partkey")
     return r.select("p_partkey", "code", "route", F.col("value").cast("double").alias("value"),
                     C.clamp(F.col("p_retailprice") / 1000.0, 0.95, 1.5).alias("margin"))           # P13
