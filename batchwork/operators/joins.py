@@ -121,11 +121,14 @@ def merge_by(left: DataFrame, right: DataFrame, keys, left_order, right_order,
 
     Within a key group the i-th left row pairs with the i-th right row; the shorter
     side repeats its last row; a column on both sides takes the right (read last)
-    value whenever the right side still has a row at position i.  Rows are expanded
-    only up to max(n_left, n_right) per key — the size of the result itself — and the
-    pairing join is on (key, position), so a hot key spreads over many tasks.  With
-    ``skew_safe`` the positions themselves are numbered without a per-key window
-    (``keys.row_number_skew_safe``).
+    value whenever the right side still has a row at position i.
+
+    Plan: number the rows of each side per key; per key, the longer side's rows are
+    the output positions and each looks up the shorter side's row
+    ``min(position, n_short)`` by an equi-join on (key, row number).  Nothing is
+    exploded and no pairs beyond the result are formed; when the short side is tiny
+    the lookup key is hot, which AQE's skew-join split handles on the long side.  With
+    ``skew_safe`` the row numbers come from ``keys.row_number_skew_safe``.
     """
     from .keys import row_number_in
     keys = _cols(keys)
@@ -134,27 +137,25 @@ def merge_by(left: DataFrame, right: DataFrame, keys, left_order, right_order,
     r = row_number_in(right, keys, right_order, "__j", skew_safe=skew_safe)
     nl = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__nl"))
     nr = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__nr"))
-    n = nl.join(nr, on=keys, how="full").fillna(0, ["__nl", "__nr"]) \
-          .withColumn("__m", F.greatest("__nl", "__nr"))
-
-    def expand(side, idx, cnt):
-        s = side.join(n, on=keys, how="inner")
-        pos = F.when(F.col(idx) == F.col(cnt), F.sequence(F.col(idx), F.col("__m"))).otherwise(F.array(F.col(idx)))
-        return s.withColumn("__pos", F.explode(pos))
-
-    le = expand(l, "__i", "__nl")
-    re_ = expand(r, "__j", "__nr")
+    n = nl.join(nr, on=keys, how="full").fillna(0, ["__nl", "__nr"])
     for c in shared:
-        le = le.withColumnRenamed(c, f"__l_{c}")
-        re_ = re_.withColumnRenamed(c, f"__r_{c}")
-    re_ = re_.drop("__nl", "__nr", "__m")
-    j = le.join(re_, on=[*keys, "__pos"], how="full")
-    # counts for keys only present on the right
-    j = j.drop("__nl", "__nr", "__m").join(n, on=keys, how="left")
+        l = l.withColumnRenamed(c, f"__l_{c}")
+        r = r.withColumnRenamed(c, f"__r_{c}")
+    # right side drives where it is at least as long: position = j, left row min(j, nl)
+    ra = (r.join(n.where(F.col("__nr") >= F.col("__nl")), on=keys, how="inner")
+           .withColumn("__i", F.when(F.col("__nl") > 0, F.least(F.col("__j"), F.col("__nl"))))
+           .withColumn("__pos", F.col("__j")))
+    a = ra.join(l, on=[*keys, "__i"], how="left")
+    # left side drives where it is longer: position = i, right row min(i, nr)
+    lb = (l.join(n.where(F.col("__nl") > F.col("__nr")), on=keys, how="inner")
+           .withColumn("__j", F.when(F.col("__nr") > 0, F.least(F.col("__i"), F.col("__nr"))))
+           .withColumn("__pos", F.col("__i")))
+    b = lb.join(r, on=[*keys, "__j"], how="left")
+    j = a.unionByName(b)
     for c in shared:
         j = j.withColumn(c, F.when(F.col("__nr") >= F.col("__pos"), F.col(f"__r_{c}")).otherwise(F.col(f"__l_{c}")))
     return j.drop(*[f"__l_{c}" for c in shared], *[f"__r_{c}" for c in shared],
-                  "__i", "__j", "__nl", "__nr", "__m").withColumnRenamed("__pos", "merge_pos")
+                  "__i", "__j", "__nl", "__nr").withColumnRenamed("__pos", "merge_pos")
 
 
 def n_way_merge(frames: list[DataFrame], keys, how: str = "full") -> DataFrame:

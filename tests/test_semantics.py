@@ -268,3 +268,14 @@ def test_asof_join_rate_on_day_before_and_after(spark):
     got = dict(rows(J.asof_join(facts, rates, "ccy", "d", "rd", "rate", "r", tie_break=["id"]), "id", "r"))
     # rate on the day, the one before it, none before (only after)
     assert got == {1: 4.7, 2: 4.6, 3: None, 4: None}
+
+
+def test_positional_merge_lopsided(spark):
+    left = spark.createDataFrame([(1, 1, "a")] + [(2, i, f"l{i}") for i in range(1, 6)], "k int, o int, la string")
+    right = spark.createDataFrame([(1, i, f"r{i}") for i in range(1, 501)] + [(3, 1, "z")], "k int, o int, rb string")
+    m = J.merge_by(left.withColumnRenamed("o", "lo"), right.withColumnRenamed("o", "ro"), "k", ["lo"], ["ro"])
+    got = rows(m, "k", "merge_pos", "la", "rb")
+    assert len(got) == 500 + 5 + 1
+    assert all(la == "a" for k, _, la, _ in got if k == 1)             # the single left row repeats
+    assert sorted((p, la, rb) for k, p, la, rb in got if k == 2) == [(i, f"l{i}", None) for i in range(1, 6)]
+    assert [(la, rb) for k, _, la, rb in got if k == 3] == [(None, "z")]
