@@ -84,10 +84,24 @@ def mean_distinct_positive(df: DataFrame, keys, cols: list[str], suffix: str = "
     return df.groupBy(*_cols(keys)).agg(*aggs)
 
 
-def ordered_concat(df: DataFrame, keys, value: str, order: str, sep: str = "|", out: str = "joined") -> DataFrame:
-    """Values of a group joined in order (ties broken by the value)."""
-    arr = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))))
-    return df.groupBy(*_cols(keys)).agg(F.array_join(F.transform(arr, lambda s: s["v"]), sep).alias(out))
+def ordered_concat(df: DataFrame, keys, value: str, order: str, sep: str = "|", out: str = "joined",
+                   partitions: int | None = None) -> DataFrame:
+    """Values of a group joined in order (ties broken by the value).
+
+    Two levels so a large group is not sorted in one task: rows are range-partitioned
+    on (keys, order, value); each (key, range partition) joins its own slice, then the
+    slices of a key — one per partition it spans — are joined in partition order.
+    """
+    keys = _cols(keys)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sort = [*[F.col(k).asc_nulls_first() for k in keys], F.col(order).asc_nulls_first(), F.col(value).asc_nulls_first()]
+    d = df.select(*keys, F.col(order).alias("o"), F.col(value).alias("v")).repartitionByRange(n, *sort) \
+          .withColumn("__p", F.spark_partition_id())
+    # a slice holding only missing values contributes nothing (not an empty element)
+    part = d.groupBy(*keys, "__p").agg(F.when(F.count("v") > 0, F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("o", "v"))), lambda s: s["v"]), sep)).alias("__s"))
+    return part.groupBy(*keys).agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("__p", "__s"))), lambda s: s["__s"]), sep).alias(out))
 
 
 def rollup_child_to_parent(df: DataFrame, child: str, parent_of: Column, measures: list[str]) -> DataFrame:

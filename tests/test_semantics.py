@@ -279,3 +279,17 @@ def test_positional_merge_lopsided(spark):
     assert all(la == "a" for k, _, la, _ in got if k == 1)             # the single left row repeats
     assert sorted((p, la, rb) for k, p, la, rb in got if k == 2) == [(i, f"l{i}", None) for i in range(1, 6)]
     assert [(la, rb) for k, _, la, rb in got if k == 3] == [(None, "z")]
+
+
+def test_ordered_concat_split_matches_single_pass(spark):
+    from batchwork.operators import agg as A
+    rnd = random.Random(9)
+    data = [(0 if rnd.random() < 0.4 else rnd.randrange(1, 6), rnd.randrange(50), rnd.choice([None, "a", "b", "c"]))
+            for _ in range(2000)]
+    df = spark.createDataFrame(data, "k int, o int, v string")
+    got = dict(rows(A.ordered_concat(df, "k", "v", "o", "|", "j", partitions=9), "k", "j"))
+    exp = {}
+    for k in {d[0] for d in data}:
+        vals = sorted(((o, v) for kk, o, v in data if kk == k), key=lambda x: (x[0], x[1] is not None, x[1] or ""))
+        exp[k] = "|".join(v for _, v in vals if v is not None)
+    assert got == exp
