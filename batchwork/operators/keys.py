@@ -206,6 +206,7 @@ def pick_by_priority(df: DataFrame, keys, rules: list[tuple[Column, int]], order
 
 
 def first_row_amount(df: DataFrame, keys, order, value: str, out: str) -> DataFrame:
-    """Keep an amount on the first row of each group only, 0 on the others."""
-    d = row_number_in(df, keys, order, "__rn")
-    return d.withColumn(out, F.when(F.col("__rn") == 1, F.col(value)).otherwise(F.lit(0))).drop("__rn")
+    """Keep an amount on the first row of each group only, 0 on the others
+    (the first row found by aggregation when the order is given by column names)."""
+    d = first_last_flags(df, keys, order).drop("is_last")
+    return d.withColumn(out, F.when(F.col("is_first"), F.col(value)).otherwise(F.lit(0))).drop("is_first")
