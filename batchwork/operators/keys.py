@@ -116,7 +116,8 @@ def first_last_flags(df: DataFrame, keys, order) -> DataFrame:
 
     With an ascending order given by column names the group edges are the min / max of
     the (total) order as a struct — a partial aggregation joined back, so a hot key is
-    not sorted in one task.  Other orders use the windowed form.
+    not sorted in one task (rows must be distinct, as with any total order).  Other
+    orders use the windowed form.
     """
     given = _cols(order)
     if all(isinstance(c, str) for c in given):
