@@ -6,8 +6,6 @@ combined before the shuffle.  Money is summed as decimal (order-independent).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from . import load  # noqa: F401  (re-export)
-
 # Fixed report date used by period-driven queries on the supplied tables: the
 # orders span 1995-01-01 .. 2001-08-01, lines ship until 2001-11.
 REPORT_DATE = "1998-08-15"

@@ -55,9 +55,7 @@ def reconcile_break_totals(spark, sf):
 # ---------------------------------------------------------------------------- L1-L18
 from ..functions import calendar as CAL  # noqa: E402
 from ..functions import clean as C  # noqa: E402
-from ..operators import agg as A  # noqa: E402
 from ..operators import joins as J  # noqa: E402
-from ..operators import keys as K  # noqa: E402
 from ..plans import jobs as P  # noqa: E402
 from ..session import scratch_path  # noqa: E402
 from ..sinks import writers as W  # noqa: E402

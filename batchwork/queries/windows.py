@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..operators import keys as K
 from . import load, register
-from ._common import REPORT_DATE, money_sum, msum
 
 LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
