@@ -225,19 +225,39 @@ def parse_packed(records: DataFrame, layout: list[PackedField], col: str = "rec"
 PACKED_SPLIT_BYTES = 32 * 1024 * 1024
 
 
+# file systems the task-side Arrow reader opens itself; other Hadoop schemes use the
+# Hadoop fixed-length record reader
+_ARROW_SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "gcs": "gs",
+                  "abfs": "abfs", "abfss": "abfss"}
+
+
+def _scheme(p: str) -> str:
+    return p.split(":", 1)[0].lower() if ":" in p.split("/", 1)[0] else "file"
+
+
 def _arrow_uri(p: str) -> str:
-    return "file://" + p[5:] if p.startswith("file:") and not p.startswith("file://") else p
+    if p.startswith("file:") and not p.startswith("file://"):
+        return "file://" + p[5:]
+    sch = _scheme(p)
+    if sch in _ARROW_SCHEMES and _ARROW_SCHEMES[sch] != sch:
+        return _ARROW_SCHEMES[sch] + p[len(sch):]
+    return p
 
 
 def read_packed(spark: SparkSession, path: str, reclen: int, layout: list[PackedField],
-                split_bytes: int = PACKED_SPLIT_BYTES) -> DataFrame:
+                split_bytes: int = PACKED_SPLIT_BYTES, reader: str = "auto") -> DataFrame:
     """Fixed-length binary records → decoded columns.
 
     File sizes come from the ``binaryFile`` listing (content is pruned, not read); each
     file is cut into record-aligned byte ranges, the ranges are spread over tasks, and
     each task reads its range and hands it to Spark as one Arrow binary column
     (zero-copy, no per-record Python objects).  Decoding is SQL (``parse_packed``).
+    Paths on a file system the Arrow reader does not open go through Hadoop's
+    fixed-length record reader instead (splittable; records pass through Python once).
     """
+    if reader == "hadoop" or (reader == "auto" and _scheme(path) not in _ARROW_SCHEMES):
+        rdd = spark.sparkContext.binaryRecords(path, reclen)
+        return parse_packed(spark.createDataFrame(rdd.map(lambda b: (bytes(b),)), "rec binary"), layout)
     step = max(1, split_bytes // reclen) * reclen
     files = spark.read.format("binaryFile").load(path).select("path", "length")
     ranges = (files.select("path", "length", F.explode(F.sequence(

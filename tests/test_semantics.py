@@ -185,8 +185,10 @@ def test_packed_sign_nibbles(spark):
     # the file reader: fixed-length records split across tasks
     path = scratch_path(spark, "packed")
     write_local_text(local_path(path) + "/f.bin", data=b"".join(recs[:3]) * 1000)
-    back = R.read_packed(spark, path, 3, [R.PackedField("v", 1, 3, 2)])
+    back = R.read_packed(spark, path, 3, [R.PackedField("v", 1, 3, 2)], split_bytes=300)
     assert back.count() == 3000 and back.where(F.col("v") < 0).count() == 1000
+    hadoop = R.read_packed(spark, path, 3, [R.PackedField("v", 1, 3, 2)], reader="hadoop")
+    assert sorted(rows(hadoop, "v")) == sorted(rows(back, "v"))
 
 
 def test_header_body_split(spark):
