@@ -58,11 +58,15 @@ def row_number_skew_safe(df: DataFrame, keys, order_cols: list[Column], name: st
     a third of the partitions — sort within partitions and number rows by position;
     each (partition, key) then adds the row count of the same key in all earlier
     partitions (a table with one row per key and partition, aggregated map-side).
-    ``order_cols`` must be a total order.
+
+    The range sort always ends with every column (``total_order``): the offsets branch
+    and the numbering branch then read one and the same range exchange.  (Two range
+    exchanges over different column subsets can draw different bounds, which would
+    make the partition ids of the two branches disagree.)
     """
     keys = _cols(keys)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sort = [F.col(k).asc_nulls_first() for k in keys] + list(order_cols)
+    sort = [F.col(k).asc_nulls_first() for k in keys] + total_order(df, keys, list(order_cols))
     d = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
            .withColumn("__mid", F.monotonically_increasing_id()))
     d = d.withColumn("__pid", F.shiftright("__mid", _IDX_BITS)) \

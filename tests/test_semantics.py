@@ -233,6 +233,9 @@ def test_skew_safe_row_numbers_equal_window(spark):
     order = [F.col("v").asc(), F.col("id").asc()]
     a = K.row_number_in(df, "k", order, "rn", total=False)
     b = K.row_number_skew_safe(df, "k", order, "rn", partitions=7)
+    # a partial order is completed by the operator (all columns as tie-break)
+    c = K.row_number_skew_safe(df.withColumn("pad", F.lit("x")), "k", [F.col("v").asc()], "rn", partitions=5)
+    assert sorted(r["rn"] for r in c.where("k = 0").collect()) == list(range(1, c.where("k = 0").count() + 1))
     assert sorted(rows(a, "id", "rn")) == sorted(rows(b, "id", "rn"))
 
 
