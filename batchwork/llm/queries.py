@@ -32,3 +32,57 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from batchwork.llm.exact_dedup import exact_dedup
     out = exact_dedup(load(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+# SHA-1 in SQL is spelt in hex; base32 of its 160 bits: 32 groups of 5 bits
+BASE32_SQL = """array_to_string(list_transform(range(32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + CAST(
+      (('0x' || rpad(substr(h, 1 + (i * 5) // 4, 2), 2, '0'))::INTEGER >> (3 - (i * 5) % 4)) & 31 AS INTEGER)]), '')"""
+
+
+@register("op3_warc", f"""
+    WITH p AS (SELECT page_id, coalesce(html, '') AS x FROM pages),
+    d AS (SELECT page_id, x, strlen(x) AS payload_bytes, sha1(x) AS h, min(page_id) OVER (PARTITION BY x) AS first_id FROM p)
+    SELECT page_id, payload_bytes, {BASE32_SQL} AS payload_digest,
+           CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to FROM d""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from batchwork.llm import warc
+    from batchwork.session import scratch_path
+    path = scratch_path(spark, "warc")
+    warc.write_archives(warc.plan_records(load(spark, sf_dir, "pages")), path)
+    return warc.page_records(spark, path)
+
+
+@register("op8_url_filter")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from batchwork.llm.url_filter import url_filter
+    out = url_filter(load(spark, sf_dir, "pages").select("page_id", "url"))
+    return out.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+_CONTROL = r"""([<])(\\*)(s>|/s>|<SYS>>|</SYS>>)"""
+_CONTROL_B = r"""(\[)(\\*)(INST\]|/INST\]|ROLE\]|/ROLE\])"""
+
+
+def _escaped(c: str) -> str:
+    return rf"regexp_replace(regexp_replace({c}, '{_CONTROL}', '\1\2\\\3', 'g'), '{_CONTROL_B}', '\1\2\\\3', 'g')"
+
+
+@register("op10_chat", f"""
+    WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+    e AS (SELECT *, length({_escaped('text')}) AS n_text, length({_escaped('role')}) AS n_role FROM r)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           (3 + sum(n_text + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 17 WHEN 'assistant' THEN 5
+                             ELSE 17 + n_role END))::BIGINT AS formatted_chars
+    FROM e GROUP BY conv_id""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from batchwork.llm import chat
+    from batchwork.llm.common import write_scratch
+    extra = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")],
+                                  "conv_id long, turn long, role string, text string")
+    rows = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(write_scratch(chat.format_chat(rows), "chat"))
