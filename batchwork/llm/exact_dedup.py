@@ -8,7 +8,8 @@ fetched by locator and compared in full; digests under which different texts mee
 grouped again by the whole text.
 
 Defined results: a null text counts as empty; null ids rank after all others, so a null id
-stays only where its whole group has none; repeated ids are separate rows (each is
+stays only where its whole group has none, and such rows, which no locator finds again, rely
+on the digest; repeated ids are separate rows (each is
 returned; all rows that carry the keeper's id stay together as ``kept``); an empty table
 gives an empty result; columns other than the id and the text are not read.
 """
@@ -23,7 +24,9 @@ from batchwork.session import scratch_path
 
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# state on disk; no file space reserved ahead, which would cost megabytes for each small store
+STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+              "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 def normalise(text: str | Column) -> Column:
@@ -62,14 +65,16 @@ def stream_state(rows: DataFrame, name: str, max_wait_sec: int | None = None) ->
         # a batch that is run again after a failure replaces its own folder
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         query = (state.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
                  .trigger(availableNow=True).foreachBatch(append).start())
         query.awaitTermination(max_wait_sec)
     finally:
-        spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     schema = state.schema.add("batch", "long")
     changes = spark.read.schema(schema).option("basePath", out).parquet(f"{out}/batch=*") \
         if query.lastProgress or _has_batches(spark, out) else spark.createDataFrame([], schema)
@@ -103,12 +108,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = rows.join(groups.select("digest", F.col("id").alias("keep_id"), F.col("locator.bytes").alias("keep_bytes"),
                                      F.col("n").alias("group_size")), "digest")
 
-    # full check of hits: the hit's text and its keeper's text, fetched by locator
+    # Full check of hits: the hit's text and its keeper's text, fetched by locator.  Both
+    # fetches deal the texts out by id, so Spark shuffles them once and reads that twice.
     texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("t"))
-    hits = joined.where((F.col("group_size") > 1) & ~F.col("id").eqNullSafe(F.col("keep_id"))).select("digest", "id", "keep_id")
-    hit_text = texts.join(hits, texts["id"].eqNullSafe(hits["id"])).select("digest", "keep_id", "t")
-    keeper_text = texts.select(F.col("id").alias("keep_id"), F.col("t").alias("kt")) \
-        .join(hits.select("keep_id").distinct(), "keep_id", "left_semi")
+    hits = joined.where((F.col("group_size") > 1) & (F.col("id") != F.col("keep_id"))).select("digest", "id", "keep_id")
+    hit_text = texts.join(hits, "id").select("digest", "keep_id", "t")
+    keeper_text = texts.join(hits.select(F.col("keep_id").alias("id")).distinct(), "id") \
+        .select(F.col("id").alias("keep_id"), F.col("t").alias("kt"))
     differ = (F.col("t") != F.col("kt")) & (normalise("t") != normalise("kt"))
     collided = hit_text.join(keeper_text, "keep_id").where(differ).select("digest").distinct()
     collided = write_scratch(collided, f"{name}-collided")
