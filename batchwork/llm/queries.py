@@ -86,3 +86,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   "conv_id long, turn long, role string, text string")
     rows = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return chat.read_back(write_scratch(chat.format_chat(rows), "chat"))
+
+
+@register("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from batchwork.llm import toxicity
+    from batchwork.llm.common import held_out
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, load(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score")
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
