@@ -96,3 +96,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, load(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@register("op9_quality")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # documents have no address: the source stands for the host, the language for the path
+    from batchwork.llm.common import held_out
+    from batchwork.llm.quality import quality
+    out = quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+    return out.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "evidence", "host_posterior", "path_posterior",
+                      "score", F.col("keep").cast("int").alias("predicted"), "keep")
