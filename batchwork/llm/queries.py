@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchwork.llm.common import load
+from batchwork.llm.common import LOWER, UPPER, load
 from batchwork.session import ensure_checkpoint_dir
 
 QUERIES: dict = {}
@@ -106,3 +106,28 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
     return out.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "evidence", "host_posterior", "path_posterior",
                       "score", F.col("keep").cast("int").alias("predicted"), "keep")
+
+
+WORDS_SQL = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+DECONTAMINATION_SQL = f"""
+    b AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark),
+    win AS (SELECT DISTINCT item_id, list_slice(w, i, i + 9) AS x
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+    sizes AS (SELECT DISTINCT len(x) AS n FROM win),
+    pos AS (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n),
+    occ AS (SELECT doc_id, i, n, item_id FROM (SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS x FROM pos) JOIN win USING (x)),
+    hit AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) FROM occ) GROUP BY doc_id),
+    its AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM occ) GROUP BY doc_id)"""
+
+
+@register("op2_decontamination", f"""
+    WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents), {DECONTAMINATION_SQL}
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from batchwork.llm.decontamination import decontaminate
+    out = decontaminate(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items",
+                      F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), "contaminated")
