@@ -131,3 +131,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items",
                       F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+@register("op5_jaccard_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from batchwork.llm.jaccard_join import jaccard_components
+    out = jaccard_components(load(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
