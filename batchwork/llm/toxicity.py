@@ -129,9 +129,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text_col
     """``docs`` with a column ``score_col``: the probability that the text is toxic."""
     chosen, weights, bias = model
     sent = docs.sparkSession.sparkContext.broadcast((chosen, weights, bias))  # MAX_FEATURES entries at most
-    names = docs.columns
-    keep = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text_col).alias("text")) if len(names) > 1 else \
-        docs.select(F.struct(F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
+    keep = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     row_type = keep.schema["row"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,15 +138,16 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text_col
         maybe = np.zeros(1 << 16, bool)
         maybe[(chosen >> np.uint64(48)).astype(np.int64)] = True
         for batch in batches:
-            for b in words.row_blocks(batch, "text"):
+            row = batch.column("row")
+            for b in words.row_blocks(pa.RecordBatch.from_arrays([row, row.field(text_col)], names=["row", "text"]), "text"):
                 f = np.full(b.num_rows, bias)
                 if len(chosen):
-                    h, _, _, row = hasher.words(*words.text_bytes(b.column("text")))
+                    h, _, _, of = hasher.words(*words.text_bytes(b.column("text")))
                     near = np.flatnonzero(maybe[(h >> np.uint64(48)).astype(np.int64)])
-                    h, row = h[near], row[near]
+                    h, of = h[near], of[near]
                     k = np.minimum(np.searchsorted(chosen, h), len(chosen) - 1)
                     hit = chosen[k] == h
-                    pairs = np.unique(row[hit] * len(chosen) + k[hit])
+                    pairs = np.unique(of[hit] * len(chosen) + k[hit])
                     f += np.bincount(pairs // len(chosen), weights[pairs % len(chosen)], b.num_rows)
                 with np.errstate(over="ignore"):
                     s = 1 / (1 + np.exp(-f))
