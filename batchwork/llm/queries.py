@@ -148,3 +148,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
                        F.length("decoded").cast("long").alias("decoded_chars"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
+@register("op6_suffix_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from batchwork.llm.suffix_dedup import repeated_passages
+    out = repeated_passages(load(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "start_word", "n_words", "n_repeated")
