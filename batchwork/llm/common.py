@@ -29,3 +29,15 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
 def held_out(id_col: str) -> Column:
     """The held-out fold: crc32 of the id as text, mod 5, is 0 (null ids are never held out)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def text_hash(c: str | Column) -> Column:
+    """Tells rows with the same id apart; rows with the same id and text are one to every operator."""
+    text = text_or_empty(c)
+    return F.xxhash64(text, F.length(text))
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` that are not in ``gone`` (id, text_hash), with all their columns; null ids stay."""
+    gone = gone.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    return docs.join(gone, (docs[id_col] == gone["__id"]) & (text_hash(docs[text_col]) == gone["__hash"]), "left_anti")

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from batchwork.llm.common import LOWER, UPPER, text_or_empty, write_scratch
+from batchwork.llm.common import LOWER, UPPER, text_hash, text_or_empty, without, write_scratch
 
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 MAX_BROADCAST_ROWS = 200_000
@@ -63,7 +63,7 @@ def find_windows(docs: DataFrame, windows: DataFrame, shingle: int = 3, max_broa
     tokens = write_scratch(tokens.withColumn("hash", by_length), "window-tokens")
     n, lengths = tokens.agg(F.count(F.lit(1)), F.sort_array(F.collect_set("k"))).first()  # at most ``shingle`` lengths
     if not n:
-        return spark.createDataFrame([], docs.select("id", "text_hash").schema.add("start", "int").add("size", "int").add("win_id", "string"))
+        return spark.createDataFrame([], docs.select("id", "text_hash").schema.add("start", "integer").add("size", "integer").add("win_id", "string"))
     small = n <= max_broadcast_rows
     side = F.broadcast if small else (lambda df: df)
 
@@ -88,13 +88,12 @@ def find_windows(docs: DataFrame, windows: DataFrame, shingle: int = 3, max_broa
 
 def split_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, text_hash and words (w) of each document, written once."""
-    text = text_or_empty(text_col)
-    return write_scratch(docs.select(F.col(id_col).alias("id"), F.xxhash64(text, F.length(text)).alias("text_hash"), words(text_col).alias("w")), "document-words")
+    return write_scratch(docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("text_hash"), words(text_col).alias("w")), "document-words")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", window: int = 10, shingle: int = 3, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """One row per row of ``docs``: id, n_words, n_hit, n_items, items (sorted), contaminated."""
+    """One row per row of ``docs``: id, text_hash, n_words, n_hit, n_items, items (sorted), contaminated."""
     split = split_documents(docs, id_col, text_col)
     windows = write_scratch(item_windows(benchmark, item_col, item_text_col, window), "item-windows")
     # repeated rows have the same hits: distinct takes them once
@@ -112,12 +111,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     rows = split.select("id", "text_hash", F.size("w").cast("long").alias("n_words"))
     out = rows.join(found, rows["id"].eqNullSafe(F.col("h_id")) & (rows["text_hash"] == F.col("h_hash")), "left")
     none = F.array().cast("array<string>")
-    return out.select("id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+    return out.select("id", "text_hash", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
                       F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
                       F.coalesce("items", none).alias("items"), F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` without a hit, with all their columns (by id; null ids stay)."""
-    gone = decontaminate(docs, benchmark, id_col, text_col, **options).where("contaminated and id is not null").select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    """The rows of ``docs`` without a hit, with all their columns (null ids stay)."""
+    return without(docs, decontaminate(docs, benchmark, id_col, text_col, **options).where("contaminated"), id_col, text_col)

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchwork.llm.common import text_or_empty, write_scratch
+from batchwork.llm.common import text_hash, text_or_empty, without, write_scratch
 from batchwork.session import scratch_path
 
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
@@ -41,12 +41,12 @@ def sha256_digest(norm: Column) -> Column:
 def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=sha256_digest) -> DataFrame:
     """One narrow row per document: digest, identifier, and the content's locator.
 
-    The locator is the identifier and the content's length: enough to fetch the text from
-    the table by an equi-join, on any file system that Spark reads.
+    The locator (identifier, hash of the raw text, length) fetches the text from the table
+    by an equi-join, on any file system that Spark reads.
     """
     norm = normalise(text_col)
     return docs.select(digest(norm).alias("digest"), F.col(id_col).alias("id"),
-                       F.struct(F.col(id_col).alias("id"), F.octet_length(norm).alias("bytes")).alias("locator"))
+                       F.struct(F.col(id_col).alias("id"), text_hash(text_col).alias("text_hash"), F.octet_length(norm).alias("bytes")).alias("locator"))
 
 
 def stream_state(rows: DataFrame, name: str, max_wait_sec: int | None = None) -> DataFrame:
@@ -90,7 +90,7 @@ def _has_batches(spark: SparkSession, path: str) -> bool:
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=sha256_digest,
                 name: str = "exact-dedup") -> DataFrame:
-    """Return one row per row of ``docs``: id, keep_id, group_size, kept, digest.
+    """Return one row per row of ``docs``: id, keep_id, group_size, kept, digest, text_hash.
 
     The digests are written once as a narrow table, which the stream then reads; the texts
     themselves are moved only for hits (rows that are not their group's keeper).
@@ -105,36 +105,32 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         folder = source[0].rsplit("/", 1)[0]
         stream_groups = stream_state(spark.readStream.schema(rows.schema).parquet(folder), name)
     groups = write_scratch(stream_groups, f"{name}-groups")
-    joined = rows.join(groups.select("digest", F.col("id").alias("keep_id"), F.col("locator.bytes").alias("keep_bytes"),
-                                     F.col("n").alias("group_size")), "digest")
+    joined = rows.select("digest", "id", "locator.text_hash").join(groups.select(
+        "digest", F.col("id").alias("keep_id"), F.col("locator.text_hash").alias("keep_hash"), F.col("n").alias("group_size")), "digest")
 
     # Full check of hits: the hit's text and its keeper's text, fetched by locator.  Both
-    # fetches deal the texts out by id, so Spark shuffles them once and reads that twice.
-    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("t"))
-    hits = joined.where((F.col("group_size") > 1) & (F.col("id") != F.col("keep_id"))).select("digest", "id", "keep_id")
-    hit_text = texts.join(hits, "id").select("digest", "keep_id", "t")
-    keeper_text = texts.join(hits.select(F.col("keep_id").alias("id")).distinct(), "id") \
-        .select(F.col("id").alias("keep_id"), F.col("t").alias("kt"))
+    # fetches deal the texts out by locator, so Spark shuffles them once and reads that twice.
+    texts = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("text_hash"), text_or_empty(text_col).alias("t"))
+    hits = joined.where((F.col("group_size") > 1) & (F.col("id") != F.col("keep_id")))
+    hit_text = texts.join(hits, ["id", "text_hash"]).select("digest", "keep_id", "keep_hash", "t")
+    keepers = hits.select(F.col("keep_id").alias("id"), F.col("keep_hash").alias("text_hash")).distinct()
+    keeper_text = texts.join(keepers, ["id", "text_hash"]).select(F.col("id").alias("keep_id"), F.col("text_hash").alias("keep_hash"), F.col("t").alias("kt"))
     differ = (F.col("t") != F.col("kt")) & (normalise("t") != normalise("kt"))
-    collided = hit_text.join(keeper_text, "keep_id").where(differ).select("digest").distinct()
+    collided = hit_text.join(keeper_text, ["keep_id", "keep_hash"]).where(differ).select("digest").distinct()
     collided = write_scratch(collided, f"{name}-collided")
 
-    result = joined.select("id", "keep_id", "group_size", "digest")
+    columns = ["id", "keep_id", "group_size", "digest", "text_hash"]
+    result = joined.select(columns)
     if not collided.isEmpty():
-        again = docs.select(F.col(id_col).alias("id"), normalise(text_col).alias("norm"),
+        again = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("text_hash"), normalise(text_col).alias("norm"),
                             digest(normalise(text_col)).alias("digest")).join(collided, "digest", "left_semi")
         keys = again.groupBy("norm").agg(F.min(F.struct(F.col("id").isNull().alias("x"), F.col("id"))).alias("k"),
                                          F.count(F.lit(1)).alias("group_size"))
-        regrouped = again.join(keys, "norm").select("id", F.col("k.id").alias("keep_id"), "group_size", "digest")
-        result = result.join(collided, "digest", "left_anti").select("id", "keep_id", "group_size", "digest") \
-            .unionByName(regrouped)
-    return result.select("id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
+        regrouped = again.join(keys, "norm").select("id", F.col("k.id").alias("keep_id"), "group_size", "digest", "text_hash")
+        result = result.join(collided, "digest", "left_anti").select(columns).unionByName(regrouped)
+    return result.select("id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest", "text_hash")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = "keep-first") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
-
-    Rows go by id: null ids are always kept, and repeated ids go or stay together.
-    """
-    gone = exact_dedup(docs, id_col, text_col, name=name).where("not kept").select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    """The rows of ``docs`` that stay, with all their columns (null ids always stay)."""
+    return without(docs, exact_dedup(docs, id_col, text_col, name=name).where("not kept"), id_col, text_col)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchwork.llm import words
-from batchwork.llm.common import write_scratch
+from batchwork.llm.common import text_hash, without, write_scratch
 
 SHINGLE = 5
 PERCENT = 80
@@ -113,8 +113,8 @@ def rarity_table(texts: DataFrame, bits: int = COUNT_BITS, shingle: int = SHINGL
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str, percent: int, bits: int, shingle: int) -> DataFrame:
-    """id, n (set size), digest, rank, prefix (rarest shingles) and profile of every row."""
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    """id, text_hash, n (set size), digest, rank, prefix (rarest shingles) and profile of every row."""
+    texts = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("text_hash"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     order = docs.sparkSession.sparkContext.broadcast(np.minimum(rarity_table(texts.select("text"), bits, shingle), 2**31 - 1).astype(np.int32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,12 +127,12 @@ def describe(docs: DataFrame, id_col: str, text_col: str, percent: int, bits: in
                     by = np.lexsort((s, counts[(s >> np.uint64(64 - bits)).astype(np.int64)]))
                     prefixes.append(s[by[:prefix_size(len(s), percent)]].view(np.int64) if len(s) else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
+                    [b.column("id"), b.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
                      pa.array([rank_of(d) for d in digests], pa.int64()),
                      pa.array(prefixes, pa.list_(pa.int64())), pa.array([profile(s) for s in sets], pa.binary())],
-                    names=["id", "n", "digest", "rank", "prefix", "profile"])
+                    names=["id", "text_hash", "n", "digest", "rank", "prefix", "profile"])
     id_type = texts.schema["id"].dataType.simpleString()
-    return write_scratch(texts.mapInArrow(run, f"id {id_type}, n long, digest binary, rank long, prefix array<long>, profile binary"), "jaccard-rows")
+    return write_scratch(texts.mapInArrow(run, f"id {id_type}, text_hash long, n long, digest binary, rank long, prefix array<long>, profile binary"), "jaccard-rows")
 
 
 def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -235,18 +235,17 @@ def link_points(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, pe
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
                        shingle: int = SHINGLE, count_bits: int = COUNT_BITS) -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles and component (the smallest id that links reach)."""
+    """One row per row of ``docs``: id, text_hash, n_shingles and component (the smallest id that links reach)."""
     rows = describe(docs, id_col, text_col, percent, count_bits, shingle)
     links = link_points(rows, docs, id_col, text_col, percent, shingle)
     roots = write_scratch(components(links.select(F.col("x").alias("a"), F.col("p").alias("b")), "jaccard-components"), "jaccard-roots")
-    placed = rows.select("id", "n", "rank").join(roots, rows["rank"] == roots["node"], "left").select("id", "n", F.coalesce("root", "rank").alias("root"))
+    placed = rows.select("id", "text_hash", "n", "rank").join(roots, rows["rank"] == roots["node"], "left").select("id", "text_hash", "n", F.coalesce("root", "rank").alias("root"))
     placed = write_scratch(placed, "jaccard-placed")
     names = placed.where("n > 0").groupBy("root").agg(F.min("id").alias("component"))
-    out = placed.where("n > 0").join(names, "root").select("id", F.col("n").alias("n_shingles"), "component")
-    return out.union(placed.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component")))
+    out = placed.where("n > 0").join(names, "root").select("id", "text_hash", F.col("n").alias("n_shingles"), "component")
+    return out.union(placed.where("n = 0").select("id", "text_hash", F.col("n").alias("n_shingles"), F.col("id").alias("component")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id names its component, with all their columns (null ids stay)."""
-    gone = jaccard_components(docs, id_col, text_col, **options).where("id != component").select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    """The rows of ``docs`` whose id names their component, with all their columns (null ids stay)."""
+    return without(docs, jaccard_components(docs, id_col, text_col, **options).where("id != component"), id_col, text_col)

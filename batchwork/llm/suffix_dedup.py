@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchwork.llm import words
-from batchwork.llm.common import write_scratch
+from batchwork.llm.common import text_hash, write_scratch
 
 MIN_WORDS = 50
 K = 10
@@ -204,7 +204,7 @@ def repeated_windows(windows: DataFrame) -> DataFrame:
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, k: int = K) -> DataFrame:
     """One row per maximal run of repeated words: id, start_word, n_words, and the document's n_repeated."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"), F.xxhash64(text, F.length(text)).alias("text_hash"), text.alias("text"))
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"), text_hash(text_col).alias("text_hash"), text.alias("text"))
     anchors = write_scratch(sparse_suffixes(texts, min_words, k), "suffix-anchors")
     compared = write_scratch(compare_suffixes(anchors), "suffix-compared")
     windows = write_scratch(extend(texts, compared.where("check").distinct(), min_words, k), "suffix-windows")
