@@ -92,9 +92,15 @@ def trunc_to(x, digits: int = 2) -> Column:
     return F.signum(x) * F.floor(F.abs(x) * f) / f
 
 
-def scale_minor_units(x, factor: int = 100, width: int = 17) -> Column:
-    """Implied decimals for extracts: money × 100 → ``decimal(width,0)``."""
-    return F.round(_c(x).cast("decimal(38,10)") * factor, 0).cast(f"decimal({width},0)")
+def scale_minor_units(x, factor: int = 100, width: int = 17, divisor: Column | None = None) -> Column:
+    """Implied decimals for extracts: money × 100 → ``decimal(width,0)``.
+
+    A quotient is scaled before it is divided, so that it is rounded once only.
+    """
+    scaled = _c(x).cast("decimal(28,6)") * F.lit(factor).cast("decimal(10,0)")
+    if divisor is not None:
+        scaled = scaled / divisor
+    return F.round(scaled, 0).cast(f"decimal({width},0)")
 
 
 def parse_number(x) -> Column:
@@ -237,7 +243,7 @@ def valid_length(x, n: int) -> Column:
     return F.length(F.rtrim(_c(x))) == n
 
 
-def normalise_code(x, width: int = 5, filler: str = "0") -> Column:
-    """Codes that arrive one character short get a trailing filler."""
+def normalise_code(x, filler: str = "0") -> Column:
+    """a code that starts with 0 gets a trailing filler."""
     x = _c(x)
-    return F.when(F.length(x) == width - 1, F.concat(x, F.lit(filler))).otherwise(x)
+    return F.when(x.startswith("0"), F.concat(F.rtrim(x), F.lit(filler))).otherwise(x)

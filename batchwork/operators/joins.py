@@ -13,22 +13,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .keys import _cols, first_by, total_order
+from .keys import _cols, first_by, join_on, row_number_skew_safe, total_order
 
-# rows above which an in-code lookup table is refused as a broadcast side
-MAX_CODE_TABLE_ROWS = 100_000
+# an in-code lookup table up to so many rows is broadcast; a larger one is left to Spark
+BROADCAST_CODE_ROWS = 100_000
 
 
 def code_table(spark, rows: list[tuple], schema: str) -> DataFrame:
     """A lookup table defined in code; its row count is the proven size bound."""
-    if len(rows) > MAX_CODE_TABLE_ROWS:
-        raise ValueError(f"code table of {len(rows)} rows is too large to broadcast")
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= BROADCAST_CODE_ROWS else table
 
 
-def merge_left(left: DataFrame, right: DataFrame, keys, suffix: str | None = None) -> DataFrame:
+def merge_left(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     """Keep every left row, add the right columns (SAS ``MERGE ... IF A``)."""
-    return left.join(right, on=_cols(keys), how="left")
+    return join_on(left, right, keys, "left")
 
 
 class DuplicateKeyError(ValueError):
@@ -39,7 +38,8 @@ def merge_checked(left: DataFrame, right: DataFrame, keys, how: str = "left", on
                   right_order=None) -> DataFrame:
     """Many-to-one merge with the "one" side checked (the default for a MERGE that is
     meant to be 1:n).  ``on_duplicate='raise'`` fails when a key repeats on the right
-    (one aggregation; at most one offending key reaches the driver);
+    (this runs one aggregation job at once, while the plan is still being built; at
+    most one offending key reaches the driver);
     ``'first'`` keeps the first right row per key under ``right_order``."""
     keys = _cols(keys)
     if on_duplicate == "first":
@@ -50,7 +50,7 @@ def merge_checked(left: DataFrame, right: DataFrame, keys, how: str = "left", on
             raise DuplicateKeyError(f"key repeats on the one side: {dup[0].asDict()}")
     else:
         raise ValueError(on_duplicate)
-    return left.join(right, on=keys, how=how)
+    return join_on(left, right, keys, how)
 
 
 def with_indicators(left: DataFrame, right: DataFrame, keys, how: str = "full",
@@ -58,7 +58,7 @@ def with_indicators(left: DataFrame, right: DataFrame, keys, how: str = "full",
     """``IN=`` flags as columns; keys coalesced (USING join)."""
     l = left.withColumn(in_left, F.lit(True))
     r = right.withColumn(in_right, F.lit(True))
-    j = l.join(r, on=_cols(keys), how=how)
+    j = join_on(l, r, keys, how)
     return j.withColumn(in_left, F.coalesce(in_left, F.lit(False))) \
             .withColumn(in_right, F.coalesce(in_right, F.lit(False)))
 
@@ -135,22 +135,23 @@ def merge_by(left: DataFrame, right: DataFrame, keys, left_order, right_order,
     shared = shared if shared is not None else [c for c in left.columns if c in right.columns and c not in keys]
     l = row_number_in(left, keys, left_order, "__i", skew_safe=skew_safe)
     r = row_number_in(right, keys, right_order, "__j", skew_safe=skew_safe)
-    nl = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__nl"))
-    nr = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__nr"))
-    n = nl.join(nr, on=keys, how="full").fillna(0, ["__nl", "__nr"])
+    # the last number of a key is its count
+    nl = l.groupBy(*keys).agg(F.max("__i").alias("__nl"))
+    nr = r.groupBy(*keys).agg(F.max("__j").alias("__nr"))
+    n = join_on(nl, nr, keys, "full").fillna(0, ["__nl", "__nr"])
     for c in shared:
         l = l.withColumnRenamed(c, f"__l_{c}")
         r = r.withColumnRenamed(c, f"__r_{c}")
     # right side drives where it is at least as long: position = j, left row min(j, nl)
-    ra = (r.join(n.where(F.col("__nr") >= F.col("__nl")), on=keys, how="inner")
+    ra = (join_on(r, n.where(F.col("__nr") >= F.col("__nl")), keys)
            .withColumn("__i", F.when(F.col("__nl") > 0, F.least(F.col("__j"), F.col("__nl"))))
            .withColumn("__pos", F.col("__j")))
-    a = ra.join(l, on=[*keys, "__i"], how="left")
+    a = join_on(ra, l, [*keys, "__i"], "left")
     # left side drives where it is longer: position = i, right row min(i, nr)
-    lb = (l.join(n.where(F.col("__nl") > F.col("__nr")), on=keys, how="inner")
+    lb = (join_on(l, n.where(F.col("__nl") > F.col("__nr")), keys)
            .withColumn("__j", F.when(F.col("__nr") > 0, F.least(F.col("__i"), F.col("__nr"))))
            .withColumn("__pos", F.col("__i")))
-    b = lb.join(r, on=[*keys, "__j"], how="left")
+    b = join_on(lb, r, [*keys, "__j"], "left")
     j = a.unionByName(b)
     for c in shared:
         j = j.withColumn(c, F.when(F.col("__nr") >= F.col("__pos"), F.col(f"__r_{c}")).otherwise(F.col(f"__l_{c}")))
@@ -161,7 +162,7 @@ def merge_by(left: DataFrame, right: DataFrame, keys, left_order, right_order,
 def n_way_merge(frames: list[DataFrame], keys, how: str = "full") -> DataFrame:
     """Merge several tables on one key.  Each input is shuffled once on the key;
     consecutive joins on the same key reuse that partitioning (no re-shuffle)."""
-    return reduce(lambda a, b: a.join(b, on=_cols(keys), how=how), frames)
+    return reduce(lambda a, b: join_on(a, b, keys, how), frames)
 
 
 def parent_join(df: DataFrame, ref: str | None, child_id: str, parent_id: str, levels: int,
@@ -191,40 +192,58 @@ def match_with_fallback(left: DataFrame, right: DataFrame, strong, weak, right_o
     key against right rows made unique on it.  ``match_pass`` says which pass hit."""
     strong, weak = _cols(strong), _cols(weak)
     dup = [c for c in right.columns if c in left.columns and c not in strong]
-    p1 = left.join(right.drop(*dup).withColumn("__hit", F.lit(1)), on=strong, how="inner")
-    rest = left.join(right.select(*strong).distinct(), on=strong, how="left_anti")
+    p1 = join_on(left, right.drop(*dup).withColumn("__hit", F.lit(1)), strong)
+    rest = join_on(left, right.select(*strong).distinct(), strong, "left_anti")
     r2 = first_by(right, weak, right_order)
     rcols = [c for c in right.columns if c not in weak and c not in left.columns]
-    p2 = rest.join(r2.select(*weak, *rcols).withColumn("__hit", F.lit(2)), on=weak, how="left")
+    p2 = join_on(rest, r2.select(*weak, *rcols).withColumn("__hit", F.lit(2)), weak, "left")
     return p1.unionByName(p2, allowMissingColumns=True).withColumnRenamed("__hit", "match_pass")
 
 
 def net_reversals(txn: DataFrame, keys, amount: str, date: str, order) -> DataFrame:
     """Drop debit/credit pairs of equal (key, |amount|, date), k-th with k-th.
 
-    Groups are (key, |amount|, date) — fine grained, so no group is large unless the
-    data is; the unmatched surplus of the larger side survives in ``order``.
+    Debits and credits are counted per group first; only rows of groups that hold both
+    signs are numbered, by position over range partitions, so that neither a large
+    group nor the rest of the table passes through a window.  The unmatched surplus of
+    the larger side survives in ``order``; rows with an amount of zero always do.
     """
     keys = _cols(keys)
     grp = [*keys, "__abs", date]
     d = txn.withColumn("__abs", F.abs(F.col(amount))).withColumn("__neg", F.col(amount) < 0)
-    # k-th debit / k-th credit within the group; the groups are as fine as
-    # (account, amount, date), so a plain window is the cheaper plan here
-    w = Window.partitionBy(*grp, "__neg").orderBy(*total_order(txn, keys, order))
-    d = d.withColumn("__k", F.row_number().over(w))
-    cnt = d.groupBy(*grp).agg(F.count_if(F.col("__neg")).alias("__nd"),
-                              F.count_if(~F.col("__neg")).alias("__nc"))
-    d = d.join(cnt, on=grp, how="inner")
-    keep = F.col("__k") > F.least("__nd", "__nc")
-    return d.where(keep | (F.col(amount) == 0)).drop("__abs", "__neg", "__k", "__nd", "__nc")
+    both = (d.groupBy(*grp).agg(F.count_if(F.col("__neg")).alias("__nd"), F.count_if(~F.col("__neg")).alias("__nc"))
+             .where((F.col("__nd") > 0) & (F.col("__nc") > 0)).withColumn("__pairs", F.least("__nd", "__nc")).drop("__nd", "__nc"))
+    single = join_on(d, both, grp, "left_anti")
+    paired = row_number_skew_safe(join_on(d, both, grp), [*grp, "__neg"], total_order(txn, keys, order), "__k")
+    kept = paired.where((F.col("__k") > F.col("__pairs")) | (F.col(amount) == 0))
+    return single.select(*txn.columns).unionByName(kept.select(*txn.columns))
+
+
+def net_reversals_by_rule(txn: DataFrame, passes: list[tuple[list[str], Column, Column]]) -> DataFrame:
+    """J18 by rule: successive passes, each with its key, the rows that may be reversed
+    and the rows that reverse them.
+
+    In a pass, a row that may be reversed is dropped when its key occurs among the
+    reversing rows left over from earlier passes, and those go with it: *every* match of
+    a key is removed, on both sides, not the k-th with the k-th.
+    """
+    left = txn
+    for keys, reversed_, reversing in passes:
+        hit = join_on(left.where(reversed_).select(*keys).distinct(), left.where(reversing).select(*keys).distinct(), keys, "left_semi")
+        matched = hit.withColumn("__hit", F.lit(True))
+        j = join_on(left, matched, keys, "left")
+        gone = F.col("__hit").isNotNull() & (F.coalesce(reversed_, F.lit(False)) | F.coalesce(reversing, F.lit(False)))
+        left = j.where(~gone).select(*txn.columns)
+    return left
 
 
 def closed_items(current: DataFrame, previous: DataFrame, activity: DataFrame, keys) -> DataFrame:
     """Keys with activity this period that were in the prior period but are gone
-    from the current one, carrying the prior row; unioned to the current table."""
+    from the current one, carrying the prior row (once, however often the key is
+    active); unioned to the current table."""
     keys = _cols(keys)
-    gone = activity.join(current.select(*keys), on=keys, how="left_anti")
-    closed = previous.join(gone, on=keys, how="inner").withColumn("closed", F.lit(True))
+    gone = join_on(activity.select(*keys), current.select(*keys), keys, "left_anti")
+    closed = join_on(previous, gone, keys, "left_semi").withColumn("closed", F.lit(True))
     return current.withColumn("closed", F.lit(False)).unionByName(closed, allowMissingColumns=True)
 
 
@@ -232,7 +251,7 @@ def snapshot_compare(cur: DataFrame, prev: DataFrame, keys, date_col: str) -> Da
     """Keys whose date moved forward between two generations."""
     keys = _cols(keys)
     p = prev.select(*keys, F.col(date_col).alias("prev_" + date_col))
-    return cur.join(p, on=keys, how="inner").where(F.col(date_col) > F.col("prev_" + date_col))
+    return join_on(cur, p, keys).where(F.col(date_col) > F.col("prev_" + date_col))
 
 
 def carry_forward_prior(cur: DataFrame, prior: DataFrame, keys, value: str, apply_when: Column) -> DataFrame:
@@ -240,7 +259,7 @@ def carry_forward_prior(cur: DataFrame, prior: DataFrame, keys, value: str, appl
     value is zero, yesterday's value is used."""
     keys = _cols(keys)
     p = prior.select(*keys, F.col(value).alias("prior_" + value))
-    j = cur.join(p, on=keys, how="full")
+    j = join_on(cur, p, keys, "full")
     return j.withColumn(value, F.when(apply_when & (F.coalesce(F.col(value), F.lit(0)) == 0),
                                       F.col("prior_" + value)).otherwise(F.col(value)))
 

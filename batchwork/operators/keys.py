@@ -9,6 +9,8 @@ k rows per map task before it reaches a single reducer.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +35,26 @@ def total_order(df: DataFrame, keys, order) -> list[Column]:
     return order + rest
 
 
+def join_on(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Join on equal key columns, where a missing key matches a missing key.
+
+    Columns come out as in a ``USING`` join: keys (coalesced), left rest, right rest.
+    The null-safe equality is still an equi-join, so it is planned as a hash or
+    sort-merge join and skewed partitions can be split.
+    """
+    keys = _cols(keys)
+
+    def of(side: str, c: str) -> Column:
+        return F.col(f"{side}.`{c}`")
+    cond = reduce(lambda a, b: a & b, [of("__l", k).eqNullSafe(of("__r", k)) for k in keys])
+    j = left.alias("__l").join(right.alias("__r"), cond, how)
+    if how in ("left_semi", "left_anti"):
+        return j.select(*[of("__l", c).alias(c) for c in left.columns])
+    own = {"right": lambda k: of("__r", k), "full": lambda k: F.coalesce(of("__l", k), of("__r", k))}.get(how, lambda k: of("__l", k))
+    return j.select(*[own(k).alias(k) for k in keys], *[of("__l", c).alias(c) for c in left.columns if c not in keys],
+                    *[of("__r", c).alias(c) for c in right.columns if c not in keys])
+
+
 def _win(keys, order_cols):
     w = Window.partitionBy(*_cols(keys)) if _cols(keys) else Window.partitionBy()
     return w.orderBy(*order_cols)
@@ -74,7 +96,7 @@ def row_number_skew_safe(df: DataFrame, keys, order_cols: list[Column], name: st
     per = d.groupBy("__pid", *keys).agg(F.min("__idx").alias("__first"), F.count(F.lit(1)).alias("__c"))
     prior = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     off = per.withColumn("__off", F.coalesce(F.sum("__c").over(prior), F.lit(0))).drop("__c")
-    j = d.join(off, on=["__pid", *keys], how="inner")
+    j = join_on(d, off, ["__pid", *keys])
     return (j.withColumn(name, (F.col("__off") + F.col("__idx") - F.col("__first") + 1).cast("int"))
              .drop("__mid", "__pid", "__idx", "__first", "__off"))
 
@@ -87,15 +109,28 @@ def first_by(df: DataFrame, keys, order, k: int = 1) -> DataFrame:
               .where(F.col(rn) <= k).drop(rn))
 
 
-def rank_in(df: DataFrame, keys, order, name: str = "rank", dense: bool = False) -> DataFrame:
-    """Rank with ties sharing the lowest rank (dense or with gaps)."""
-    fn = F.dense_rank() if dense else F.rank()
-    return df.withColumn(name, fn.over(_win(keys, _cols(order))))
+def rank_in(df: DataFrame, keys, order, name: str = "rank", dense: bool = False, descending: bool = False) -> DataFrame:
+    """Rank with ties sharing the lowest rank (dense or with gaps), by column names.
+
+    Rows are counted per (key, order values) first; the window then runs over one row
+    per distinct value and the ranks are joined back, so a key that holds a third of
+    the rows is not ranked row by row in one task.  Missing values rank lowest.
+    """
+    keys, order = _cols(keys), _cols(order)
+    w = _win(keys, [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in order])
+    counts = df.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("__n"))
+    if dense:
+        ranked = counts.withColumn(name, F.dense_rank().over(w))
+    else:
+        before = F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1))
+        ranked = counts.withColumn(name, (F.coalesce(before, F.lit(0)) + 1).cast("int"))
+    return join_on(df, ranked.drop("__n"), [*keys, *order]).select(*df.columns, name)
 
 
 def best_with_ties(df: DataFrame, keys, order) -> DataFrame:
     """Every row tied for rank 1."""
-    return rank_in(df, keys, order, "__rk").where("__rk = 1").drop("__rk")
+    # rank = 1 is cut down before the shuffle (WindowGroupLimit)
+    return df.withColumn("__rk", F.rank().over(_win(keys, _cols(order)))).where("__rk = 1").drop("__rk")
 
 
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:
@@ -105,14 +140,12 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
 
 def rows_with_duplicate_keys(df: DataFrame, keys) -> DataFrame:
     """W8 (DUPOUT by count): all rows whose key occurs more than once."""
-    return df.join(duplicate_keys(df, keys).drop("n"), on=_cols(keys), how="left_semi")
+    return join_on(df, duplicate_keys(df, keys).drop("n"), keys, "left_semi")
 
 
 def surplus_rows(df: DataFrame, keys, order) -> DataFrame:
     """W8 (DUPOUT of NODUPKEY): every row but the first of its key."""
-    oc = total_order(df, keys, order)
-    return (df.withColumn("__rn", F.row_number().over(_win(keys, oc)))
-              .where("__rn > 1").drop("__rn"))
+    return row_number_skew_safe(df, keys, total_order(df, keys, order), "__rn").where("__rn > 1").drop("__rn")
 
 
 def first_last_flags(df: DataFrame, keys, order) -> DataFrame:
@@ -129,7 +162,7 @@ def first_last_flags(df: DataFrame, keys, order) -> DataFrame:
         rest = [c for c in df.columns if c not in set(keys) | set(given)]
         ordk = F.struct(*[F.col(c) for c in given + rest])
         edges = df.groupBy(*keys).agg(F.min(ordk).alias("__lo"), F.max(ordk).alias("__hi"))
-        j = df.withColumn("__o", ordk).join(edges, on=keys, how="inner")
+        j = join_on(df.withColumn("__o", ordk), edges, keys)
         return (j.withColumn("is_first", F.col("__o") == F.col("__lo"))
                  .withColumn("is_last", F.col("__o") == F.col("__hi")).drop("__o", "__lo", "__hi"))
     oc = total_order(df, keys, order)
@@ -163,7 +196,7 @@ def carry_last(df: DataFrame, keys, order, value: str, out: str, bucket: Column
         F.max_by(F.col(value), F.when(F.col(value).isNotNull(), ord_struct)).alias("__bl"))
     w_b = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_bucket.select(*keys, b, F.last("__bl", ignorenulls=True).over(w_b).alias("__carry"))
-    return (d.join(carry, on=[*keys, b], how="left")
+    return (join_on(d, carry, [*keys, b], "left")
              .withColumn(out, F.coalesce("__in", "__carry"))
              .drop(b, "__in", "__carry"))
 
@@ -177,27 +210,21 @@ def numbered_lines(df: DataFrame, order, amount: str | None = None, partitions:
     """
     oc = total_order(df, [], order)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = df.repartitionByRange(n, *oc).withColumn("__pid", F.spark_partition_id())
-    w = Window.partitionBy("__pid").orderBy(*oc)
-    runw = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = base.withColumn("__ln", F.row_number().over(w))
-    aggs = [F.count(F.lit(1)).alias("__cnt")]
-    if amount:
-        d = d.withColumn("__run", F.sum(amount).over(runw))
-        aggs.append(F.sum(amount).alias("__amt"))
-    # the range exchange is shared by both branches (exchange reuse)
-    parts = base.groupBy("__pid").agg(*aggs)
+    d = df.repartitionByRange(n, *oc).sortWithinPartitions(*oc).withColumn("__mid", F.monotonically_increasing_id())
+    d = d.withColumn("__pid", F.shiftright("__mid", _IDX_BITS)) \
+         .withColumn("__ln", F.col("__mid").bitwiseAND(F.lit((1 << _IDX_BITS) - 1)) + 1)
+    aggs = [F.count(F.lit(1)).alias("__cnt")] + ([F.sum(amount).alias("__amt")] if amount else [])
+    # both branches read one and the same range exchange
+    parts = d.groupBy("__pid").agg(*aggs)
     pw = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = parts.withColumn("__off", F.coalesce(F.sum("__cnt").over(pw), F.lit(0)))
-    cols = ["__pid", "__off"]
-    if amount:
-        offs = offs.withColumn("__aoff", F.coalesce(F.sum("__amt").over(pw), F.lit(0)))
-        cols.append("__aoff")
+    offs = parts.select("__pid", F.coalesce(F.sum("__cnt").over(pw), F.lit(0)).alias("__off"),
+                        *([F.coalesce(F.sum("__amt").over(pw), F.lit(0)).alias("__aoff")] if amount else []))
     # one row per partition: a proven, tiny bound → broadcast
-    out = d.join(F.broadcast(offs.select(*cols)), "__pid").withColumn("line_no", F.col("__off") + F.col("__ln"))
+    out = d.join(F.broadcast(offs), "__pid").withColumn("line_no", F.col("__off") + F.col("__ln"))
     if amount:
-        out = out.withColumn("running_amount", F.col("__aoff") + F.col("__run"))
-    return out.drop("__pid", "__ln", "__off", "__run", "__aoff")
+        run = Window.partitionBy("__pid").orderBy("__ln").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = out.withColumn("running_amount", F.col("__aoff") + F.sum(amount).over(run))
+    return out.drop("__pid", "__mid", "__ln", "__off", "__aoff")
 
 
 def pick_by_priority(df: DataFrame, keys, rules: list[tuple[Column, int]], order=None,

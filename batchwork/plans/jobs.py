@@ -103,7 +103,7 @@ def facility_master(bal: DataFrame, node: str, parent: str, kind: str, amount: s
     any-flag, undrawn limit, measures masked on flagged rows."""
     piv = bal.groupBy(node).pivot(kind, ["D", "I"]).agg(F.sum(amount))       # A11
     piv = piv.withColumnRenamed("D", "dcurbal").withColumnRenamed("I", "icurbal")
-    nodes = bal.select(node, parent, limit, flag.alias("flagged")).dropDuplicates([node])
+    nodes = bal.select(node, parent, limit, flag.alias("flagged")).transform(lambda d: K.first_by(d, node, []))
     rolled = A.rollup_child_to_parent(piv.join(nodes.select(node, parent), node, "left"), node,
                                       F.col(parent), ["dcurbal", "icurbal"])  # A20
     lv = H.assign_levels(nodes.select(node, parent), node, parent, root, 5)    # H2
@@ -143,7 +143,7 @@ def trade_register(lines: DataFrame, accounts: DataFrame, rept_date: str, layout
           .join(mdp.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
           .join(best.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
           .withColumn("arrears", C.arrears_months("days").cast("bigint")).withColumn("risk", cls))  # F23
-    return {"register": W.to_fixed(j, layout, flag_overflow=False)}                            # K2
+    return {"register": W.to_fixed(j, layout)}                            # K2
 
 
 def assembly(customers: DataFrame, orders: DataFrame, excluded: DataFrame, facility_map: DataFrame) -> DataFrame:
@@ -187,8 +187,8 @@ def loan_register(orders: DataFrame, lines: DataFrame, rept_date: str) -> DataFr
     })
     lay = [W.Out("o_orderkey", 1, 10, "zero"), W.Out("source", 11, 2), W.Out("pricing", 13, 5), W.Out("risk", 18, 11),
            W.Out("overdue", 29, 5, "zero"), W.Out("undrawn", 34, 15, "implied", decimals=2), W.Out("scheme", 49, 2)]
-    main = W.to_fixed(j, lay, flag_overflow=False).select("o_orderkey", F.lit("main").alias("extract"), "record")   # K2
-    imp_ext = W.to_fixed(j.where("impaired"), lay[:5], flag_overflow=False) \
+    main = W.to_fixed(j, lay).select("o_orderkey", F.lit("main").alias("extract"), "record")   # K2
+    imp_ext = W.to_fixed(j.where("impaired"), lay[:5]) \
                .select("o_orderkey", F.lit("impaired").alias("extract"), "record")                                # K6
     return main.unionByName(imp_ext)
 
@@ -201,7 +201,7 @@ def application_register(apps: DataFrame, customers: DataFrame, rates: DataFrame
         "amt_local", F.round(F.col("o_totalprice").cast("decimal(18,2)") * F.col("rate").cast("decimal(18,6)"), 2))
     j = app.join(customers, "o_custkey", "right")                                               # J5
     lay = [W.Out("o_orderkey", 1, 10, "zero"), W.Out("route", 11, 8), W.Out("amt_local", 19, 14, "implied", decimals=2)]
-    ext = W.to_fixed(j, lay, flag_overflow=False)                                               # K2
+    ext = W.to_fixed(j, lay)                                               # K2
     return ext.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "route",
                       F.col("amt_local").cast("double").alias("amt_local"),
                       F.when(F.col("o_orderkey").isNotNull(), F.col("record")).alias("record"))
@@ -216,7 +216,7 @@ def rollover_review(current: DataFrame, previous: DataFrame, customers: DataFram
     tot = j.groupBy("c_nationkey").agg(F.sum("o_totalprice").alias("__t"))                     # A16
     j = j.join(tot, "c_nationkey").withColumn("nation_share", F.round(F.col("o_totalprice") / F.col("__t"), 6))
     lay = [W.Out("o_custkey", 1, 8, "zero"), W.Out("d", 9, 8, "date", fmt="ddMMyyyy"), W.Out("o_orderkey", 17, 10, "zero")]
-    return W.to_fixed(j, lay, flag_overflow=False).select("o_custkey", "o_orderkey", F.col("d").alias("rollover_date"),
+    return W.to_fixed(j, lay).select("o_custkey", "o_orderkey", F.col("d").alias("rollover_date"),
                                                           "nation_share", "record")
 
 

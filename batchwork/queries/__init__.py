@@ -16,7 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 MODULES = ["scans", "sinks", "predicates", "joins", "aggs", "windows", "sets", "functions",
-           "hierarchy", "quality", "rules", "jobs"]
+           "hierarchy", "rules", "jobs"]
 
 
 def register(key: str, sql: str | None = None):
@@ -36,11 +36,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for m in MODULES:
-        try:
-            importlib.import_module(f"{__name__}.{m}")
-        except ModuleNotFoundError as e:
-            if e.name != f"{__name__}.{m}":
-                raise
+        importlib.import_module(f"{__name__}.{m}")
     return dict(QUERIES)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean as C
 from ..operators import agg as A
+from ..operators import keys as K
 from . import load, register
 from ._common import money_sum, msum
 
@@ -206,7 +207,7 @@ def total_back_to_detail(spark, sf):
     # large order is pre-aggregated instead of buffered in one window frame
     tot = li.groupBy("l_orderkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("t"),
                                        F.sum("l_extendedprice").alias("td"))
-    j = li.join(tot, "l_orderkey")
+    j = K.join_on(li, tot, "l_orderkey")
     return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
                     F.col("t").cast("double").alias("order_total"),
                     F.round(F.col("l_extendedprice") / F.col("td"), 6).alias("share"))

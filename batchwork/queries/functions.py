@@ -106,13 +106,13 @@ def num_parse(spark, sf):
 
 
 @register("code_normalise", """
-SELECT p_partkey, p_brand,
-       CASE WHEN length(substring(p_brand, 7)) = 1 THEN substring(p_brand, 7) || '0' ELSE substring(p_brand, 7) END AS brand_code
+SELECT p_partkey, p_size,
+       CASE WHEN p_size < 10 THEN '0' || CAST(p_size AS VARCHAR) || '0' ELSE CAST(p_size AS VARCHAR) END AS size_code
 FROM part
 """)
 def code_normalise(spark, sf):
     p = load(spark, sf, "part")
-    return p.select("p_partkey", "p_brand", C.normalise_code(F.substring("p_brand", 7, 10), 2, "0").alias("brand_code"))
+    return p.select("p_partkey", "p_size", C.normalise_code(F.lpad(F.col("p_size").cast("string"), 2, "0")).alias("size_code"))
 
 
 _MMDD_NUM = ("CAST(CASE WHEN day(o_orderdate) = 31 THEN '02' ELSE strftime(o_orderdate, '%m') END "

@@ -150,7 +150,7 @@ UNION ALL SELECT 2, CAST(o_orderkey AS VARCHAR) || ',' || c_name || ',' || strft
 def pl_maturity_split(spark, sf):
     o = (load(spark, sf, "orders").where(F.year("o_orderdate") == 1998)
          .select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_totalprice", "o_orderstatus"))
-    books = {"PBB": o.where("o_orderstatus = 'F'").drop("o_orderstatus"), "PIBB": o.where("o_orderstatus <> 'F'").drop("o_orderstatus")}
+    books = {"book_a": o.where("o_orderstatus = 'F'").drop("o_orderstatus"), "book_b": o.where("o_orderstatus <> 'F'").drop("o_orderstatus")}
     cust = load(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
     rep = P.maturity_split(books, cust, "o_custkey", {"local": F.col("o_custkey") < 750, "foreign": F.col("o_custkey") >= 750},
                            "MATURITY LIST", ["o_orderkey", "c_name", "o_orderdate", "o_totalprice"])
@@ -216,12 +216,11 @@ FROM orders o LEFT JOIN eff ON o.o_custkey = eff.o_custkey
 """)
 def pl_fee_extract(spark, sf):
     from .scans import _pack, write_packed
-    from ..session import local_path
     path = scratch_path(spark, "fee_packed")
     o = load(spark, sf, "orders")
     rec = o.select(F.concat(_pack(F.col("o_orderkey"), 6), _pack(F.col("o_custkey"), 6), _pack(F.col("o_totalprice"), 8, 2),
                             F.encode(F.col("o_orderstatus"), "US-ASCII")).alias("rec"))
-    write_packed(rec, "file://" + local_path(path) if path.startswith(("file:", "/")) else path)
+    write_packed(rec, path)
     fees = R.read_packed(spark, path, 21, [R.PackedField("o_orderkey", 1, 6), R.PackedField("o_custkey", 7, 6),
                                            R.PackedField("fee", 13, 8, 2), R.PackedField("o_orderstatus", 21, 1, kind="text")])
     fees = fees.select(F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"), "fee", "o_orderstatus")
@@ -373,8 +372,8 @@ def pl_trade_balances(spark, sf):
                     F.col("disburse").cast("double").alias("disburse"), F.col("repaid").cast("double").alias("repaid"))
 
 
-_REG_LAYOUT = [W.Out("o_orderkey", 1, 10, "zero"), W.Out("lines", 11, 30), W.Out("best_line", 41, 3, "zero"),
-               W.Out("arrears", 44, 3, "zero"), W.Out("risk", 47, 11)]
+_REG_LAYOUT = [W.Out("o_orderkey", 1, 18, "zero"), W.Out("lines", 19, 200), W.Out("best_line", 219, 3, "zero"),
+               W.Out("arrears", 222, 5, "zero"), W.Out("risk", 227, 11)]
 
 
 @register("pl_trade_register", f"""
@@ -390,8 +389,8 @@ best AS (SELECT l_orderkey, l_linenumber AS best_line FROM (SELECT l_orderkey, l
 r AS (SELECT oo.o_orderkey, oo.days, agg.lines, agg.avg_tax, best.best_line, CAST(floor(oo.days / 30.0005) AS BIGINT) AS arrears,
              CASE WHEN days < 90 THEN 'PASS' WHEN days < 183 THEN 'SUBSTANDARD' WHEN days < 366 THEN 'DOUBTFUL' ELSE 'LOSS' END AS risk
       FROM oo JOIN agg ON oo.o_orderkey = agg.l_orderkey JOIN best ON oo.o_orderkey = best.l_orderkey)
-SELECT o_orderkey, lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || rpad(lines, 30, ' ') || lpad(CAST(best_line AS VARCHAR), 3, '0')
-       || CASE WHEN arrears < 0 THEN '-' || lpad(CAST(abs(arrears) AS VARCHAR), 2, '0') ELSE lpad(CAST(arrears AS VARCHAR), 3, '0') END
+SELECT o_orderkey, lpad(CAST(o_orderkey AS VARCHAR), 18, '0') || rpad(lines, 200, ' ') || lpad(CAST(best_line AS VARCHAR), 3, '0')
+       || CASE WHEN arrears < 0 THEN '-' || lpad(CAST(abs(arrears) AS VARCHAR), 4, '0') ELSE lpad(CAST(arrears AS VARCHAR), 5, '0') END
        || rpad(risk, 11, ' ') AS record, avg_tax
 FROM r
 """)

@@ -212,7 +212,7 @@ def scale_minor_units(spark, sf):
     o = load(spark, sf, "orders")
     tp = F.col("o_totalprice").cast("decimal(18,2)")
     return o.select("o_orderkey", C.scale_minor_units(tp, 100).cast("bigint").alias("amount_cents"),
-                    C.scale_minor_units(tp / F.lit(3.7).cast("decimal(2,1)"), 100000).cast("bigint").alias("fx_scaled"))
+                    C.scale_minor_units(tp, 100000, divisor=F.lit(3.7).cast("decimal(2,1)")).cast("bigint").alias("fx_scaled"))
 
 
 @register("mask_measures", """

@@ -183,13 +183,12 @@ SELECT l_orderkey, l_linenumber,
        l_returnflag FROM lineitem
 """)
 def packed_decimal_scan(spark, sf):
-    from ..session import local_path
     path = scratch_path(spark, "line_packed")
     li = load(spark, sf, "lineitem")
     amt = F.when(F.col("l_returnflag") == "R", -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice"))
     rec = li.select(F.concat(_pack(F.col("l_orderkey"), 6), _pack(F.col("l_linenumber"), 2), _pack(amt, 8, 2),
                              F.encode(F.col("l_returnflag"), "US-ASCII")).alias("rec"))
-    write_packed(rec, "file://" + local_path(path) if path.startswith("file:") or path.startswith("/") else path)
+    write_packed(rec, path)
     df = R.read_packed(spark, path, LINE_RECLEN, LINE_PACKED)
     return df.select(F.col("l_orderkey").cast("bigint").alias("l_orderkey"),
                      F.col("l_linenumber").cast("int").alias("l_linenumber"),
@@ -263,8 +262,8 @@ def conform_schema(spark, sf):
 
 
 @register("two_book_scan", """
-SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 'PBB' ELSE 'PIBB' END AS book FROM orders
+SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 'book_a' ELSE 'book_b' END AS book FROM orders
 """)
 def two_book_scan(spark, sf):
     o = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    return R.scan_books({"PBB": o.where("o_orderstatus = 'F'"), "PIBB": o.where("o_orderstatus <> 'F'")})
+    return R.scan_books({"book_a": o.where("o_orderstatus = 'F'"), "book_b": o.where("o_orderstatus <> 'F'")})

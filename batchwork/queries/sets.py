@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import sets as S
+from ..operators.keys import join_on
 from . import load, register
 
 
@@ -80,6 +81,6 @@ def split_recombine(spark, sf):
     filtering twice and unioning."""
     o = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
     mx = o.groupBy("o_custkey").agg(F.max("o_totalprice").alias("__mx"))
-    j = o.join(mx, "o_custkey")
+    j = join_on(o, mx, "o_custkey")
     return j.select("o_orderkey", "o_custkey", "o_orderstatus",
                     F.when(F.col("o_orderstatus") == "P", F.col("__mx")).otherwise(F.col("o_totalprice")).alias("amount"))

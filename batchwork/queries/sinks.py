@@ -24,8 +24,8 @@ def write_read_back(spark, sf):
 
 
 # Fixed output layout of the customer extract (name, start, length, kind)
-CUST_EXTRACT = [W.Out("c_custkey", 1, 8, "zero"), W.Out("c_name", 9, 20), W.Out("c_nationkey", 29, 4, "num"),
-                W.Out("c_acctbal", 33, 10, "implied", decimals=2), W.Out("c_mktsegment", 43, 8)]
+CUST_EXTRACT = [W.Out("c_custkey", 1, 8, "zero"), W.Out("c_name", 9, 20, cut=True), W.Out("c_nationkey", 29, 4, "num"),
+                W.Out("c_acctbal", 33, 10, "implied", decimals=2), W.Out("c_mktsegment", 43, 8, cut=True)]
 
 
 def _sql_zero(x: str, width: int) -> str:
@@ -40,14 +40,12 @@ _CENTS = "CAST(ROUND(CAST(c_acctbal AS DECIMAL(38,10)) * 100) AS BIGINT)"
 SELECT c_custkey,
   {_sql_zero('c_custkey', 8)} || rpad(c_name, 20, ' ') || lpad(CAST(c_nationkey AS VARCHAR), 4, ' ')
   || substring({_sql_zero(_CENTS, 10)}, 1, 10) || rpad(c_mktsegment, 8, ' ') AS record,
-  concat_ws(',', CASE WHEN length(c_name) > 20 THEN 'c_name' END,
-                 CASE WHEN length(CAST(abs({_CENTS}) AS VARCHAR)) + CASE WHEN {_CENTS} < 0 THEN 1 ELSE 0 END > 10 THEN 'c_acctbal' END,
-                 CASE WHEN length(c_mktsegment) > 8 THEN 'c_mktsegment' END) AS overflow
+  concat_ws(',', CASE WHEN length(CAST(abs({_CENTS}) AS VARCHAR)) + CASE WHEN {_CENTS} < 0 THEN 1 ELSE 0 END > 10 THEN 'c_acctbal' END) AS overflow
 FROM customer
 """)
 def fixed_layout_extract(spark, sf):
     c = load(spark, sf, "customer")
-    out = W.to_fixed(c, CUST_EXTRACT)
+    out = W.to_fixed(c, CUST_EXTRACT, on_overflow="flag")
     return out.select("c_custkey", "record", F.array_join("overflow", ",").alias("overflow"))
 
 
@@ -63,7 +61,7 @@ SELECT o_orderkey, k || substring(p, 1, 3) || s || substring(p, 5, 5) || c AS re
 """)
 def layout_overlap(spark, sf):
     o = load(spark, sf, "orders")
-    return W.to_fixed(o, OVERLAP_LAYOUT, flag_overflow=False).select("o_orderkey", "record")
+    return W.to_fixed(o, OVERLAP_LAYOUT).select("o_orderkey", "record")
 
 
 @register("delimited_report", """
@@ -105,7 +103,7 @@ def conditional_extract(spark, sf):
     li = load(spark, sf, "lineitem").where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"))
     lay = [W.Out("l_orderkey", 1, 10, "zero"), W.Out("l_linenumber", 11, 3, "zero"),
            W.Out("l_extendedprice", 14, 12, "implied", decimals=2)]
-    return W.to_fixed(li, lay, flag_overflow=False).select("l_orderkey", "record")
+    return W.to_fixed(li, lay).select("l_orderkey", "record")
 
 
 @register("publish_snapshot", """

@@ -26,7 +26,7 @@ FROM lineitem
 """)
 def rank_ties_low(spark, sf):
     li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return K.rank_in(li, "l_orderkey", [F.col("l_quantity").desc()], "qty_rank")
+    return K.rank_in(li, "l_orderkey", "l_quantity", "qty_rank", descending=True)
 
 
 @register("dense_rank_group", """
@@ -36,7 +36,7 @@ FROM lineitem
 """)
 def dense_rank_group(spark, sf):
     li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_discount")
-    return K.rank_in(li, "l_orderkey", [F.col("l_discount").asc()], "disc_rank", dense=True)
+    return K.rank_in(li, "l_orderkey", "l_discount", "disc_rank", dense=True)
 
 
 @register("best_with_ties", """
@@ -116,7 +116,7 @@ def duplicate_rule(spark, sf):
     li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount")
     dup = K.duplicate_keys(li, ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber",
                                                                         F.lit(True).alias("__dup"))
-    j = li.join(dup, ["l_orderkey", "l_linenumber"], "left")
+    j = K.join_on(li, dup, ["l_orderkey", "l_linenumber"], "left")
     keep = F.col("__dup").isNull() | ((F.col("l_quantity") != 0) & (F.col("l_discount") != 0))
     return j.where(keep).drop("__dup")
 

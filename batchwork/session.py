@@ -54,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="batchwork-ckpt-")
     sc.setCheckpointDir(d)

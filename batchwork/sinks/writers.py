@@ -13,12 +13,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def gathered(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Rows of one output partition brought together before a partitioned write.
+
+    Spark splits the large ones and joins the small ones by the sizes it meets (adaptive
+    rebalancing), so the number of files follows the data, not tasks x partitions.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in partition_by])
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 formats: tuple[str, ...] = ("parquet", "csv"), mode: str = "overwrite") -> dict[str, str]:
     """K1: write each output as parquet and CSV (with header)."""
     out = {}
     for fmt in formats:
-        w = df.write.mode(mode)
+        w = (gathered(df, partition_by) if partition_by else df).write.mode(mode)
         if partition_by:
             w = w.partitionBy(*partition_by)
         p = f"{path.rstrip('/')}/{fmt}"
@@ -32,7 +41,7 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
 def publish(df: DataFrame, path: str, period_cols: list[str]) -> str:
     """K8: replace only the period partitions present in ``df`` (dynamic overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (gathered(df, period_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*period_cols).parquet(path))
     return path
 
@@ -50,7 +59,8 @@ class Out:
 
     ``kind``: ``text`` left-aligned blank-filled; ``num`` right-aligned blank-filled;
     ``zero`` zero-filled integer; ``implied`` zero-filled with ``decimals`` implied
-    decimals (value × 10^decimals); ``date`` with ``fmt``.
+    decimals (value × 10^decimals); ``date`` with ``fmt``.  A text
+    that is too long is cut only where the field says so (``cut``).
     """
     name: str
     start: int
@@ -59,6 +69,7 @@ class Out:
     decimals: int = 0
     fmt: str | None = None
     source: str | None = None    # column to read (defaults to name)
+    cut: bool = False            # a text field that takes the first ``length`` characters
 
 
 def _render(f: Out) -> Column:
@@ -123,28 +134,43 @@ def resolve_layout(layout: list[Out]) -> list[tuple[int, int, Out, int]]:
     return segs
 
 
-def to_fixed(df: DataFrame, layout: list[Out], record: str = "record", flag_overflow: bool = True) -> DataFrame:
+def _overflows(f: Out) -> Column:
+    return F.lit(False) if f.cut and f.kind == "text" else F.coalesce(_raw_width(f) > f.length, F.lit(False))
+
+
+def to_fixed(df: DataFrame, layout: list[Out], record: str = "record", on_overflow: str = "raise") -> DataFrame:
     """K2: one text column per row with every field at its exact position.
 
-    ``overflow`` lists fields whose value is wider than the field (``lpad``/``rpad``
-    would silently cut them); the record is still produced, truncated.
+    A value wider than its field is never cut.  ``on_overflow``: ``raise`` fails the job
+    and names the field; ``flag`` fills the field with ``*`` and adds ``overflow``, the
+    list of such fields (see ``fixed_and_rejects`` for a side output).
     """
-    segs = resolve_layout(layout)
+    if on_overflow not in ("raise", "flag"):
+        raise ValueError(on_overflow)
+
+    def whole(f: Out) -> Column:
+        if on_overflow == "flag":
+            return F.when(_overflows(f), F.lit("*" * f.length)).otherwise(_pad(f, _render(f)))
+        message = F.concat(F.lit(f"value of field {f.name} is wider than {f.length}: "), F.col(f.source or f.name).cast("string"))
+        return F.when(_overflows(f), F.raise_error(message).cast("string")).otherwise(_pad(f, _render(f)))
     # keyed by position in the layout: one column may be written at several places
-    rendered = {id(f): _pad(f, _render(f)) for f in layout}
-    parts = []
-    for start, length, f, off in segs:
-        if f is None:
-            parts.append(F.lit(" " * length))
-        else:
-            parts.append(F.substring(rendered[id(f)], off + 1, length))
+    rendered = {id(f): whole(f) for f in layout}
+    parts = [F.lit(" " * length) if f is None else F.substring(rendered[id(f)], off + 1, length)
+             for start, length, f, off in resolve_layout(layout)]
     out = df.withColumn(record, F.concat(*parts))
-    if flag_overflow:
-        over = F.array_distinct(F.array_compact(F.array(*[F.when(_raw_width(f) > f.length, F.lit(f.name)) for f in layout])))
-        out = out.withColumn("overflow", over)
+    if on_overflow == "flag":
+        out = out.withColumn("overflow", F.array_distinct(F.array_compact(
+            F.array(*[F.when(_overflows(f), F.lit(f.name)) for f in layout]))))
     return out
 
 
+def fixed_and_rejects(df: DataFrame, layout: list[Out], record: str = "record") -> dict[str, DataFrame]:
+    """K2 with a side output: ``records`` that fit, and ``rejects`` (rows with a value that does not)."""
+    out = to_fixed(df, layout, record, on_overflow="flag")
+    fits = F.size("overflow") == 0
+    return {"records": out.where(fits).drop("overflow"), "rejects": out.where(~fits)}
+
+
 # ------------------------------------------------------------------ routing / reports
 def route(df: DataFrame, routes: dict[str, Column], exclusive: bool = True, col: str = "route",
           default: str | None = None) -> DataFrame:
@@ -161,17 +187,18 @@ def route(df: DataFrame, routes: dict[str, Column], exclusive: bool = True, col:
 
 def write_routes(df: DataFrame, path: str, col: str = "route") -> str:
     """K5: one pass, one folder per route."""
-    df.write.mode("overwrite").partitionBy(col).parquet(path)
+    gathered(df, [col]).write.mode("overwrite").partitionBy(col).parquet(path)
     return path
 
 
 def exception_report(df: DataFrame, marker: dict[str, object]) -> DataFrame:
     """K9: the exceptions, or one marker row when there are none.
 
-    The marker row is derived from a global count of ``df`` (one row), kept only when
-    the count is 0 — no join and no driver round trip.
+    The marker row is kept when a one-row prefix of ``df`` is empty, so the test stops
+    at the first exception instead of running the whole input again.
     """
-    m = df.agg(F.count(F.lit(1)).alias("__n")).where("__n = 0")
+    one = df.sparkSession.range(1).withColumnRenamed("id", "__one")
+    m = one.join(df.limit(1).select(F.lit(0).cast("long").alias("__one")), "__one", "left_anti")
     m = m.select(*[F.lit(v).cast(df.schema[k].dataType).alias(k) if k in df.columns else F.lit(v).alias(k)
                    for k, v in marker.items()])
     return df.unionByName(m, allowMissingColumns=True)

@@ -8,7 +8,6 @@ read by tasks into an Arrow binary column (``mapInArrow``); decoding is still SQ
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 from functools import reduce
 
@@ -65,10 +64,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, optional
                   fmt: str = "parquet") -> DataFrame:
     """A source the caller marks optional yields an empty frame when absent;
     a required source that is absent raises."""
-    from ..session import local_path
-    p = local_path(path)
-    exists = os.path.exists(p) if "://" not in path or path.startswith("file:") else True
-    if not exists:
+    # asked of the file system that Spark itself would read the path from
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
         if not optional:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], schema)
@@ -263,8 +261,9 @@ def read_packed(spark: SparkSession, path: str, reclen: int, layout: list[Packed
     ranges = (files.select("path", "length", F.explode(F.sequence(
                   F.lit(0), F.greatest(F.ceil(F.col("length") / step).cast("int") - 1, F.lit(0)))).alias("i"))
                    .select("path", (F.col("i") * step).alias("start"),
-                           F.least(F.col("length"), (F.col("i") + 1) * step).alias("end"))
-                   .repartition(F.col("path"), F.col("start")))
+                           F.least(F.col("length"), (F.col("i") + 1) * step).alias("end")))
+    # one range per task; an explicit count is not coalesced by adaptive execution
+    ranges = ranges.repartition(max(1, ranges.count()))
 
     def read_ranges(batches):
         import pyarrow as pa

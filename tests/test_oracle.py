@@ -5,10 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from tools.oracle_check import TABLES, digest
+from tools.oracle_check import TABLES, difference, same_type
 
-QS = E.queries()
-ORS = E.oracle_sql()
+from batchwork.queries import all_oracles, all_queries
+
+QS = all_queries()
+ORS = all_oracles()
 SF = "/root/testdata/sf0.001"
 
 
@@ -39,6 +41,16 @@ def test_matches_oracle(spark, duck, key):
     rel = duck.sql(ORS[key])
     drows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
-    assert len(srows) == len(drows)
-    assert digest(df.columns, srows)[0] == digest(rel.columns, drows)[0]
-
+    types = dict(zip(rel.columns, map(str, rel.types)))
+    assert [(c, t, types[c]) for c, t in df.dtypes if not same_type(t, types[c])] == []
+    assert difference(df.columns, srows, rel.columns, drows) is None
+
+
+def test_comparison_sees_small_differences():
+    row = (7, 1234567.25, "x")
+    assert difference("abc", [row], "abc", [row]) is None
+    assert difference("abc", [row], "abc", [(8, 1234567.25, "x")])
+    assert difference("abc", [row], "abc", [(7, 1234567.26, "x")])
+    assert difference("abc", [(2 ** 53 + 1, 0.0, "x")], "abc", [(2 ** 53, 0.0, "x")])
+    assert difference("a", [(float("nan"),)], "a", [(None,)])
+    assert not same_type("bigint", "DOUBLE") and not same_type("string", "DATE") and same_type("int", "BIGINT")
