@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import parent_join
-from .keys import best_with_ties
+from .keys import best_with_ties, join_on
 
 
 def parent_chain_depth(df: DataFrame, ref: str | None, child_id: str, parent_id: str, levels: int = 3,
@@ -19,28 +19,64 @@ def parent_chain_depth(df: DataFrame, ref: str | None, child_id: str, parent_id:
     return best_with_ties(chain, rank_by or ref, [F.col("depth").desc()])
 
 
-def assign_levels(nodes: DataFrame, node: str, parent: str, root_value, max_level: int = 5) -> DataFrame:
-    """H2: level of each node below the root, by a bounded level-by-level walk.
+def assign_levels(nodes: DataFrame, node: str, parent: str, root_value, max_level: int = 5,
+                  account: str | None = None) -> DataFrame:
+    """H2: level of each node below its account's root, and the path to it.
 
-    Level 1 = the root ``root_value``; level i = children of level i-1 nodes.  Nodes
-    not reached within ``max_level`` levels (too deep, orphans, cycles) keep a null
-    level.  Each step is one join of the remaining nodes against the previous level;
-    the loop is unrolled into one plan (``max_level`` joins, fixed), each frontier is
-    cut to (node) only so the plan stays narrow.
+    Level 1 = the root ``root_value``; level i = a child of a level i-1 node of the same
+    account.  ``path`` lists the nodes from the root down to the node itself (LEVEL1 ...
+    LEVEL5).  Nodes not reached within ``max_level`` levels (too deep, orphans, cycles, an
+    account without a root row) have a null level and path.
+
+    Each node looks its ancestors up, ``max_level - 1`` joins on (account, node) over the
+    narrow parent table; no step repeats the ones before it.  A node listed under several
+    parents takes the smallest.
+    """
+    acc = [account] if account else []
+    up = nodes.groupBy(*acc, node).agg(F.min(parent).alias("__up"))
+    chain = up.withColumn("__a1", F.col("__up")).drop("__up")
+    path = F.when(F.col(node) == root_value, F.array(F.col(node)))
+    below = F.array(F.col(node))
+    for i in range(1, max_level):
+        step = up.select(*acc, F.col(node).alias(f"__a{i}"), F.col("__up").alias(f"__a{i + 1}"), F.lit(True).alias(f"__found{i}"))
+        chain = chain.join(step, [*acc, f"__a{i}"], "left")
+        below = F.concat(F.array(F.col(f"__a{i}")), below)
+        path = F.coalesce(path, F.when(F.col(f"__found{i}") & (F.col(f"__a{i}") == root_value), below))
+    found = chain.select(*acc, node, path.alias("path")).where("path is not null")
+    return join_on(nodes, found.withColumn("level", F.size("path")), [*acc, node], "left")
+
+
+def level_columns(df: DataFrame, max_level: int = 5, prefix: str = "level") -> DataFrame:
+    """LEVEL1 ... LEVELn from the path (null where the node lies higher)."""
+    return df.withColumns({f"{prefix}{i}": F.get("path", F.lit(i - 1)) for i in range(1, max_level + 1)})
+
+
+# facility numbers start with one of these (fixed values)
+FACILITY_FIRST = list("123456789ABCDEFGH")
+
+
+def facility_node(sub_account, relation) -> tuple[Column, Column, Column]:
+    """H3: facility, parent and kind of a sub-account row; successive rules, the last match wins.
+
+    Kinds: A root (``OV`` without a relation), B facility group (``FA``), C sub-limit (``F?SB``),
+    X row that relates to a numbered facility, E any other.
     """
-    rest = nodes.select(F.col(node).alias("__n"), F.col(parent).alias("__p"))
-    frontier = rest.where(F.col("__n") == F.lit(root_value)).select("__n").withColumn("level", F.lit(1))
-    found = frontier
-    for lv in range(2, max_level + 1):
-        nxt = (rest.join(frontier.select(F.col("__n").alias("__p")), on="__p", how="left_semi")
-                   .select("__n").withColumn("level", F.lit(lv)))
-        found = found.unionByName(nxt)
-        frontier = nxt
-    return nodes.join(found.withColumnRenamed("__n", node), on=node, how="left")
+    sub, rel = F.rtrim(F.col(sub_account)), F.coalesce(F.rtrim(F.col(relation)), F.lit(""))
+    first5 = F.rtrim(F.substring(sub, 1, 5))
+    rules = [((rel == "") & (sub == "OV"), "OV", F.lit("NIL"), "A"),
+             (F.substring(sub, 1, 1).isin(FACILITY_FIRST), first5, rel, None),
+             (F.substring(rel, 1, 1).isin(FACILITY_FIRST[:9]), first5, rel, "X"),
+             (sub.startswith("FA"), first5, F.lit("OV"), "B"),
+             (sub.startswith("F") & (F.substring(sub, 3, 2) == "SB"), sub, rel, "C")]
+    facility, parent, kind = F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit("E")
+    for when, f, p, k in rules:
+        facility, parent = F.when(when, f).otherwise(facility), F.when(when, p).otherwise(parent)
+        kind = F.when(when, F.lit(k)).otherwise(kind) if k else kind
+    return facility, parent, kind
 
 
 def node_role(id_col, rules: list[tuple[str, str]], default: str = "OTHER"):
-    """H3: role from id patterns, successive rules with the last match winning."""
+    """Role from id patterns, successive rules with the last match winning."""
     out = F.lit(default)
     for pattern, role in rules:           # applied in order: later rules overwrite
         out = F.when(F.col(id_col).rlike(pattern), F.lit(role)).otherwise(out)
@@ -48,6 +84,6 @@ def node_role(id_col, rules: list[tuple[str, str]], default: str = "OTHER"):
 
 
 def strip_level_prefix(label):
-    """H4: labels written as '<level digit><text>' lose the level digit."""
+    """H4: a label that starts with a level digit becomes its next three characters."""
     c = F.col(label)
-    return F.when(c.rlike("^[1-9]"), F.substring(c, 2, 1 << 20)).otherwise(c)
+    return F.when(c.rlike("^[1-9]"), F.substring(c, 2, 3)).otherwise(c)

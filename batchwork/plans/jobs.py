@@ -97,6 +97,34 @@ def weekly_accumulate(week: DataFrame, prior: DataFrame, keys, measure: str, rem
     return A.crosstab_totals(acc, row, col, measure, col_values)
 
 
+def daily_detail(subs: DataFrame, credits: DataFrame, master: DataFrame, provisions: DataFrame, prior: DataFrame,
+                 labels: DataFrame, rept_date: str) -> DataFrame:
+    """L3: one row per reference, sub-account and amount, with its parent chain.
+
+    ``subs`` (ref, sub, parent, account, ref2) keeps the deepest rows of each reference (H1);
+    credits join on (ref, sub, maturity), then the account master and provisions, each as a
+    full join of which rows with a reference stay (J3); the prior snapshot gives the last
+    interest receivable, recomputed by product and day (D7) and added to what is
+    outstanding; repeated rows go, and of references that still repeat only rows with a
+    limit and an amount outstanding stay (W9); products get their label (J12).
+    """
+    named = F.trim(F.col("ref").cast("string")) != ""
+    chain = H.parent_chain_depth(subs.where(named), "ref", "sub", "parent", levels=3, rank_by="ref")
+    rows = chain.select("ref", "ref2", "sub", "account", "maturity", "depth")
+    rows = K.join_on(rows, credits, ["ref", "sub", "maturity"], "full").where(named)
+    rows = K.join_on(rows, master, "account", "full").where(named)
+    rows = K.join_on(rows, provisions, ["ref2", "sub"], "full").where(named)
+    rows = J.merge_left(rows, prior, "ref")
+    rows = K.first_by(rows, ["ref", "account", "sub", "outstanding"], [])
+    rd = F.lit(rept_date).cast("date")
+    receivable = RK.interest_receivable(F.col("principal"), F.col("discount"), F.col("discount_foreign"), F.col("interest_ytd"), F.col("rate"),
+                                        F.col("product"), F.lit(rept_date[8:] == "01"), C.same_month("issued", rd), F.col("prior_receivable"))
+    rows = rows.withColumn("receivable", receivable).withColumn("outstanding", C.row_sum("outstanding", "receivable"))
+    repeated = K.join_on(rows, K.duplicate_keys(rows, "ref").select("ref", F.lit(True).alias("repeats")), "ref", "left")
+    kept = repeated.where(F.col("repeats").isNull() | ((F.coalesce("limit_amount", F.lit(0)) != 0) & (F.coalesce("outstanding", F.lit(0)) != 0)))
+    return kept.drop("repeats").join(labels, "product", "left")
+
+
 def facility_master(bal: DataFrame, node: str, parent: str, kind: str, amount: str, root,
                     limit: str, flag: F.Column) -> DataFrame:
     """direct/indirect balances pivoted, children rolled to parents, levels,
@@ -138,7 +166,7 @@ def trade_register(lines: DataFrame, accounts: DataFrame, rept_date: str, layout
                               [(F.col("l_returnflag") == "R", 1), (F.col("l_linestatus") == "O", 2)],
                               [F.col("l_extendedprice").desc()]) \
             .select("l_orderkey", F.col("l_linenumber").alias("best_line"))                     # W13
-    cls, _ = RK.risk_class(F.col("days"))                                                       # D5
+    cls, _ = RK.provision_class(F.col("days"), F.lit(None).cast("string"), F.lit(1))             # D5
     j = (o.join(cat.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
           .join(mdp.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
           .join(best.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
@@ -176,17 +204,16 @@ def loan_register(orders: DataFrame, lines: DataFrame, rept_date: str) -> DataFr
     j = acct.join(rep.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey").join(
         drawn.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left")
     rd = F.lit(rept_date).cast("date")
-    j = j.withColumn("overdue", RK.overdue_days(F.col("first_unpaid"),
-                                                F.date_add(F.col("o_orderdate").cast("date"), 30), rd))  # D6
-    cls, imp = RK.risk_class(F.col("overdue"))                                                   # D5
+    j = j.withColumn("overdue", RK.overdue_loan(F.least("first_unpaid", F.date_add(F.col("o_orderdate").cast("date"), 30)), rd))  # D6
+    cls, imp = RK.provision_class(F.col("overdue"), F.lit(None).cast("string"), F.col("o_totalprice"))  # D5
     j = j.withColumns({
         "pricing": F.when(F.col("l_tax") == 0, F.lit("FIXED")).otherwise(F.lit("BLR")),           # D3
         "risk": cls, "impaired": imp,
         "undrawn": F.greatest(C.row_sum(F.col("o_totalprice").cast("decimal(18,2)"), -F.col("drawn")), F.lit(0)),  # D8
         "scheme": F.when(F.col("o_totalprice") > 300000, F.lit("21")).otherwise(F.lit("00")),     # D10
     })
-    lay = [W.Out("o_orderkey", 1, 10, "zero"), W.Out("source", 11, 2), W.Out("pricing", 13, 5), W.Out("risk", 18, 11),
-           W.Out("overdue", 29, 5, "zero"), W.Out("undrawn", 34, 15, "implied", decimals=2), W.Out("scheme", 49, 2)]
+    lay = [W.Out("o_orderkey", 1, 10, "zero"), W.Out("source", 11, 2), W.Out("pricing", 13, 5), W.Out("risk", 18, 1),
+           W.Out("overdue", 19, 5, "zero"), W.Out("undrawn", 24, 15, "implied", decimals=2), W.Out("scheme", 39, 2)]
     main = W.to_fixed(j, lay).select("o_orderkey", F.lit("main").alias("extract"), "record")   # K2
     imp_ext = W.to_fixed(j.where("impaired"), lay[:5]) \
                .select("o_orderkey", F.lit("impaired").alias("extract"), "record")                                # K6

@@ -37,26 +37,42 @@ def parent_chain_depth(spark, sf):
     return out.select("p_partkey", "p_brand", F.col("depth").cast("int").alias("depth"))
 
 
+# three accounts hold the same node ids; in each some nodes are missing, which orphans their children
+_ACCOUNT_NODES_SQL = f"""p AS (SELECT * FROM (SELECT a.acct, p_partkey, {_PARENT_SQL} AS parent FROM part, (VALUES (0), (1), (2)) a(acct))
+  WHERE p_partkey = 0 OR (p_partkey + acct) % 11 <> 5)"""
+
+
 @register("level_hierarchy", f"""
-WITH RECURSIVE p AS (SELECT p_partkey, {_PARENT_SQL} AS parent FROM part),
-lv(node, level) AS (
-  SELECT p_partkey, 1 FROM p WHERE p_partkey = 0
+WITH RECURSIVE {_ACCOUNT_NODES_SQL},
+lv(acct, node, path) AS (
+  SELECT acct, p_partkey, [p_partkey] FROM p WHERE p_partkey = 0
   UNION ALL
-  SELECT p.p_partkey, lv.level + 1 FROM p JOIN lv ON p.parent = lv.node WHERE lv.level < 5)
-SELECT p.p_partkey, p.parent, CAST(lv.level AS INTEGER) AS level,
-       CASE WHEN lv.level IS NULL THEN NULL ELSE list_value(
-         CASE WHEN lv.level >= 1 THEN 'L1' END, CASE WHEN lv.level >= 2 THEN 'L2' END,
-         CASE WHEN lv.level >= 3 THEN 'L3' END, CASE WHEN lv.level >= 4 THEN 'L4' END,
-         CASE WHEN lv.level >= 5 THEN 'L5' END)[lv.level] END AS level_label
-FROM p LEFT JOIN lv ON p.p_partkey = lv.node
+  SELECT p.acct, p.p_partkey, list_append(lv.path, p.p_partkey) FROM p JOIN lv ON p.acct = lv.acct AND p.parent = lv.node
+  WHERE len(lv.path) < 5)
+SELECT CAST(p.acct AS BIGINT) AS acct, p.p_partkey, p.parent, CAST(len(lv.path) AS INTEGER) AS level,
+       lv.path[1] AS level1, lv.path[2] AS level2, lv.path[3] AS level3, lv.path[4] AS level4, lv.path[5] AS level5
+FROM p LEFT JOIN lv ON p.p_partkey = lv.node AND p.acct = lv.acct
 """)
 def level_hierarchy(spark, sf):
-    p = _parts(spark, sf).select("p_partkey", "parent")
-    out = H.assign_levels(p, "p_partkey", "parent", 0, max_level=5)
-    # an array of level slots, the i-th set for a node on level i
-    slots = F.array(*[F.when(F.col("level") >= i, F.lit(f"L{i}")) for i in range(1, 6)])
-    return out.select("p_partkey", "parent", F.col("level").cast("int").alias("level"),
-                      F.when(F.col("level").isNotNull(), F.element_at(slots, F.col("level"))).alias("level_label"))
+    p = _parts(spark, sf).select(F.explode(F.array(*[F.lit(a).cast("long") for a in range(3)])).alias("acct"), "p_partkey", "parent") \
+        .where("p_partkey = 0 or (p_partkey + acct) % 11 <> 5")
+    out = H.level_columns(H.assign_levels(p, "p_partkey", "parent", 0, max_level=5, account="acct"))
+    return out.select("acct", "p_partkey", "parent", "level", *[f"level{i}" for i in range(1, 6)])
+
+
+@register("append_runs", f"""
+SELECT o_orderkey, 1 AS run FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT o_orderkey, 2 FROM orders WHERE o_orderstatus <> 'F'
+""")
+def append_runs(spark, sf):
+    """K7: two runs append to one growing table."""
+    from ..session import scratch_path
+    from ..sinks import writers as W
+    path = scratch_path(spark, "grown")
+    o = load(spark, sf, "orders")
+    for run, which in ((1, "o_orderstatus = 'F'"), (2, "o_orderstatus <> 'F'")):
+        W.append(o.where(which).select("o_orderkey", F.lit(run).alias("run")), path)
+    return spark.read.parquet(path)
 
 
 # Fixed node-role rules (pattern, role); applied in order, the later match wins
@@ -74,9 +90,33 @@ def node_role(spark, sf):
     return p.select("p_partkey", "p_type", H.node_role("p_type", NODE_ROLE_RULES).alias("role"))
 
 
+@register("facility_node", """
+WITH s AS (SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'OV' WHEN 1 THEN CAST(p_partkey AS VARCHAR) || 'X' WHEN 2 THEN 'FA' || CAST(p_partkey AS VARCHAR)
+                  WHEN 3 THEN 'F1SB' || CAST(p_partkey AS VARCHAR) WHEN 4 THEN 'B' || CAST(p_partkey AS VARCHAR) ELSE 'ZZ9' END AS sub,
+                  CASE p_partkey % 5 WHEN 0 THEN '' WHEN 1 THEN '7' || CAST(p_partkey AS VARCHAR) WHEN 2 THEN NULL ELSE 'FA1' END AS rel FROM part),
+r AS (SELECT *, COALESCE(rel, '') AS rr, substring(sub, 1, 5) AS five FROM s)
+SELECT p_partkey,
+  CASE WHEN sub LIKE 'F_SB%' THEN sub WHEN sub LIKE 'FA%' OR regexp_matches(rr, '^[1-9]') OR regexp_matches(sub, '^[1-9A-H]') THEN five
+       WHEN sub = 'OV' AND rr = '' THEN 'OV' END AS facility,
+  CASE WHEN sub LIKE 'F_SB%' THEN rr WHEN sub LIKE 'FA%' THEN 'OV' WHEN regexp_matches(rr, '^[1-9]') OR regexp_matches(sub, '^[1-9A-H]') THEN rr
+       WHEN sub = 'OV' AND rr = '' THEN 'NIL' END AS parent,
+  CASE WHEN sub LIKE 'F_SB%' THEN 'C' WHEN sub LIKE 'FA%' THEN 'B' WHEN regexp_matches(rr, '^[1-9]') THEN 'X'
+       WHEN sub = 'OV' AND rr = '' THEN 'A' ELSE 'E' END AS kind
+FROM r
+""")
+def facility_node(spark, sf):
+    k, t = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    sub = F.when(k % 6 == 0, F.lit("OV")).when(k % 6 == 1, F.concat(t, F.lit("X"))).when(k % 6 == 2, F.concat(F.lit("FA"), t)) \
+        .when(k % 6 == 3, F.concat(F.lit("F1SB"), t)).when(k % 6 == 4, F.concat(F.lit("B"), t)).otherwise(F.lit("ZZ9"))
+    rel = F.when(k % 5 == 0, F.lit("")).when(k % 5 == 1, F.concat(F.lit("7"), t)).when(k % 5 == 2, F.lit(None)).otherwise(F.lit("FA1"))
+    p = load(spark, sf, "part").select("p_partkey", sub.alias("sub"), rel.alias("rel"))
+    facility, parent, kind = H.facility_node("sub", "rel")
+    return p.select("p_partkey", facility.alias("facility"), parent.alias("parent"), kind.alias("kind"))
+
+
 @register("label_strip_prefix", """
 WITH l AS (SELECT p_partkey, CASE WHEN p_size < 10 THEN CAST(p_size AS VARCHAR) || p_name ELSE p_name END AS label FROM part)
-SELECT p_partkey, label, CASE WHEN regexp_matches(label, '^[1-9]') THEN substring(label, 2) ELSE label END AS stripped FROM l
+SELECT p_partkey, label, CASE WHEN regexp_matches(label, '^[1-9]') THEN substring(label, 2, 3) ELSE label END AS stripped FROM l
 """)
 def label_strip_prefix(spark, sf):
     p = load(spark, sf, "part")
@@ -85,30 +125,30 @@ def label_strip_prefix(spark, sf):
     return l.select("p_partkey", "label", H.strip_level_prefix("label").alias("stripped"))
 
 
-@register("undrawn_limit", f"""
-WITH u AS (SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS used FROM orders WHERE year(o_orderdate) = 1998 GROUP BY 1),
-c AS (SELECT c.c_custkey, CAST(c.c_acctbal AS DECIMAL(18,2)) * 100 AS lim, u.used FROM customer c LEFT JOIN u ON c.c_custkey = u.o_custkey),
-a AS (SELECT c_custkey, used,
-        CASE WHEN lim IS NULL OR lim < 0 THEN (CASE WHEN used > 0 THEN used ELSE 0 END) ELSE lim END AS lim2 FROM c)
-SELECT c_custkey, CAST(lim2 AS DOUBLE) AS approved_limit, CAST(used AS DOUBLE) AS used,
-  CAST(CASE WHEN (CASE WHEN lim2 IS NULL AND used IS NULL THEN NULL ELSE COALESCE(lim2, 0) - COALESCE(used, 0) END) IS NULL
-            OR (COALESCE(lim2, 0) - COALESCE(used, 0)) < 0 THEN 0
-       ELSE COALESCE(lim2, 0) - COALESCE(used, 0) END AS DOUBLE) AS undrawn
-FROM a
+@register("undrawn_limit", """
+WITH u AS (SELECT o_custkey, COUNT(*) FILTER (o_orderstatus = 'F') AS nd, COUNT(*) FILTER (o_orderstatus <> 'F') AS ni,
+                  COALESCE(SUM(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderstatus = 'F'), 0) - 500000 AS direct,
+                  COALESCE(SUM(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderstatus <> 'F'), 0) AS indirect FROM orders GROUP BY 1),
+c AS (SELECT c_custkey, CAST(c_acctbal AS DECIMAL(18,2)) * 1000 AS lim,
+             CASE WHEN nd > 0 THEN GREATEST(direct, 0) END AS d, CASE WHEN ni > 0 THEN GREATEST(indirect, 0) END AS i
+      FROM customer LEFT JOIN u ON c_custkey = o_custkey)
+SELECT c_custkey, CAST(CASE WHEN d IS NOT NULL THEN COALESCE(lim, 0) - d - COALESCE(i, 0) END AS DOUBLE) AS undrawn_direct,
+       CAST(CASE WHEN lim IS NOT NULL OR i IS NOT NULL THEN COALESCE(lim, 0) - COALESCE(i, 0) END AS DOUBLE) AS undrawn_indirect
+FROM c
 """)
 def undrawn_limit(spark, sf):
-    from ..rules.credit import undrawn
-    u = (load(spark, sf, "orders").where(F.year("o_orderdate") == 1998).groupBy("o_custkey")
-         .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("used")))
+    from ..rules.credit import undrawn_by_use
+    direct, amt = F.col("o_orderstatus") == "F", F.col("o_totalprice").cast("decimal(18,2)")
+    u = load(spark, sf, "orders").groupBy("o_custkey").agg(
+        F.count_if(direct).alias("nd"), F.count_if(~direct).alias("ni"),
+        (F.coalesce(F.sum(F.when(direct, amt)), F.lit(0)) - 500000).alias("direct"),
+        F.coalesce(F.sum(F.when(~direct, amt)), F.lit(0)).alias("indirect"))
     c = load(spark, sf, "customer")
-    j = c.join(u, c.c_custkey == u.o_custkey, "left").select(
-        "c_custkey", (F.col("c_acctbal").cast("decimal(18,2)") * 100).alias("lim"), "used")
-    lim2, und = undrawn(F.col("lim"), F.col("used"))
-    return j.select("c_custkey", lim2.cast("double").alias("approved_limit"), F.col("used").cast("double").alias("used"),
-                    und.cast("double").alias("undrawn"))
+    j = c.join(u, c.c_custkey == u.o_custkey, "left").withColumn("lim", F.col("c_acctbal").cast("decimal(18,2)") * 1000)
+    d, i = undrawn_by_use(F.col("lim"), F.col("direct"), F.col("indirect"), F.col("nd") > 0, F.col("ni") > 0)
+    return j.select("c_custkey", d.cast("double").alias("undrawn_direct"), i.cast("double").alias("undrawn_indirect"))
 
 
-# ------------------------------------------------------------------ quality
 @register("freshness_gate", """
 SELECT 'orders' AS feed, CAST(MAX(o_orderdate) AS DATE) AS latest_date, DATE '2001-08-01' AS asof,
        COALESCE(CAST(MAX(o_orderdate) AS DATE) = DATE '2001-08-01', FALSE) AS fresh FROM orders

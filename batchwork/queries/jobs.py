@@ -109,6 +109,59 @@ def pl_freshness(spark, sf):
     return v.select("feed", F.col("latest_date"), (F.col("latest_date") >= F.col("asof")).alias("fresh"))
 
 
+@register("pl_daily_detail", f"""
+WITH s AS (SELECT l_orderkey AS ref, l_linenumber AS sub, CASE WHEN l_linenumber > 1 THEN l_linenumber // 2 END AS parent, l_partkey AS account,
+                  l_orderkey % 1000 AS ref2, CAST(l_shipdate AS DATE) AS maturity FROM lineitem),
+c AS (SELECT a.*, a1.sub AS s1, a2.sub AS s2, a3.sub AS s3 FROM s a LEFT JOIN s a1 ON a.ref = a1.ref AND a.parent = a1.sub
+      LEFT JOIN s a2 ON a.ref = a2.ref AND a1.parent = a2.sub LEFT JOIN s a3 ON a.ref = a3.ref AND a2.parent = a3.sub),
+d AS (SELECT *, (s1 IS NOT NULL)::INT + (s2 IS NOT NULL)::INT + (s3 IS NOT NULL)::INT AS depth FROM c),
+u AS (SELECT ref, ref2, sub, account, maturity, depth FROM (SELECT *, RANK() OVER (PARTITION BY ref ORDER BY depth DESC) AS r FROM d) WHERE r = 1),
+cr AS (SELECT l_orderkey AS ref, l_linenumber AS sub, CAST(l_shipdate AS DATE) AS maturity, CAST(l_extendedprice AS DECIMAL(18,2)) AS outstanding,
+              CAST(l_quantity AS DECIMAL(18,2)) AS principal, CAST(l_discount AS DECIMAL(18,2)) AS discount, CAST(l_tax AS DECIMAL(18,2)) AS interest_ytd,
+              CASE l_linenumber % 3 WHEN 0 THEN 'MCF' WHEN 1 THEN 'FTI' ELSE 'BAP' END AS product, CAST(l_shipdate AS DATE) AS issued FROM lineitem
+       WHERE l_returnflag <> 'R'),
+m AS (SELECT p_partkey AS account, CASE WHEN p_size % 5 = 0 THEN 0 ELSE p_size END AS limit_amount FROM part),
+pv AS (SELECT o_orderkey % 1000 AS ref2, MAX(o_totalprice) AS provision FROM orders GROUP BY 1),
+pr AS (SELECT o_orderkey AS ref, 5 AS prior_receivable FROM orders WHERE o_orderstatus = 'O'),
+j AS (SELECT u.*, cr.outstanding, cr.principal, cr.discount, cr.interest_ytd, cr.product, cr.issued, m.limit_amount, pv.provision, pr.prior_receivable
+      FROM u LEFT JOIN cr ON u.ref = cr.ref AND u.sub = cr.sub AND u.maturity = cr.maturity LEFT JOIN m ON u.account = m.account
+      LEFT JOIN pv ON u.ref2 = pv.ref2 AND u.sub = 1 LEFT JOIN pr ON u.ref = pr.ref
+      UNION ALL
+      SELECT cr.ref, NULL, cr.sub, NULL, cr.maturity, NULL, cr.outstanding, cr.principal, cr.discount, cr.interest_ytd, cr.product, cr.issued, NULL, NULL,
+             pr.prior_receivable FROM cr LEFT JOIN pr ON cr.ref = pr.ref
+      WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.ref = cr.ref AND u.sub = cr.sub AND u.maturity = cr.maturity)),
+n AS (SELECT DISTINCT ON (ref, account, sub, outstanding) * FROM j ORDER BY ref, account, sub, outstanding),
+x AS (SELECT *, CASE WHEN COALESCE(principal, 0) = 0 OR discount = 0 THEN 0
+                     WHEN product = 'MCF' THEN (CASE WHEN year(issued) = 1998 AND month(issued) = 8 THEN -(discount / 2) * 2 ELSE prior_receivable END)
+                     ELSE interest_ytd - discount END AS receivable FROM n),
+y AS (SELECT *, CASE WHEN outstanding IS NULL AND receivable IS NULL THEN NULL ELSE COALESCE(outstanding, 0) + COALESCE(receivable, 0) END AS total,
+             COUNT(*) OVER (PARTITION BY ref) AS k FROM x)
+SELECT ref, CAST(sub AS INTEGER) AS sub, account, depth, CAST(total AS DOUBLE) AS outstanding, CAST(receivable AS DOUBLE) AS receivable, limit_amount,
+       provision, CASE product WHEN 'MCF' THEN 'foreign bill' WHEN 'FTI' THEN 'trade invoice' END AS facility
+FROM y WHERE k = 1 OR (COALESCE(limit_amount, 0) <> 0 AND COALESCE(total, 0) <> 0)
+""")
+def pl_daily_detail(spark, sf):
+    """Daily detail (see ``plans.jobs.daily_detail``): lines as sub-accounts of their order
+    (line n below line n // 2), credits from unreturned lines, parts as account masters."""
+    li, o = load(spark, sf, "lineitem"), load(spark, sf, "orders")
+    dec = lambda c: F.col(c).cast("decimal(18,2)")
+    key = [F.col("l_orderkey").alias("ref"), F.col("l_linenumber").alias("sub"), F.col("l_shipdate").cast("date").alias("maturity")]
+    n = F.col("l_linenumber")
+    subs = li.select(*key, F.when(n > 1, F.floor(n / 2).cast("int")).alias("parent"), F.col("l_partkey").alias("account"), (F.col("l_orderkey") % 1000).alias("ref2"))
+    credits = li.where("l_returnflag <> 'R'").select(
+        *key, dec("l_extendedprice").alias("outstanding"), dec("l_quantity").alias("principal"), dec("l_discount").alias("discount"),
+        (dec("l_discount") / 2).alias("discount_foreign"), dec("l_tax").alias("interest_ytd"), F.lit(2).alias("rate"),
+        F.when(n % 3 == 0, "MCF").when(n % 3 == 1, "FTI").otherwise("BAP").alias("product"), F.col("l_shipdate").cast("date").alias("issued"))
+    size = F.col("p_size")
+    master = load(spark, sf, "part").select(F.col("p_partkey").alias("account"), F.when(size % 5 == 0, 0).otherwise(size).alias("limit_amount"))
+    provisions = o.groupBy((F.col("o_orderkey") % 1000).alias("ref2")).agg(F.max("o_totalprice").alias("provision")).withColumn("sub", F.lit(1))
+    prior = o.where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("ref"), F.lit(5).alias("prior_receivable"))
+    labels = J.code_table(spark, [("MCF", "foreign bill"), ("FTI", "trade invoice")], "product string, facility string")
+    out = P.daily_detail(subs, credits, master, provisions, prior, labels, REPORT_DATE)
+    return out.select("ref", F.col("sub").cast("int").alias("sub"), "account", "depth", F.col("outstanding").cast("double").alias("outstanding"),
+                      F.col("receivable").cast("double").alias("receivable"), "limit_amount", "provision", "facility")
+
+
 @register("pl_deal_join", """
 WITH lg AS (SELECT l_orderkey AS o_orderkey, COUNT(*) AS n_legs FROM lineitem GROUP BY 1),
 u AS (SELECT k, label FROM (SELECT k, label, ROW_NUMBER() OVER (PARTITION BY k ORDER BY src, label) AS rn FROM (
@@ -373,7 +426,7 @@ def pl_trade_balances(spark, sf):
 
 
 _REG_LAYOUT = [W.Out("o_orderkey", 1, 18, "zero"), W.Out("lines", 19, 200), W.Out("best_line", 219, 3, "zero"),
-               W.Out("arrears", 222, 5, "zero"), W.Out("risk", 227, 11)]
+               W.Out("arrears", 222, 5, "zero"), W.Out("risk", 227, 1)]
 
 
 @register("pl_trade_register", f"""
@@ -387,11 +440,11 @@ best AS (SELECT l_orderkey, l_linenumber AS best_line FROM (SELECT l_orderkey, l
                    l_partkey, l_suppkey, l_linenumber, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS rn
           FROM lineitem) WHERE rn = 1),
 r AS (SELECT oo.o_orderkey, oo.days, agg.lines, agg.avg_tax, best.best_line, CAST(floor(oo.days / 30.0005) AS BIGINT) AS arrears,
-             CASE WHEN days < 90 THEN 'PASS' WHEN days < 183 THEN 'SUBSTANDARD' WHEN days < 366 THEN 'DOUBTFUL' ELSE 'LOSS' END AS risk
+             CASE WHEN days BETWEEN 90 AND 182 THEN 'D' WHEN days > 182 THEN 'B' ELSE '' END AS risk
       FROM oo JOIN agg ON oo.o_orderkey = agg.l_orderkey JOIN best ON oo.o_orderkey = best.l_orderkey)
 SELECT o_orderkey, lpad(CAST(o_orderkey AS VARCHAR), 18, '0') || rpad(lines, 200, ' ') || lpad(CAST(best_line AS VARCHAR), 3, '0')
        || CASE WHEN arrears < 0 THEN '-' || lpad(CAST(abs(arrears) AS VARCHAR), 4, '0') ELSE lpad(CAST(arrears AS VARCHAR), 5, '0') END
-       || rpad(risk, 11, ' ') AS record, avg_tax
+       || rpad(risk, 1, ' ') AS record, avg_tax
 FROM r
 """)
 def pl_trade_register(spark, sf):
@@ -442,12 +495,11 @@ j AS (SELECT a.o_orderkey, a.source, a.o_totalprice, rep.l_tax, dr.drawn,
 k AS (SELECT *, CASE WHEN due IS NULL THEN NULL WHEN date_diff('day', due, DATE '{REPORT_DATE}') < 0 THEN 0
                      ELSE date_diff('day', due, DATE '{REPORT_DATE}') END AS overdue FROM j),
 m AS (SELECT o_orderkey, source, CASE WHEN l_tax = 0 THEN 'FIXED' ELSE 'BLR' END AS pricing,
-             CASE WHEN overdue IS NULL OR overdue < 90 THEN 'PASS' WHEN overdue < 183 THEN 'SUBSTANDARD'
-                  WHEN overdue < 366 THEN 'DOUBTFUL' ELSE 'LOSS' END AS risk, COALESCE(overdue >= 90, FALSE) AS impaired, overdue,
+             CASE WHEN o_totalprice < 1 THEN 'P' WHEN overdue BETWEEN 90 AND 182 THEN 'D' WHEN overdue > 182 THEN 'B' ELSE '' END AS risk, COALESCE(overdue >= 90, FALSE) AS impaired, overdue,
              CAST(ROUND(GREATEST(CASE WHEN o_totalprice IS NULL AND drawn IS NULL THEN NULL
                   ELSE COALESCE(CAST(o_totalprice AS DECIMAL(18,2)), 0) - COALESCE(drawn, 0) END, 0) * 100) AS BIGINT) AS und_cents,
              CASE WHEN o_totalprice > 300000 THEN '21' ELSE '00' END AS scheme FROM k),
-r AS (SELECT *, {_z('o_orderkey', 10)} || rpad(source, 2, ' ') || rpad(pricing, 5, ' ') || rpad(risk, 11, ' ')
+r AS (SELECT *, {_z('o_orderkey', 10)} || rpad(source, 2, ' ') || rpad(pricing, 5, ' ') || rpad(risk, 1, ' ')
                 || {_z('overdue', 5)} AS head FROM m)
 SELECT o_orderkey, 'main' AS extract, head || {_z('und_cents', 15)} || rpad(scheme, 2, ' ') AS record FROM r
 UNION ALL SELECT o_orderkey, 'impaired', head FROM r WHERE impaired

@@ -116,68 +116,78 @@ def account_status(spark, sf):
 
 
 @register("risk_class", f"""
-WITH d AS (SELECT o_orderkey, date_diff('day', CAST(o_orderdate AS DATE), DATE '{REPORT_DATE}') AS days
-           FROM orders WHERE o_orderstatus <> 'F')
+WITH d AS (SELECT o_orderkey, o_totalprice, date_diff('day', CAST(o_orderdate AS DATE), DATE '{REPORT_DATE}') AS days,
+                  CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'P' WHEN '2' THEN 'F' END AS npl,
+                  CASE WHEN o_custkey % 7 = 6 THEN NULL WHEN o_custkey % 7 = 5 THEN ' ' ELSE CAST(o_custkey % 7 AS VARCHAR) END AS rating,
+                  CAST(substring(o_orderpriority, 1, 1) AS INTEGER) AS stat, CASE WHEN o_custkey % 2 = 0 THEN 34371 ELSE 34111 END AS fac FROM orders)
 SELECT o_orderkey, CAST(days AS INTEGER) AS days,
-  CASE WHEN days < 90 THEN 'PASS' WHEN days < 183 THEN 'SUBSTANDARD' WHEN days < 366 THEN 'DOUBTFUL' ELSE 'LOSS' END AS risk,
-  COALESCE(days >= 90, FALSE) AS impaired
+  CASE WHEN npl = 'P' OR rating IS NULL OR rating = ' ' THEN 'P'
+       ELSE CASE rating WHEN '1' THEN 'C' WHEN '2' THEN 'S' WHEN '3' THEN 'D' WHEN '4' THEN 'B' END END AS risk,
+  CASE WHEN o_totalprice < 1 OR npl = 'P' THEN 'P' WHEN days BETWEEN 90 AND 182 OR npl = 'F' THEN 'D' WHEN days > 182 THEN 'B' END AS provision,
+  days >= 90 OR COALESCE(npl = 'F', FALSE) AS provision_impaired,
+  stat = 3 OR (fac = 34371 AND (days >= 90 OR stat = 5)) AS impaired
 FROM d
 """)
 def risk_class(spark, sf):
-    o = load(spark, sf, "orders").where("o_orderstatus <> 'F'")
-    o = o.withColumn("days", F.datediff(F.lit(REPORT_DATE).cast("date"), F.col("o_orderdate").cast("date")))
-    cls, imp = RK.risk_class(F.col("days"))
-    return o.select("o_orderkey", "days", cls.alias("risk"), imp.alias("impaired"))
+    o = load(spark, sf, "orders")
+    digit = F.substring("o_orderpriority", 1, 1)
+    o = o.withColumns({"days": F.datediff(F.lit(REPORT_DATE).cast("date"), F.col("o_orderdate").cast("date")),
+                       "npl": F.when(digit == "1", F.lit("P")).when(digit == "2", F.lit("F")),
+                       "rating": F.when(F.col("o_custkey") % 7 == 6, F.lit(None)).when(F.col("o_custkey") % 7 == 5, F.lit(" "))
+                                  .otherwise((F.col("o_custkey") % 7).cast("string"))})
+    provision, provision_impaired = RK.provision_class(F.col("days"), F.col("npl"), F.col("o_totalprice"))
+    facility = F.when(F.col("o_custkey") % 2 == 0, F.lit(34371)).otherwise(F.lit(34111))
+    hit = RK.impaired(digit.cast("int"), facility, F.col("days"), F.when(digit == "5", F.lit("I")), F.lit(None).cast("string"))
+    return o.select("o_orderkey", "days", RK.risk_class(F.col("rating"), F.col("npl")).alias("risk"), provision.alias("provision"),
+                    provision_impaired.alias("provision_impaired"), hit.alias("impaired"))
 
 
 @register("overdue_days", f"""
 WITH {_OL_SQL},
-d AS (SELECT o.o_orderkey, ol.first_unpaid,
-             CASE WHEN o.o_orderstatus = 'O' THEN CAST(o.o_orderdate AS DATE) + 30 END AS next_bill FROM orders o
+d AS (SELECT o.o_orderkey, o.o_custkey, CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE -1 END AS balance, ol.first_unpaid,
+             CASE WHEN o.o_orderstatus <> 'F' THEN CAST(o.o_orderdate AS DATE) + 30 END AS temp FROM orders o
       LEFT JOIN ol ON o.o_orderkey = ol.l_orderkey),
-e AS (SELECT o_orderkey, LEAST(first_unpaid, next_bill) AS due FROM d)
-SELECT o_orderkey, due,
-  CAST(CASE WHEN due IS NULL THEN NULL WHEN date_diff('day', due, DATE '{REPORT_DATE}') < 0 THEN 0
-       ELSE date_diff('day', due, DATE '{REPORT_DATE}') END AS INTEGER) AS overdue,
-  CAST(floor((CASE WHEN due IS NULL THEN NULL WHEN date_diff('day', due, DATE '{REPORT_DATE}') < 0 THEN 0
-       ELSE date_diff('day', due, DATE '{REPORT_DATE}') END) / 30.0005) AS BIGINT) AS arrears
-FROM e
+e AS (SELECT *, LEAST(first_unpaid, temp) AS since FROM d),
+f AS (SELECT *, CASE WHEN balance <= 0 THEN date_diff('day', since, DATE '{REPORT_DATE}') + 1 END AS od,
+             GREATEST(date_diff('day', first_unpaid, DATE '{REPORT_DATE}'), 0) AS base FROM e)
+SELECT o_orderkey, CAST(od AS INTEGER) AS overdraft_days,
+  CASE WHEN od > 0 THEN CAST(floor(od / 30.0005) AS BIGINT) END AS arrears, CASE WHEN od > 0 THEN CAST(ceil(od / 30.0005) AS BIGINT) END AS instalments,
+  CAST(CASE WHEN o_custkey % 50 = 0 THEN 12 WHEN first_unpaid IS NULL THEN (CASE WHEN o_custkey % 10 = 1 THEN 40 ELSE 0 END)
+       WHEN o_custkey % 10 = 1 THEN base + 40 ELSE base END AS INTEGER) AS loan_days
+FROM f
 """)
 def overdue_days(spark, sf):
     o = load(spark, sf, "orders").join(_order_lines(spark, sf), F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    nb = F.when(F.col("o_orderstatus") == "O", F.date_add(F.col("o_orderdate").cast("date"), 30))
-    od = RK.overdue_days(F.col("first_unpaid"), nb, F.lit(REPORT_DATE).cast("date"))
-    return o.select("o_orderkey", F.least("first_unpaid", nb).alias("due"), od.alias("overdue"),
-                    C.arrears_months(od).cast("bigint").alias("arrears"))
-
-
-@register("accrued_interest", """
-WITH d AS (SELECT l.l_orderkey, l.l_linenumber, CAST(ROUND(l.l_extendedprice * 100) AS BIGINT) AS p_cents,
-                  CAST(ROUND(l.l_discount * 100) AS BIGINT) AS rate,
-                  date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) AS days,
-                  CASE WHEN l.l_returnflag = 'A' THEN 'DISCOUNT' ELSE 'TERM' END AS product,
-                  CASE WHEN n.n_regionkey = 0 THEN 365 ELSE 360 END AS basis
-           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-           JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
-e AS (SELECT l_orderkey, l_linenumber, p_cents * rate * days AS num, 100 * basis AS den,
-             rate = 0 OR p_cents = 0 OR (product <> 'DISCOUNT' AND days <= 0) AS zero FROM d)
--- exact half-away-from-zero rounding of num / den cents, in integers
-SELECT l_orderkey, l_linenumber,
-       CASE WHEN zero THEN 0.0 ELSE sign(num) * ((2 * abs(num) + den) // (2 * den)) / 100.0 END AS accrued
-FROM e
+    temp = F.when(F.col("o_orderstatus") != "F", F.date_add(F.col("o_orderdate").cast("date"), 30))
+    rd = F.lit(REPORT_DATE).cast("date")
+    days, arrears, instalments = RK.overdue_overdraft(F.col("first_unpaid"), temp, F.when(F.col("o_orderstatus") == "F", 1).otherwise(-1), rd)
+    loan = RK.overdue_loan(F.col("first_unpaid"), rd, F.when(F.col("o_custkey") % 10 == 1, F.lit(40)), F.lit(98001),
+                           F.when(F.col("o_custkey") % 50 == 0, F.lit(12)))
+    return o.select("o_orderkey", days.alias("overdraft_days"), arrears.cast("bigint").alias("arrears"),
+                    instalments.cast("bigint").alias("instalments"), loan.alias("loan_days"))
+
+
+_PRODUCT_SQL = "CASE l_linenumber % 4 WHEN 0 THEN 'MCF' WHEN 1 THEN 'FTI' WHEN 2 THEN 'MOF' ELSE NULL END"
+
+
+@register("accrued_interest", f"""
+WITH d AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity = 1 THEN NULL ELSE CAST(l_quantity AS DECIMAL(10,2)) END AS prin,
+                  CAST(l_discount AS DECIMAL(10,2)) AS disc, CAST(l_discount AS DECIMAL(10,2)) / 2 AS discf, CAST(l_tax AS DECIMAL(10,2)) AS ytd,
+                  {_PRODUCT_SQL} AS product, day(l_shipdate) = 1 AS first_day, month(l_shipdate) = 8 AS issued FROM lineitem)
+SELECT l_orderkey, l_linenumber, CAST(CASE
+    WHEN COALESCE(prin, 0) = 0 OR disc = 0 THEN 0
+    WHEN product IN ('MCF', 'MOF') THEN (CASE WHEN issued THEN -discf * 3 WHEN first_day THEN ytd * 3 - disc ELSE 7 END)
+    ELSE ytd - disc END AS DOUBLE) AS receivable
+FROM d
 """)
 def accrued_interest(spark, sf):
     li = load(spark, sf, "lineitem")
-    o = load(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
-    c = load(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    n = load(spark, sf, "nation").select("n_nationkey", "n_regionkey")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == F.col("c_custkey"))
-           .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
-    a = RK.accrued_interest(F.col("l_extendedprice").cast("decimal(18,2)"), F.col("l_discount").cast("decimal(4,2)") * 100,
-                            F.datediff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date")),
-                            F.when(F.col("l_returnflag") == "A", F.lit("DISCOUNT")).otherwise(F.lit("TERM")),
-                            F.col("n_regionkey") == 0)
-    return j.select("l_orderkey", "l_linenumber", C.round_half_up(a, 2).cast("double").alias("accrued"))
+    dec = lambda c: F.col(c).cast("decimal(10,2)")
+    n = F.col("l_linenumber") % 4
+    product = F.when(n == 0, F.lit("MCF")).when(n == 1, F.lit("FTI")).when(n == 2, F.lit("MOF"))
+    a = RK.interest_receivable(F.when(F.col("l_quantity") != 1, dec("l_quantity")), dec("l_discount"), dec("l_discount") / 2, dec("l_tax"),
+                               F.lit(3), product, F.dayofmonth("l_shipdate") == 1, F.month("l_shipdate") == 8, F.lit(7))
+    return li.select("l_orderkey", "l_linenumber", a.cast("double").alias("receivable"))
 
 
 @register("undrawn_amount", f"""
@@ -291,17 +301,23 @@ def restructure_tag(spark, sf):
     return c.select("c_custkey", "pattern", tag.alias("restructure"))
 
 
+_LOAN_TYPE = "CASE o_custkey % 4 WHEN 0 THEN 700 WHEN 1 THEN 146 ELSE 200 END"
+
+
 @register("release_amount", f"""
-WITH {_OL_SQL}
-SELECT o.o_orderkey, CAST(CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH')
-       THEN GREATEST(CAST(o.o_totalprice AS DECIMAL(18,2)) - COALESCE(ol.drawn, 0), 0)
-       WHEN COALESCE(ol.drawn, 0) > 0 THEN 0 ELSE CAST(o.o_totalprice AS DECIMAL(18,2)) END AS DOUBLE) AS released
-FROM orders o LEFT JOIN ol ON o.o_orderkey = ol.l_orderkey
+WITH {_OL_SQL},
+j AS (SELECT o.o_orderkey, {_LOAN_TYPE} AS kind, CASE WHEN o_orderstatus = 'O' THEN 1 WHEN o_orderstatus = 'P' THEN 0 END AS commitment,
+             CAST(o.o_totalprice AS DECIMAL(18,2)) AS price, ol.drawn FROM orders o LEFT JOIN ol ON o.o_orderkey = ol.l_orderkey)
+SELECT o_orderkey, CAST(CASE WHEN kind = 700 THEN price - 100 WHEN commitment > 0 AND kind <> 146 THEN price - GREATEST(COALESCE(drawn, 0) - 50000, 0)
+       WHEN commitment > 0 THEN drawn ELSE price END AS DOUBLE) AS released
+FROM j
 """)
 def release_amount(spark, sf):
     o = load(spark, sf, "orders").join(_order_lines(spark, sf), F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    rel = RK.release_amount(F.col("o_totalprice").cast("decimal(18,2)"), F.col("drawn"),
-                            F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    kind = F.when(F.col("o_custkey") % 4 == 0, 700).when(F.col("o_custkey") % 4 == 1, 146).otherwise(200)
+    commitment = F.when(F.col("o_orderstatus") == "O", 1).when(F.col("o_orderstatus") == "P", 0)
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    rel = RK.release_amount(kind, commitment, price - 100, price, F.col("drawn") - 50000, F.col("drawn"), price)
     return o.select("o_orderkey", rel.cast("double").alias("released"))
 
 
