@@ -9,8 +9,16 @@ work runs on executors.  Sub-packages:
 * ``operators``  keys / joins / aggregation / set / hierarchy / quality operators
 * ``rules``      business rule sets held as lookup tables
 * ``plans``      end-to-end batch jobs composed from the operators
-* ``streaming``  (none: the workloads are bounded batches, see its docstring)
+* ``llm``        operators for training-data pipelines (nothing else imports them)
 * ``queries``    the registered queries over the supplied test tables
+
+Task functions are pickled by value, so workers need no copy of the package on their path.
 """
 
-__version__ = "0.1.0"
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+__version__ = "0.2.0"

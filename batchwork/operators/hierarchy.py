@@ -39,7 +39,7 @@ def assign_levels(nodes: DataFrame, node: str, parent: str, root_value, max_leve
     below = F.array(F.col(node))
     for i in range(1, max_level):
         step = up.select(*acc, F.col(node).alias(f"__a{i}"), F.col("__up").alias(f"__a{i + 1}"), F.lit(True).alias(f"__found{i}"))
-        chain = chain.join(step, [*acc, f"__a{i}"], "left")
+        chain = join_on(chain, step, [*acc, f"__a{i}"], "left")
         below = F.concat(F.array(F.col(f"__a{i}")), below)
         path = F.coalesce(path, F.when(F.col(f"__found{i}") & (F.col(f"__a{i}") == root_value), below))
     found = chain.select(*acc, node, path.alias("path")).where("path is not null")

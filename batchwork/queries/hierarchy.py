@@ -165,16 +165,16 @@ def freshness_gate(spark, sf):
 
 
 @register("exception_lists", f"""
-WITH l AS (SELECT l_orderkey AS k, {msum('l_extendedprice', 'line_amount')} FROM lineitem WHERE year(l_shipdate) = 1998 GROUP BY 1),
-o AS (SELECT o_orderkey AS k, o_totalprice FROM orders WHERE year(o_orderdate) = 1998)
+WITH l AS (SELECT l_orderkey AS k, {msum('l_extendedprice', 'line_amount')} FROM lineitem GROUP BY 1),
+o AS (SELECT CASE WHEN o_orderkey % 17 = 0 THEN -o_orderkey - 1 ELSE o_orderkey END AS k, o_totalprice FROM orders)
 SELECT COALESCE(o.k, l.k) AS o_orderkey, o.o_totalprice, l.line_amount,
        CASE WHEN o.k IS NOT NULL THEN 'missing_detail' ELSE 'missing_master' END AS status
 FROM o FULL JOIN l ON o.k = l.k WHERE o.k IS NULL OR l.k IS NULL
 """)
 def exception_lists(spark, sf):
-    li = (load(spark, sf, "lineitem").where(F.year("l_shipdate") == 1998).groupBy(F.col("l_orderkey").alias("o_orderkey"))
-          .agg(money_sum("l_extendedprice", "line_amount")))
-    o = load(spark, sf, "orders").where(F.year("o_orderdate") == 1998).select("o_orderkey", "o_totalprice")
+    k = F.col("o_orderkey")
+    li = load(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(money_sum("l_extendedprice", "line_amount"))
+    o = load(spark, sf, "orders").select(F.when(k % 17 == 0, -k - 1).otherwise(k).alias("o_orderkey"), "o_totalprice")
     return Q.exception_lists(o, li, "o_orderkey")
 
 

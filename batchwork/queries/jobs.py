@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import reconcile
 from . import load, register
-from ._common import money_sum, msum
+from ._common import COLLATERAL_PAIRS, money_sum, msum
 
 
 def _order_feeds(spark, sf):
@@ -165,7 +165,7 @@ def pl_daily_detail(spark, sf):
 @register("pl_deal_join", """
 WITH lg AS (SELECT l_orderkey AS o_orderkey, COUNT(*) AS n_legs FROM lineitem GROUP BY 1),
 u AS (SELECT k, label FROM (SELECT k, label, ROW_NUMBER() OVER (PARTITION BY k ORDER BY src, label) AS rn FROM (
-        SELECT c_custkey AS k, c_mktsegment AS label, 0 AS src FROM customer WHERE c_nationkey < 12
+        SELECT CASE WHEN c_nationkey < 12 THEN c_custkey ELSE -c_custkey - 1 END AS k, c_mktsegment AS label, 0 AS src FROM customer
         UNION ALL SELECT s_suppkey, 'SUPPLIER', 1 FROM supplier)) WHERE rn = 1),
 m(code, custcode) AS (VALUES ('AUTOMOBILE','10'),('BUILDING','20'),('FURNITURE','30'),('HOUSEHOLD','40'),('MACHINERY','50'),('SUPPLIER','60'))
 SELECT o.o_orderkey, o.o_custkey, lg.n_legs, u.label, m.custcode
@@ -181,8 +181,8 @@ def pl_deal_join(spark, sf):
     lg.select(F.concat_ws("|", F.col("l_orderkey").cast("string"), F.col("n_legs").cast("string")).alias("record")).write.text(lpath)
     deals = R.read_fixed(spark, dpath, [R.Field("o_orderkey", 1, 10, "long"), R.Field("o_custkey", 11, 10, "long")])
     legs = R.read_delimited(spark, lpath, "o_orderkey bigint, n_legs bigint", sep="|")
-    c = load(spark, sf, "customer").where("c_nationkey < 12").select(F.col("c_custkey").alias("o_custkey"),
-                                                                     F.col("c_mktsegment").alias("label"))
+    k = F.when(F.col("c_nationkey") < 12, F.col("c_custkey")).otherwise(-F.col("c_custkey") - 1)
+    c = load(spark, sf, "customer").select(k.alias("o_custkey"), F.col("c_mktsegment").alias("label"))
     s = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("o_custkey"), F.lit("SUPPLIER").alias("label"))
     cm = J.code_table(spark, [("AUTOMOBILE", "10"), ("BUILDING", "20"), ("FURNITURE", "30"), ("HOUSEHOLD", "40"),
                               ("MACHINERY", "50"), ("SUPPLIER", "60")], "code string, custcode string")
@@ -193,7 +193,7 @@ def pl_deal_join(spark, sf):
 @register("pl_maturity_split", """
 WITH d AS (SELECT o.o_orderkey, o.o_custkey, CAST(o.o_orderdate AS DATE) AS o_orderdate, o.o_totalprice, c.c_name,
                   CASE WHEN o.o_custkey < 750 THEN 'local' ELSE 'foreign' END AS route
-           FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE year(o.o_orderdate) = 1998)
+           FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE o.o_totalprice > 0)
 SELECT 0 AS line_type, 'MATURITY LIST local' AS line, 'local' AS route
 UNION ALL SELECT 1, 'O_ORDERKEY,C_NAME,O_ORDERDATE,O_TOTALPRICE', 'local'
 UNION ALL SELECT 0, 'MATURITY LIST foreign', 'foreign'
@@ -201,7 +201,7 @@ UNION ALL SELECT 1, 'O_ORDERKEY,C_NAME,O_ORDERDATE,O_TOTALPRICE', 'foreign'
 UNION ALL SELECT 2, CAST(o_orderkey AS VARCHAR) || ',' || c_name || ',' || strftime(o_orderdate, '%Y-%m-%d') || ',' || CAST(o_totalprice AS VARCHAR), route FROM d
 """)
 def pl_maturity_split(spark, sf):
-    o = (load(spark, sf, "orders").where(F.year("o_orderdate") == 1998)
+    o = (load(spark, sf, "orders").where("o_totalprice > 0")
          .select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_totalprice", "o_orderstatus"))
     books = {"book_a": o.where("o_orderstatus = 'F'").drop("o_orderstatus"), "book_b": o.where("o_orderstatus <> 'F'").drop("o_orderstatus")}
     cust = load(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
@@ -230,7 +230,7 @@ def pl_gl_carry_forward(spark, sf):
     path = scratch_path(spark, "gl_feed")
     txt = F.concat(F.lit("+"), F.lpad(F.col("l_suppkey").cast("string"), 6, "0"), F.col("l_returnflag"),
                    F.lpad(F.format_number(F.col("balance"), 2), 22, " "))
-    junk = today.select(F.concat(F.lit("*"), F.lit(" page header")).alias("record")).limit(1)
+    junk = spark.range(1).select(F.lit("* page header").alias("record"))
     today.select(txt.alias("record")).unionByName(junk).write.text(path)
     feed = R.read_typed_records(spark, path, "+", [R.Field("l_suppkey", 2, 6, "long"), R.Field("l_returnflag", 8, 1),
                                                     R.Field("balance", 9, 22, "amount")])
@@ -515,7 +515,7 @@ WITH r AS (SELECT event_type AS ccy, MAX_BY(value, (ts, event_id, value)) AS rat
            WHERE ts <= TIMESTAMP '2024-01-20 23:59:59.999999' GROUP BY 1),
 app AS (SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderstatus = 'F' THEN 'approved' ELSE 'rejected' END AS route,
                CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'purchase' ELSE 'view' END AS ccy
-        FROM orders WHERE year(o_orderdate) = 1998),
+        FROM orders),
 j AS (SELECT c.c_custkey, a.o_orderkey, a.route, a.ccy,
              ROUND(CAST(a.o_totalprice AS DECIMAL(18,2)) * CAST(r.rate AS DECIMAL(18,6)), 2) AS amt_local
       FROM app a LEFT JOIN r ON a.ccy = r.ccy RIGHT JOIN customer c ON a.o_custkey = c.c_custkey)
@@ -526,13 +526,13 @@ SELECT c_custkey, o_orderkey, route, CAST(amt_local AS DOUBLE) AS amt_local,
 FROM j
 """)
 def pl_application_register(spark, sf):
-    """Applications (1998 orders) routed approved / rejected, right-merged onto the
+    """Applications (orders) routed approved / rejected, right-merged onto the
     customer master, amounts converted at the latest rate as of the report date."""
     ev = load(spark, sf, "events")
     rates = J.latest_as_of(ev.withColumnRenamed("event_type", "ccy"), "ccy", "ts", "value",
                            F.lit("2024-01-20 23:59:59.999999").cast("timestamp_ntz"), order=["event_id"]) \
              .select("ccy", F.col("value").alias("rate"))                                          # J13
-    o = load(spark, sf, "orders").where(F.year("o_orderdate") == 1998)
+    o = load(spark, sf, "orders")
     apps = o.withColumn("ccy", F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("purchase"))
                         .otherwise(F.lit("view")))
     c = load(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"))
@@ -574,9 +574,7 @@ j AS (SELECT p.p_partkey, p.code, t.collater, CAST(v.value AS DOUBLE) AS value,
 SELECT p_partkey, code, CASE WHEN collater IN ('10') THEN 'property' WHEN collater IN ('30', '40') THEN 'vehicle'
                              WHEN collater IS NULL THEN 'unclassified' ELSE 'other' END AS route,
        value, margin FROM j
-""".replace("{COLL}", ", ".join(f"('{k}','{v}')" for k, v in sorted(
-    {c: cat for cat, codes in __import__("batchwork.rules.codes", fromlist=["x"]).COLLATERAL_CLASSES.items()
-     for c in codes}.items()))))
+""".replace("{COLL}", COLLATERAL_PAIRS))
 def pl_collateral(spark, sf):
     """Collateral tables: class code of each part, its secured value (sum of lines),
     routed by category, margin bounded to [0.95, 1.5]."""

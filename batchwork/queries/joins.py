@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import joins as J
+from ..operators.keys import join_on
 from ..operators import keys as K
 from . import load, register
 from ._common import REPORT_DATE, money_sum, msum
@@ -31,33 +32,34 @@ def inner_match(spark, sf):
 
 
 @register("full_join_coalesce", f"""
-WITH a AS (SELECT c_custkey AS k, c_acctbal FROM customer WHERE c_acctbal > 5000),
-b AS (SELECT o_custkey AS k, {msum('o_totalprice', 'amt_1998')} FROM orders WHERE year(o_orderdate) = 1998 GROUP BY o_custkey)
-SELECT COALESCE(a.k, b.k) AS custkey, a.c_acctbal, b.amt_1998 FROM a FULL JOIN b ON a.k = b.k
-WHERE a.k IS NULL OR b.k IS NULL
+WITH a AS (SELECT CASE WHEN c_acctbal > 5000 THEN c_custkey WHEN c_acctbal > 0 THEN -c_custkey - 1 END AS k, c_custkey, c_acctbal FROM customer),
+b AS (SELECT CASE WHEN o_custkey % 9 <> 4 THEN o_custkey END AS k, {msum('o_totalprice', 'amount')} FROM orders GROUP BY 1)
+SELECT COALESCE(a.k, b.k) AS custkey, a.c_custkey, a.c_acctbal, b.amount FROM a FULL JOIN b ON a.k IS NOT DISTINCT FROM b.k
 """)
 def full_join_coalesce(spark, sf):
-    a = load(spark, sf, "customer").where("c_acctbal > 5000").select(F.col("c_custkey").alias("custkey"), "c_acctbal",
-                                                                     F.lit(True).alias("__a"))
-    b = (load(spark, sf, "orders").where(F.year("o_orderdate") == 1998).groupBy(F.col("o_custkey").alias("custkey"))
-         .agg(money_sum("o_totalprice", "amt_1998")).withColumn("__b", F.lit(True)))
-    j = a.join(b, "custkey", "full")
-    return j.where(F.col("__a").isNull() | F.col("__b").isNull()).drop("__a", "__b")
+    # every customer and every order; derived keys leave some unmatched and some missing on both sides
+    bal = F.col("c_acctbal")
+    a = load(spark, sf, "customer").select(F.when(bal > 5000, F.col("c_custkey")).when(bal > 0, -F.col("c_custkey") - 1).alias("custkey"),
+                                           "c_custkey", "c_acctbal")
+    b = load(spark, sf, "orders").groupBy(F.when(F.col("o_custkey") % 9 != 4, F.col("o_custkey")).alias("custkey")).agg(money_sum("o_totalprice", "amount"))
+    return join_on(a, b, "custkey", "full")
 
 
 @register("full_merge_sum", f"""
-WITH a AS (SELECT o_custkey AS k, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS v FROM orders WHERE year(o_orderdate) = 1997 GROUP BY 1),
-b AS (SELECT o_custkey AS k, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS v FROM orders WHERE year(o_orderdate) = 1998 GROUP BY 1)
+WITH o AS (SELECT *, CASE WHEN o_custkey % 11 <> 3 THEN o_custkey END AS k FROM orders),
+a AS (SELECT k, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS v FROM o WHERE year(o_orderdate) = 1997 GROUP BY 1),
+b AS (SELECT k, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS v FROM o WHERE year(o_orderdate) = 1998 GROUP BY 1)
 SELECT COALESCE(a.k, b.k) AS custkey, CAST(a.v AS DOUBLE) AS amt_1997, CAST(b.v AS DOUBLE) AS amt_1998,
        CAST(CASE WHEN a.v IS NULL AND b.v IS NULL THEN NULL ELSE COALESCE(a.v, 0) + COALESCE(b.v, 0) END AS DOUBLE) AS total
-FROM a FULL JOIN b ON a.k = b.k
+FROM a FULL JOIN b ON a.k IS NOT DISTINCT FROM b.k
 """)
 def full_merge_sum(spark, sf):
     from ..functions.clean import row_sum
-    o = load(spark, sf, "orders").withColumn("amt", F.col("o_totalprice").cast("decimal(18,2)"))
-    a = o.where(F.year("o_orderdate") == 1997).groupBy(F.col("o_custkey").alias("custkey")).agg(F.sum("amt").alias("a"))
-    b = o.where(F.year("o_orderdate") == 1998).groupBy(F.col("o_custkey").alias("custkey")).agg(F.sum("amt").alias("b"))
-    j = a.join(b, "custkey", "full")
+    o = load(spark, sf, "orders").withColumn("amt", F.col("o_totalprice").cast("decimal(18,2)")) \
+        .withColumn("custkey", F.when(F.col("o_custkey") % 11 != 3, F.col("o_custkey")))
+    a = o.where(F.year("o_orderdate") == 1997).groupBy("custkey").agg(F.sum("amt").alias("a"))
+    b = o.where(F.year("o_orderdate") == 1998).groupBy("custkey").agg(F.sum("amt").alias("b"))
+    j = join_on(a, b, "custkey", "full")
     return j.select("custkey", F.col("a").cast("double").alias("amt_1997"), F.col("b").cast("double").alias("amt_1998"),
                     row_sum("a", "b").cast("double").alias("total"))
 
@@ -102,14 +104,15 @@ def semi_filter(spark, sf):
 
 
 @register("match_indicator", """
-WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT'),
-b AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'P')
-SELECT COALESCE(a.k, b.k) AS custkey, a.k IS NOT NULL AS in_a, b.k IS NOT NULL AS in_b FROM a FULL JOIN b ON a.k = b.k
+WITH o AS (SELECT *, CASE WHEN o_custkey % 11 <> 3 THEN o_custkey END AS k FROM orders),
+a AS (SELECT DISTINCT k, TRUE AS h FROM o WHERE o_orderpriority = '1-URGENT'),
+b AS (SELECT DISTINCT k, TRUE AS h FROM o WHERE o_orderstatus = 'P')
+SELECT COALESCE(a.k, b.k) AS custkey, a.h IS NOT NULL AS in_a, b.h IS NOT NULL AS in_b FROM a FULL JOIN b ON a.k IS NOT DISTINCT FROM b.k
 """)
 def match_indicator(spark, sf):
-    o = load(spark, sf, "orders")
-    a = o.where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("custkey")).distinct()
-    b = o.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("custkey")).distinct()
+    o = load(spark, sf, "orders").withColumn("custkey", F.when(F.col("o_custkey") % 11 != 3, F.col("o_custkey")))
+    a = o.where("o_orderpriority = '1-URGENT'").select("custkey").distinct()
+    b = o.where("o_orderstatus = 'P'").select("custkey").distinct()
     return J.with_indicators(a, b, "custkey", "full", "in_a", "in_b")
 
 
@@ -157,11 +160,12 @@ def n_way_merge(spark, sf):
 
 @register("lookup_label", """
 SELECT c.c_custkey, COALESCE(n.n_name, CAST(c.c_nationkey AS VARCHAR)) AS nation_label
-FROM customer c LEFT JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_regionkey <> 0) n ON c.c_nationkey = n.n_nationkey
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey + CASE WHEN n_regionkey = 0 THEN 1000 ELSE 0 END
 """)
 def lookup_label(spark, sf):
     # value → label table built from data; a miss returns the input value
-    n = load(spark, sf, "nation").where("n_regionkey <> 0").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    shifted = F.col("n_nationkey") + F.when(F.col("n_regionkey") == 0, 1000).otherwise(0)
+    n = load(spark, sf, "nation").select(shifted.alias("c_nationkey"), "n_name")
     c = load(spark, sf, "customer").select("c_custkey", "c_nationkey")
     return c.join(n, "c_nationkey", "left").select(
         "c_custkey", F.coalesce(F.col("n_name"), F.col("c_nationkey").cast("string")).alias("nation_label"))
@@ -249,17 +253,18 @@ def fallback_match(spark, sf):
 
 
 @register("reconcile_feeds", f"""
-WITH l AS (SELECT l_orderkey AS k, {msum('l_extendedprice', 'line_amount')} FROM lineitem WHERE l_shipdate < DATE '2000-01-01' GROUP BY 1),
-o AS (SELECT o_orderkey AS k, o_totalprice FROM orders WHERE o_orderdate >= DATE '1996-01-01')
+WITH l AS (SELECT CASE WHEN l_orderkey % 50 <> 9 THEN l_orderkey END AS k, {msum('l_extendedprice', 'line_amount')}, 1 AS h FROM lineitem GROUP BY 1),
+o AS (SELECT CASE WHEN o_orderkey % 50 = 7 THEN NULL WHEN o_orderkey % 17 = 0 THEN -o_orderkey - 1 ELSE o_orderkey END AS k, o_totalprice, 1 AS h FROM orders)
 SELECT COALESCE(o.k, l.k) AS o_orderkey, o.o_totalprice, l.line_amount,
-       CASE WHEN o.k IS NOT NULL AND l.k IS NOT NULL THEN 'matched' WHEN o.k IS NOT NULL THEN 'only_a' ELSE 'only_b' END AS status
-FROM o FULL JOIN l ON o.k = l.k
+       CASE WHEN o.h = 1 AND l.h = 1 THEN 'matched' WHEN o.h = 1 THEN 'only_a' ELSE 'only_b' END AS status
+FROM o FULL JOIN l ON o.k IS NOT DISTINCT FROM l.k
 """)
 def reconcile_feeds(spark, sf):
-    li = (load(spark, sf, "lineitem").where(F.col("l_shipdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
-          .groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(money_sum("l_extendedprice", "line_amount")))
-    o = (load(spark, sf, "orders").where(F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))
-         .select("o_orderkey", "o_totalprice"))
+    # every line and every order; derived keys leave some unmatched on each side and some missing on both
+    k = F.col("o_orderkey")
+    li = load(spark, sf, "lineitem").groupBy(F.when(F.col("l_orderkey") % 50 != 9, F.col("l_orderkey")).alias("o_orderkey")) \
+        .agg(money_sum("l_extendedprice", "line_amount"))
+    o = load(spark, sf, "orders").select(F.when(k % 50 == 7, None).when(k % 17 == 0, -k - 1).otherwise(k).alias("o_orderkey"), "o_totalprice")
     return J.reconcile(o, li, "o_orderkey")
 
 
@@ -359,7 +364,7 @@ def carry_forward_prior(spark, sf):
 
 
 @register("union_lookup", """
-WITH u AS (SELECT c_custkey AS k, c_mktsegment AS label, 0 AS src FROM customer WHERE c_acctbal > 0
+WITH u AS (SELECT CASE WHEN c_acctbal > 0 THEN c_custkey ELSE -c_custkey - 1 END AS k, c_mktsegment AS label, 0 AS src FROM customer
            UNION ALL SELECT s_suppkey, s_name, 1 FROM supplier
            UNION ALL SELECT n_nationkey, n_name, 2 FROM nation),
 m AS (SELECT * FROM (SELECT k, label, ROW_NUMBER() OVER (PARTITION BY k ORDER BY src, label) AS rn FROM u) WHERE rn = 1)
@@ -367,7 +372,8 @@ SELECT o.o_orderkey, o.o_custkey, COALESCE(m.label, 'UNKNOWN') AS label
 FROM orders o LEFT JOIN m ON o.o_custkey = m.k
 """)
 def union_lookup(spark, sf):
-    c = load(spark, sf, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("label"))
+    k = F.when(F.col("c_acctbal") > 0, F.col("c_custkey")).otherwise(-F.col("c_custkey") - 1)
+    c = load(spark, sf, "customer").select(k.alias("k"), F.col("c_mktsegment").alias("label"))
     s = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("label"))
     n = load(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("k"), F.col("n_name").alias("label"))
     m = J.union_lookup([c, s, n], "k", "label")

@@ -13,7 +13,7 @@ from ..operators.joins import code_table
 from ..rules import codes as RC
 from ..rules import credit as RK
 from . import load, register
-from ._common import REPORT_DATE
+from ._common import COLLATERAL_PAIRS, REPORT_DATE
 
 # Fixed code maps for the re-aimed rules (segment → sector, brand / type → facility)
 SEGMENT_SECTOR = [("AUTOMOBILE", "0311"), ("BUILDING", "0410"), ("FURNITURE", "0420"),
@@ -202,16 +202,8 @@ def undrawn_amount(spark, sf):
     return o.select("o_orderkey", F.greatest(u, F.lit(0)).cast("double").alias("undrawn"))
 
 
-def _coll_values_sql():
-    resolved = {}
-    for cat, codes in RC.COLLATERAL_CLASSES.items():
-        for c in codes:
-            resolved[c] = cat
-    return ", ".join(f"('{k}','{v}')" for k, v in sorted(resolved.items()))
-
-
 @register("collateral_category", f"""
-WITH t(cclassc, collater) AS (VALUES {_coll_values_sql()}),
+WITH t(cclassc, collater) AS (VALUES {COLLATERAL_PAIRS}),
 p AS (SELECT p_partkey, lpad(CAST(p_partkey % 150 AS VARCHAR), 3, '0') AS code FROM part)
 SELECT p.p_partkey, p.code, t.collater,
   CASE WHEN t.collater = '10' THEN (CASE WHEN code IN ('032','033','034') THEN 'LAND' WHEN code IN ('035','036','037') THEN 'BUILDING'

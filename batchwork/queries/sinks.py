@@ -68,11 +68,10 @@ def layout_overlap(spark, sf):
 SELECT 0 AS line_type, 'MATURITY LIST AS AT 15/08/1998' AS line
 UNION ALL SELECT 1, 'O_ORDERKEY,O_ORDERDATE,O_TOTALPRICE'
 UNION ALL SELECT 2, CAST(o_orderkey AS VARCHAR) || ',' || strftime(o_orderdate, '%Y-%m-%d') || ',' || CAST(o_totalprice AS VARCHAR)
-FROM orders WHERE year(o_orderdate) = 1998 AND month(o_orderdate) = 8
+FROM orders
 """)
 def delimited_report(spark, sf):
-    o = (load(spark, sf, "orders").where((F.year("o_orderdate") == 1998) & (F.month("o_orderdate") == 8))
-         .select("o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_totalprice"))
+    o = load(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_totalprice")
     r = W.report_lines(o, "MATURITY LIST AS AT 15/08/1998", ["o_orderkey", "o_orderdate", "o_totalprice"])
     return r.select("line_type", "line")
 
