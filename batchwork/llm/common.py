@@ -26,11 +26,21 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_sample(rows: DataFrame, order: str, most: int) -> DataFrame:
+    """A sample already drawn to about ``most`` rows, held to twice that and broadcast."""
+    return F.broadcast(rows.orderBy(order).limit(2 * most))
+
+
 def held_out(id_col: str) -> Column:
     """The held-out fold: crc32 of the id as text, mod 5, is 0 (null ids are never held out)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def write_pairs(df: DataFrame, name: str) -> DataFrame:
+    """``write_scratch`` for narrow tables (pairs and labels of points): an eighth of the partitions hold them."""
+    return write_scratch(df.coalesce(max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)), name)
+
+
 def text_hash(c: str | Column) -> Column:
     """Tells rows with the same id apart; rows with the same id and text are one to every operator."""
     text = text_or_empty(c)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchwork.llm import words
-from batchwork.llm.common import held_out, write_scratch
+from batchwork.llm.common import bounded_sample, held_out, write_scratch
 
 MAX_TRAIN = 20_000
 _LINES = words.byte_values(b"\n", fold_case=False)
@@ -99,7 +99,7 @@ def fit(docs: DataFrame, known: DataFrame, id_col: str, text_col: str, max_train
             for b in words.row_blocks(batch, "text"):
                 x = statistics(b.column("text"), hasher, lines)
                 yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(list(x), pa.list_(pa.float64()))], names=["label", "x"])
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(take, "__id").select("label", "text") \
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(bounded_sample(take, "__id", max_train), "__id").select("label", "text") \
         .mapInArrow(run, "label double, x array<double>").collect()
     if not rows:
         return None, good / n

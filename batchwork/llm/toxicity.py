@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchwork.llm import words
-from batchwork.llm.common import held_out, write_scratch
+from batchwork.llm.common import bounded_sample, held_out, write_scratch
 
 MAX_POSITIVE = 4_000
 MAX_UNLABELLED = 12_000
@@ -57,7 +57,7 @@ def sample_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     take = known.select("__id", (F.col("positive") & (share < max_positive / max(n_pos, 1))).alias("as_positive"),
                         (other < max_unlabelled / n).alias("as_unlabelled")).where("as_positive or as_unlabelled")
     text = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
-    return text.join(take, "__id").select("as_positive", "as_unlabelled", "text"), n_pos / n, n_pos
+    return text.join(bounded_sample(take, "__id", max_positive + max_unlabelled), "__id").select("as_positive", "as_unlabelled", "text"), n_pos / n, n_pos
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
