@@ -8,13 +8,15 @@ Regions.  In a text corpus nearly all points are at distance 1 from each other,
 drawn blindly would leave everything in one region.  But two points within the radius share
 one of the few rarest shingles of each; hence the first regions are those around the shared
 rare shingles, each with the point of lowest rank as its pivot.  A point has a region for
-each of its rare shingles that others share; of their pivots, the nearest is its Voronoi
-pivot, and the point is replicated to the others where the bounds leave a link possible.
-
-Recursion.  A point linked to its pivot needs no more work there.  A region with points left
-takes new pivots among them (four times as many at each level) and compares them with the
-members inside the triangle-inequality window: |d(x, p) - d(q, p)| <= radius.  Pairs already
-known to hang together are left out.  Every pair that could be within the radius is either
+each of its rare shingles that others share.  It is compared with its nearest pivot first
+(that of most of its regions), then replicated to the other regions whose pivots it does not
+already hang together with and where the bounds leave a link possible.
+
+Recursion.  A region with points that do not hang together with its pivot takes new pivots
+among them (64 times as many at each level) and compares them with the members inside
+the triangle-inequality window: |d(x, p) - d(q, p)| <= radius.  Pairs already known to hang
+together, and pairs whose places of the shared shingle leave too few common ones, are left
+out.  Every pair that could be within the radius is either
 compared in full or already joined through a pivot, so the components are exact.
 
 Rarity comes from a table of hashed counts of fixed size, filled from every shingle of every
@@ -37,13 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchwork.llm import words
-from batchwork.llm.common import text_hash, without, write_scratch
+from batchwork.llm.common import text_hash, without, write_pairs, write_scratch
 
 SHINGLE = 5
 PERCENT = 80
-COUNT_BITS = 20
+COUNT_BITS = 24
 BUCKETS = 256
-CHUNK = 1 << 13
+CHUNK = 1 << 16
 
 
 def shingle_sets(text: pa.Array, hasher: words.Hasher, k: int = SHINGLE) -> list[np.ndarray]:
@@ -85,37 +87,51 @@ def rank_of(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
+def _smallest(counts: np.ndarray) -> np.ndarray:
+    """The counts in the narrowest type that holds them."""
+    most = int(counts.max(initial=0))
+    return counts.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
+
+
 def rarity_table(texts: DataFrame, bits: int = COUNT_BITS, shingle: int = SHINGLE) -> np.ndarray:
-    """Hashed counts of all shingles (each once per text): 2**bits numbers."""
+    """Hashed counts of all shingles (each once per text): 2**bits numbers.
+
+    Every task counts its own texts; the tables meet chunk by chunk, and their sum, of a
+    size that does not depend on the data, goes to all tasks.
+    """
+    chunk = min(CHUNK, 1 << bits)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, total = words.Hasher(words.WHITESPACE), np.zeros(1 << bits, np.int64)
+        hasher, total = words.Hasher(words.WHITESPACE), np.zeros(1 << bits, np.uint32)
         for batch in batches:
             for b in words.row_blocks(batch, "text"):
                 sets = shingle_sets(b.column("text"), hasher, shingle)
-                total += np.bincount((np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-        if total.any():
-            for at in range(0, 1 << bits, CHUNK):
-                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([total[at:at + CHUNK]], pa.list_(pa.int64()))], names=["at", "counts"])
+                slots, n = np.unique((np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int64), return_counts=True)
+                total[slots] += n.astype(np.uint32)
+        for at in range(0, 1 << bits, chunk):
+            part = _smallest(total[at:at + chunk])
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([part.itemsize], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["at", "width", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}  # at most 2**bits / CHUNK entries
+        sums: dict[int, np.ndarray] = {}  # at most 2**bits / chunk entries
         for b in batches:
-            for at, counts in zip(b.column("at").to_pylist(), b.column("counts")):
-                c = counts.values.to_numpy()
-                sums[at] = sums[at] + c if at in sums else c
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(list(sums.values()), pa.list_(pa.int64()))], names=["at", "counts"])
-    schema = "at long, counts array<long>"
-    table = np.zeros(1 << bits, np.int64)
-    for r in texts.mapInArrow(count, schema).repartition("at").mapInArrow(add, schema).collect():
-        table[r["at"]:r["at"] + CHUNK] += r.counts
-    return table
+            for at, width, raw in zip(*(b.column(c).to_pylist() for c in ("at", "width", "counts"))):
+                sums.setdefault(at, np.zeros(chunk, np.uint64))[:] += np.frombuffer(raw, f"u{width}")
+        for at, total in sums.items():
+            part = _smallest(np.minimum(total, (1 << 32) - 1))
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([part.itemsize], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["at", "width", "counts"])
+    schema = "at long, width int, counts binary"
+    table = np.zeros(1 << bits, np.uint32)
+    for r in texts.mapInArrow(count, schema).repartition("at").mapInArrow(add, schema).toLocalIterator():
+        table[r["at"]:r["at"] + chunk] += np.frombuffer(r.counts, f"u{r.width}")
+    return _smallest(table)
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str, percent: int, bits: int, shingle: int) -> DataFrame:
     """id, text_hash, n (set size), digest, rank, prefix (rarest shingles) and profile of every row."""
     texts = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("text_hash"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    order = docs.sparkSession.sparkContext.broadcast(np.minimum(rarity_table(texts.select("text"), bits, shingle), 2**31 - 1).astype(np.int32))
+    order = docs.sparkSession.sparkContext.broadcast(rarity_table(texts.select("text"), bits, shingle))  # 2**bits numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, hasher = order.value, words.Hasher(words.WHITESPACE)
@@ -177,7 +193,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     Alternating large and small stars; each round is written to the shared folder.
     """
-    now = write_scratch(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), f"{name}-0")
+    now = write_pairs(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), f"{name}-0")
     seen = None
     for step in range(1, 100):
         both = now.union(now.select("b", "a"))
@@ -185,7 +201,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         large = both.join(least, both["a"] == least["u"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
         least = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
         small = large.join(least, large["a"] == least["u"])
-        now = write_scratch(small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("u", "m")).where("a != b").distinct(), f"{name}-{step}")
+        now = write_pairs(small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("u", "m")).where("a != b").distinct(), f"{name}-{step}")
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == seen:
             break
@@ -193,44 +209,71 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def _labels(links: DataFrame, name: str) -> DataFrame:
+    """x, label: a point that x hangs together with (a chain of links, followed four steps)."""
+    up = links.groupBy("x").agg(F.min("p").alias("label"))
+    for _ in range(2):
+        on = up.select(F.col("x").alias("label"), F.col("label").alias("next"))
+        up = up.join(on, "label", "left").select("x", F.coalesce("next", "label").alias("label"))
+    return write_pairs(up, name)
+
+
 def link_points(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int, shingle: int) -> DataFrame:
     """Links (x, p) between ranks that connect all points within the radius."""
     radius = 1 - percent / 100
     points = write_scratch(rows.where("n > 0").groupBy("rank").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("profile").alias("profile")), "jaccard-points")
-    postings = rows.where("n > 0").select("rank", F.explode("prefix").alias("token"))
+    postings = rows.where("n > 0").select("rank", "n", F.posexplode("prefix").alias("pos", "token"))
     pivot = F.expr("first(rank) over (partition by token order by rank rows between unbounded preceding and current row)")
-    shared = write_scratch(postings.withColumn("p", pivot).where("rank != p").select("token", F.col("rank").alias("x"), "p").distinct(), "jaccard-regions")
-
-    measured = write_scratch(bounded(shared.select("x", "p").distinct(), points, percent), "jaccard-distances")
-    links = write_scratch(linked(measured.where("possible").select("x", "p"), points, docs, id_col, text_col, percent, shingle, "jaccard-0"), "jaccard-links-0")
-
-    # members of the regions in which a point is not linked to the pivot
-    left = shared.join(links, ["x", "p"], "left_anti")
-    busy = left.groupBy("token").agg(F.count(F.lit(1)).alias("n_left"))
-    sizes = shared.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    busy = busy.join(sizes, "token").where("n > 1").select("token")
-    members = shared.join(busy, "token", "left_semi").join(measured.select("x", "p", "delta"), ["x", "p"])
-    labels = links.groupBy("x").agg(F.min("p").alias("label"))
-    is_left = links.select("x", "p", F.lit(False).alias("open"))
-    members = write_scratch(members.join(is_left, ["x", "p"], "left").join(labels, "x", "left").select(
-        "token", "x", "delta", F.coalesce("label", "x").alias("label"), F.coalesce("open", F.lit(True)).alias("open")), "jaccard-members-0")
-    level, tried = 1, measured.select("x", "p")
-    while not members.where("open").isEmpty():
+    shared = write_scratch(postings.withColumn("p", pivot).where("rank != p").select("token", F.col("rank").alias("x"), "p", "pos", F.col("n").cast("int")).distinct(), "jaccard-regions")
+
+    def compare(pairs: DataFrame, name: str) -> DataFrame:
+        possible = write_pairs(bounded(pairs, points, percent).where("possible").select("x", "p"), f"{name}-possible")
+        if possible.isEmpty():
+            return possible
+        return write_pairs(linked(possible, points, docs, id_col, text_col, percent, shingle, name), f"{name}-links")
+
+    # each point with its nearest pivot: the one of most of its regions
+    nearest = shared.groupBy("x", "p").agg(F.count(F.lit(1)).alias("k")).groupBy("x").agg(F.max_by("p", F.struct("k", "p")).alias("p"))
+    nearest = write_pairs(nearest, "jaccard-nearest")
+    links = compare(nearest, "jaccard-0")
+    labels = _labels(links, "jaccard-labels-0")
+
+    def labelled(df: DataFrame, point: str, name: str) -> DataFrame:
+        of = labels.select(F.col("x").alias(point), F.col("label").alias(name))
+        return df.join(of, point, "left").withColumn(name, F.coalesce(name, point))
+
+    # the boundary: pivots of other regions that it does not yet hang together with
+    open_pairs = labelled(labelled(shared.select("x", "p").distinct(), "x", "lx"), "p", "lp").where("lx != lp").select("x", "p")
+    links = links.union(compare(open_pairs.join(nearest, ["x", "p"], "left_anti"), "jaccard-1"))
+    labels = _labels(links, "jaccard-labels-1")
+
+    # regions with points that do not hang together with their pivot
+    state = labelled(labelled(shared, "x", "label"), "p", "lp").withColumn("open", F.col("label") != F.col("lp"))
+    sizes = state.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.count_if("open").alias("m_open")).where("m > 1 and m_open > 0")
+    members = write_scratch(state.join(sizes.select("token"), "token", "left_semi").drop("lp"), "jaccard-busy")
+    if members.isEmpty():
+        return links
+    deltas = bounded(members.select("x", "p").distinct(), points, percent).select("x", "p", "delta")
+    members = write_scratch(members.join(deltas, ["x", "p"]).select("token", "x", "pos", "n", "label", "open", "delta"), "jaccard-members-0")
+    level, tried = 1, None
+    while True:
         # the next pivots of each region: its open members of lowest rank
-        q = members.where("open").withColumn("k", F.expr("row_number() over (partition by token order by x)")).where(F.col("k") <= 4 ** level) \
-            .select("token", F.col("x").alias("q"), F.col("delta").alias("dq"), F.col("label").alias("lq"))
-        pairs = members.join(q, "token").where((F.col("x") != F.col("q")) & (F.col("label") != F.col("lq")) & (F.abs(F.col("delta") - F.col("dq")) <= radius + 1e-9)) \
-            .select(F.greatest("x", "q").alias("x"), F.least("x", "q").alias("p")).distinct()
-        fresh = write_scratch(pairs.join(tried, ["x", "p"], "left_anti"), f"jaccard-pairs-{level}")
-        new = write_scratch(bounded(fresh, points, percent).where("possible").select("x", "p"), f"jaccard-possible-{level}")
-        if not new.isEmpty():
-            links = links.union(write_scratch(linked(new, points, docs, id_col, text_col, percent, shingle, f"jaccard-{level}"), f"jaccard-links-{level}"))
-        tried = tried.union(fresh)
+        q = members.where("open").withColumn("k", F.expr("row_number() over (partition by token order by x)")).where(F.col("k") <= 64 ** level) \
+            .select("token", F.col("x").alias("q"), F.col("pos").alias("pos_q"), F.col("n").alias("n_q"), F.col("label").alias("lq"), F.col("delta").alias("dq"))
+        # common tokens: none of those before the first common one, which is the region's for one region of the pair
+        most = F.least(F.col("n") - F.col("pos"), F.col("n_q") - F.col("pos_q"))
+        window = (F.col("label") != F.col("lq")) & (F.abs(F.col("delta") - F.col("dq")) <= radius + 1e-9) & (100 * most >= percent * (F.col("n") + F.col("n_q") - most))
+        pairs = members.join(q, "token").where((F.col("x") != F.col("q")) & window).select(F.greatest("x", "q").alias("x"), F.least("x", "q").alias("p")).distinct()
+        fresh = write_pairs(pairs if tried is None else pairs.join(tried, ["x", "p"], "left_anti"), f"jaccard-pairs-{level}")
+        links = links.union(compare(fresh, f"jaccard-level-{level}"))
+        if members.where("open").groupBy("token").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 64 ** level).isEmpty():
+            return links
+        tried = fresh if tried is None else tried.union(fresh)
+        labels = _labels(links, f"jaccard-labels-{level + 1}")
         done = q.select("token", F.col("q").alias("x"), F.lit(True).alias("done"))
-        members = write_scratch(members.join(done, ["token", "x"], "left").select(
-            "token", "x", "delta", "label", (F.col("open") & F.col("done").isNull()).alias("open")), f"jaccard-members-{level}")
+        members = labelled(members.drop("label").join(done, ["token", "x"], "left").withColumn("open", F.col("open") & F.col("done").isNull()).drop("done"), "x", "label")
+        members = write_scratch(members, f"jaccard-members-{level}")
         level += 1
-    return links
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
@@ -238,7 +281,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per row of ``docs``: id, text_hash, n_shingles and component (the smallest id that links reach)."""
     rows = describe(docs, id_col, text_col, percent, count_bits, shingle)
     links = link_points(rows, docs, id_col, text_col, percent, shingle)
-    roots = write_scratch(components(links.select(F.col("x").alias("a"), F.col("p").alias("b")), "jaccard-components"), "jaccard-roots")
+    roots = components(links.select(F.col("x").alias("a"), F.col("p").alias("b")), "jaccard-components")
     placed = rows.select("id", "text_hash", "n", "rank").join(roots, rows["rank"] == roots["node"], "left").select("id", "text_hash", "n", F.coalesce("root", "rank").alias("root"))
     placed = write_scratch(placed, "jaccard-placed")
     names = placed.where("n > 0").groupBy("root").agg(F.min("id").alias("component"))
