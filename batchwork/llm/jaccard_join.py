@@ -10,7 +10,7 @@ one of the few rarest shingles of each; hence the first regions are those around
 rare shingles, each with the point of lowest rank as its pivot.  A point has a region for
 each of its rare shingles that others share.  It is compared with its nearest pivot first
 (that of most of its regions), then replicated to the other regions whose pivots it does not
-already hang together with and where the bounds leave a link possible.
+already hang together with and where sizes, places and bounds leave a link possible.
 
 Recursion.  A region with points that do not hang together with its pivot takes new pivots
 among them (64 times as many at each level) and compares them with the members inside
@@ -223,8 +223,16 @@ def link_points(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, pe
     radius = 1 - percent / 100
     points = write_scratch(rows.where("n > 0").groupBy("rank").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("profile").alias("profile")), "jaccard-points")
     postings = rows.where("n > 0").select("rank", "n", F.posexplode("prefix").alias("pos", "token"))
-    pivot = F.expr("first(rank) over (partition by token order by rank rows between unbounded preceding and current row)")
-    shared = write_scratch(postings.withColumn("p", pivot).where("rank != p").select("token", F.col("rank").alias("x"), "p", "pos", F.col("n").cast("int")).distinct(), "jaccard-regions")
+    pivot = F.expr("first(struct(rank, n, pos)) over (partition by token order by rank rows between unbounded preceding and current row)")
+    shared = write_scratch(postings.withColumn("v", pivot).where("rank != v.rank").select(
+        "token", F.col("rank").alias("x"), "pos", F.col("n").cast("int"), F.col("v.rank").alias("p"), F.col("v.pos").alias("pos_p"), F.col("v.n").cast("int").alias("n_p")).distinct(), "jaccard-regions")
+
+    def enough(other: str):
+        """Can a pair reach the threshold if this region's token is its first common one?  The
+        tokens before it are then not common, and the region of its first common token is
+        one of each linked pair's regions."""
+        most = F.least(F.col("n") - F.col("pos"), F.col(f"n_{other}") - F.col(f"pos_{other}"))
+        return 100 * most >= percent * (F.col("n") + F.col(f"n_{other}") - most)
 
     def compare(pairs: DataFrame, name: str) -> DataFrame:
         possible = write_pairs(bounded(pairs, points, percent).where("possible").select("x", "p"), f"{name}-possible")
@@ -243,7 +251,7 @@ def link_points(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, pe
         return df.join(of, point, "left").withColumn(name, F.coalesce(name, point))
 
     # the boundary: pivots of other regions that it does not yet hang together with
-    open_pairs = labelled(labelled(shared.select("x", "p").distinct(), "x", "lx"), "p", "lp").where("lx != lp").select("x", "p")
+    open_pairs = labelled(labelled(shared.where(enough("p")).select("x", "p").distinct(), "x", "lx"), "p", "lp").where("lx != lp").select("x", "p")
     links = links.union(compare(open_pairs.join(nearest, ["x", "p"], "left_anti"), "jaccard-1"))
     labels = _labels(links, "jaccard-labels-1")
 
@@ -260,9 +268,7 @@ def link_points(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, pe
         # the next pivots of each region: its open members of lowest rank
         q = members.where("open").withColumn("k", F.expr("row_number() over (partition by token order by x)")).where(F.col("k") <= 64 ** level) \
             .select("token", F.col("x").alias("q"), F.col("pos").alias("pos_q"), F.col("n").alias("n_q"), F.col("label").alias("lq"), F.col("delta").alias("dq"))
-        # common tokens: none of those before the first common one, which is the region's for one region of the pair
-        most = F.least(F.col("n") - F.col("pos"), F.col("n_q") - F.col("pos_q"))
-        window = (F.col("label") != F.col("lq")) & (F.abs(F.col("delta") - F.col("dq")) <= radius + 1e-9) & (100 * most >= percent * (F.col("n") + F.col("n_q") - most))
+        window = (F.col("label") != F.col("lq")) & (F.abs(F.col("delta") - F.col("dq")) <= radius + 1e-9) & enough("q")
         pairs = members.join(q, "token").where((F.col("x") != F.col("q")) & window).select(F.greatest("x", "q").alias("x"), F.least("x", "q").alias("p")).distinct()
         fresh = write_pairs(pairs if tried is None else pairs.join(tried, ["x", "p"], "left_anti"), f"jaccard-pairs-{level}")
         links = links.union(compare(fresh, f"jaccard-level-{level}"))

@@ -70,7 +70,7 @@ def brute_components(rows):
 
 def test_jaccard_components_match_brute_force(spark):
     rows = corpus()
-    got = jaccard_join.jaccard_components(table(spark, rows))
+    got = jaccard_join.jaccard_components(table(spark, rows), count_bits=16)
     assert sorted(map(tuple, got.select("id", "n_shingles", "component").collect()), key=str) == brute_components(rows)
 
 
@@ -79,7 +79,7 @@ def test_jaccard_hot_shingle_among_unlike_texts(spark):
     rnd = random.Random(2)
     passage = [f"p{i}" for i in range(12)]
     rows = [(i, " ".join(passage[:rnd.randint(5, 12)] + [f"x{rnd.randint(0, 3)}" for _ in range(rnd.randint(0, 4))])) for i in range(150)]
-    got = jaccard_join.jaccard_components(table(spark, rows))
+    got = jaccard_join.jaccard_components(table(spark, rows), count_bits=16)
     assert sorted(map(tuple, got.select("id", "n_shingles", "component").collect()), key=str) == brute_components(rows)
 
 
@@ -97,7 +97,7 @@ def test_prefix_size_meets_the_threshold():
 def test_keep_one_keeps_rows_and_columns(spark):
     rows = corpus()
     docs = table(spark, rows)
-    kept = jaccard_join.keep_one(docs)
+    kept = jaccard_join.keep_one(docs, count_bits=16)
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, _, c in brute_components(rows) if i is None or i == c)
 

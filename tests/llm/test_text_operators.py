@@ -187,6 +187,8 @@ def test_sentencepiece_on_documents(spark):
     rows = sentencepiece.encode(load(spark, SMALL, "documents").select("doc_id", "text")).collect()
     lib = library()
     assert [r.ids for r in rows] == lib.encode([r.text for r in rows])
+    both = sentencepiece.encode(load(spark, SMALL, "documents").select("doc_id", "text"), decoded_col="back")
+    assert both.where("back <> text or back is null").count() == 0
 
 
 def test_sentencepiece_small_index_blocks(monkeypatch):
