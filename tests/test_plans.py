@@ -1,10 +1,10 @@
 """Plan checks: pushdown, pruning, group limits before the shuffle, broadcast only
 for bounded tables, no single-partition exchange on data-sized inputs."""
 
-import __spark_entry__ as E
+from batchwork.queries import all_queries
 
 SF = "/root/testdata/sf0.001"
-Q = E.queries()
+Q = all_queries()
 
 
 def plan(spark, key):
@@ -41,3 +41,15 @@ def test_no_cartesian_products(spark):
     for k in Q:
         p = plan(spark, k)
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, k
+
+
+def test_ranks_window_over_counted_values(spark):
+    p = plan(spark, "rank_ties_low")
+    # rows are counted per value before the window, and the window sees the counts alone
+    window = p[p.index("Window"):]
+    assert "functions=[partial_count(1)" in window
+
+
+def test_positional_merge_sorts_each_side_once(spark):
+    p = plan(spark, "positional_merge")
+    assert "rangepartitioning" in p and "Cartesian" not in p
