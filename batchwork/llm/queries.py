@@ -144,7 +144,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from batchwork.llm import sentencepiece
     docs = load(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    back = sentencepiece.decode(sentencepiece.encode(docs))
+    back = sentencepiece.encode(docs, decoded_col="decoded")
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
                        F.length("decoded").cast("long").alias("decoded_chars"), (F.col("decoded") == F.col("text")).alias("round_trip"))

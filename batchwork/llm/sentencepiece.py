@@ -36,8 +36,9 @@ from batchwork.llm import words
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-INDEX_CHARS = 1 << 20
-MAX_CACHED = 400_000
+INDEX_CHARS = 1 << 18
+MAX_CACHED = 250_000
+BLOCK_BYTES = 4 << 20
 LONG_CUT = 64
 # wire numbers of the public model format
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
@@ -364,8 +365,8 @@ def decode_ids(model: Model, ids) -> str:
     return text[1:] if model.dummy_prefix and text[:1] == " " else text
 
 
-def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", model: str = MODEL) -> DataFrame:
-    """``docs`` with a column of token ids."""
+def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", model: str = MODEL, decoded_col: str | None = None) -> DataFrame:
+    """``docs`` with a column of token ids and, where named, one of the text decoded from them again."""
     sent = docs.sparkSession.sparkContext.broadcast(load_model(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,12 +374,16 @@ def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", model:
         for batch in batches:
             row = batch.column("row")
             both = pa.RecordBatch.from_arrays([row, row.field(text_col)], names=["row", "text"])
-            for b in words.row_blocks(both, "text"):
+            for b in words.row_blocks(both, "text", BLOCK_BYTES):
                 flat, offsets = encoder.encode([t or "" for t in b.column("text").to_pylist()])
-                yield pa.RecordBatch.from_arrays([b.column("row"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))], names=["row", "ids"])
+                out = [b.column("row"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))]
+                if decoded_col:
+                    out.append(pa.array([decode_ids(encoder.model, flat[a:z]) for a, z in zip(offsets[:-1], offsets[1:])], pa.string()))
+                yield pa.RecordBatch.from_arrays(out, names=["row", "ids", "text"][:len(out)])
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kind}, ids array<int>").select("row.*", F.col("ids").alias(ids_col))
+    encoded = rows.mapInArrow(run, f"row {kind}, ids array<int>" + (", text string" if decoded_col else ""))
+    return encoded.select("row.*", F.col("ids").alias(ids_col), *([F.col("text").alias(decoded_col)] if decoded_col else []))
 
 
 def decode(rows: DataFrame, ids_col: str = "ids", text_col: str = "decoded", model: str = MODEL) -> DataFrame:
