@@ -48,6 +48,17 @@ def text_hash(c: str | Column) -> Column:
 
 
 def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``docs`` that are not in ``gone`` (id, text_hash), with all their columns; null ids stay."""
+    """The rows of ``docs`` that are not in ``gone`` (id, text_hash; null ids match null ids), with all their columns."""
     gone = gone.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    return docs.join(gone, (docs[id_col] == gone["__id"]) & (text_hash(docs[text_col]) == gone["__hash"]), "left_anti")
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["__id"]) & (text_hash(docs[text_col]) == gone["__hash"]), "left_anti")
+
+
+def one_null_row(docs: DataFrame, id_col: str, text_col: str, among: Column) -> DataFrame:
+    """``docs``, but of the rows with null id and equal text, for which ``among`` holds, one.
+
+    The one of least hash over all columns stays; copies are combined before the shuffle.
+    """
+    folds = F.col(id_col).isNull() & among
+    row, columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns]), [F.col(f"`{c}`") for c in docs.columns]
+    one = docs.where(folds).groupBy(text_hash(text_col).alias("__hash")).agg(F.min_by(row, F.xxhash64(*columns)).alias("__row"))
+    return docs.where(~folds).unionByName(one.select("__row.*"))

@@ -117,5 +117,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` without a hit, with all their columns (null ids stay)."""
+    """The rows of ``docs`` without a hit, with all their columns."""
     return without(docs, decontaminate(docs, benchmark, id_col, text_col, **options).where("contaminated"), id_col, text_col)

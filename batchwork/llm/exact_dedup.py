@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchwork.llm.common import text_hash, text_or_empty, without, write_scratch
+from batchwork.llm.common import one_null_row, text_hash, text_or_empty, without, write_scratch
 from batchwork.session import scratch_path
 
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
@@ -90,7 +90,9 @@ def _has_batches(spark: SparkSession, path: str) -> bool:
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=sha256_digest,
                 name: str = "exact-dedup") -> DataFrame:
-    """Return one row per row of ``docs``: id, keep_id, group_size, kept, digest, text_hash.
+    """Return one row per row of ``docs``: id, keep_id, keep_hash, group_size, kept, digest, text_hash.
+
+    ``keep_hash`` is the keeper's text_hash; it names the keeper where a whole group has null ids.
 
     The digests are written once as a narrow table, which the stream then reads; the texts
     themselves are moved only for hits (rows that are not their group's keeper).
@@ -119,18 +121,25 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     collided = hit_text.join(keeper_text, ["keep_id", "keep_hash"]).where(differ).select("digest").distinct()
     collided = write_scratch(collided, f"{name}-collided")
 
-    columns = ["id", "keep_id", "group_size", "digest", "text_hash"]
+    columns = ["id", "keep_id", "keep_hash", "group_size", "digest", "text_hash"]
     result = joined.select(columns)
     if not collided.isEmpty():
         again = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("text_hash"), normalise(text_col).alias("norm"),
                             digest(normalise(text_col)).alias("digest")).join(collided, "digest", "left_semi")
-        keys = again.groupBy("norm").agg(F.min(F.struct(F.col("id").isNull().alias("x"), F.col("id"))).alias("k"),
+        keys = again.groupBy("norm").agg(F.min(F.struct(F.col("id").isNull().alias("x"), F.col("id"), F.col("text_hash"))).alias("k"),
                                          F.count(F.lit(1)).alias("group_size"))
-        regrouped = again.join(keys, "norm").select("id", F.col("k.id").alias("keep_id"), "group_size", "digest", "text_hash")
+        regrouped = again.join(keys, "norm").select("id", F.col("k.id").alias("keep_id"), F.col("k.text_hash").alias("keep_hash"), "group_size", "digest", "text_hash")
         result = result.join(collided, "digest", "left_anti").select(columns).unionByName(regrouped)
-    return result.select("id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest", "text_hash")
+    return result.select("id", "keep_id", "keep_hash", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest", "text_hash")
+
 
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = "keep-first", null_ids_stay: bool = True) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns.
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = "keep-first") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns (null ids always stay)."""
-    return without(docs, exact_dedup(docs, id_col, text_col, name=name).where("not kept"), id_col, text_col)
+    Null ids always stay, or, without ``null_ids_stay``, only one row of a group that has no other ids.
+    """
+    found = exact_dedup(docs, id_col, text_col, name=name)
+    if null_ids_stay:
+        return without(docs, found.where("not kept and id is not null"), id_col, text_col)
+    gone = found.where("not kept or id is null and text_hash != keep_hash")
+    return one_null_row(without(docs, gone, id_col, text_col), id_col, text_col, F.lit(True))

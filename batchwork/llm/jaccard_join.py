@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchwork.llm import words
-from batchwork.llm.common import text_hash, without, write_pairs, write_scratch
+from batchwork.llm.common import one_null_row, text_hash, text_or_empty, without, write_pairs, write_scratch
 
 SHINGLE = 5
 PERCENT = 80
@@ -284,17 +284,26 @@ def link_points(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, pe
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
                        shingle: int = SHINGLE, count_bits: int = COUNT_BITS) -> DataFrame:
-    """One row per row of ``docs``: id, text_hash, n_shingles and component (the smallest id that links reach)."""
+    """One row per row of ``docs``: id, text_hash, n_shingles, component (the smallest id that links reach) and
+    keep_hash (the smallest text_hash there; it names the row to keep where a whole component has null ids)."""
     rows = describe(docs, id_col, text_col, percent, count_bits, shingle)
     links = link_points(rows, docs, id_col, text_col, percent, shingle)
     roots = components(links.select(F.col("x").alias("a"), F.col("p").alias("b")), "jaccard-components")
     placed = rows.select("id", "text_hash", "n", "rank").join(roots, rows["rank"] == roots["node"], "left").select("id", "text_hash", "n", F.coalesce("root", "rank").alias("root"))
     placed = write_scratch(placed, "jaccard-placed")
-    names = placed.where("n > 0").groupBy("root").agg(F.min("id").alias("component"))
-    out = placed.where("n > 0").join(names, "root").select("id", "text_hash", F.col("n").alias("n_shingles"), "component")
-    return out.union(placed.where("n = 0").select("id", "text_hash", F.col("n").alias("n_shingles"), F.col("id").alias("component")))
+    names = placed.where("n > 0").groupBy("root").agg(F.min("id").alias("component"), F.min("text_hash").alias("keep_hash"))
+    out = placed.where("n > 0").join(names, "root").select("id", "text_hash", F.col("n").alias("n_shingles"), "component", "keep_hash")
+    return out.union(placed.where("n = 0").select("id", "text_hash", F.col("n").alias("n_shingles"), F.col("id").alias("component"), F.col("text_hash").alias("keep_hash")))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, with all their columns (null ids stay)."""
-    return without(docs, jaccard_components(docs, id_col, text_col, **options).where("id != component"), id_col, text_col)
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", null_ids_stay: bool = True, **options) -> DataFrame:
+    """The rows of ``docs`` whose id names their component, with all their columns.
+
+    Null ids always stay, or, without ``null_ids_stay``, only one row of a component that has no
+    other ids; texts without words are linked with nothing and stay in either case.
+    """
+    found = jaccard_components(docs, id_col, text_col, **options)
+    if null_ids_stay:
+        return without(docs, found.where("id != component"), id_col, text_col)
+    gone = found.where("not (id <=> component) or id is null and text_hash != keep_hash")
+    return one_null_row(without(docs, gone, id_col, text_col), id_col, text_col, text_or_empty(text_col).rlike("[^\\x20\\x09-\\x0D]"))

@@ -23,13 +23,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal normalised text, the one with the smallest doc_id stays."""
-    return exact_dedup.keep_first(docs)
+    """Of documents with equal normalised text, the one with the smallest doc_id stays (null ids rank last)."""
+    return exact_dedup.keep_first(docs, null_ids_stay=False)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that Jaccard links (five words, 0.8) hold together, the one with the smallest doc_id stays."""
-    return jaccard_join.keep_one(docs)
+    """Of documents that Jaccard links (five words, 0.8) hold together, the one with the smallest doc_id stays (null ids rank last)."""
+    return jaccard_join.keep_one(docs, null_ids_stay=False)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

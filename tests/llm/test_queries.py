@@ -88,3 +88,27 @@ def test_stages_keep_the_columns_and_clean_documents(spark):
         assert kept == {"", *(t for _, t, *_ in rows if t)}, name
         assert stage(spark, docs.limit(0), SF).count() == 0, name
     assert corpus_pipeline.tokens(spark, docs, SF).count() == len(rows)
+
+
+def test_stages_drop_null_ids_too(spark):
+    """Contaminated, copied and nearly copied rows without an id go; one stays where no row of the group has one."""
+    item = max((r.text for r in load(spark, SF, "benchmark").collect()), key=lambda t: len(t or ""))
+    near = " ".join(f"n{k}" for k in range(60))
+    alone = " ".join(f"m{k}" for k in range(60))
+    rows = [(1, "a copied text"), (None, "a  copied text"), (None, "a copied text"), (None, "no other id"), (None, "no  other id"), (None, "no other id"),
+            (2, near), (None, near + " x"), (None, near + " x"), (None, alone), (None, alone + " y"), (None, alone.upper()), (None, alone),
+            (None, f"words before {item} words after"), (None, "clean and single"), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", f"s{k}", 1) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+
+    def kept(stage, some):
+        out = stage(spark, some, SF)
+        assert out.columns == some.columns
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    exact = kept(corpus_pipeline.exact, docs)
+    assert len(exact) == 10 and [t for i, t in exact if (t or "").replace("  ", " ") in ("a copied text", "no other id")][:1] == ["a copied text"]
+    assert sorted(re.sub(" +", " ", t or "") for i, t in exact) == sorted({re.sub(" +", " ", t or "") for _, t in rows})
+    left = kept(corpus_pipeline.near, docs)
+    assert [(i, t) for i, t in left if t and t.startswith("n0")] == [(2, near)]
+    assert sum((t or "").lower().startswith("m0") for _, t in left) == 1
+    assert sum(not t for _, t in left) == 2 and (None, "clean and single") in left and (1, "a copied text") in left
+    assert kept(corpus_pipeline.decontaminate, docs) == sorted((r for r in rows if item not in (r[1] or "")), key=str)
