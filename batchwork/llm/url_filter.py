@@ -86,8 +86,9 @@ def url_filter(urls: DataFrame, url_col: str = "url", rules: list[tuple[str, str
     """Add host, path, rule, verdict and the trees' score (share of ``block``).
 
     ``labels`` (url, label 1 = block) are labelled URLs; default: those that a rule decides.
-    At most about ``max_train`` of them, taken by hash, fit the trees; all of them count in
-    the suffix statistics.
+    At most about ``max_train`` distinct ones, taken by hash and weighted by their number of
+    rows, fit the trees; all rows count in the suffix statistics.  A sample that is empty or
+    of one kind fits nothing: the score is then the share of ``block`` among all labelled rows.
     """
     judged = with_features(with_parts(urls, url_col), url_col).withColumns(
         {"rule": rule_column(rules, 0), "rule_verdict": rule_column(rules, 1)})
@@ -96,14 +97,21 @@ def url_filter(urls: DataFrame, url_col: str = "url", rules: list[tuple[str, str
     else:
         labelled = with_features(with_parts(labels.select(F.col("url").alias(url_col), F.col("label").cast("double").alias("label")), url_col), url_col)
     labelled = write_scratch(labelled.select(F.xxhash64(text_or_empty(url_col)).alias("h"), "label", "k_suffix1", "k_suffix2", "k_segment", *FEATURES[:-3]), "url-labelled")
-    n, blocked = labelled.agg(F.count("label"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+    kinds = labelled.where("label is not null").groupBy("h", "label").agg(F.count(F.lit(1)).alias("weight"))
+    n, blocked, distinct = kinds.agg(F.coalesce(F.sum("weight"), F.lit(0)), F.coalesce(F.sum(F.col("weight") * F.col("label")), F.lit(0.0)), F.count(F.lit(1))).first()
     if not n or blocked in (0, n):
         return judged.withColumn("score", F.lit(1.0 if n and blocked else 0.0)).withColumn(
             "verdict", F.coalesce("rule_verdict", F.lit("block" if n and blocked else "allow")))
-    pick = F.pmod("h", F.lit(1_000_000)) < int(1_000_000 * min(1.0, max_train / n))
+    pick = F.pmod("h", F.lit(10 ** 15)) < int(10 ** 15 * min(1.0, max_train / distinct))
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    train = write_scratch(suffix_rates(labelled.where(pick), labelled).select("label", *FEATURES).coalesce(4), "url-train")
-    model = GBTClassifier(labelCol="label", maxIter=15, maxDepth=3, maxBins=32, stepSize=0.3, seed=7).fit(assemble.transform(train))
+    # one row per url and label, its copies combined before the shuffle
+    sample = labelled.where(pick & F.col("label").isNotNull()).groupBy("h", "label").agg(
+        F.count(F.lit(1)).cast("double").alias("weight"), *[F.first(c).alias(c) for c in ("k_suffix1", "k_suffix2", "k_segment", *FEATURES[:-3])])
+    train = write_scratch(suffix_rates(sample, labelled).select("label", "weight", *FEATURES).coalesce(4), "url-train")
+    if train.select("label").distinct().count() < 2:
+        share = blocked / n
+        return judged.withColumn("score", F.lit(float(share))).withColumn("verdict", F.coalesce("rule_verdict", F.lit("block" if share >= 0.5 else "allow")))
+    model = GBTClassifier(labelCol="label", weightCol="weight", maxIter=15, maxDepth=3, maxBins=32, stepSize=0.3, seed=7).fit(assemble.transform(train))
     from pyspark.ml.functions import vector_to_array
     scored = model.transform(assemble.transform(suffix_rates(judged, labelled)))
     return scored.withColumn("score", vector_to_array("probability")[1]).withColumn(

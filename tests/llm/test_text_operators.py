@@ -342,3 +342,20 @@ def test_url_filter_without_labels(spark):
     none = spark.createDataFrame([("http://a.com/x",), (None,)], "url string")
     assert {r.verdict for r in url_filter.url_filter(none).collect()} == {"allow"}
     assert url_filter.url_filter(none.limit(0)).count() == 0
+
+
+def test_url_training_takes_each_url_once(spark, monkeypatch):
+    seen, write = {}, url_filter.write_scratch
+
+    def noted(df, name):
+        seen[name] = write(df, name)
+        return seen[name]
+    monkeypatch.setattr(url_filter, "write_scratch", noted)
+    labelled = spark.createDataFrame([(f"http://{'bad-' * 4 if i % 2 else ''}h{i}.test/", i % 2) for i in range(20) for _ in range(100)], "url string, label int")
+    urls = labelled.select("url").distinct()
+    out = url_filter.url_filter(urls, labels=labelled, max_train=40).collect()
+    assert seen["url-train"].agg(F.count("*"), F.sum("weight")).first() == (20, 2000.0)
+    assert all((r.verdict == "block") == ("bad" in r.url) for r in out)
+    # a sample without rows, or of one kind, fits nothing
+    out = url_filter.url_filter(urls, labels=labelled, max_train=0).collect()
+    assert len(out) == 20 and {(r.score, r.verdict) for r in out} == {(0.5, "block")}
