@@ -31,6 +31,13 @@ def bounded_sample(rows: DataFrame, order: str, most: int) -> DataFrame:
     return F.broadcast(rows.orderBy(order).limit(2 * most))
 
 
+def at_most(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """``rows``, one per ``key``; of more than ``most`` about half of ``most``, chosen by hash."""
+    n = rows.count()
+    share = F.pmod(F.xxhash64(key, F.lit(4)), F.lit(10 ** 15)) / 1e15
+    return rows if n <= most else rows.where(share < most / 2 / n)
+
+
 def held_out(id_col: str) -> Column:
     """The held-out fold: crc32 of the id as text, mod 5, is 0 (null ids are never held out)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -9,7 +9,7 @@ the spread between sites (method of moments).  A document's own contribution is
 of its site's counts before the two are combined.
 
 Labels are learned from training rows alone (held-out rows never count).  The classifier is
-fitted on at most about ``max_train`` labelled rows, chosen by hash.
+fitted on at most about ``max_train`` labelled rows, chosen by hash, each id and text once.
 
 Defined results: a null or empty text has all statistics zero; null host and path are sites
 of their own; repeated rows are separate documents of their site; without labels of both
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchwork.llm import words
-from batchwork.llm.common import bounded_sample, held_out, write_scratch
+from batchwork.llm.common import at_most, bounded_sample, held_out, text_hash, write_scratch
 
 MAX_TRAIN = 20_000
 _LINES = words.byte_values(b"\n", fold_case=False)
@@ -98,9 +98,11 @@ def fit(docs: DataFrame, known: DataFrame, id_col: str, text_col: str, max_train
         for batch in batches:
             for b in words.row_blocks(batch, "text"):
                 x = statistics(b.column("text"), hasher, lines)
-                yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(list(x), pa.list_(pa.float64()))], names=["label", "x"])
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(bounded_sample(take, "__id", max_train), "__id").select("label", "text") \
-        .mapInArrow(run, "label double, x array<double>").collect()
+                yield pa.RecordBatch.from_arrays([b.column("key"), b.column("label"), pa.array(list(x), pa.list_(pa.float64()))], names=["key", "label", "x"])
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(bounded_sample(take, "__id", max_train), "__id")
+    # an id may stand on any number of rows: one row per id and text, and a bounded number of them
+    found = texts.select(F.xxhash64("__id", text_hash("text")).alias("key"), "label", "text").mapInArrow(run, "key long, label double, x array<double>")
+    rows = at_most(write_scratch(found.dropDuplicates(["key"]), "quality-sample"), "key", 2 * max_train).select("label", "x").collect()
     if not rows:
         return None, good / n
     x, y = expand(np.array([r.x for r in rows])), np.array([r.label for r in rows])

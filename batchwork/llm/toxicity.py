@@ -10,7 +10,7 @@ with the non-negative rule: where the bracket turns negative, the step goes back
 that the classifier can't over-fit the positives out of the unlabelled rows.
 
 Words are runs of letters (ASCII case folded) of the whole text.  The fit takes at most
-about ``max_positive`` and ``max_unlabelled`` labelled rows, chosen by hash; the class
+about ``max_positive`` and ``max_unlabelled`` labelled rows, chosen by hash, each id and text once; the class
 prior is counted over all labelled training rows.
 
 Defined results: a null or empty text has no words and scores the model's bias; with no
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchwork.llm import words
-from batchwork.llm.common import bounded_sample, held_out, write_scratch
+from batchwork.llm.common import at_most, bounded_sample, held_out, text_hash, write_scratch
 
 MAX_POSITIVE = 4_000
 MAX_UNLABELLED = 12_000
@@ -57,7 +57,8 @@ def sample_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     take = known.select("__id", (F.col("positive") & (share < max_positive / max(n_pos, 1))).alias("as_positive"),
                         (other < max_unlabelled / n).alias("as_unlabelled")).where("as_positive or as_unlabelled")
     text = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
-    return text.join(bounded_sample(take, "__id", max_positive + max_unlabelled), "__id").select("as_positive", "as_unlabelled", "text"), n_pos / n, n_pos
+    return text.join(bounded_sample(take, "__id", max_positive + max_unlabelled), "__id").select(
+        F.xxhash64("__id", text_hash("text")).alias("key"), "as_positive", "as_unlabelled", "text"), n_pos / n, n_pos
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -72,12 +73,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for batch in batches:
             for b in words.row_blocks(batch, "text"):
                 sets = [x.view(np.int64) for x in distinct_words(b.column("text"), hasher)]
-                yield pa.RecordBatch.from_arrays([b.column("as_positive"), b.column("as_unlabelled"), pa.array(sets, pa.list_(pa.int64()))],
-                                                 names=["as_positive", "as_unlabelled", "h"])
+                yield pa.RecordBatch.from_arrays([b.column("key"), b.column("as_positive"), b.column("as_unlabelled"), pa.array(sets, pa.list_(pa.int64()))],
+                                                 names=["key", "as_positive", "as_unlabelled", "h"])
 
     # In how many sampled rows of each kind does each word stand?  Counted by Spark; only
     # words that tell the kinds apart come to the driver, MAX_FEATURES of them at most.
-    sets = write_scratch(rows.mapInArrow(hashed, "as_positive boolean, as_unlabelled boolean, h array<long>"), "toxic-sample")
+    # An id may stand on any number of rows: one row per id and text, and a bounded number of them.
+    sets = write_scratch(rows.mapInArrow(hashed, "key long, as_positive boolean, as_unlabelled boolean, h array<long>").dropDuplicates(["key"]), "toxic-sample")
+    sets = at_most(sets, "key", 2 * (max_positive + max_unlabelled))
     p_rows, u_rows = sets.agg(F.count_if("as_positive"), F.count_if("as_unlabelled")).first()
     if not p_rows or not u_rows:
         return np.zeros(0, np.uint64), np.zeros(0), -np.inf

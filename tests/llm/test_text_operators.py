@@ -109,6 +109,22 @@ def test_quality_odd_rows(spark):
     assert quality.quality(clash(spark, []), labels).count() == 0
 
 
+def test_ids_on_many_rows_leave_the_training_sample_bounded(spark, monkeypatch):
+    """Every labelled id stands on 60 texts and 60 copies: far more rows than ids come out of the join."""
+    seen = {}
+    docs = clash(spark, [(i, f"same text {i}" if k < 60 else f"text {i} of words {k}") for i in range(10) for k in range(120)])
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(10)], "doc_id long, quality int, toxic int")
+    logistic, nn_pu = quality.logistic, toxicity.nn_pu
+    monkeypatch.setattr(quality, "logistic", lambda x, y, *a: seen.update(quality=len(y)) or logistic(x, y, *a))
+    monkeypatch.setattr(toxicity, "nn_pu", lambda p, n_p, u, n_u, *a: seen.update(toxicity=max(n_p, n_u)) or nn_pu(p, n_p, u, n_u, *a))
+    known = labels.select(F.col("doc_id").alias("__id"), F.col("quality").cast("double").alias("label"))
+    quality.fit(docs, known, "doc_id", "text", max_train=20)
+    toxicity.fit(docs, labels, max_positive=8, max_unlabelled=12)
+    assert 0 < seen["quality"] <= 40 and 0 < seen["toxicity"] <= 40
+    quality.fit(docs, known, "doc_id", "text")
+    assert seen["quality"] == 10 * 61
+
+
 # decontamination
 
 def brute_hits(rows, items):
