@@ -1,7 +1,7 @@
 """Cleaning a text corpus, stage by stage.
 
 Each stage takes the documents that its predecessor kept and returns those that it keeps,
-with the columns of ``documents``; the last one returns their tokens.  Between stages the
+with the columns of ``documents``; the last one returns their tokens and the round trip.  Between stages the
 documents are written as Parquet under the shared checkpoint folder and read again, so a
 lost executor costs the running stage's tasks at most.
 """
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchwork.llm import decontamination, exact_dedup, jaccard_join, sentencepiece, toxicity as toxic
-from batchwork.llm.common import load, write_scratch
+from batchwork.llm.common import load, text_or_empty, write_scratch
 from batchwork.session import ensure_checkpoint_dir
 
 
@@ -38,9 +38,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of what is left."""
-    encoded = sentencepiece.encode(docs.select("doc_id", "lang", "source", "text"))
-    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """The token ids of what is left, and whether the text decoded from them is the text again (null as empty)."""
+    encoded = sentencepiece.encode(docs.select("doc_id", "lang", "source", text_or_empty("text").alias("text")), decoded_col="decoded")
+    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                          F.length("decoded").cast("long").alias("decoded_chars"), (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 
 STAGES = [("toxicity", toxicity), ("exact dedup", exact), ("n-gram Jaccard join", near),

@@ -4,6 +4,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from batchwork.llm import sentencepiece, toxicity
@@ -90,6 +91,12 @@ def test_stages_keep_the_columns_and_clean_documents(spark):
     assert corpus_pipeline.tokens(spark, docs, SF).count() == len(rows)
 
 
+def test_tokens_are_decoded_again(spark):
+    docs = spark.createDataFrame([(1, "Some  text\n漢字 😀"), (2, None), (None, "x")], "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+    got = {r.doc_id: (r.decoded_chars, r.round_trip) for r in corpus_pipeline.tokens(spark, docs, SF).collect()}
+    assert got == {1: (15, True), 2: (0, True), None: (1, True)}
+
+
 def test_stages_drop_null_ids_too(spark):
     """Contaminated, copied and nearly copied rows without an id go; one stays where no row of the group has one."""
     item = max((r.text for r in load(spark, SF, "benchmark").collect()), key=lambda t: len(t or ""))
