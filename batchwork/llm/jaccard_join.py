@@ -221,11 +221,13 @@ def _labels(links: DataFrame, name: str) -> DataFrame:
 def link_points(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int, shingle: int) -> DataFrame:
     """Links (x, p) between ranks that connect all points within the radius."""
     radius = 1 - percent / 100
-    points = write_scratch(rows.where("n > 0").groupBy("rank").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("profile").alias("profile")), "jaccard-points")
-    postings = rows.where("n > 0").select("rank", "n", F.posexplode("prefix").alias("pos", "token"))
-    pivot = F.expr("first(struct(rank, n, pos)) over (partition by token order by rank rows between unbounded preceding and current row)")
-    shared = write_scratch(postings.withColumn("v", pivot).where("rank != v.rank").select(
-        "token", F.col("rank").alias("x"), "pos", F.col("n").cast("int"), F.col("v.rank").alias("p"), F.col("v.pos").alias("pos_p"), F.col("v.n").cast("int").alias("n_p")).distinct(), "jaccard-regions")
+    points = write_scratch(rows.where("n > 0").groupBy("rank").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("profile").alias("profile"), F.first("prefix").alias("prefix")), "jaccard-points")
+    # one posting per set and token; a token's pivot is combined before the shuffle, then joined back
+    postings = points.select("rank", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
+    points = points.drop("prefix")
+    pivots = postings.groupBy("token").agg(F.min(F.struct("rank", "n", "pos")).alias("v"), F.count(F.lit(1)).alias("m")).where("m > 1").select("token", "v")
+    shared = write_scratch(postings.join(pivots, "token").where("rank != v.rank").select(
+        "token", F.col("rank").alias("x"), "pos", "n", F.col("v.rank").alias("p"), F.col("v.pos").alias("pos_p"), F.col("v.n").alias("n_p")), "jaccard-regions")
 
     def enough(other: str):
         """Can a pair reach the threshold if this region's token is its first common one?  The

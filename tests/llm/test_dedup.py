@@ -74,6 +74,19 @@ def test_jaccard_components_match_brute_force(spark):
     assert sorted(map(tuple, got.select("id", "n_shingles", "component").collect()), key=str) == brute_components(rows)
 
 
+def test_jaccard_regions_come_from_the_distinct_sets(spark, monkeypatch):
+    """Pivots of tokens are aggregated over one posting per set, not taken by a window over the documents."""
+    seen, write = {}, jaccard_join.write_scratch
+    monkeypatch.setattr(jaccard_join, "write_scratch", lambda df, name: seen.update({name: df}) or write(df, name))
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(words)) for i in range(50)] + [(50, " ".join(words[:39] + ["x"]))]
+    got = jaccard_join.jaccard_components(table(spark, rows), count_bits=16)
+    assert {r.component for r in got.collect()} == {0}
+    regions = seen["jaccard-regions"]
+    assert "Window" not in regions._jdf.queryExecution().toString()
+    assert regions.inputFiles() and all("jaccard-points" in f for f in regions.inputFiles())
+
+
 def test_jaccard_hot_shingle_among_unlike_texts(spark):
     """Short texts that share most of a passage: many regions stay open and take more pivots."""
     rnd = random.Random(2)
