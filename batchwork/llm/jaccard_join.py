@@ -188,14 +188,15 @@ def linked(pairs: DataFrame, points: DataFrame, docs: DataFrame, id_col: str, te
     return both.select("x", "p", common.alias("c"), (F.size("sx") + F.size("sp") - common).alias("u")).where(f"100 * c >= {percent} * u").select("x", "p")
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
+def components(edges: DataFrame, name: str = "components", most_rounds: int = 99) -> DataFrame:
     """node, root for every node of the undirected edges (a, b); root is the smallest node.
 
-    Alternating large and small stars; each round is written to the shared folder.
+    Alternating large and small stars; each round is written to the shared folder.  If the
+    last of ``most_rounds`` rounds still changed something, the components would be split: an error.
     """
     now = write_pairs(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), f"{name}-0")
     seen = None
-    for step in range(1, 100):
+    for step in range(1, most_rounds + 1):
         both = now.union(now.select("b", "a"))
         least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, both["a"] == least["u"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
@@ -206,6 +207,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         if tuple(state) == seen:
             break
         seen = tuple(state)
+    else:
+        raise RuntimeError(f"components are still changing after {most_rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 

@@ -107,6 +107,12 @@ def test_prefix_size_meets_the_threshold():
     assert [jaccard_join.prefix_size(n, 80) for n in (1, 4, 5, 10, 100)] == [1, 1, 2, 3, 21]
 
 
+def test_components_never_returns_split_ones(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(80)], "a long, b long")
+    with pytest.raises(RuntimeError, match="still changing"):
+        jaccard_join.components(edges, "short", most_rounds=2)
+
+
 def test_keep_one_keeps_rows_and_columns(spark):
     rows = corpus()
     docs = table(spark, rows)
