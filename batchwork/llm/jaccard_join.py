@@ -12,9 +12,10 @@ each of its rare shingles that others share.  It is compared with its nearest pi
 (that of most of its regions), then replicated to the other regions whose pivots it does not
 already hang together with and where sizes, places and bounds leave a link possible.
 
-Recursion.  A region with points that do not hang together with its pivot takes new pivots
-among them (64 times as many at each level) and compares them with the members inside
-the triangle-inequality window: |d(x, p) - d(q, p)| <= radius.  Pairs already known to hang
+Blocked comparison.  A region with points that do not hang together with its pivot takes new
+pivots among them (64 times as many at each level) and compares them with the members inside
+the triangle-inequality window: |d(x, p) - d(q, p)| <= radius.  The members are not dealt out to
+sub-regions, so a region whose members stay open is compared pair by pair.  Pairs already known to hang
 together, and pairs whose places of the shared shingle leave too few common ones, are left
 out.  Every pair that could be within the radius is either
 compared in full or already joined through a pivot, so the components are exact.
