@@ -155,3 +155,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from batchwork.llm.suffix_dedup import repeated_passages
     out = repeated_passages(load(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "start_word", "n_words", "n_repeated")
+
+
+@register("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from batchwork.llm.whitening import whiten
+    return whiten(load(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
