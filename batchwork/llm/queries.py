@@ -161,3 +161,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from batchwork.llm.whitening import whiten
     return whiten(load(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@register("op11_language_id")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from batchwork.llm import language_id
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = language_id.fit(docs, known=~held)
+    return language_id.identify(docs.select("doc_id", "text"), model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
