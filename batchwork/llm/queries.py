@@ -170,3 +170,21 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     model = language_id.fit(docs, known=~held)
     return language_id.identify(docs.select("doc_id", "text"), model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@register("op12_ranked_search", f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS w FROM documents),
+    g AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+    q AS (SELECT DISTINCT item_id, unnest(w) AS term FROM (SELECT item_id, {WORDS_SQL} AS w FROM benchmark)),
+    t AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d)
+          WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+    f AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM t, g GROUP BY term),
+    s AS (SELECT item_id, r, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+          FROM q JOIN t USING (term) JOIN f USING (term), g GROUP BY item_id, r, doc_id),
+    k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from batchwork.llm import ranked_search
+    index = ranked_search.build_index(load(spark, sf_dir, "documents"))
+    found = ranked_search.search(index, load(spark, sf_dir, "benchmark"), k=10)
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
