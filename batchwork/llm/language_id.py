@@ -83,7 +83,8 @@ class Vocabulary:
         h, k = np.zeros(n, np.uint64), 0
         for size, table, pieces, seen in self.tables:
             at = at[at + size <= ends[at]]
-            h = h[:len(data)]
+            if not len(at):
+                break
             while k < size:  # rolling on: h[i] covers data[i:i + k]
                 h[:n - k] = h[:n - k] * np.uint64(0x9E3779B97F4A7C15) + self.values[data[k:]]
                 k += 1

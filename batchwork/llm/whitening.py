@@ -81,7 +81,9 @@ def refined_eigen(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             small = (small + small.T) / 2
             scale = np.abs(small).max()
             if scale > 64 * eps:
-                x[:, c] = own @ np.linalg.eigh((small / scale).astype(np.float64))[1].astype(np.longdouble)
+                turn = np.linalg.eigh((small / scale).astype(np.float64))[1].astype(np.longdouble)
+                x[:, c] = own @ (turn @ (1.5 * np.eye(len(c)) - 0.5 * turn.T @ turn))  # right angles beyond float64
+    x = x @ (1.5 * np.eye(d) - 0.5 * x.T @ x)
     e = np.array([x[:, i] @ (a @ x[:, i]) / (x[:, i] @ x[:, i]) for i in range(d)], np.longdouble)
     order = np.argsort(-e, kind="stable")
     e, x = e[order] * size, x[:, order] / np.sqrt((x[:, order] ** 2).sum(0))

@@ -56,7 +56,7 @@ def test_word_hashes_across_blocks(monkeypatch):
 # toxicity
 
 def test_toxicity_on_held_out_rows(spark):
-    docs, labels = load(spark, "/root/testdata/check_s", "documents").where("doc_id < 6000"), load(spark, "/root/testdata/check_s", "labels")
+    docs, labels = load(spark, "/root/testdata/sf0.1", "documents"), load(spark, "/root/testdata/sf0.1", "labels")
     scored = toxicity.score(docs, toxicity.fit(docs, labels)).join(labels, "doc_id").where(held_out("doc_id")).select("score", "toxic").collect()
     right = sum((r.score >= 0.5) == (r.toxic == 1) for r in scored)
     assert len(scored) > 300 and right / len(scored) > 0.97
