@@ -264,6 +264,40 @@ def carry_forward_prior(cur: DataFrame, prior: DataFrame, keys, value: str, appl
                                       F.col("prior_" + value)).otherwise(F.col(value)))
 
 
+def wildcard_lookup(df: DataFrame, rows: list[tuple], keys: list[str], key_types: list[str], values: dict[str, str]) -> DataFrame:
+    """The most specific row of a code table whose rows may leave keys open.
+
+    ``rows`` holds (key values, layer, values): a missing key matches anything.  Rows are grouped
+    by layer and by which keys they name, one broadcast equi-join per group; of the groups
+    that hit, the highest layer and in it the most named keys gives each value (a missing
+    value passes on to the next).  Of rows with equal keys in one group, the first listed wins.
+    """
+    n, out, found = len(keys), df, {v: [] for v in values}
+    groups = sorted({(r[n], sum(k is not None for k in r[:n]), tuple(k is not None for k in r[:n])) for r in rows}, reverse=True)
+    for g, (layer, _, named) in enumerate(groups):
+        mine, seen = [], set()
+        for r in rows:
+            key = tuple(k for k, yes in zip(r[:n], named) if yes)
+            if r[n] == layer and tuple(k is not None for k in r[:n]) == named:
+                for v, value in enumerate(r[n + 1:]):
+                    if value is not None and (key, v) not in seen:
+                        seen.add((key, v))
+                        mine.append((key, v, value))
+        asked = [k for k, yes in zip(keys, named) if yes]
+        kinds = [t for t, yes in zip(key_types, named) if yes]
+        table = {}
+        for key, v, value in mine:
+            table.setdefault(key, [None] * len(values))[v] = value
+        schema = ", ".join([f"__k{g}_{i} {t}" for i, t in enumerate(kinds)] + [f"__v{g}_{v} {t}" for v, t in values.items()])
+        t = code_table(df.sparkSession, [(*k, *v) for k, v in table.items()], schema)
+        cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__k{g}_{i}") for i, k in enumerate(asked)])
+        out = out.join(t, cond, "left")
+        for v in values:
+            found[v].append(F.col(f"__v{g}_{v}"))
+    picked = {v: F.coalesce(*found[v]) for v in values}
+    return out.select(*[F.col(c) for c in df.columns if c not in values], *[c.alias(v) for v, c in picked.items()])
+
+
 def union_lookup(masters: list[DataFrame], key: str, value: str) -> DataFrame:
     """One lookup table from several masters (first listed wins on a repeated key)."""
     tagged = [m.select(F.col(key), F.col(value), F.lit(i).alias("__src")) for i, m in enumerate(masters)]
