@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import parent_join
+from .joins import ancestor_paths, parent_join
 from .keys import best_with_ties, join_on
 
 
@@ -28,22 +28,16 @@ def assign_levels(nodes: DataFrame, node: str, parent: str, root_value, max_leve
     LEVEL5).  Nodes not reached within ``max_level`` levels (too deep, orphans, cycles, an
     account without a root row) have a null level and path.
 
-    Each node looks its ancestors up, ``max_level - 1`` joins on (account, node) over the
-    narrow parent table; no step repeats the ones before it.  A node listed under several
-    parents takes the smallest.
+    Paths come by pointer jumping over the narrow parent table (``joins.ancestor_paths``):
+    three joins for five levels.  A node listed under several parents takes the smallest.
     """
     acc = [account] if account else []
     up = nodes.groupBy(*acc, node).agg(F.min(parent).alias("__up"))
-    chain = up.withColumn("__a1", F.col("__up")).drop("__up")
-    path = F.when(F.col(node) == root_value, F.array(F.col(node)))
-    below = F.array(F.col(node))
-    for i in range(1, max_level):
-        step = up.select(*acc, F.col(node).alias(f"__a{i}"), F.col("__up").alias(f"__a{i + 1}"), F.lit(True).alias(f"__found{i}"))
-        chain = join_on(chain, step, [*acc, f"__a{i}"], "left")
-        below = F.concat(F.array(F.col(f"__a{i}")), below)
-        path = F.coalesce(path, F.when(F.col(f"__found{i}") & (F.col(f"__a{i}") == root_value), below))
-    found = chain.select(*acc, node, path.alias("path")).where("path is not null")
-    return join_on(nodes, found.withColumn("level", F.size("path")), [*acc, node], "left")
+    paths = ancestor_paths(up, acc, node, "__up", max_level, [], "__path")
+    ids = F.transform("__path", lambda p: p["node"])
+    found = paths.select(*acc, node, F.array_position(ids, F.lit(root_value).cast(nodes.schema[node].dataType)).cast("int").alias("level"), ids.alias("__ids")).where("level > 0")
+    found = found.select(*acc, node, F.reverse(F.slice("__ids", 1, F.col("level"))).alias("path"), "level")
+    return join_on(nodes, found, [*acc, node], "left")
 
 
 def level_columns(df: DataFrame, max_level: int = 5, prefix: str = "level") -> DataFrame:

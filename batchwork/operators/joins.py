@@ -165,26 +165,88 @@ def n_way_merge(frames: list[DataFrame], keys, how: str = "full") -> DataFrame:
     return reduce(lambda a, b: join_on(a, b, keys, how), frames)
 
 
+# groups of up to so many rows are walked in one array; larger ones by joins
+SMALL_GROUP = 64
+
+
+def ancestor_paths(nodes: DataFrame, within: list[str], node: str, parent: str, length: int, keep: list[str], path: str = "path") -> DataFrame:
+    """Paths of up to ``length`` rows from each row upwards, by pointer jumping.
+
+    A path of 2k rows is a path of k rows joined with the path of k rows that starts at
+    the parent of its last one, so the joins are as many as the binary digits of
+    ``length`` need, not one per step.  Rows that share their (within, node) are
+    followed one by one; a missing key matches a missing key (R3).
+    """
+    entry = F.struct(F.col(node).alias("node"), F.col(parent).alias("parent"), *[F.col(k).alias(k) for k in keep])
+    one = nodes.select(*[F.col(w).alias(f"__w{i}") for i, w in enumerate(within)], F.col(node).alias("__node"), F.array(entry).alias("__path"))
+    keys = [f"__w{i}" for i in range(len(within))]
+
+    def joined(low: DataFrame, size: int, high: DataFrame) -> DataFrame:
+        # a path that is not full has ended: it asks for nothing (and must not ask for the missing node)
+        asks = low.withColumn("__full", F.size("__path") == size).withColumn("__next", F.element_at("__path", -1)["parent"])
+        up = high.select(*[F.col(k).alias(f"{k}r") for k in keys], F.col("__node").alias("__up"), F.col("__path").alias("__more"))
+        cond = F.col("__full") & F.col("__next").eqNullSafe(F.col("__up"))
+        for k in keys:
+            cond = cond & F.col(k).eqNullSafe(F.col(f"{k}r"))
+        return asks.join(up, cond, "left").select(*keys, "__node", F.concat("__path", F.coalesce("__more", F.array().cast(low.schema["__path"].dataType))).alias("__path"))
+    powers, size = {1: one}, 1
+    while 2 * size <= length:
+        powers[2 * size] = joined(powers[size], size, powers[size])
+        size *= 2
+    out, have = powers[size], size
+    while have < length:
+        size = max(p for p in powers if p <= length - have)
+        out, have = joined(out, have, powers[size]), have + size
+    return out.select(*[F.col(k).alias(w) for k, w in zip(keys, within)], F.col("__node").alias(node), F.col("__path").alias(path))
+
+
 def parent_join(df: DataFrame, ref: str | None, child_id: str, parent_id: str, levels: int,
                 keep: list[str]) -> DataFrame:
-    """Walk up to ``levels`` ancestors by repeated left self-join on
-    (ref, parent id); ``ref=None`` joins on the parent id alone."""
-    out = df
-    prev = parent_id
-    refc = [F.col(ref).alias("__ref")] if ref else []
-    base = df.select(*refc, F.col(child_id).alias("__cid"), F.col(parent_id).alias("__pid"), *keep)
-    for lv in range(1, levels + 1):
-        anc = base.select(*(["__ref"] if ref else []), F.col("__cid").alias(f"anc{lv}_id"),
-                          F.col("__pid").alias(f"anc{lv}_parent"),
-                          *[F.col(k).alias(f"anc{lv}_{k}") for k in keep])
-        cond = F.col(prev) == F.col(f"anc{lv}_id")
-        if ref:
-            cond = cond & (F.col(ref) == F.col("__ref"))
-        out = out.join(anc, on=cond, how="left")
+    """Up to ``levels`` ancestors of each row within its ``ref`` (``None``: anywhere),
+    as a left join per level would give them; missing keys match missing keys (R3).
+
+    References of up to ``SMALL_GROUP`` rows are gathered and walked in one array: one
+    exchange on the reference serves all levels.  Larger ones, and a walk without a
+    reference, go by pointer jumping (``ancestor_paths``).
+    """
+    names = [n for lv in range(1, levels + 1) for n in (f"anc{lv}_id", f"anc{lv}_parent", *[f"anc{lv}_{k}" for k in keep])]
+
+    def columns(step) -> list[Column]:
+        out = []
+        for lv in range(1, levels + 1):
+            a = step(lv)
+            out += [a["node"].alias(f"anc{lv}_id"), a["parent"].alias(f"anc{lv}_parent"), *[a[k].alias(f"anc{lv}_{k}") for k in keep]]
+        return out
+
+    def by_jumps(rows: DataFrame) -> DataFrame:
+        within = [ref] if ref else []
+        up = ancestor_paths(df, within, child_id, parent_id, levels, keep, "__up").withColumnsRenamed({child_id: "__id", **({ref: "__ref"} if ref else {})})
+        cond = F.col(parent_id).eqNullSafe(F.col("__id"))
         if ref:
-            out = out.drop("__ref")
-        prev = f"anc{lv}_parent"
-    return out
+            cond = cond & F.col(ref).eqNullSafe(F.col("__ref"))
+        return rows.join(up, cond, "left").select(*[F.col(c) for c in rows.columns], *columns(lambda lv: F.get("__up", F.lit(lv - 1))))
+    if not ref:
+        return by_jumps(df)
+    sizes = df.groupBy(F.col(ref).alias("__of")).agg((F.count(F.lit(1)) <= SMALL_GROUP).alias("__small"))
+    tagged = df.join(sizes, F.col(ref).eqNullSafe(F.col("__of"))).drop("__of")
+    entry = F.struct(F.col(child_id).alias("node"), F.col(parent_id).alias("parent"), *[F.col(k).alias(k) for k in keep])
+    groups = tagged.where("__small").groupBy(ref).agg(F.collect_list(F.struct(F.struct(*[F.col(c) for c in df.columns]).alias("row"), entry.alias("self"))).alias("__rows"))
+    nothing = F.lit(None).cast(tagged.select(entry.alias("e")).schema["e"].dataType)
+
+    def climb(paths: Column, lv: int) -> Column:
+        def step(p: Column) -> Column:
+            last = p["self"] if lv == 1 else p[f"a{lv - 1}"]
+            above = F.filter(F.transform("__rows", lambda r: r["self"]), lambda n: last.isNotNull() & n["node"].eqNullSafe(last["parent"]))
+            above = F.when(F.size(above) == 0, F.array(nothing)).otherwise(above)
+            kept = ["row", "self", *[f"a{i}" for i in range(1, lv)]]
+            return F.transform(above, lambda a: F.struct(*[p[k].alias(k) for k in kept], a.alias(f"a{lv}")))
+        return F.flatten(F.transform(paths, step))
+    paths = F.col("__rows")
+    for lv in range(1, levels + 1):
+        paths = climb(paths, lv)
+    walked = groups.select(F.explode(paths).alias("__p")).select("__p.row.*", *columns(lambda lv: F.col(f"__p.a{lv}")))
+    rest = by_jumps(tagged.where(~F.col("__small")).drop("__small"))
+    return walked.select(*df.columns, *names).unionByName(rest.select(*df.columns, *names))
 
 
 def match_with_fallback(left: DataFrame, right: DataFrame, strong, weak, right_order) -> DataFrame:
@@ -200,6 +262,36 @@ def match_with_fallback(left: DataFrame, right: DataFrame, strong, weak, right_o
     return p1.unionByName(p2, allowMissingColumns=True).withColumnRenamed("__hit", "match_pass")
 
 
+def match_consuming(left: DataFrame, right: DataFrame, strong, weak, left_order, right_order, weak_right: Column | None = None) -> DataFrame:
+    """J16 with consumption: every right row is used once.
+
+    Rows of equal strong keys pair k-th with k-th; what is left on either side pairs k-th
+    with k-th over the weak keys (right rows only where ``weak_right`` holds).  Left rows
+    all come back, with the right columns that they do not have themselves and
+    ``match_pass`` (missing where no pass hit).  The first pairing is written once; the second
+    reads its left and right remainders from there.
+    """
+    from ..sinks.writers import scratch_table
+    strong, weak = _cols(strong), _cols(weak)
+    own = [c for c in right.columns if c not in left.columns]
+    r = right.withColumnsRenamed({c: f"__r_{c}" for c in right.columns if c not in strong})
+    l = row_number_skew_safe(left, strong, total_order(left, strong, left_order), "__k").withColumn("__in_l", F.lit(True))
+    renamed = [f"__r_{c}" if c not in strong else c for c in _cols(right_order)]
+    r = row_number_skew_safe(r, strong, total_order(r, strong, renamed), "__k").withColumn("__in_r", F.lit(True))
+    first = scratch_table(join_on(l, r, [*strong, "__k"], "full").drop("__k"), "match-first")
+
+    def result(df: DataFrame, which: Column) -> DataFrame:
+        return df.select(*left.columns, *[F.col(f"__r_{c}").alias(c) for c in own], which.cast("int").alias("match_pass"))
+    hit = result(first.where("__in_l AND __in_r"), F.lit(1))
+    rest = first.where("__in_l AND __in_r IS NULL").select(*left.columns)
+    free = first.where("__in_r AND __in_l IS NULL").select(*[(F.col(f"__r_{c}") if c not in strong else F.col(c)).alias(c) for c in right.columns])
+    free = free.where(weak_right) if weak_right is not None else free
+    free = free.select(*weak, *[F.col(c).alias(f"__r_{c}") for c in own])
+    l2 = row_number_skew_safe(rest, weak, total_order(rest, weak, left_order), "__k")
+    r2 = row_number_skew_safe(free, weak, total_order(free, weak, [f"__r_{c}" if c in own else c for c in _cols(right_order)]), "__k").withColumn("__hit", F.lit(2))
+    return hit.unionByName(result(join_on(l2, r2, [*weak, "__k"], "left"), F.col("__hit")))
+
+
 def net_reversals(txn: DataFrame, keys, amount: str, date: str, order) -> DataFrame:
     """Drop debit/credit pairs of equal (key, |amount|, date), k-th with k-th.
 
@@ -219,21 +311,28 @@ def net_reversals(txn: DataFrame, keys, amount: str, date: str, order) -> DataFr
     return single.select(*txn.columns).unionByName(kept.select(*txn.columns))
 
 
-def net_reversals_by_rule(txn: DataFrame, passes: list[tuple[list[str], Column, Column]]) -> DataFrame:
+def net_reversals_by_rule(txn: DataFrame, passes: list[tuple]) -> DataFrame:
     """J18 by rule: successive passes, each with its key, the rows that may be reversed
     and the rows that reverse them.
 
     In a pass, a row that may be reversed is dropped when its key occurs among the
     reversing rows left over from earlier passes, and those go with it: *every* match of
-    a key is removed, on both sides, not the k-th with the k-th.
+    a key is removed, on both sides, not the k-th with the k-th.  A pass with a fourth
+    entry ``False`` leaves the reversing rows where they are.
+
+    A pass reads its input twice: one aggregation gives each key the flags "has a row
+    that may be reversed" and "has a reversing row", and only keys with both are joined
+    back.  Each pass's residue is written and read again (two reads per pass, whatever
+    came before), so the plan does not grow with the passes.
     """
+    from ..sinks.writers import scratch_table
     left = txn
-    for keys, reversed_, reversing in passes:
-        hit = join_on(left.where(reversed_).select(*keys).distinct(), left.where(reversing).select(*keys).distinct(), keys, "left_semi")
-        matched = hit.withColumn("__hit", F.lit(True))
-        j = join_on(left, matched, keys, "left")
-        gone = F.col("__hit").isNotNull() & (F.coalesce(reversed_, F.lit(False)) | F.coalesce(reversing, F.lit(False)))
-        left = j.where(~gone).select(*txn.columns)
+    for i, (keys, reversed_, reversing, *both) in enumerate(passes):
+        a, b = F.coalesce(reversed_, F.lit(False)), F.coalesce(reversing, F.lit(False))
+        hit = left.where(a | b).groupBy(*keys).agg(F.bool_or(a).alias("__a"), F.bool_or(b).alias("__b")).where("__a AND __b").select(*keys, F.lit(True).alias("__hit"))
+        goes = a | b if not both or both[0] else a
+        kept = join_on(left, hit, keys, "left").where(~(F.col("__hit").isNotNull() & goes)).select(*txn.columns)
+        left = scratch_table(kept, f"netting-{i}") if i + 1 < len(passes) else kept
     return left
 
 

@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _cols(x):
@@ -72,33 +73,67 @@ def row_number_in(df: DataFrame, keys, order, name: str = "seq", total: bool = T
 _IDX_BITS = 33          # monotonically_increasing_id: partition id << 33 | row index
 
 
-def row_number_skew_safe(df: DataFrame, keys, order_cols: list[Column], name: str,
-                         partitions: int | None = None) -> DataFrame:
-    """Per-key row numbers that do not put a hot key into one task.
+def _positions(df: DataFrame, keys, order_cols: list[Column], name: str, last: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Number the rows of each key, one range exchange and no key in one task.
 
-    Range-partition on (keys, order) — a key holding a third of the rows spreads over
-    a third of the partitions — sort within partitions and number rows by position;
-    each (partition, key) then adds the row count of the same key in all earlier
-    partitions (a table with one row per key and partition, aggregated map-side).
+    Range-partition on (keys, order), sort within partitions, and count along each
+    partition from where its key begins (adjacent rows are compared by a hash of the key).
+    Only a partition's *first* key can have begun in an earlier one, so one row per
+    partition - first key, last key, rows of the last key - says all that is missing;
+    that table is broadcast.  ``last`` names a flag: no later row has the row's key.
 
-    The range sort always ends with every column (``total_order``): the offsets branch
-    and the numbering branch then read one and the same range exchange.  (Two range
-    exchanges over different column subsets can draw different bounds, which would
-    make the partition ids of the two branches disagree.)
+    Both branches read the exchange below the counting pass; its columns can't be pruned
+    differently above, so it is one and the same exchange (checked in the plan tests).
     """
     keys = _cols(keys)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sort = [F.col(k).asc_nulls_first() for k in keys] + total_order(df, keys, list(order_cols))
-    d = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
-           .withColumn("__mid", F.monotonically_increasing_id()))
-    d = d.withColumn("__pid", F.shiftright("__mid", _IDX_BITS)) \
-         .withColumn("__idx", F.col("__mid").bitwiseAND(F.lit((1 << _IDX_BITS) - 1)))
-    per = d.groupBy("__pid", *keys).agg(F.min("__idx").alias("__first"), F.count(F.lit(1)).alias("__c"))
-    prior = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    off = per.withColumn("__off", F.coalesce(F.sum("__c").over(prior), F.lit(0))).drop("__c")
-    j = join_on(d, off, ["__pid", *keys])
-    return (j.withColumn(name, (F.col("__off") + F.col("__idx") - F.col("__first") + 1).cast("int"))
-             .drop("__mid", "__pid", "__idx", "__first", "__off"))
+    marked = [x for k in keys for x in (F.col(k).isNull(), F.col(k))] or [F.lit(0)]
+    d = df.withColumn("__key", F.xxhash64(*marked)).repartitionByRange(n, *sort).sortWithinPartitions(*sort) \
+          .withColumn("__mid", F.monotonically_increasing_id())
+
+    def count_along(batches):
+        import numpy as np
+        import pyarrow as pa
+        key, at, first, held = None, 0, None, None
+
+        def done(batch, n, is_first, is_last):
+            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(n), pa.array(is_first), pa.array(is_last)], names=[*batch.schema.names, "__n", "__f", "__l"])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k = batch.column("__key").to_numpy()
+            if held is not None:
+                held[3][-1] = k[0] != key
+                yield done(*held)
+            first = k[0] if first is None else first
+            begins = np.append(key is None or k[0] != key, k[1:] != k[:-1])
+            start = np.maximum.accumulate(np.where(begins, np.arange(len(k)), -at))
+            n = np.arange(len(k)) - start + 1
+            held = [batch, n.astype(np.int64), k == first, np.append(k[1:] != k[:-1], True)]
+            key, at = k[-1], int(n[-1])
+        if held is not None:
+            yield done(*held)
+    schema = T.StructType([*d.schema.fields, T.StructField("__n", T.LongType()), T.StructField("__f", T.BooleanType()), T.StructField("__l", T.BooleanType())])
+    d = d.mapInArrow(count_along, schema).withColumn("__pid", F.shiftright("__mid", _IDX_BITS))
+    borders = d.groupBy("__pid").agg(F.min_by("__key", "__mid").alias("__first"), F.max_by("__key", "__mid").alias("__last"), F.max_by("__n", "__mid").alias("__tail"))
+    # from here on one row per partition
+    along = Window.orderBy("__pid")
+    run = borders.withColumn("__run", F.sum("__tail").over(Window.partitionBy("__last").orderBy("__pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    offsets = run.select("__pid", F.when(F.lag("__last").over(along) == F.col("__first"), F.lag("__run").over(along)).otherwise(F.lit(0)).alias("__off"),
+                         (F.lead("__first").over(along) == F.col("__last")).alias("__goes_on"), F.col("__last").alias("__border"))
+    out = d.join(F.broadcast(offsets), "__pid").withColumn(name, (F.col("__n") + F.when(F.col("__f"), F.col("__off")).otherwise(F.lit(0))).cast("int"))
+    if last:
+        goes_on = F.coalesce(F.col("__goes_on"), F.lit(False)) & (F.col("__key") == F.col("__border"))
+        out = out.withColumn(last, F.col("__l") & ~goes_on)
+    return out.select(*df.columns, name, *([last] if last else []))
+
+
+def row_number_skew_safe(df: DataFrame, keys, order_cols: list[Column], name: str,
+                         partitions: int | None = None) -> DataFrame:
+    """Per-key row numbers that do not put a hot key into one task (see ``_positions``):
+    a key holding a third of the rows spreads over a third of the partitions."""
+    return _positions(df, keys, list(order_cols), name, partitions=partitions)
 
 
 def first_by(df: DataFrame, keys, order, k: int = 1) -> DataFrame:
@@ -151,26 +186,11 @@ def surplus_rows(df: DataFrame, keys, order) -> DataFrame:
 def first_last_flags(df: DataFrame, keys, order) -> DataFrame:
     """FIRST./LAST. flags of each row within its key group.
 
-    With an ascending order given by column names the group edges are the min / max of
-    the (total) order as a struct — a partial aggregation joined back, so a hot key is
-    not sorted in one task (rows must be distinct, as with any total order).  Other
-    orders use the windowed form.
+    From the row's position, whatever the order is given by: exactly one first and one
+    last row per key, of equal rows too, and a hot key spreads over many tasks.
     """
-    given = _cols(order)
-    if all(isinstance(c, str) for c in given):
-        keys = _cols(keys)
-        rest = [c for c in df.columns if c not in set(keys) | set(given)]
-        ordk = F.struct(*[F.col(c) for c in given + rest])
-        edges = df.groupBy(*keys).agg(F.min(ordk).alias("__lo"), F.max(ordk).alias("__hi"))
-        j = join_on(df.withColumn("__o", ordk), edges, keys)
-        return (j.withColumn("is_first", F.col("__o") == F.col("__lo"))
-                 .withColumn("is_last", F.col("__o") == F.col("__hi")).drop("__o", "__lo", "__hi"))
-    oc = total_order(df, keys, order)
-    w = _win(keys, oc)
-    return (df.withColumn("__rn", F.row_number().over(w))
-              .withColumn("is_first", F.col("__rn") == 1)
-              .withColumn("is_last", F.lead(F.lit(1)).over(w).isNull())
-              .drop("__rn"))
+    out = _positions(df, keys, total_order(df, keys, order), "__rn", last="is_last")
+    return out.select(*df.columns, (F.col("__rn") == 1).alias("is_first"), "is_last")
 
 
 def carry_last(df: DataFrame, keys, order, value: str, out: str, bucket: Column | None = None) -> DataFrame:
@@ -238,7 +258,6 @@ def pick_by_priority(df: DataFrame, keys, rules: list[tuple[Column, int]], order
 
 
 def first_row_amount(df: DataFrame, keys, order, value: str, out: str) -> DataFrame:
-    """Keep an amount on the first row of each group only, 0 on the others
-    (the first row found by aggregation when the order is given by column names)."""
+    """Keep an amount on the first row of each group only, 0 on the others."""
     d = first_last_flags(df, keys, order).drop("is_last")
     return d.withColumn(out, F.when(F.col("is_first"), F.col(value)).otherwise(F.lit(0))).drop("is_first")

@@ -20,6 +20,8 @@ from ..operators import quality as Q
 from ..operators import sets as S
 from ..rules import codes as RC
 from ..rules import credit as RK
+from ..rules import sector as SR
+from ..rules import trade as TR
 from ..sinks import writers as W
 
 
@@ -142,15 +144,26 @@ def facility_master(bal: DataFrame, node: str, parent: str, kind: str, amount: s
                             for m in ["dcurbal", "icurbal", "undrawn"]})       # P15
 
 
-def trade_balances(txn: DataFrame, key: str, amount: str, date: str, order, current: DataFrame,
-                   previous: DataFrame) -> dict[str, DataFrame]:
-    """Reversal netting, disbursement/repayment split, closed items vs prior."""
-    net = J.net_reversals(txn, key, amount, date, order)                       # J18
-    split = net.groupBy(key).agg(F.sum(F.when(F.col(amount) > 0, F.col(amount))).alias("disburse"),
-                                 F.sum(F.when(F.col(amount) < 0, -F.col(amount))).alias("repaid"))  # D11
-    act = split.select(key)
-    closed = J.closed_items(current, previous, act, key)                       # J19
-    return {"netted": net, "split": split, "balances": closed.join(split, key, "left")}
+def trade_balances(detail: DataFrame, master: DataFrame, master_order, transactions: DataFrame, daily: DataFrame, daily_order,
+                   certificates: DataFrame, certificate_order, previous: DataFrame, industrial: DataFrame, start: str, end: str) -> dict[str, DataFrame]:
+    """Trade balances of a period.
+
+    Ledger rows with their interest (A21) and customer codes repaired (D1), summed per
+    account and reference, hang on the daily rows whose balances are tied to the bills'
+    certificates (D12, J16); movements are netted by rule (J18), split (D11) and merged on;
+    references active now, gone today and known in the prior period come in as closed (J19).
+    """
+    keys = ["acctno", "transref"]
+    base = J.merge_left(TR.balance_with_interest(detail), K.first_by(master, "acctno", master_order), "acctno")
+    base = SR.sector_repair(base, industrial)
+    sums = base.groupBy(*keys).agg(F.sum("curbal").alias("curbal"), F.sum("intrecv").alias("intrecv"))
+    one = K.first_by(base.select(*keys, "subacct", "custcd", "sectorcd", "fisspurp"), keys, [F.col("subacct").desc_nulls_last()]).drop("subacct")
+    tied = TR.tied_balances(daily, certificates, daily_order, certificate_order).where("acctno IS NOT NULL")
+    current = J.merge_left(J.merge_left(tied, one, keys), sums, keys)
+    moves = TR.netted_movements(TR.ledger_transactions(transactions, end), start, end)
+    split = TR.disburse_repay(moves)
+    closed = J.closed_items(current, previous, split, keys)
+    return {"netted": moves, "split": split, "balances": J.merge_left(closed, split, keys)}
 
 
 def trade_register(lines: DataFrame, accounts: DataFrame, rept_date: str, layout: list) -> dict[str, DataFrame]:

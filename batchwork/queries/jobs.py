@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import reconcile
 from . import load, register
+from . import _trade_feeds as TF
 from ._common import COLLATERAL_PAIRS, money_sum, msum
+from .rules import INDUSTRY, SECTOR_STEPS, TIED_SQL
 
 
 def _order_feeds(spark, sf):
@@ -383,46 +385,40 @@ def pl_facility_master(spark, sf):
                       "flagged")
 
 
-@register("pl_trade_balances", """
-WITH t AS (SELECT o.o_custkey AS custkey, l.l_orderkey, l.l_linenumber,
-                  CASE WHEN l.l_returnflag = 'R' THEN -abs(CAST(l.l_extendedprice AS DECIMAL(18,2)))
-                       ELSE abs(CAST(l.l_extendedprice AS DECIMAL(18,2))) END AS amount, CAST(l.l_shipdate AS DATE) AS d
-           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-           WHERE year(l.l_shipdate) = 1998 AND month(l.l_shipdate) = 8),
-k AS (SELECT *, abs(amount) AS aa, amount < 0 AS neg,
-             ROW_NUMBER() OVER (PARTITION BY custkey, abs(amount), d, amount < 0 ORDER BY l_orderkey, l_linenumber, amount, d) AS kk FROM t),
-c AS (SELECT custkey, aa, d, COUNT(*) FILTER (WHERE neg) AS nd, COUNT(*) FILTER (WHERE NOT neg) AS nc FROM k GROUP BY 1, 2, 3),
-net AS (SELECT k.* FROM k JOIN c ON k.custkey = c.custkey AND k.aa = c.aa AND k.d = c.d WHERE k.kk > LEAST(c.nd, c.nc) OR k.amount = 0),
-split AS (SELECT custkey, SUM(CASE WHEN amount > 0 THEN amount END) AS disburse, SUM(CASE WHEN amount < 0 THEN -amount END) AS repaid
-          FROM net GROUP BY 1),
-cur AS (SELECT o_custkey AS custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS balance FROM orders
-        WHERE year(o_orderdate) = 1998 AND month(o_orderdate) = 8 GROUP BY 1),
-prev AS (SELECT o_custkey AS custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS balance FROM orders
-         WHERE year(o_orderdate) = 1998 AND month(o_orderdate) = 7 GROUP BY 1),
-allb AS (SELECT custkey, balance, FALSE AS closed FROM cur
-         UNION ALL SELECT p.custkey, p.balance, TRUE FROM prev p
-         WHERE p.custkey IN (SELECT custkey FROM split) AND p.custkey NOT IN (SELECT custkey FROM cur))
-SELECT a.custkey, CAST(a.balance AS DOUBLE) AS balance, a.closed, CAST(s.disburse AS DOUBLE) AS disburse,
-       CAST(s.repaid AS DOUBLE) AS repaid
-FROM allb a LEFT JOIN split s ON a.custkey = s.custkey
+_BALANCE_COLUMNS = ["dailyno", "acctno", "transref", "kind", "certno", "custcd", "sectorcd", "fisspurp", "closed"]
+_BALANCE_MONEY = ["outstand", "balance", "curbal", "intrecv", "disburse", "repaid", "repaidprin"]
+
+
+@register("pl_trade_balances", f"""
+WITH {TF.FEEDS_SQL}, {TF.NETTED_SQL}, {TIED_SQL},
+intr AS (SELECT acctno, liabcode, transref, sum(gltrntot) AS intrecv FROM detail WHERE glmnemo IN ('01010', '01020', '01070') GROUP BY 1, 2, 3),
+base AS (SELECT d.*, i.intrecv FROM detail d LEFT JOIN intr i ON d.acctno = i.acctno AND d.transref = i.transref AND d.liabcode IS NOT DISTINCT FROM i.liabcode
+         WHERE d.glmnemo IN ('00110', '00130')),
+acct AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY acctno ORDER BY custno) AS k FROM master) WHERE k = 1),
+raw AS (SELECT b.acctno, b.transref, b.subacct, coalesce(rtrim(a.custcd), '') AS custcd, coalesce(lpad(CAST(a.sectorc AS VARCHAR), 4, '0'), '   .') AS sector,
+               coalesce(rtrim(a.sectorcd), '') AS sectorcd, coalesce(rtrim(a.crispurp), '') AS crispurp, coalesce(rtrim(a.sectold), '') AS sectold,
+               coalesce(rtrim(a.fisspurp), '') AS fisspurp, a.ccricode, a.product, coalesce(rtrim(a.prodcd), '') AS prodcd,
+               coalesce(rtrim(a.industrial_sector_cd), '') AS ind FROM base b LEFT JOIN acct a ON b.acctno = a.acctno),
+{SECTOR_STEPS},
+sums AS (SELECT acctno, transref, sum(gltrntot) AS curbal, sum(intrecv) AS intrecv FROM base GROUP BY 1, 2),
+head AS (SELECT DISTINCT acctno, transref, custcd, sectorcd, fisspurp FROM done),
+spl AS (SELECT acctno, transref, sum(disburse) AS disburse, sum(repaid) AS repaid, sum(repaid) FILTER (kind = 'M') AS repaidprin FROM netted GROUP BY 1, 2),
+cur AS (SELECT t.dailyno, t.acctno, t.transref, t.kind, t.certno, h.custcd, h.sectorcd, h.fisspurp, FALSE AS closed, t.outstand, t.balance, s.curbal, s.intrecv
+        FROM tied t LEFT JOIN head h ON t.acctno = h.acctno AND t.transref = h.transref LEFT JOIN sums s ON t.acctno = s.acctno AND t.transref = s.transref
+        WHERE t.acctno IS NOT NULL),
+gone AS (SELECT NULL, p.acctno, p.transref, NULL, NULL, NULL, NULL, NULL, TRUE, NULL, NULL, NULL, NULL FROM prev p
+         WHERE (p.acctno, p.transref) IN (SELECT (acctno, transref) FROM spl) AND (p.acctno, p.transref) NOT IN (SELECT (acctno, transref) FROM cur)),
+every AS (SELECT * FROM cur UNION ALL SELECT * FROM gone)
+SELECT {', '.join('e.' + c for c in _BALANCE_COLUMNS)},
+       {', '.join(f"CAST({'s' if c in ('disburse', 'repaid', 'repaidprin') else 'e'}.{c} AS DOUBLE) AS {c}" for c in _BALANCE_MONEY)}
+FROM every e LEFT JOIN spl s ON e.acctno = s.acctno AND e.transref = s.transref
 """)
 def pl_trade_balances(spark, sf):
-    """Trade balances: customer transactions netted for reversals, split into
-    disbursements and repayments, balances with closed items carried from July."""
-    li = load(spark, sf, "lineitem")
-    o = load(spark, sf, "orders")
-    t = (li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey)
-           .where((F.year("l_shipdate") == 1998) & (F.month("l_shipdate") == 8))
-           .select(F.col("o_custkey").alias("custkey"), "l_orderkey", "l_linenumber",
-                   C.abs_flip(F.col("l_extendedprice").cast("decimal(18,2)"), F.col("l_returnflag") == "R").alias("amount"),
-                   F.col("l_shipdate").cast("date").alias("d")))
-    month = lambda m: (o.where((F.year("o_orderdate") == 1998) & (F.month("o_orderdate") == m))
-                        .groupBy(F.col("o_custkey").alias("custkey"))
-                        .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("balance")))
-    out = P.trade_balances(t, "custkey", "amount", "d", ["l_orderkey", "l_linenumber"], month(8), month(7))
-    b = out["balances"]
-    return b.select("custkey", F.col("balance").cast("double").alias("balance"), "closed",
-                    F.col("disburse").cast("double").alias("disburse"), F.col("repaid").cast("double").alias("repaid"))
+    """Trade balances of a period on derived feeds (see ``plans.jobs.trade_balances``)."""
+    industrial = J.code_table(spark, INDUSTRY, "industrial_sector_cd string, industrial_sector string")
+    out = P.trade_balances(TF.detail(spark, sf), TF.master(spark, sf), ["custno"], TF.transactions(spark, sf), TF.daily(spark, sf), ["dailyno"],
+                           TF.certificates(spark, sf), ["certid"], TF.previous(spark, sf), industrial, TF.START, TF.END)
+    return out["balances"].select(*_BALANCE_COLUMNS, *[F.col(c).cast("double").alias(c) for c in _BALANCE_MONEY])
 
 
 _REG_LAYOUT = [W.Out("o_orderkey", 1, 18, "zero"), W.Out("lines", 19, 200), W.Out("best_line", 219, 3, "zero"),

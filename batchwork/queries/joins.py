@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..operators import joins as J
 from ..operators.keys import join_on
 from ..operators import keys as K
+from ..rules import trade as TR
+from . import _trade_feeds as TF
 from . import load, register
 from ._common import REPORT_DATE, money_sum, msum
 
@@ -393,3 +395,16 @@ def pair_opposite_leg(spark, sf):
     first_view = K.first_by(ev.where("event_type = 'view'").select("user_id", "ts", "event_id", "value"),
                             "user_id", ["ts", "event_id"]).select("user_id", F.col("value").alias("view_value"))
     return ev.where("event_type = 'purchase'").select("event_id", "user_id", "value").join(first_view, "user_id", "left")
+
+
+@register("net_reversals_by_rule", f"""
+WITH {TF.FEEDS_SQL}, {TF.NETTED_SQL}
+SELECT kind, acctno, transref, issued, glmnemo, CAST(disburse AS DOUBLE) AS disburse, CAST(repaid AS DOUBLE) AS repaid,
+       CAST(disbursefx AS DOUBLE) AS disbursefx, CAST(repaidfx AS DOUBLE) AS repaidfx FROM netted
+""")
+def net_reversals_by_rule(spark, sf):
+    """The period's movements after the netting passes (see ``rules.trade.netted_movements``)."""
+    ledger = TR.ledger_transactions(TF.transactions(spark, sf), TF.END)
+    out = TR.netted_movements(ledger, TF.START, TF.END)
+    money = ["disburse", "repaid", "disbursefx", "repaidfx"]
+    return out.select("kind", "acctno", "transref", "issued", "glmnemo", *[F.col(c).cast("double").alias(c) for c in money])

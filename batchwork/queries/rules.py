@@ -15,7 +15,9 @@ from ..rules import codes as RC
 from ..rules import credit as RK
 from ..rules import facility as FC
 from ..rules import sector as SR
+from ..rules import trade as TR
 from ..rules.compiler import compile_rules
+from . import _trade_feeds as TF
 from . import load, register
 from ._common import COLLATERAL_PAIRS, REPORT_DATE
 from ._loan_book import LOAN_BOOK_SQL, loan_book, steps
@@ -26,13 +28,7 @@ _P4, _FIN = "custcd IN ('77', '78', '95', '96')", "('8110', '8120', '8130')"
 _FINANCIAL = "('02','03','04','05','06','11','12','13','17','30','31','32','33','34','35','37','38','39','45')"
 
 
-@register("sector_code_repair", f"""
-WITH {LOAN_BOOK_SQL},
-raw AS (SELECT acctno + 2999990000 AS acctno, coalesce(rtrim(custcd), '') AS custcd, coalesce(lpad(CAST(sectorc AS VARCHAR), 4, '0'), '   .') AS sector,
-               coalesce(rtrim(sectorcd), '') AS sectorcd, coalesce(rtrim(crispurp), '') AS crispurp, coalesce(rtrim(sectold), '') AS sectold,
-               coalesce(rtrim(fisspurp), '') AS fisspurp, ccricode, loantype AS product, coalesce(rtrim(prodcd), '') AS prodcd,
-               coalesce(rtrim(industrial_sector_cd), '') AS ind FROM book),
-{steps('raw',
+SECTOR_STEPS = steps('raw',
   "CASE WHEN custcd = '77' AND sector BETWEEN '1111' AND '9999' THEN '41' WHEN custcd = '78' AND sector BETWEEN '1111' AND '9999' THEN '44' ELSE custcd END AS custcd",
   f"CASE WHEN {_P4} AND sectorcd BETWEEN '0111' AND '0430' THEN '0410' ELSE sectorcd END AS sectorcd",
   "CASE WHEN custcd NOT IN ('01','02','03','11','12','20','13','17','30','31','32','33','34','35','36','37','38','39','40','45','04','05','06','80','81','82',"
@@ -55,7 +51,16 @@ raw AS (SELECT acctno + 2999990000 AS acctno, coalesce(rtrim(custcd), '') AS cus
   "'0322','0323','0324','0325','0326','0327','0328','0329','0410','0420','0430','0990') THEN '9700' ELSE sectorcd END AS sectorcd",
   "CASE WHEN prodcd = '34111' AND fisspurp NOT IN ('0211', '0212', '0200', '0210', '0390', '0430') THEN '0212' ELSE fisspurp END AS fisspurp",
   "CASE WHEN length(ind) = 5 AND TRY_CAST(ind AS INTEGER) > 0 THEN CASE ind WHEN '01111' THEN '0111' WHEN '64191' THEN '8110' ELSE left(ind, 4) END ELSE sectorcd END AS sectorcd",
-  f"CASE WHEN {_P4} THEN '9700' ELSE sectorcd END AS sectorcd")}
+  f"CASE WHEN {_P4} THEN '9700' ELSE sectorcd END AS sectorcd")
+
+
+@register("sector_code_repair", f"""
+WITH {LOAN_BOOK_SQL},
+raw AS (SELECT acctno + 2999990000 AS acctno, coalesce(rtrim(custcd), '') AS custcd, coalesce(lpad(CAST(sectorc AS VARCHAR), 4, '0'), '   .') AS sector,
+               coalesce(rtrim(sectorcd), '') AS sectorcd, coalesce(rtrim(crispurp), '') AS crispurp, coalesce(rtrim(sectold), '') AS sectold,
+               coalesce(rtrim(fisspurp), '') AS fisspurp, ccricode, loantype AS product, coalesce(rtrim(prodcd), '') AS prodcd,
+               coalesce(rtrim(industrial_sector_cd), '') AS ind FROM book),
+{SECTOR_STEPS}
 SELECT acctno, custcd, sectorcd, fisspurp FROM done
 """)
 def sector_code_repair(spark, sf):
@@ -377,46 +382,42 @@ def scheme_codes(spark, sf):
     return out.select("acctno", "loantype", "specialf", "fconcept", "syndicat")
 
 
-@register("disburse_repay_split", """
-WITH t AS (SELECT l_orderkey, CASE WHEN l_returnflag = 'R' THEN -CAST(l_extendedprice AS DECIMAL(18,2))
-                                   ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS amt, l_linestatus FROM lineitem)
-SELECT l_orderkey,
-  CAST(SUM(CASE WHEN amt > 0 AND l_linestatus = 'O' THEN amt END) AS DOUBLE) AS disburse,
-  CAST(SUM(CASE WHEN amt < 0 THEN -amt END) AS DOUBLE) AS repaid,
-  CAST(SUM(CASE WHEN amt > 0 AND l_linestatus = 'F' THEN amt END) AS DOUBLE) AS repaid_principal
-FROM t GROUP BY l_orderkey
+@register("disburse_repay_split", f"""
+WITH {TF.FEEDS_SQL}, {TF.NETTED_SQL}
+SELECT acctno, transref, CAST(sum(disburse) AS DOUBLE) AS disburse, CAST(sum(disbursefx) AS DOUBLE) AS disbursefx, CAST(sum(repaid) AS DOUBLE) AS repaid,
+       CAST(sum(repaid) FILTER (kind = 'M') AS DOUBLE) AS repaidprin, CAST(sum(repaidfx) FILTER (kind = 'M') AS DOUBLE) AS repaidprinfx
+FROM netted GROUP BY 1, 2
 """)
 def disburse_repay_split(spark, sf):
-    li = load(spark, sf, "lineitem")
-    amt = C.abs_flip(F.col("l_extendedprice").cast("decimal(18,2)"), F.col("l_returnflag") == "R")
-    t = li.select("l_orderkey", amt.alias("amt"), "l_linestatus")
-    return t.groupBy("l_orderkey").agg(
-        F.sum(F.when((F.col("amt") > 0) & (F.col("l_linestatus") == "O"), F.col("amt"))).cast("double").alias("disburse"),
-        F.sum(F.when(F.col("amt") < 0, -F.col("amt"))).cast("double").alias("repaid"),
-        F.sum(F.when((F.col("amt") > 0) & (F.col("l_linestatus") == "F"), F.col("amt"))).cast("double").alias("repaid_principal"))
+    moves = TR.netted_movements(TR.ledger_transactions(TF.transactions(spark, sf), TF.END), TF.START, TF.END)
+    money = ["disburse", "disbursefx", "repaid", "repaidprin", "repaidprinfx"]
+    return TR.disburse_repay(moves).select("acctno", "transref", *[F.col(c).cast("double").alias(c) for c in money])
+
+
+TIED_SQL = """
+ba AS (SELECT *, row_number() OVER (PARTITION BY transref ORDER BY dailyno) AS k FROM daily WHERE outstand > 0 AND liabcode IN ('BAI', 'BAP', 'BAS', 'BAE')),
+ce AS (SELECT *, row_number() OVER (PARTITION BY transref ORDER BY certid) AS k FROM cert),
+one AS (SELECT ba.*, ce.certid FROM ba JOIN ce USING (transref, k)),
+ba2 AS (SELECT * EXCLUDE (k), row_number() OVER (PARTITION BY branch, outstand, matdate ORDER BY dailyno) AS k FROM ba WHERE dailyno NOT IN (SELECT dailyno FROM one)),
+ce2 AS (SELECT *, row_number() OVER (PARTITION BY branch, fcvalue, matdate ORDER BY certid) AS k2 FROM ce WHERE certno IS NOT NULL AND certid NOT IN (SELECT certid FROM one)),
+picked AS (SELECT dailyno, certid, 1 AS match_pass FROM one UNION ALL
+           SELECT ba2.dailyno, ce2.certid, CASE WHEN ce2.certid IS NOT NULL THEN 2 END FROM ba2 LEFT JOIN ce2
+           ON ba2.branch = ce2.branch AND ba2.outstand = ce2.fcvalue AND ba2.matdate = ce2.matdate AND ba2.k = ce2.k2),
+tied AS (SELECT d.* REPLACE (CASE WHEN p.dailyno IS NULL THEN d.outstand WHEN c.certno IS NULL THEN 0 ELSE c.fcvalue - c.unearned END AS outstand),
+                CASE WHEN d.outstand > 0 THEN CASE WHEN p.dailyno IS NOT NULL THEN 'BA' ELSE 'TB' END ELSE 'NB' END AS kind, c.certno, p.match_pass,
+                CASE WHEN p.dailyno IS NOT NULL THEN CASE WHEN c.certno IS NULL THEN 0 ELSE c.fcvalue - c.unearned END
+                     WHEN d.outstand > 0 THEN CASE WHEN d.dirctind = 'D' THEN d.outstand ELSE 0 END END AS balance,
+                CASE WHEN p.dailyno IS NOT NULL THEN CASE WHEN coalesce(rtrim(c.utrdf), '') = '' THEN 'D' ELSE c.utrdf END END AS utrdf
+         FROM daily d LEFT JOIN picked p USING (dailyno) LEFT JOIN cert c ON p.certid = c.certid)"""
 
 
 @register("balance_kind_split", f"""
-WITH t AS (SELECT l_suppkey, CASE WHEN l_returnflag = 'A' THEN 'TB' WHEN l_returnflag = 'R' THEN 'BA' ELSE 'OT' END AS kind,
-                  CAST(l_extendedprice AS DECIMAL(18,2)) AS amt FROM lineitem),
-k AS (SELECT l_suppkey, kind, SUM(amt) AS amt FROM t GROUP BY 1, 2),
-tb AS (SELECT l_suppkey FROM k WHERE kind = 'TB')
-SELECT k.l_suppkey, CASE WHEN k.kind = 'OT' AND tb.l_suppkey IS NOT NULL THEN 'TB' ELSE k.kind END AS kind,
-       CAST(SUM(k.amt) AS DOUBLE) AS balance
-FROM k LEFT JOIN tb ON k.l_suppkey = tb.l_suppkey GROUP BY 1, 2
+WITH {TF.FEEDS_SQL}, {TIED_SQL}
+SELECT dailyno, kind, certno, match_pass, utrdf, CAST(outstand AS DOUBLE) AS outstand, CAST(balance AS DOUBLE) AS balance FROM tied
 """)
 def balance_kind_split(spark, sf):
-    from ..sinks.writers import route
-    li = load(spark, sf, "lineitem").select("l_suppkey", "l_returnflag",
-                                            F.col("l_extendedprice").cast("decimal(18,2)").alias("amt"))
-    r = route(li, {"TB": F.col("l_returnflag") == "A", "BA": F.col("l_returnflag") == "R"}, exclusive=True,
-              col="kind", default="OT")
-    k = r.groupBy("l_suppkey", "kind").agg(F.sum("amt").alias("amt"))
-    # re-balance: 'other' balances move to TB where the supplier has a TB balance
-    tb = k.where("kind = 'TB'").select("l_suppkey", F.lit(True).alias("__tb"))
-    j = k.join(tb, "l_suppkey", "left").withColumn(
-        "kind", F.when((F.col("kind") == "OT") & F.col("__tb").isNotNull(), F.lit("TB")).otherwise(F.col("kind")))
-    return j.groupBy("l_suppkey", "kind").agg(F.sum("amt").cast("double").alias("balance"))
+    out = TR.tied_balances(TF.daily(spark, sf), TF.certificates(spark, sf), ["dailyno"], ["certid"])
+    return out.select("dailyno", "kind", "certno", "match_pass", "utrdf", F.col("outstand").cast("double").alias("outstand"), F.col("balance").cast("double").alias("balance"))
 
 
 @register("restructure_tag", f"""

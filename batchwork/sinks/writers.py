@@ -52,6 +52,14 @@ def append(df: DataFrame, path: str) -> str:
     return path
 
 
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a fresh shared scratch folder and read it again: cuts the plan and survives lost executors."""
+    from ..session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # ------------------------------------------------------------------ fixed layouts
 @dataclass(frozen=True)
 class Out:

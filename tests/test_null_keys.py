@@ -90,3 +90,48 @@ def test_line_numbers_by_position(spark):
     assert out.where("line_no <> x + 1 or running_amount <> x + 1").count() == 0 and out.count() == 1000
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("rangepartitioning") <= 2 and "hashpartitioning(__pid" not in plan.split("Window")[0]
+
+
+def test_matching_uses_a_row_once(spark):
+    left = spark.createDataFrame([(1, "a", 5), (2, "a", 5), (3, "a", 6), (4, None, 7), (5, "z", 6), (6, "z", 6), (7, "y", None)], "id int, ref string, amount int")
+    right = spark.createDataFrame([(10, "a", 9), (11, "a", 5), (12, None, 1), (13, "q", 6), (14, "q", 6), (15, "p", 6), (16, "q", None)], "cert int, ref string, amount int")
+    out = J.match_consuming(left, right, "ref", "amount", ["id"], ["cert"], weak_right=F.col("cert") != 14)
+    assert got(out, "id", "cert", "match_pass") == sorted(
+        [(1, 10, 1), (2, 11, 1), (3, 13, 2), (4, 12, 1), (5, 15, 2), (6, None, None), (7, 16, 2)], key=str)
+    assert J.match_consuming(left, right.limit(0), "ref", "amount", ["id"], ["cert"]).where("cert is null").count() == 7
+    assert J.match_consuming(left.limit(0), right, "ref", "amount", ["id"], ["cert"]).count() == 0
+
+
+def test_netting_plans_do_not_grow(spark):
+    df = spark.createDataFrame([(1, 5, "u", 1)] * 3 + [(1, 5, "v", 2), (2, 6, "u", 3), (None, 1, "u", 4), (None, 1, "v", 5)], "k int, amount int, kind string, id int")
+    one = (["k", "amount"], F.col("kind") == "u", F.col("kind") == "v")
+    out = J.net_reversals_by_rule(df, [one] * 4)
+    assert got(out, "id") == [(3,)] and out._jdf.queryExecution().optimizedPlan().toString().count("Relation") <= 2
+    kept = J.net_reversals_by_rule(df, [(*one, False)])
+    assert got(kept, "id") == [(2,), (3,), (5,)]
+
+
+def test_ancestors_of_missing_and_repeated_keys(spark, monkeypatch):
+    """The same trees under a named and a missing reference; rows of equal ids are followed one by one."""
+    tree = [(1, None), (2, 1), (3, 2), (3, 2), (4, 3), (9, 8)]
+    rows = [(r, i, p) for r in ("a", None) for i, p in tree]
+    df = spark.createDataFrame(rows, "ref string, id int, parent int")
+
+    def brute(levels):
+        out = []
+        for r, i, p in rows:
+            paths = [((r, i, p), [])]
+            for _ in range(levels):
+                paths = [x for (last, anc) in paths for x in
+                         ([(n, anc + [n]) for n in rows if len(anc) == len(anc) and last and n[0] == r and n[1] == last[2] and n[1] is not None] or [(None, anc + [None])])]
+            out += [(r, i, *[a and a[1] for a in anc]) for _, anc in paths]
+        return sorted(map(str, out))
+    for levels in (1, 2, 3, 5):
+        cols = [F.col(f"anc{v}_id") for v in range(1, levels + 1)]
+        for small in (64, 3):
+            monkeypatch.setattr(J, "SMALL_GROUP", small)
+            got_rows = J.parent_join(df, "ref", "id", "parent", levels, []).select("ref", "id", *cols).collect()
+            assert sorted(str(tuple(r)) for r in got_rows) == brute(levels)
+    a = df.where("ref = 'a'").drop("ref")
+    alone = J.parent_join(a, None, "id", "parent", 3, []).select("id", "anc1_id", "anc2_id", "anc3_id").collect()
+    assert sorted(str((r.id, r.anc1_id, r.anc2_id, r.anc3_id)) for r in alone) == [x.replace("('a', ", "(") for x in brute(3) if x.startswith("('a'")]

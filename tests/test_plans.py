@@ -1,6 +1,10 @@
 """Plan checks: pushdown, pruning, group limits before the shuffle, broadcast only
 for bounded tables, no single-partition exchange on data-sized inputs."""
 
+import re
+
+from pyspark.sql import functions as F
+
 from batchwork.queries import all_queries
 
 SF = "/root/testdata/sf0.001"
@@ -53,3 +57,14 @@ def test_ranks_window_over_counted_values(spark):
 def test_positional_merge_sorts_each_side_once(spark):
     p = plan(spark, "positional_merge")
     assert "rangepartitioning" in p and "Cartesian" not in p
+
+
+def test_numbering_shuffles_the_rows_once(spark):
+    """One range exchange, read by both branches; what is joined back is one row per partition."""
+    from batchwork.operators import keys as K
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    out = K.row_number_skew_safe(li, "l_orderkey", [F.col("l_linenumber").asc()], "rn")
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall(r"\+- Exchange rangepartitioning", final)) == 1 and "ReusedExchange" in final
+    assert "SortMergeJoin" not in final

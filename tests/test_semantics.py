@@ -298,3 +298,22 @@ def test_ordered_concat_split_matches_single_pass(spark):
         vals = sorted(((o, v) for kk, o, v in data if kk == k), key=lambda x: (x[0], x[1] is not None, x[1] or ""))
         exp[k] = "|".join(v for _, v in vals if v is not None)
     assert got == exp
+
+
+def test_positions_of_repeated_rows_and_hot_keys(spark):
+    """One first and one last row per key, equal rows included; keys that span partitions count on."""
+    rows = [(1, 5, 100)] * 3 + [(1, 6, 100), (None, 1, 7), (None, 1, 7)] + [(2, i % 10, i % 3) for i in range(5000)] + [(9, 1, 1)]
+    df = spark.createDataFrame(rows, "k int, t int, amount int").repartition(3)
+    out = K.first_last_flags(df, "k", ["t"]).groupBy("k").agg(F.count_if("is_first").alias("f"), F.count_if("is_last").alias("l"), F.count(F.lit(1)).alias("n")).collect()
+    assert {(r.k, r.f, r.l, r.n) for r in out} == {(1, 1, 1, 4), (None, 1, 1, 2), (2, 1, 1, 5000), (9, 1, 1, 1)}
+    once = K.first_row_amount(df.where("k = 1"), "k", ["t"], "amount", "shown").select("t", "shown").collect()
+    assert sorted((r.t, r.shown) for r in once) == [(5, 0), (5, 0), (5, 100), (6, 0)]
+    last = K.first_last_flags(df, "k", [F.col("t").desc()]).where("is_first or is_last")
+    assert {(r.k, r.t) for r in last.where("is_first and k = 2").collect()} == {(2, 9)}
+    for n in (1, 2, 16):
+        seq = K.row_number_skew_safe(df, "k", [F.col("t").asc()], "rn", partitions=n).groupBy("k").agg(F.min("rn"), F.max("rn"), F.count_distinct("rn")).collect()
+        assert {tuple(r) for r in seq} == {(1, 1, 4, 4), (None, 1, 2, 2), (2, 1, 5000, 5000), (9, 1, 1, 1)}
+    assert K.row_number_skew_safe(df.limit(0), "k", [F.col("t").asc()], "rn").count() == 0
+    mixed = spark.createDataFrame([(None, 1), (1, None), (None, None), (1, 1), (None, 1)], "a int, b int").withColumn("x", F.lit(float("nan")))
+    seq = K.row_number_skew_safe(mixed, ["a", "b", "x"], [], "rn", partitions=2).collect()
+    assert sorted(map(str, [(r.a, r.b, r.rn) for r in seq])) == sorted(map(str, [(None, 1, 1), (None, 1, 2), (1, None, 1), (None, None, 1), (1, 1, 1)]))
