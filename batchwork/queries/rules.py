@@ -69,9 +69,7 @@ def sector_code_repair(spark, sf):
     return SR.sector_repair(book, industrial).select("acctno", "custcd", "sectorcd", "fisspurp")
 
 
-@register("facility_from_product", f"""
-WITH {LOAN_BOOK_SQL},
-p AS (SELECT * REPLACE (CASE WHEN loantype = 698 THEN '34111' ELSE prodcd END AS prodcd) FROM book),
+FACILITY_SQL = """p AS (SELECT * REPLACE (CASE WHEN loantype = 698 THEN '34111' ELSE prodcd END AS prodcd) FROM book),
 f AS (SELECT acctno, loantype, prodcd, purpose,
   CASE WHEN loantype IN (412,413,414,911,415,466) THEN 34322 WHEN loantype IN (912,575,416,467,461,307,422,464,465) THEN 34391
        WHEN loantype IN (103,104) THEN 34371 WHEN loantype IN (191,417) THEN 34351
@@ -88,33 +86,40 @@ f AS (SELECT acctno, loantype, prodcd, purpose,
        WHEN loantype IN (128,130,131,132,380,381,700,705,709,710,720,725,750,752,760,983,993,996,698,699) AND purpose IN ('3100','3101','3110','3120') THEN 34333
        WHEN loantype IN (128,130,131,132,380,381,700,705,709,710,720,725,750,752,760,983,993,996,698,699)
             AND purpose IN ('3300','3900','3901','4100','5100','5200','3200','3201') THEN 34334
-       WHEN loantype IN (698,699) THEN 34333 END AS code FROM p)
+       WHEN loantype IN (698,699) THEN 34333 END AS code FROM p)"""
+
+
+@register("facility_from_product", f"""
+WITH {LOAN_BOOK_SQL},
+{FACILITY_SQL}
 SELECT acctno, loantype, facility, coalesce(code, facility) AS faccode FROM f
 """)
 def facility_from_product(spark, sf):
     return FC.facility_codes(loan_book(spark, sf).drop("facility", "faccode")).select("acctno", "loantype", "facility", "faccode")
 
 
-@register("pricing_type", f"""
-WITH {LOAN_BOOK_SQL},
-base AS (SELECT *, ntindex IN (1, 30) AS base_rate, ntindex IN (38, 39) AS base_fin FROM book)
-SELECT acctno, loantype, product,
-  CASE WHEN loantype IN (983, 993, 128, 130, 380, 381, 700, 705) THEN '80'
+LOAN_PRICING_SQL = f"""CASE WHEN loantype IN (983, 993, 128, 130, 380, 381, 700, 705) THEN '80'
        WHEN loantype IN (678, 679, 698, 699, 131, 132, 720, 725) THEN
          CASE WHEN base_rate AND (spread IS NULL OR spread < 0) THEN '42' WHEN base_rate THEN '41' WHEN base_fin THEN '43' ELSE '80' END
        WHEN cfindex = 997 THEN '68' WHEN base_rate AND (spread IS NULL OR spread < 0) THEN '42' WHEN base_rate THEN '41' WHEN base_fin THEN '43'
        WHEN ntindex = 52 THEN '44'
        WHEN cfindex BETWEEN 900 AND 923 THEN ['53', '57', '54', '55', '56', '58'][(cfindex - 900) // 4 + 1]
        WHEN cfindex = 925 THEN '79' WHEN cfindex BETWEEN 926 AND 932 THEN CAST(cfindex - 865 AS VARCHAR) WHEN cfindex = 933 THEN '51'
-       WHEN cfindex = 924 OR costfund > 0 THEN '68' ELSE '59' END AS loan_pricing,
-  CASE WHEN lmtindex IN (18, 19) THEN '59'
+       WHEN cfindex = 924 OR costfund > 0 THEN '68' ELSE '59' END"""
+OVERDRAFT_PRICING_SQL = f"""CASE WHEN lmtindex IN (18, 19) THEN '59'
        WHEN lmtindex IN (1, 30) THEN CASE WHEN lmtbaser IS NULL OR lmtrate >= lmtbaser THEN '41' ELSE '42' END
        WHEN lmtindex IN (38, 39) THEN '43'
        WHEN lmtindex IS NULL OR lmtindex = 0 THEN
          CASE WHEN fdrcno > 0 THEN '68' WHEN lmtamt > 0 THEN '59'
               WHEN odplan IN (110, 111, 114) THEN '43' WHEN odplan IN (100, 101, 103, 104, 105, 107) THEN '41'
               WHEN odplan IN (106, 998) THEN '00' WHEN odplan IN (120, 121) THEN '44' ELSE '79' END
-       WHEN lmtindex = 52 THEN '44' ELSE '79' END AS overdraft_pricing
+       WHEN lmtindex = 52 THEN '44' ELSE '79' END"""
+@register("pricing_type", f"""
+WITH {LOAN_BOOK_SQL},
+base AS (SELECT *, ntindex IN (1, 30) AS base_rate, ntindex IN (38, 39) AS base_fin FROM book)
+SELECT acctno, loantype, product,
+  {LOAN_PRICING_SQL} AS loan_pricing,
+  {OVERDRAFT_PRICING_SQL} AS overdraft_pricing
 FROM base
 """)
 def pricing_type(spark, sf):
@@ -154,14 +159,16 @@ _SIX = "regexp_matches(modeldes, '^[CTRSWM][0-9][0-9][0-9][UD](K| |$)')"
 _DATED = "loantype IN (128,130,380,381,700,705,720,725) AND noteno >= 98000"
 _KEEP = "acctstat NOT IN ('S', 'W')"
 # one step after another, in the order of the rules
-STATUS_SQL = f"""{LOAN_BOOK_SQL},
-blank AS (SELECT * REPLACE ({', '.join(f"coalesce(rtrim({c}), '') AS {c}" for c in AC.TEXTS)}),
-                 'O' AS acctstat, CASE WHEN loanstat = 3 THEN 'Y' ELSE 'N' END AS impaired, '' AS restruct, '' AS rrtag, 0 AS cyc, CAST(NULL AS VARCHAR) AS classifi,
+def status_steps(book: str) -> str:
+    """CTEs from a book to ``done``: what each account comes to."""
+    return f"""blank AS (SELECT * REPLACE ({', '.join(f"coalesce(rtrim({c}), '') AS {c}" for c in AC.TEXTS)}),
+                 'O' AS acctstat, CAST(NULL AS VARCHAR) AS impaired, 0 AS arrears, billcnt AS instalm, CASE WHEN facility IN (34331, 34332) THEN 0 ELSE coalesce(cavaiamt, 0) END AS undrawn,
+                 0 AS xnodays, '' AS restruct, '' AS rrtag, 0 AS cyc, CAST(NULL AS VARCHAR) AS classifi,
                  CAST(NULL AS DATE) AS completed_on, CAST(NULL AS DATE) AS ends_on, CAST(NULL AS VARCHAR) AS complyind, CAST(NULL AS VARCHAR) AS oldrracc,
                  CAST(NULL AS DATE) AS assessed_on, '' AS was,
-                 coalesce(loantype IN (128,130,700,705,380,381,709,710,131,132,720,725), false) AS lnty FROM book),
+                 coalesce(loantype IN (128,130,700,705,380,381,709,710,131,132,720,725), false) AS lnty FROM {book}),
 {steps('blank',
-  "CASE WHEN faccode = 34371 AND (nodays >= 90 OR borstat IN ('F', 'I', 'R') OR user5 = 'N') THEN 'Y' ELSE impaired END AS impaired",
+  "0 AS nodays",
   ', '.join(f"CASE WHEN {_PAID} THEN 0 ELSE {c} END AS {c}" for c in ('outstand', 'curbal', 'interdue', 'feeamt')),
   f"""CASE WHEN {_HP} AND {_PAID} THEN 'hp' WHEN {_WD} AND {_PAID} THEN CASE WHEN coalesce(write_down_bal, 0) <> 0 THEN '' WHEN {_WOFF} THEN 'off' ELSE 'set' END
       WHEN {_WD} THEN CASE WHEN write_down_bal IS NULL OR write_down_bal <= 0 THEN 'off' ELSE 'part' END
@@ -174,6 +181,9 @@ blank AS (SELECT * REPLACE ({', '.join(f"coalesce(rtrim({c}), '') AS {c}" for c
       CASE WHEN {_MODEL} THEN coupon_start END AS completed_on, CASE WHEN {_MODEL} AND rrcycle LIKE 'HP%' THEN TRY_CAST(substring(rrcycle, 3, 1) AS INTEGER) ELSE 0 END AS cyc""",
   f"CASE WHEN {_MODEL} AND (cyc IS NULL OR cyc <= 0) AND foreclosed_on IS NOT NULL THEN 6 ELSE cyc END AS cyc, "
   f"CASE WHEN {_HP} AND borstat = 'W' THEN 'P' WHEN {_HP} AND borstat = 'X' THEN 'W' ELSE acctstat END AS acctstat",
+  f"CASE WHEN bldate IS NOT NULL THEN greatest(date_diff('day', bldate, {_REPT}), 0) ELSE nodays END AS nodays",
+  "CASE WHEN mordayarr IS NOT NULL THEN mordayarr WHEN oldnotedayarr > 0 AND noteno BETWEEN 98000 AND 98999 THEN nodays + oldnotedayarr ELSE nodays END AS nodays, "
+  "CASE WHEN oldnotedayarr > 0 AND noteno BETWEEN 98000 AND 98999 THEN oldnotedayarr ELSE 0 END AS xnodays",
   f"CASE WHEN {_SIX} THEN modeldes ELSE rrtag END AS rrtag, CASE WHEN {_SIX} THEN substring(modeldes, 1, 1) ELSE restruct END AS restruct, "
   f"CASE WHEN {_SIX} THEN TRY_CAST(substring(modeldes, 3, 2) AS INTEGER) ELSE cyc END AS cyc",
   f"CASE WHEN {_SIX} AND NOT {_WD} THEN CASE WHEN {_PAID} AND NOT {_WOFF} THEN 'S' WHEN restruct IN ('C', 'R', 'W') THEN 'C' ELSE 'T' END ELSE acctstat END AS acctstat, "
@@ -186,6 +196,11 @@ blank AS (SELECT * REPLACE ({', '.join(f"coalesce(rtrim({c}), '') AS {c}" for c
   f"CASE WHEN was = 'c' AND (NOT lnty OR (user5 <> 'N' AND coalesce(issued >= DATE '2015-04-06', false))) THEN '' ELSE restruct END AS restruct, "
   f"CASE WHEN was = 'c' AND {_KEEP} THEN 'O' ELSE acctstat END AS acctstat, CASE WHEN was = 'c' THEN 'Y' END AS complyind, "
   "CASE WHEN nplind = 'P' OR coalesce(rtrim(riskrate), '') = '' THEN 'P' ELSE [NULL, 'C', 'S', 'D', 'B'][1 + coalesce(TRY_CAST(riskrate AS INTEGER) * CAST(riskrate IN ('1','2','3','4') AS INTEGER), 0)] END AS classifi",
+  "CAST(floor(nodays / 30.0005) AS INTEGER) AS arrears, coalesce(mo_instl_arr, billcnt) AS instalm, CASE WHEN loanstat = 3 OR (faccode = 34371 AND (nodays >= 90 OR "
+  "borstat IN ('F', 'I', 'R') OR user5 = 'N')) THEN 'Y' ELSE 'N' END AS impaired, CASE WHEN flag1 = 'F' THEN 0 WHEN flag1 IN ('P', 'I') THEN coalesce(cavaiamt, 0) ELSE undrawn END AS undrawn",
+  f"""CASE WHEN day(bldate + 1) = 1 AND instalm > 0 AND NOT (CASE WHEN coalesce({_HP}, false) THEN modeldes IN ('A1AM','A1BM','A1CM','A1DM','A1EM','A1FM') OR modeldes LIKE 'RAM%'
+      ELSE left(lmo_tag, 1) IN ('R','F','V','A','B') END AND coalesce({_REPT} BETWEEN relief_from AND relief_to, false)) THEN instalm - 1 ELSE instalm END AS instalm,
+      CASE WHEN balance IS NULL OR balance < 0 THEN apprlim2 ELSE undrawn END AS undrawn""",
   "CASE WHEN loantype IN (984, 985, 994, 995) AND noteno = 10010 THEN 's' ELSE '' END AS was",
   "CASE WHEN was = 's' THEN 'S' ELSE acctstat END AS acctstat, "
   + ", ".join(f"CASE WHEN was = 's' THEN 0 ELSE {c} END AS {c}" for c in ("outstand", "balance", "arrears", "instalm", "undrawn")),
@@ -219,7 +234,11 @@ blank AS (SELECT * REPLACE ({', '.join(f"coalesce(rtrim({c}), '') AS {c}" for c
   f"       OR (manual_rr_tag IN ('UBJ', 'MBJ', 'FJ', 'MJ') AND {_REPT} <= last_day(manual_rr_dt + to_months(23)))) THEN 'J' ELSE acctstat END "
   f"WHEN akpk_ra_start <= {_REPT} AND regexp_matches(akpk_ra_tag, '^..[1-9]') AND ((left(akpk_ra_tag, 2) IN ('AU', 'CU') AND {_REPT} <= last_day(akpk_ra_start + to_months(5))) "
   f"       OR (left(akpk_ra_tag, 2) IN ('BU', 'DU', 'AF') AND {_REPT} <= last_day(akpk_ra_end))) THEN 'J' ELSE acctstat END AS acctstat")}"""
-STATUS_COLUMNS = ["acctno", "acctstat", "impaired", "classifi", "complyind", "oldrracc", "arrears", "instalm", "nodays"]
+
+
+STATUS_SQL = f"""{LOAN_BOOK_SQL},
+{status_steps('book')}"""
+STATUS_COLUMNS = ["acctno", "acctstat", "impaired", "classifi", "complyind", "oldrracc", "arrears", "instalm", "nodays", "xnodays"]
 STATUS_MONEY = ["undrawn", "outstand", "balance", "curbal", "interdue", "feeamt"]
 
 
@@ -237,13 +256,14 @@ WITH {LOAN_BOOK_SQL}
 SELECT acctno, CASE WHEN s THEN 'S' WHEN off AND wostat = 'W' AND NOT coalesce(write_down_bal > 0, false) THEN 'W' WHEN off AND wostat IN ('W', 'P') THEN 'P'
                     WHEN off AND wostat = 'C' THEN 'X' ELSE 'O' END AS acctstat,
        CASE WHEN s THEN 0 ELSE arrears END AS arrears, CASE WHEN s THEN 0 ELSE instalm END AS instalm, CASE WHEN s THEN 0 ELSE nodays END AS nodays
-FROM (SELECT *, coalesce(product BETWEEN 30 AND 34, false) AS off, coalesce((
+FROM (SELECT *, 3 AS arrears, billcnt AS instalm, coalesce(product BETWEEN 30 AND 34, false) AS off, coalesce((
         (coalesce(apprlimt, 0) = 0 AND coalesce(round(outstand) <= 0, false) AND (coalesce(round(previous_outstand) > 0, false) OR coalesce(previous_limit > 0, false)))
         OR (closed_on IS NOT NULL AND coalesce(openind IN ('B', 'C', 'P'), false)))
         AND (NOT (coalesce(riskcode IN ('1', '2', '3', '4'), false) OR coalesce(product BETWEEN 30 AND 34, false)) OR coalesce(openind IN ('B', 'C', 'P'), false)), false) AS s FROM book)
 """)
 def overdraft_status(spark, sf):
-    out = compile_rules(loan_book(spark, sf), AC.overdraft_status_rules(), types={"acctstat": "string"})
+    book = loan_book(spark, sf).withColumns({"arrears": F.lit(3), "instalm": F.col("billcnt")})
+    out = compile_rules(book, AC.overdraft_status_rules(), types={"acctstat": "string"})
     return out.select("acctno", "acctstat", "arrears", "instalm", "nodays")
 
 
@@ -356,16 +376,13 @@ _F99 = "(500,517,518,519,520,521,522,523,524,525,526,527,528,529,532,530,555,556
 _FX = "loantype IN (991, 994)"
 
 
-@register("scheme_codes", f"""
-WITH {LOAN_BOOK_SQL}
-SELECT acctno, loantype,
-  CASE WHEN loantype IN (521,522,523,528) OR ({_FX} AND pzipcode IN (521,522,523,528)) THEN '99'
+FUND_SQL = f"""CASE WHEN loantype IN (521,522,523,528) OR ({_FX} AND pzipcode IN (521,522,523,528)) THEN '99'
        WHEN loantype IN (555,556) OR ({_FX} AND pzipcode IN (555,556)) THEN '18' WHEN loantype = 561 OR ({_FX} AND pzipcode = 561) THEN '16'
        WHEN loantype IN (568,570,532,533,573,574) OR ({_FX} AND pzipcode IN (568,570,573)) THEN '14'
        WHEN loantype IN (559,560,567) OR ({_FX} AND pzipcode IN (559,560,567)) THEN '12'
        WHEN loantype IN (170,564,565) OR ({_FX} AND pzipcode IN (170,564,565)) THEN '11' WHEN loantype = 566 OR ({_FX} AND pzipcode = 566) THEN '10'
-       ELSE '00' END AS specialf,
-  CASE WHEN loantype IN {_F99} OR (loantype IN (991,992,994,995) AND pzipcode IN {_F99}) THEN 99
+       ELSE '00' END"""
+CONCEPT_SQL = f"""CASE WHEN loantype IN {_F99} OR (loantype IN (991,992,994,995) AND pzipcode IN {_F99}) THEN 99
        WHEN loantype IN (227,228,230,231,232,233,234,235,236,237,238,239,240,241,242,243,359,361,531,906,907) THEN 60
        WHEN loantype IN (4,5,15,20,25,26,27,28,29,30,31,32,33,34,60,62,63,70,71,72,73,74,75,76,77,78,360,380,381,390,700,705,993,996) THEN 59
        WHEN loantype IN (910,925) OR (loantype IN (992,995) AND pzipcode IN (910,925)) THEN 52
@@ -373,8 +390,14 @@ SELECT acctno, loantype,
        WHEN loantype IN (135,136,138,182) OR (loantype IN (982,985) AND pzipcode IN (135,136)) THEN 26
        WHEN loantype = 193 THEN 18 WHEN loantype IN (128,130,131,132,983) THEN 16
        WHEN loantype = 180 OR (loantype IN (981,982,984,985) AND pzipcode = 180) THEN 13
-       WHEN loantype IN {_F10} OR (loantype IN (981,982,984,985) AND pzipcode IN {_F10}) OR loantype IN (124,145,461) THEN 10 ELSE 99 END AS fconcept,
-  CASE WHEN loantype IN (180,914,915,919,920,925,950,951,953) THEN 'Y' ELSE 'N' END AS syndicat
+       WHEN loantype IN {_F10} OR (loantype IN (981,982,984,985) AND pzipcode IN {_F10}) OR loantype IN (124,145,461) THEN 10 ELSE 99 END"""
+SYNDICATE_SQL = f"""CASE WHEN loantype IN (180,914,915,919,920,925,950,951,953) THEN 'Y' ELSE 'N' END"""
+@register("scheme_codes", f"""
+WITH {LOAN_BOOK_SQL}
+SELECT acctno, loantype,
+  {FUND_SQL} AS specialf,
+  {CONCEPT_SQL} AS fconcept,
+  {SYNDICATE_SQL} AS syndicat
 FROM book
 """)
 def scheme_codes(spark, sf):
@@ -452,14 +475,17 @@ _OWN = ("('D','X','L','D1','D2','D3','D4','D5','D6','D7','D8','D9','X1','X2','X3
         "'O','P','R1','R2','R3','E','T','W','E1','E2','E3','T1','T2','T3')")
 
 
+TAG_STEPS = f"""tf AS (SELECT *, coalesce(rtrim(nurs_tag) IN {_OWN}, false) AS own, coalesce(regexp_full_match(rtrim(tfa_nurs_tag), '[CGMNQK][1-9]'), false) AS further FROM {{src}}),
+tagged AS (SELECT *, CASE WHEN own AND further THEN CASE WHEN nurs_tagdt IS NOT NULL AND (tfa_nurs_tag_dt IS NULL OR nurs_tagdt > tfa_nurs_tag_dt) THEN 1 ELSE 2 END
+                     WHEN own THEN 1 WHEN further THEN 2 END AS pick FROM tf)"""
+
+
 @register("latest_tag", f"""
 WITH {LOAN_BOOK_SQL},
-f AS (SELECT *, coalesce(rtrim(nurs_tag) IN {_OWN}, false) AS own, coalesce(regexp_full_match(rtrim(tfa_nurs_tag), '[CGMNQK][1-9]'), false) AS further FROM book),
-w AS (SELECT *, CASE WHEN own AND further THEN CASE WHEN nurs_tagdt IS NOT NULL AND (tfa_nurs_tag_dt IS NULL OR nurs_tagdt > tfa_nurs_tag_dt) THEN 1 ELSE 2 END
-                     WHEN own THEN 1 WHEN further THEN 2 END AS pick FROM f)
+{TAG_STEPS.format(src='book')}
 SELECT acctno, CASE WHEN facility IN (34331, 34332) THEN akpk_status WHEN pick = 1 THEN rtrim(nurs_tag) WHEN pick = 2 THEN rtrim(tfa_nurs_tag) END AS tag,
        CASE WHEN facility IN (34331, 34332) THEN issued WHEN pick = 1 THEN nurs_tagdt WHEN pick = 2 THEN tfa_nurs_tag_dt END AS tag_date
-FROM w
+FROM tagged
 """)
 def latest_tag(spark, sf):
     book, c = loan_book(spark, sf), F.col

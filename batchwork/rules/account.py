@@ -30,12 +30,14 @@ STAFF_FACILITY = 34371
 WRITE_OFF_CODES = [658, 662, 663]
 # Model codes of an extension
 EXTENSION_MODELS = ["A1A", "A1B", "A1C", "A1D", "A1E", "A1F", "AK1A", "AK1B", "AK1C", "AK1D", "AK1E", "AK1F"]
+# Marks of a running relief, by which the instalment of the last day counts; of hire purchase, by model code
+RELIEF_MARKS, RELIEF_MODELS = ["R", "F", "V", "A", "B"], ["A1AM", "A1BM", "A1CM", "A1DM", "A1EM", "A1FM"]
 # Agency relief tags by the months that they run
 SHORT_RELIEF, LONG_RELIEF = ["UAJ", "MAJ"], ["UBJ", "MBJ", "FJ", "MJ"]
 SHORT_PREFIXES, LONG_PREFIXES = ["AU", "CU"], ["BU", "DU", "AF"]
 
-TEXTS = ["paidind", "borstat", "modeldes", "user5", "oldrr", "restruct_feed", "akpk_status", "nurs_tag", "manual_rr_tag", "akpk_ra_tag"]
-STATUS_TYPES = {"acctstat": "string", "impaired": "string", "classifi": "string", "restruct": "string", "rrtag": "string", "complyind": "string",
+TEXTS = ["flag1", "lmo_tag", "paidind", "borstat", "modeldes", "user5", "oldrr", "restruct_feed", "akpk_status", "nurs_tag", "manual_rr_tag", "akpk_ra_tag"]
+STATUS_TYPES = {"xnodays": "int", "arrears": "int", "instalm": "int", "nodays": "int", "acctstat": "string", "impaired": "string", "classifi": "string", "restruct": "string", "rrtag": "string", "complyind": "string",
                 "oldrracc": "string", "cyc": "int", "lnty": "int", "completed_on": "date", "ends_on": "date", "assessed_on": "date"}
 _CLOSED = {"arrears": 0, "instalm": 0, "nodays": 0, "undrawn": 0}
 _MONTH_END = "last_day(add_months({0}, {1}))"
@@ -46,7 +48,8 @@ def loan_status_rules(rept: str) -> list[Rule]:
 
     Status: O open, S settled, W written off, P partly written off, T rescheduled, C
     restructured, K agency, J relief.  Writes ``acctstat``, ``impaired``, ``classifi``,
-    ``restruct``, ``rrtag``, ``cyc``, ``completed_on``, ``ends_on`` and zeroes the measures of settled accounts.
+    ``restruct``, ``rrtag``, ``cyc``, ``completed_on``, ``ends_on``, the measures ``nodays``
+    (D6), ``arrears``, ``instalm`` and ``undrawn`` (D8), and zeroes those of settled accounts.
     """
     day, paid, hire = f"DATE '{rept}'", "paidind = 'P'", listed("loantype", HIRE_PURCHASE)
     written_down, written_off = listed("loantype", WRITTEN_DOWN_TYPES), listed("lsttrncd", WRITE_OFF_CODES)
@@ -55,11 +58,12 @@ def loan_status_rules(rept: str) -> list[Rule]:
     gone, partly = {"acctstat": "'W'", "impaired": "'Y'"}, {"acctstat": "'P'", "impaired": "'Y'"}
     lost = "coalesce(write_down_bal, -1) <= 0"
     open_again = rule("acctstat NOT IN ('S', 'W')", acctstat="'O'")
+    relief = f"CASE WHEN {hire} THEN {listed('modeldes', RELIEF_MODELS)} OR modeldes LIKE 'RAM%' ELSE {listed('substring(lmo_tag, 1, 1)', RELIEF_MARKS)} END"
     pattern = "modeldes RLIKE '^[CTRSWM][0-9]{3}[UD](K| |$)'"
     return [
         # where every account starts
-        rule("true", acctstat="'O'", impaired="CASE WHEN loanstat = 3 THEN 'Y' ELSE 'N' END", restruct="''", rrtag="''", lnty=0, cyc=0),
-        rule(f"faccode = {STAFF_FACILITY} AND (coalesce(nodays >= 90, false) OR borstat IN ('F', 'I', 'R') OR user5 = 'N')", impaired="'Y'"),
+        rule("true", acctstat="'O'", restruct="''", rrtag="''", lnty=0, cyc=0, xnodays=0, arrears=0, nodays=0, instalm="billcnt", undrawn="coalesce(cavaiamt, 0)"),
+        rule(listed("facility", VEHICLE_FACILITIES), undrawn=0),
         rule(paid, outstand=0, curbal=0, interdue=0, feeamt=0),
         # paid and written-down accounts
         ladder((f"{hire} AND {paid}", {"acctstat": "'S'", "outstand": 0, **_CLOSED}),
@@ -85,6 +89,10 @@ def loan_status_rules(rept: str) -> list[Rule]:
         Rule((("_model", {}), ("modeldes IN ('C', 'T', 'Y')", {"restruct": "modeldes"}), ("borstat = 'S'", {"restruct": "'T'"}),
               ("borstat = 'Q'", {"restruct": "'C'"}))),
         ladder((f"{hire} AND borstat = 'W'", {"acctstat": "'P'"}), (f"{hire} AND borstat = 'X'", {"acctstat": "'W'"})),
+        # days overdue: since the bill date, with those of the note before, or as given
+        rule("bldate IS NOT NULL", nodays=f"greatest(datediff({day}, bldate), 0)"),
+        rule("oldnotedayarr > 0 AND noteno BETWEEN 98000 AND 98999", nodays="nodays + oldnotedayarr", xnodays="oldnotedayarr"),
+        rule("mordayarr IS NOT NULL", nodays="mordayarr"),
         # restructure mark, by the six places of the model code
         *within(pattern, "_pattern",
                 rule("true", rrtag="modeldes", restruct="substring(modeldes, 1, 1)", cyc="try_cast(substring(modeldes, 3, 2) AS int)"),
@@ -100,6 +108,14 @@ def loan_status_rules(rept: str) -> list[Rule]:
         *within(f"foreclosed_on IS NOT NULL AND coalesce({day} >= ends_on, true) AND (assessed IS NOT NULL OR coupon_start IS NOT NULL)", "_complied",
                 rule("lnty <> 1 OR (user5 <> 'N' AND issued >= DATE '2015-04-06')", restruct="''"),
                 open_again, rule("true", complyind="'Y'")),
+        # arrears and instalments; one billed for the last day of a month counts from the next
+        rule("true", arrears="floor(nodays / 30.0005)", instalm="coalesce(mo_instl_arr, billcnt)"),
+        rule(f"day(date_add(bldate, 1)) = 1 AND instalm > 0 AND NOT ({relief} AND coalesce({day} BETWEEN relief_from AND relief_to, false))", instalm="instalm - 1"),
+        ladder(("flag1 = 'F'", {"undrawn": 0}), ("flag1 IN ('P', 'I')", {"undrawn": "coalesce(cavaiamt, 0)"})),
+        rule("coalesce(balance, -1) < 0", undrawn="apprlim2"),
+        # impaired: by loan status; staff loans by days, borrower and user code
+        rule("true", impaired="CASE WHEN loanstat = 3 THEN 'Y' ELSE 'N' END"),
+        rule(f"faccode = {STAFF_FACILITY} AND (nodays >= 90 OR borstat IN ('F', 'I', 'R') OR user5 = 'N')", impaired="'Y'"),
         # class of a risk rating
         ladder(("coalesce(rtrim(riskrate), '') = ''", {"classifi": "'P'"}), ("riskrate = '1'", {"classifi": "'C'"}), ("riskrate = '2'", {"classifi": "'S'"}),
                ("riskrate = '3'", {"classifi": "'D'"}), ("riskrate = '4'", {"classifi": "'B'"})),

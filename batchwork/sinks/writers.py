@@ -67,8 +67,10 @@ class Out:
 
     ``kind``: ``text`` left-aligned blank-filled; ``num`` right-aligned blank-filled;
     ``zero`` zero-filled integer; ``implied`` zero-filled with ``decimals`` implied
-    decimals (value × 10^decimals); ``date`` with ``fmt``.  A text
-    that is too long is cut only where the field says so (``cut``).
+    decimals (value × 10^decimals); ``dec`` right-aligned with ``decimals`` written out;
+    ``date`` with ``fmt`` (blank where missing), ``day`` the same with zeros where missing;
+    ``constant`` the text ``fmt``.  A text that is too long is cut only where the field
+    says so (``cut``).
     """
     name: str
     start: int
@@ -81,7 +83,7 @@ class Out:
 
 
 def _render(f: Out) -> Column:
-    c = F.col(f.source or f.name)
+    c = F.col(f.source or f.name) if f.kind != "constant" else None
     if f.kind == "text":
         s = F.coalesce(c.cast("string"), F.lit(""))
     elif f.kind == "num":
@@ -94,14 +96,22 @@ def _render(f: Out) -> Column:
              .otherwise(F.lpad(F.coalesce(r, F.lit(0)).cast("string"), f.length, "0"))
         s = F.when(c.isNull(), F.lpad(F.lit(""), f.length, "0")).otherwise(s)
         return s
+    elif f.kind == "dec":
+        s = F.coalesce(F.round(c.cast("decimal(38,10)"), f.decimals).cast(f"decimal(38,{f.decimals})").cast("string"), F.lit(""))
     elif f.kind == "date":
         s = F.coalesce(F.date_format(c, f.fmt or "yyyyMMdd"), F.lit(""))
+    elif f.kind == "day":
+        s = F.coalesce(F.date_format(c, f.fmt), F.lit("".join("0" if x.isalpha() else x for x in f.fmt)))
+    elif f.kind == "constant":
+        s = F.lit(f.fmt)
     else:
         raise ValueError(f.kind)
     return s
 
 
 def _raw_width(f: Out) -> Column:
+    if f.kind in ("day", "constant"):
+        return F.lit(len(f.fmt))
     c = F.col(f.source or f.name)
     if f.kind in ("zero", "implied"):
         v = c.cast("decimal(38,10)") * F.lit(10 ** (f.decimals if f.kind == "implied" else 0))
@@ -111,7 +121,9 @@ def _raw_width(f: Out) -> Column:
 
 
 def _pad(f: Out, s: Column) -> Column:
-    if f.kind == "num":
+    if f.kind == "text" and f.cut:
+        return F.rpad(F.substring(s, 1, f.length), f.length, " ")
+    if f.kind in ("num", "dec"):
         return F.lpad(s, f.length, " ")
     if f.kind in ("zero", "implied"):
         return s
@@ -146,32 +158,89 @@ def _overflows(f: Out) -> Column:
     return F.lit(False) if f.cut and f.kind == "text" else F.coalesce(_raw_width(f) > f.length, F.lit(False))
 
 
-def to_fixed(df: DataFrame, layout: list[Out], record: str = "record", on_overflow: str = "raise") -> DataFrame:
-    """K2: one text column per row with every field at its exact position.
-
-    A value wider than its field is never cut.  ``on_overflow``: ``raise`` fails the job
-    and names the field; ``flag`` fills the field with ``*`` and adds ``overflow``, the
-    list of such fields (see ``fixed_and_rejects`` for a side output).
-    """
+def record_column(layout: list[Out], on_overflow: str = "raise") -> Column:
+    """K2: the fixed-layout record as one text column (see ``to_fixed``)."""
     if on_overflow not in ("raise", "flag"):
         raise ValueError(on_overflow)
 
     def whole(f: Out) -> Column:
+        if f.kind in ("day", "constant") or (f.cut and f.kind == "text"):
+            return _pad(f, _render(f))
         if on_overflow == "flag":
             return F.when(_overflows(f), F.lit("*" * f.length)).otherwise(_pad(f, _render(f)))
         message = F.concat(F.lit(f"value of field {f.name} is wider than {f.length}: "), F.col(f.source or f.name).cast("string"))
         return F.when(_overflows(f), F.raise_error(message).cast("string")).otherwise(_pad(f, _render(f)))
     # keyed by position in the layout: one column may be written at several places
     rendered = {id(f): whole(f) for f in layout}
-    parts = [F.lit(" " * length) if f is None else F.substring(rendered[id(f)], off + 1, length)
+    parts = [F.lit(" " * length) if f is None else rendered[id(f)] if length == f.length else F.substring(rendered[id(f)], off + 1, length)
              for start, length, f, off in resolve_layout(layout)]
-    out = df.withColumn(record, F.concat(*parts))
+    return F.concat(*parts)
+
+
+def to_fixed(df: DataFrame, layout: list[Out], record: str = "record", on_overflow: str = "raise") -> DataFrame:
+    """K2: one text column per row with every field at its exact position.
+
+    A value wider than its field is never cut.  ``on_overflow``: ``raise`` fails the job
+    and names the field; ``flag`` fills the field with ``*`` and adds ``overflow``, the
+    list of such fields (see ``fixed_and_rejects`` for a side output).
+    """
+    out = df.withColumn(record, record_column(layout, on_overflow))
     if on_overflow == "flag":
         out = out.withColumn("overflow", F.array_distinct(F.array_compact(
             F.array(*[F.when(_overflows(f), F.lit(f.name)) for f in layout]))))
     return out
 
 
+def parse_layout(text: str) -> list[Out]:
+    """A layout from text: fields separated by ``|``, each ``name width``, following on from the one before.
+
+    ``@45`` in front of a field moves to position 45.  Widths: ``9`` number, right-aligned;
+    ``$9`` text, cut at its width; ``z9`` zero-filled; ``9.2`` number with decimals; a date
+    format such as ``ddMMyyyy`` (zeros where missing); a quoted constant has no name.
+    """
+    out, at = [], 1
+    for part in (p.strip() for p in text.replace("\n", " ").split("|")):
+        if not part:
+            continue
+        if part.startswith("@"):
+            jump, part = part[1:].split(None, 1)
+            at = int(jump)
+        if part.startswith("'"):
+            f = Out("constant", at, len(part) - 2, "constant", fmt=part[1:-1])
+        else:
+            name, spec = part.split(None, 1)
+            if spec.startswith("$"):
+                f = Out(name, at, int(spec[1:]), "text", cut=True)
+            elif spec.startswith("z"):
+                f = Out(name, at, int(spec[1:]), "zero")
+            elif spec[0].isdigit():
+                width, _, decimals = spec.partition(".")
+                f = Out(name, at, int(width), "dec" if decimals else "num", int(decimals or 0))
+            else:
+                f = Out(name, at, len(spec), "day", fmt=spec)
+        out.append(f)
+        at = f.start + f.length
+    return out
+
+
+def file_records(df: DataFrame, files: list[tuple[str, Column | None, list[Out]]], keys: list[str]) -> DataFrame:
+    """K2/K5/K6: several fixed layouts in one pass.
+
+    ``files`` lists (file, condition, layout); a file may be listed more than once.  Each
+    row becomes an array of its (file, record) pairs, which is exploded: ``df`` is
+    computed once, however many files there are.  Returns ``keys``, ``file`` and ``record``.
+    """
+    pairs = [F.struct(F.lit(name).alias("file"), record_column(layout).alias("record")) for name, _, layout in files]
+    each = F.array_compact(F.array(*[p if cond is None else F.when(cond, p) for p, (_, cond, _) in zip(pairs, files)]))
+    return df.select(*keys, F.explode(each).alias("__r")).select(*keys, "__r.file", "__r.record")
+
+
+def write_files(records: DataFrame, path: str) -> str:
+    """One partitioned text write: a folder ``file=...`` per register file."""
+    gathered(records.select("file", "record"), ["file"]).write.mode("overwrite").partitionBy("file").text(path)
+    return path
+
+
 def fixed_and_rejects(df: DataFrame, layout: list[Out], record: str = "record") -> dict[str, DataFrame]:
     """K2 with a side output: ``records`` that fit, and ``rejects`` (rows with a value that does not)."""
     out = to_fixed(df, layout, record, on_overflow="flag")
