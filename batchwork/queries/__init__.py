@@ -16,7 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 MODULES = ["scans", "sinks", "predicates", "joins", "aggs", "windows", "sets", "functions",
-           "hierarchy", "rules", "jobs"]
+           "hierarchy", "rules", "jobs", "registers"]
 
 
 def register(key: str, sql: str | None = None):

@@ -471,41 +471,6 @@ def pl_assembly(spark, sf):
 
 
 
-def _z(x, w):
-    return (f"CASE WHEN {x} IS NULL THEN repeat('0', {w}) WHEN {x} < 0 THEN '-' || lpad(CAST(abs({x}) AS VARCHAR), {w - 1}, '0') "
-            f"ELSE lpad(CAST({x} AS VARCHAR), {w}, '0') END")
-
-
-@register("pl_loan_register", f"""
-WITH acct AS (SELECT *, 'LN' AS source FROM orders WHERE o_orderstatus = 'O'
-              UNION ALL SELECT *, 'OD' FROM orders WHERE o_orderstatus = 'P'),
-pr AS (SELECT *, CASE WHEN l_returnflag = 'R' THEN 1 WHEN l_linestatus = 'O' THEN 2 ELSE 99 END AS priority FROM lineitem),
-rep AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY priority, l_extendedprice DESC, l_partkey,
-          l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS rn
-        FROM pr) WHERE rn = 1),
-dr AS (SELECT l_orderkey, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS drawn,
-              MIN(CASE WHEN l_linestatus = 'O' THEN CAST(l_shipdate AS DATE) END) AS first_unpaid FROM lineitem GROUP BY 1),
-j AS (SELECT a.o_orderkey, a.source, a.o_totalprice, rep.l_tax, dr.drawn,
-             LEAST(dr.first_unpaid, CAST(a.o_orderdate AS DATE) + 30) AS due
-      FROM acct a JOIN rep ON a.o_orderkey = rep.l_orderkey LEFT JOIN dr ON a.o_orderkey = dr.l_orderkey),
-k AS (SELECT *, CASE WHEN due IS NULL THEN NULL WHEN date_diff('day', due, DATE '{REPORT_DATE}') < 0 THEN 0
-                     ELSE date_diff('day', due, DATE '{REPORT_DATE}') END AS overdue FROM j),
-m AS (SELECT o_orderkey, source, CASE WHEN l_tax = 0 THEN 'FIXED' ELSE 'BLR' END AS pricing,
-             CASE WHEN o_totalprice < 1 THEN 'P' WHEN overdue BETWEEN 90 AND 182 THEN 'D' WHEN overdue > 182 THEN 'B' ELSE '' END AS risk, COALESCE(overdue >= 90, FALSE) AS impaired, overdue,
-             CAST(ROUND(GREATEST(CASE WHEN o_totalprice IS NULL AND drawn IS NULL THEN NULL
-                  ELSE COALESCE(CAST(o_totalprice AS DECIMAL(18,2)), 0) - COALESCE(drawn, 0) END, 0) * 100) AS BIGINT) AS und_cents,
-             CASE WHEN o_totalprice > 300000 THEN '21' ELSE '00' END AS scheme FROM k),
-r AS (SELECT *, {_z('o_orderkey', 10)} || rpad(source, 2, ' ') || rpad(pricing, 5, ' ') || rpad(risk, 1, ' ')
-                || {_z('overdue', 5)} AS head FROM m)
-SELECT o_orderkey, 'main' AS extract, head || {_z('und_cents', 15)} || rpad(scheme, 2, ' ') AS record FROM r
-UNION ALL SELECT o_orderkey, 'impaired', head FROM r WHERE impaired
-""")
-def pl_loan_register(spark, sf):
-    """Loan register extract (see ``plans.jobs.loan_register``)."""
-    return P.loan_register(load(spark, sf, "orders"), load(spark, sf, "lineitem"), REPORT_DATE)
-
-
-
 @register("pl_application_register", """
 WITH r AS (SELECT event_type AS ccy, MAX_BY(value, (ts, event_id, value)) AS rate FROM events
            WHERE ts <= TIMESTAMP '2024-01-20 23:59:59.999999' GROUP BY 1),
