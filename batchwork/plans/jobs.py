@@ -7,7 +7,7 @@ whatever tables play the roles (see the queries for the supplied test tables).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar as CAL
@@ -32,7 +32,7 @@ def payment_recon(feed: DataFrame, txn: DataFrame, key: str, amount: str, txn_am
     fees = K.first_by(txn.where(is_fee).select(key, *fee_order, F.col(txn_amount).alias("fee")), key, fee_order) \
             .select(key, "fee")                                                # J23
     f = feed.select(key, F.col(amount).cast("decimal(18,2)").alias("feed_amount"))
-    r = J.reconcile(f, credits, key, labels=("matched", "feed_only", "collection_only")).join(fees, key, "left")
+    r = J.merge_left(J.reconcile(f, credits, key, labels=("matched", "feed_only", "collection_only")), fees, key)
     exc = r.where((F.col("status") != "matched") | (F.col("feed_amount") < F.col("coll_amount")))
     exc = exc.withColumn("line_type", F.lit("detail"))
     totals = exc.agg(F.count(F.lit(1)).cast("double").alias("feed_amount"),
@@ -43,24 +43,25 @@ def payment_recon(feed: DataFrame, txn: DataFrame, key: str, amount: str, txn_am
 
 
 def freshness_from_headers(headers: dict[str, DataFrame], asof) -> DataFrame:
-    """L2: each feed's header carries its date; the verdict lists stale feeds."""
-    return Q.freshness(headers, "feed_date", asof)
+    """L2: each feed's header carries its date; the verdict says which feeds carry exactly the
+    report date (an older or a newer one is stale), and whether the run may go on."""
+    v = Q.freshness(headers, "feed_date", asof)
+    return v.withColumn("may_run", F.bool_and("fresh").over(Window.partitionBy("asof")))   # one row per feed
 
 
 def deal_join(deals: DataFrame, legs: DataFrame, key: str, masters: list[DataFrame], master_key: str,
               label: str, code_map: DataFrame, code_col: str) -> DataFrame:
     """L4: two feeds inner-joined, customer code looked up over several masters, remapped."""
-    j = deals.join(legs, key, "inner")                                         # J2
-    lk = J.union_lookup(masters, master_key, label)                            # J22
-    j = j.join(lk, j[master_key] == lk[master_key], "left").drop(lk[master_key])
-    return j.join(code_map, j[label] == code_map[code_col], "left").drop(code_col)   # P5
+    j = K.join_on(deals, legs, key)                                            # J2
+    j = J.merge_left(j, J.union_lookup(masters, master_key, label), master_key)    # J22
+    return J.merge_left(j, code_map.withColumnRenamed(code_col, label), label)     # P5
 
 
 def maturity_split(books: dict[str, DataFrame], master: DataFrame, key: str, ranges: dict[str, F.Column],
                    title: str, columns: list[str]) -> DataFrame:
     """Two books stacked, joined to their master, split by key range, listed."""
     from ..sources.readers import scan_books
-    d = scan_books(books).join(master, key, "inner")
+    d = K.join_on(scan_books(books), master, key)
     routed = W.route(d, ranges, exclusive=True)
     lines = []
     for name in ranges:
@@ -78,7 +79,7 @@ def fee_extract(fees: DataFrame, plans: DataFrame, key: str, date_col: str, asof
     """The latest effective plan per key joined to each fee row, split by a code,
     stamped with the period end of the run date."""
     eff = J.latest_effective(plans, key, date_col, asof)
-    j = fees.join(eff, key, "left")
+    j = J.merge_left(fees, eff, key)
     return j.withColumn("period_end", CAL.period_end_of(F.lit(asof).cast("date"))) \
             .withColumn("route", F.col(route_col))
 
@@ -124,24 +125,67 @@ def daily_detail(subs: DataFrame, credits: DataFrame, master: DataFrame, provisi
     rows = rows.withColumn("receivable", receivable).withColumn("outstanding", C.row_sum("outstanding", "receivable"))
     repeated = K.join_on(rows, K.duplicate_keys(rows, "ref").select("ref", F.lit(True).alias("repeats")), "ref", "left")
     kept = repeated.where(F.col("repeats").isNull() | ((F.coalesce("limit_amount", F.lit(0)) != 0) & (F.coalesce("outstanding", F.lit(0)) != 0)))
-    return kept.drop("repeats").join(labels, "product", "left")
-
-
-def facility_master(bal: DataFrame, node: str, parent: str, kind: str, amount: str, root,
-                    limit: str, flag: F.Column) -> DataFrame:
-    """direct/indirect balances pivoted, children rolled to parents, levels,
-    any-flag, undrawn limit, measures masked on flagged rows."""
-    piv = bal.groupBy(node).pivot(kind, ["D", "I"]).agg(F.sum(amount))       # A11
-    piv = piv.withColumnRenamed("D", "dcurbal").withColumnRenamed("I", "icurbal")
-    nodes = bal.select(node, parent, limit, flag.alias("flagged")).transform(lambda d: K.first_by(d, node, []))
-    rolled = A.rollup_child_to_parent(piv.join(nodes.select(node, parent), node, "left"), node,
-                                      F.col(parent), ["dcurbal", "icurbal"])  # A20
-    lv = H.assign_levels(nodes.select(node, parent), node, parent, root, 5)    # H2
-    out = rolled.join(lv.drop(parent), node, "left").join(nodes.drop(parent), node, "left")
-    lim2, und = RK.undrawn(F.col(limit), C.row_sum("dcurbal", "icurbal"))      # H5
-    out = out.withColumn("undrawn", und)
-    return out.withColumns({m: C.mask_when(F.coalesce(F.col("flagged"), F.lit(False)), m)
-                            for m in ["dcurbal", "icurbal", "undrawn"]})       # P15
+    return J.merge_left(kept.drop("repeats"), labels, "product")
+
+
+def facility_master(detail: DataFrame, sub_accounts: DataFrame, root: str = "OV") -> DataFrame:
+    """One row per account and sub-account: balances, level and path, undrawn limits.
+
+    ``detail``: ledger rows (acctno, subacct, btrel, dirctind, glmnemo, gltrntot);
+    ``sub_accounts``: acctno, subacct, btrel, custcd, apprlimt, sindicat, created, expires, dirctind.
+
+    Balances are pivoted by direct and indirect use (A11) with the interest receivable;
+    sub-accounts below a facility move onto it (A20); totals per relation and per account,
+    kept levels of one cube (A3, A15), replace the rows they total, the account's own on the
+    root.  The newest row of a sub-account with its oldest dates and the any-flags of its use
+    come from one shuffle (W5, A8); levels and paths per account (H2, H3); the root row
+    without a customer code takes the last one listed before it (W10); what is left of the
+    limit beside each use (H5); a term below 366 days is short; syndicated rows show no
+    measures (P15).
+    """
+    keys = ["acctno", "subacct"]
+    group_ledger = F.coalesce(F.substring("subacct", 2, 3) == "SGL", F.lit(False))
+    d = detail.where(~F.col("glmnemo").isin(TR.NO_BALANCE_CODES)).withColumn("btrel", F.when(group_ledger, F.lit(root)).otherwise(F.col("btrel")))
+    use = d.where(F.col("glmnemo").startswith("00") & (F.coalesce(F.rtrim("btrel"), F.lit("")) != "")).groupBy(*keys, "btrel").pivot("dirctind", ["D", "I"]).agg(F.sum("gltrntot"))
+    use = use.withColumnsRenamed({"D": "dcurbal", "I": "icurbal"})
+    interest = d.where(F.col("glmnemo").isin(TR.INTEREST_CODES)).groupBy(*keys).agg(F.sum("gltrntot").alias("intrecv"))
+    rows = K.join_on(use, interest, keys, "full").withColumn("dbalance", C.row_sum("dcurbal", "intrecv"))
+    # rows of a sub-account below a facility go to the facility; a row without a relation goes nowhere
+    below = ~F.coalesce(F.substring("btrel", 1, 1).isin("F", "O"), F.lit(False)) & ~F.coalesce(F.substring("subacct", 2, 3) == "SGL", F.lit(False))
+    measures = ["dcurbal", "icurbal", "dbalance", "intrecv"]
+    rows = rows.withColumn("subacct", F.when(below, F.col("btrel")).otherwise(F.col("subacct"))).where("subacct IS NOT NULL")
+    rows = rows.groupBy(*keys, "btrel").agg(*[F.sum(m).alias(m) for m in measures])
+    cube = rows.where("acctno IS NOT NULL AND btrel IS NOT NULL").groupingSets([["acctno", "btrel"], ["acctno"]], "acctno", "btrel").agg(
+        F.grouping("btrel").alias("of_account"), *[F.sum(m).alias(m) for m in measures])
+    totals = cube.select("acctno", F.when(F.col("of_account") == 1, F.lit(root)).otherwise(F.col("btrel")).alias("subacct"), "of_account", *measures)
+    totals = totals.groupBy(*keys).agg(F.max_by(F.struct(*measures), "of_account").alias("t"))   # the account's total beats a relation named like the root
+    rows = K.join_on(rows.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures]), totals, keys, "full")
+    rows = rows.select(*keys, *[F.coalesce(F.col("t")[m], F.col(m)).alias(m) for m in measures])
+
+    facility, parent, _ = H.facility_node("subacct", "btrel")
+    newest = F.struct(F.coalesce(F.rtrim("sindicat"), F.lit("")).alias("s"), (-F.datediff(F.coalesce("created", F.lit("0001-01-01").cast("date")), F.lit("0001-01-01").cast("date"))).alias("age"),
+                      F.coalesce("apprlimt", F.lit(0)).alias("a"), F.coalesce("custcd", F.lit("")).alias("c"), F.coalesce("btrel", F.lit("")).alias("b"),
+                      F.coalesce("expires", F.lit("0001-01-01").cast("date")).alias("e"))
+    subs = sub_accounts.groupBy(*keys).agg(
+        F.min_by(F.struct("btrel", "custcd", "apprlimt", "sindicat"), newest).alias("n"), F.min("created").alias("issued"), F.min("expires").alias("expires"),
+        F.bool_or(F.col("dirctind") == "D").alias("has_d"), F.bool_or(F.col("dirctind") == "I").alias("has_i"))
+    subs = subs.select(*keys, "n.*", "issued", "expires", "has_d", "has_i").withColumns({"node": facility, "parent": parent})
+    leveled = H.assign_levels(subs.select("acctno", "node", "parent").where("node IS NOT NULL"), "node", "parent", root, 5, account="acctno")
+    paths = leveled.groupBy("acctno", "node").agg(F.max("level").alias("level"), F.max("path").alias("path"))
+    subs = K.join_on(subs, paths, ["acctno", "node"], "left")
+    labels = {f"level{i}": F.get("path", F.lit(i - 1)) for i in range(1, 6)}
+    labels = {n: F.when(c.rlike("^[1-9]"), F.substring(c, 2, 3)).otherwise(c) for n, c in labels.items()}              # H4
+    ledger = F.substring("subacct", 2, 3) == "SGL"
+    subs = subs.withColumns(labels).withColumns({"level": F.when(ledger, F.lit(2)).otherwise(F.col("level")), "level2": F.when(ledger, F.lit("SGL")).otherwise(F.col("level2"))})
+
+    known = F.coalesce(F.rtrim("custcd"), F.lit("")) != ""
+    last = subs.where(known & (F.col("subacct") < root)).groupBy("acctno").agg(F.max_by("custcd", "subacct").alias("carried"))
+    out = K.join_on(K.join_on(rows, subs, keys, "full"), last, "acctno", "left")
+    out = out.withColumn("custcd", F.when(~known & (F.col("subacct") == root), F.col("carried")).otherwise(F.col("custcd"))).drop("carried")
+    direct, indirect = RK.undrawn_by_use(F.col("apprlimt"), F.col("dcurbal"), F.col("icurbal"), F.col("has_d"), F.col("has_i"))
+    short = F.when(F.coalesce(F.datediff("expires", "issued") < 366, F.lit(True)), F.lit("10")).otherwise(F.lit("20"))
+    out = out.withColumns({"dundrawn": direct, "iundrawn": indirect, "origmt": short})
+    return out.withColumns({m: C.mask_when(F.coalesce(F.col("sindicat") == "S", F.lit(False)), m) for m in [*measures, "apprlimt", "dundrawn", "iundrawn"]})
 
 
 def trade_balances(detail: DataFrame, master: DataFrame, master_order, transactions: DataFrame, daily: DataFrame, daily_order,

@@ -91,8 +91,10 @@ def pl_payment_recon(spark, sf):
 
 
 @register("pl_freshness", """
-SELECT 'orders' AS feed, CAST(MAX(o_orderdate) AS DATE) AS latest_date, MAX(o_orderdate) >= DATE '2001-08-01' AS fresh FROM orders
-UNION ALL SELECT 'lineitem', CAST(MAX(l_shipdate) AS DATE), MAX(l_shipdate) >= DATE '2001-08-01' FROM lineitem
+WITH f AS (SELECT 'orders' AS feed, CAST(MAX(o_orderdate) AS DATE) AS latest_date FROM orders
+           UNION ALL SELECT 'lineitem', CAST(MAX(l_shipdate) AS DATE) FROM lineitem),
+d AS (SELECT max(latest_date) AS rd FROM f WHERE feed = 'lineitem')
+SELECT feed, latest_date, latest_date = rd AS fresh, (SELECT bool_and(latest_date = rd) FROM f, d) AS may_run FROM f, d
 """)
 def pl_freshness(spark, sf):
     """Each feed is written with a header line carrying its newest date; the gate
@@ -107,8 +109,8 @@ def pl_freshness(spark, sf):
         hdr.write.text(path + "/h")
         first = R.read_header(spark, path + "/h")
         headers[name] = first.select(F.try_to_date(F.col("value"), "yyyyMMdd").alias("feed_date"))
-    v = P.freshness_from_headers(headers, "2001-08-01")
-    return v.select("feed", F.col("latest_date"), (F.col("latest_date") >= F.col("asof")).alias("fresh"))
+    asof = load(spark, sf, "lineitem").agg(F.max("l_shipdate").cast("date")).first()[0]  # the run date: that of the newest line
+    return P.freshness_from_headers(headers, asof).select("feed", "latest_date", "fresh", "may_run")
 
 
 @register("pl_daily_detail", f"""
@@ -338,51 +340,87 @@ def pl_weekly_accumulate(spark, sf):
     return x.select("nation", *[F.col(k).cast("double").alias(k) for k in ["A", "N", "R", "TOTAL"]])
 
 
-@register("pl_facility_master", """
-WITH RECURSIVE bal AS (
-  SELECT l.l_partkey AS node, CASE WHEN l.l_partkey = 0 THEN NULL ELSE l.l_partkey // 7 END AS parent,
-         CASE WHEN l.l_linestatus = 'F' THEN 'D' ELSE 'I' END AS kind, CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amount,
-         CAST(p.p_retailprice AS DECIMAL(18,2)) * 100 AS lim, p.p_size > 45 AS flagged
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
-piv AS (SELECT node, SUM(CASE WHEN kind = 'D' THEN amount END) AS d, SUM(CASE WHEN kind = 'I' THEN amount END) AS i FROM bal GROUP BY node),
-nodes AS (SELECT DISTINCT node, parent, lim, flagged FROM bal),
-pp AS (SELECT piv.*, nodes.parent FROM piv LEFT JOIN nodes ON piv.node = nodes.node),
-up AS (SELECT parent AS node, SUM(d) AS cd, SUM(i) AS ci FROM pp WHERE parent IS NOT NULL GROUP BY parent),
-rolled AS (SELECT COALESCE(pp.node, up.node) AS node,
-             CASE WHEN pp.d IS NULL AND up.cd IS NULL THEN NULL ELSE COALESCE(pp.d, 0) + COALESCE(up.cd, 0) END AS d,
-             CASE WHEN pp.i IS NULL AND up.ci IS NULL THEN NULL ELSE COALESCE(pp.i, 0) + COALESCE(up.ci, 0) END AS i
-           FROM pp FULL JOIN up ON pp.node = up.node),
-lv(node, level) AS (SELECT node, 1 FROM nodes WHERE node = 0
-                    UNION ALL SELECT n.node, lv.level + 1 FROM nodes n JOIN lv ON n.parent = lv.node WHERE lv.level < 5),
-u AS (SELECT r.node, lv.level, r.d, r.i, nodes.lim, nodes.flagged,
-             CASE WHEN r.d IS NULL AND r.i IS NULL THEN NULL ELSE COALESCE(r.d, 0) + COALESCE(r.i, 0) END AS bal
-      FROM rolled r LEFT JOIN lv ON r.node = lv.node LEFT JOIN nodes ON r.node = nodes.node),
-v AS (SELECT *, CASE WHEN lim IS NULL OR lim < 0 THEN (CASE WHEN bal > 0 THEN bal ELSE 0 END) ELSE lim END AS lim2 FROM u),
-w AS (SELECT *, CASE WHEN lim2 IS NULL AND bal IS NULL THEN NULL ELSE COALESCE(lim2, 0) - COALESCE(bal, 0) END AS und FROM v)
-SELECT node, CAST(level AS INTEGER) AS level,
-       CASE WHEN COALESCE(flagged, FALSE) THEN NULL ELSE CAST(d AS DOUBLE) END AS dcurbal,
-       CASE WHEN COALESCE(flagged, FALSE) THEN NULL ELSE CAST(i AS DOUBLE) END AS icurbal,
-       CASE WHEN COALESCE(flagged, FALSE) THEN NULL ELSE CAST(CASE WHEN und IS NULL OR und < 0 THEN 0 ELSE und END AS DOUBLE) END AS undrawn,
-       flagged
-FROM w
+# forty accounts whose sub-accounts come from the part number: a root, facilities, sub-limits, numbered limits and what hangs below
+def _sub_account_sql(j: str) -> tuple[str, str]:
+    sub = (f"CASE WHEN {j} = 0 THEN 'OV' WHEN {j} = 1 THEN 'XSGL1' WHEN {j} <= 5 THEN 'FA00' || {j} WHEN {j} <= 12 THEN 'F1SB' || {j} WHEN {j} <= 20 THEN '1' || lpad(CAST({j} AS VARCHAR), 4, '0') "
+           f"ELSE 'Z' || {j} END")
+    rel = (f"CASE WHEN {j} = 0 THEN '' WHEN {j} <= 5 THEN 'OV' WHEN {j} <= 12 THEN 'FA00' || (2 + {j} % 4) WHEN {j} <= 16 THEN 'F1SB' || (6 + {j} % 7) "
+           f"WHEN {j} <= 20 THEN '1' || lpad(CAST({j} - 4 AS VARCHAR), 4, '0') WHEN {j} % 5 = 0 THEN NULL ELSE '1' || lpad(CAST(13 + {j} % 8 AS VARCHAR), 4, '0') END")
+    return sub, rel
+
+
+def _spelt(sql: str) -> str:
+    """The same expression for Spark."""
+    return sql.replace("VARCHAR", "STRING")
+
+
+_SUB, _REL = _sub_account_sql("j")
+_MASTER_MONEY = ["dcurbal", "icurbal", "dbalance", "intrecv", "apprlimt", "dundrawn", "iundrawn"]
+_MASTER_COLUMNS = ["acctno", "subacct", "custcd", "level", "level1", "level2", "level3", "level4", "level5", "origmt"]
+
+
+@register("pl_facility_master", f"""
+WITH RECURSIVE det AS (SELECT acctno, {_SUB} AS subacct, CASE WHEN j = 1 THEN 'OV' ELSE {_REL} END AS btrel, kind, glmnemo, amt
+  FROM (SELECT l_partkey % 40 AS acctno, l_partkey // 40 % 30 AS j, CASE l_linestatus WHEN 'F' THEN 'D' ELSE 'I' END AS kind,
+               {TF._sql('l_orderkey', 1, TF.LEDGER)} AS glmnemo, CAST(l_extendedprice AS DECIMAL(18,2)) AS amt FROM lineitem)
+  WHERE glmnemo <> '00620'),
+use AS (SELECT acctno, subacct, btrel, sum(amt) FILTER (kind = 'D') AS d, sum(amt) FILTER (kind = 'I') AS i FROM det
+        WHERE glmnemo LIKE '00%' AND coalesce(rtrim(btrel), '') <> '' GROUP BY 1, 2, 3),
+intr AS (SELECT acctno, subacct, sum(amt) AS r FROM det WHERE glmnemo IN ('01010', '01020', '01070') GROUP BY 1, 2),
+both_ AS (SELECT coalesce(u.acctno, n.acctno) AS acctno, coalesce(u.subacct, n.subacct) AS subacct, u.btrel, u.d, u.i, n.r,
+                 CASE WHEN u.d IS NULL AND n.r IS NULL THEN NULL ELSE coalesce(u.d, 0) + coalesce(n.r, 0) END AS b
+          FROM use u FULL JOIN intr n ON u.acctno = n.acctno AND u.subacct = n.subacct),
+moved AS (SELECT acctno, CASE WHEN coalesce(left(btrel, 1) IN ('F', 'O'), false) OR subacct LIKE '_SGL%' THEN subacct ELSE btrel END AS subacct, btrel, d, i, b, r FROM both_),
+rel AS (SELECT acctno, subacct, btrel, sum(d) AS d, sum(i) AS i, sum(b) AS b, sum(r) AS r FROM moved WHERE subacct IS NOT NULL GROUP BY 1, 2, 3),
+own AS (SELECT acctno, subacct, sum(d) AS d, sum(i) AS i, sum(b) AS b, sum(r) AS r FROM rel GROUP BY 1, 2),
+tot AS (SELECT acctno, 'OV' AS subacct, sum(d) AS d, sum(i) AS i, sum(b) AS b, sum(r) AS r FROM rel WHERE btrel IS NOT NULL GROUP BY 1
+        UNION ALL SELECT acctno, btrel, sum(d), sum(i), sum(b), sum(r) FROM rel WHERE btrel IS NOT NULL AND btrel <> 'OV' GROUP BY 1, 2),
+bal AS (SELECT coalesce(o.acctno, t.acctno) AS acctno, coalesce(o.subacct, t.subacct) AS subacct, coalesce(t.d, o.d) AS d, coalesce(t.i, o.i) AS i, coalesce(t.b, o.b) AS b, coalesce(t.r, o.r) AS r
+        FROM own o FULL JOIN tot t ON o.acctno = t.acctno AND o.subacct = t.subacct),
+every_sub AS (SELECT p_partkey % 40 AS acctno, j, {_SUB} AS subacct, {_REL} AS btrel, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE CAST(40 + p_partkey % 50 AS VARCHAR) END AS custcd,
+               CAST(p_retailprice AS DECIMAL(18,2)) * 1000 AS lim, CASE WHEN p_partkey % 13 = 0 THEN 'S' END AS syn, CAST(DATE '1990-01-01' + CAST(p_size * 20 AS INTEGER) AS DATE) AS created,
+               CASE WHEN p_partkey % 7 <> 0 THEN CAST(DATE '1990-12-01' + CAST(p_size * 30 AS INTEGER) AS DATE) END AS expires, CASE p_partkey % 4 WHEN 0 THEN 'D' WHEN 1 THEN 'I' WHEN 2 THEN 'D' END AS dir
+        FROM (SELECT *, p_partkey // 40 % 30 AS j FROM part)),
+pick AS (SELECT *, row_number() OVER (PARTITION BY acctno, subacct ORDER BY coalesce(syn, ''), created DESC, coalesce(lim, 0), coalesce(custcd, ''), coalesce(btrel, ''), coalesce(expires, DATE '0001-01-01')) AS k FROM every_sub),
+dates AS (SELECT acctno, subacct, min(created) AS issued, min(expires) AS expires, bool_or(dir = 'D') AS hd, bool_or(dir = 'I') AS hi FROM every_sub GROUP BY 1, 2),
+sub AS (SELECT p.acctno, p.subacct, p.btrel, p.custcd, p.lim, p.syn, d.issued, d.expires, d.hd, d.hi,
+               CASE WHEN p.j = 1 THEN NULL WHEN p.j > 20 THEN CASE WHEN p.btrel LIKE '1%' THEN left(p.subacct, 5) END WHEN p.j > 5 AND p.j <= 12 THEN p.subacct ELSE left(p.subacct, 5) END AS node,
+               CASE WHEN p.j = 0 THEN 'NIL' WHEN p.j = 1 THEN NULL WHEN p.j > 1 AND p.j <= 5 THEN 'OV' WHEN p.j > 20 AND coalesce(p.btrel, '') NOT LIKE '1%' THEN NULL ELSE p.btrel END AS parent
+        FROM pick p JOIN dates d USING (acctno, subacct) WHERE p.k = 1),
+up AS (SELECT acctno, node, min(parent) AS parent FROM sub WHERE node IS NOT NULL GROUP BY 1, 2),
+lv AS (SELECT acctno, node, ['OV'] AS path FROM up WHERE node = 'OV' UNION ALL
+       SELECT u.acctno, u.node, list_append(l.path, u.node) FROM up u JOIN lv l ON u.acctno = l.acctno AND u.parent = l.node WHERE len(l.path) < 5 AND u.node <> 'OV'),
+named AS (SELECT s.*, CASE WHEN s.subacct LIKE '_SGL%' THEN 2 ELSE len(l.path) END AS level,
+                 {', '.join(f"CASE WHEN regexp_matches(l.path[{i}], '^[1-9]') THEN substring(l.path[{i}], 2, 3) ELSE l.path[{i}] END AS level{i}" for i in range(1, 6))} FROM sub s
+          LEFT JOIN lv l ON s.acctno = l.acctno AND s.node = l.node),
+carried AS (SELECT acctno, max_by(custcd, subacct) AS c FROM sub WHERE coalesce(rtrim(custcd), '') <> '' AND subacct < 'OV' GROUP BY 1),
+m AS (SELECT coalesce(b.acctno, n.acctno) AS acctno, coalesce(b.subacct, n.subacct) AS subacct, b.d, b.i, b.b, b.r, n.* EXCLUDE (acctno, subacct),
+             CASE WHEN coalesce(hd, false) THEN greatest(coalesce(b.d, 0), 0) END AS ud, CASE WHEN coalesce(hi, false) THEN greatest(coalesce(b.i, 0), 0) END AS ui
+      FROM bal b FULL JOIN named n ON b.acctno = n.acctno AND b.subacct = n.subacct),
+z AS (SELECT m.*, CASE WHEN ud IS NOT NULL THEN coalesce(lim, 0) - ud - coalesce(ui, 0) END AS du,
+             CASE WHEN lim IS NULL AND ui IS NULL THEN NULL ELSE coalesce(lim, 0) - coalesce(ui, 0) END AS iu, coalesce(syn = 'S', false) AS hide FROM m)
+SELECT z.acctno, z.subacct, CASE WHEN coalesce(rtrim(z.custcd), '') = '' AND z.subacct = 'OV' THEN c.c ELSE z.custcd END AS custcd, CAST(level AS INTEGER) AS level, level1,
+       CASE WHEN z.subacct LIKE '_SGL%' AND z.level IS NOT NULL THEN 'SGL' ELSE level2 END AS level2, level3, level4, level5,
+       CASE WHEN coalesce(date_diff('day', issued, expires) < 366, true) THEN '10' ELSE '20' END AS origmt,
+       {', '.join(f"CASE WHEN NOT hide THEN CAST({x} AS DOUBLE) END AS {n}" for x, n in zip(('d', 'i', 'b', 'r', 'lim', 'du', 'iu'), _MASTER_MONEY))}
+FROM z LEFT JOIN carried c ON z.acctno = c.acctno
 """)
 def pl_facility_master(spark, sf):
-    """Facility master: lines as direct (filled) / indirect (open) balances per part,
-    children rolled onto parents, levels below root part 0, undrawn against the
-    part's limit, measures blanked on syndicated (large) parts."""
-    li = load(spark, sf, "lineitem")
-    p = load(spark, sf, "part").select("p_partkey", "p_retailprice", "p_size")
-    bal = (li.join(p, li.l_partkey == p.p_partkey)
-             .select(F.col("l_partkey").alias("node"),
-                     F.when(F.col("l_partkey") == 0, None).otherwise(F.floor(F.col("l_partkey") / 7).cast("bigint")).alias("parent"),
-                     F.when(F.col("l_linestatus") == "F", F.lit("D")).otherwise(F.lit("I")).alias("kind"),
-                     F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
-                     (F.col("p_retailprice").cast("decimal(18,2)") * 100).alias("limit"),
-                     (F.col("p_size") > 45).alias("flagged")))
-    out = P.facility_master(bal, "node", "parent", "kind", "amount", 0, "limit", F.col("flagged"))
-    return out.select("node", F.col("level").cast("int").alias("level"), F.col("dcurbal").cast("double").alias("dcurbal"),
-                      F.col("icurbal").cast("double").alias("icurbal"), F.col("undrawn").cast("double").alias("undrawn"),
-                      "flagged")
+    """Facility master on derived ledger rows and sub-accounts (see ``plans.jobs.facility_master``)."""
+    j = F.floor(F.col("key") / 40) % 30
+    li = load(spark, sf, "lineitem").withColumn("key", F.col("l_partkey")).withColumn("j", j.cast("int"))
+    detail = li.select((F.col("key") % 40).alias("acctno"), F.expr(_spelt(_SUB)).alias("subacct"), F.expr(_spelt(f"CASE WHEN j = 1 THEN 'OV' ELSE {_REL} END")).alias("btrel"),
+                       F.when(F.col("l_linestatus") == "F", F.lit("D")).otherwise(F.lit("I")).alias("dirctind"), TF._turn("l_orderkey", 1, TF.LEDGER).alias("glmnemo"),
+                       F.col("l_extendedprice").cast("decimal(18,2)").alias("gltrntot"))
+    p = load(spark, sf, "part").withColumn("key", F.col("p_partkey")).withColumn("j", j.cast("int"))
+    k = F.col("key")
+    subs = p.select((k % 40).alias("acctno"), F.expr(_spelt(_SUB)).alias("subacct"), F.expr(_spelt(_REL)).alias("btrel"), F.when(k % 3 != 0, (40 + k % 50).cast("string")).alias("custcd"),
+                    (F.col("p_retailprice").cast("decimal(18,2)") * 1000).alias("apprlimt"), F.when(k % 13 == 0, F.lit("S")).alias("sindicat"),
+                    F.date_add(F.lit("1990-01-01").cast("date"), (F.col("p_size") * 20).cast("int")).alias("created"),
+                    F.when(k % 7 != 0, F.date_add(F.lit("1990-12-01").cast("date"), (F.col("p_size") * 30).cast("int"))).alias("expires"),
+                    F.when(k % 4 == 0, F.lit("D")).when(k % 4 == 1, F.lit("I")).when(k % 4 == 2, F.lit("D")).alias("dirctind"))
+    out = P.facility_master(detail, subs)
+    return out.select(*_MASTER_COLUMNS, *[F.col(c).cast("double").alias(c) for c in _MASTER_MONEY])
 
 
 _BALANCE_COLUMNS = ["dailyno", "acctno", "transref", "kind", "certno", "custcd", "sectorcd", "fisspurp", "closed"]

@@ -17,8 +17,9 @@ _REPT = f"DATE '{REPORT_DATE}'"
 
 
 def register_book(spark, sf):
-    """The loan book with overdrafts in their own range of accounts."""
-    return loan_book(spark, sf).withColumn("acctno", F.col("acctno") + F.when(F.col("acty") == "OD", F.lit(OD_BASE)).otherwise(F.lit(0)))
+    """The loan book with overdrafts in their own range of accounts, dealt by account as the assembly job (L14) leaves it."""
+    book = loan_book(spark, sf).withColumn("acctno", F.col("acctno") + F.when(F.col("acty") == "OD", F.lit(OD_BASE)).otherwise(F.lit(0)))
+    return book.repartition("acctno")
 
 
 def prior_overdrafts(book):
