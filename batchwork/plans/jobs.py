@@ -18,8 +18,10 @@ from ..operators import joins as J
 from ..operators import keys as K
 from ..operators import quality as Q
 from ..operators import sets as S
+from ..rules import account as AC
 from ..rules import codes as RC
 from ..rules import credit as RK
+from ..rules import facility as FC
 from ..rules import sector as SR
 from ..rules import trade as TR
 from ..sinks import writers as W
@@ -231,50 +233,89 @@ def trade_register(lines: DataFrame, accounts: DataFrame, rept_date: str, layout
     return {"register": W.to_fixed(j, layout)}                            # K2
 
 
-def assembly(customers: DataFrame, orders: DataFrame, excluded: DataFrame, facility_map: DataFrame) -> DataFrame:
-    """Account master assembled from customers, their order totals and latest order,
-    excluded keys removed, facility code by precedence lookup, id cleansed."""
-    o = orders.groupBy(F.col("o_custkey").alias("custkey")).agg(
-        F.count(F.lit(1)).alias("n_orders"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("amt"))
-    lt = K.first_by(orders.withColumnRenamed("o_custkey", "custkey"), "custkey",
-                    [F.col("o_orderdate").desc_nulls_last(), "o_orderkey"]) \
-          .select("custkey", F.col("o_orderkey").alias("last_order"))                           # W4
-    c = customers.join(excluded, "custkey", "left_anti")                                        # J6
-    j = J.n_way_merge([c, o, lt], "custkey", "left")                                            # J11
-    j = RC.precedence_lookup(j, [(facility_map, "c_mktsegment", "facility")], "facility", "99999")  # D2
-    cleaned, valid = Q.id_cleanse_validate("c_name", 9)                                        # Q4
-    return j.select("custkey", "n_orders", F.col("amt").cast("double").alias("amount"), "last_order", "facility",
-                    cleaned.alias("clean_id"), valid.alias("valid_id"))
-
-
-def loan_register(orders: DataFrame, lines: DataFrame, rept_date: str) -> DataFrame:
-    """Loans (open) and overdrafts (partial) stacked with a source flag, one
-    representative line each, pricing / overdue / risk / undrawn / scheme derived,
-    impaired rows to a second extract."""
-    acct = S.concat_with_source({"LN": orders.where("o_orderstatus = 'O'"),
-                                 "OD": orders.where("o_orderstatus = 'P'")}, "source")          # U3
-    rep = K.pick_by_priority(lines, "l_orderkey", [(F.col("l_returnflag") == "R", 1), (F.col("l_linestatus") == "O", 2)],
-                             [F.col("l_extendedprice").desc()])                                  # W13
-    drawn = lines.groupBy("l_orderkey").agg(
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("drawn"),
-        F.min(F.when(F.col("l_linestatus") == "O", F.col("l_shipdate").cast("date"))).alias("first_unpaid"))
-    j = acct.join(rep.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey").join(
-        drawn.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left")
-    rd = F.lit(rept_date).cast("date")
-    j = j.withColumn("overdue", RK.overdue_loan(F.least("first_unpaid", F.date_add(F.col("o_orderdate").cast("date"), 30)), rd))  # D6
-    cls, imp = RK.provision_class(F.col("overdue"), F.lit(None).cast("string"), F.col("o_totalprice"))  # D5
-    j = j.withColumns({
-        "pricing": F.when(F.col("l_tax") == 0, F.lit("FIXED")).otherwise(F.lit("BLR")),           # D3
-        "risk": cls, "impaired": imp,
-        "undrawn": F.greatest(C.row_sum(F.col("o_totalprice").cast("decimal(18,2)"), -F.col("drawn")), F.lit(0)),  # D8
-        "scheme": F.when(F.col("o_totalprice") > 300000, F.lit("21")).otherwise(F.lit("00")),     # D10
-    })
-    lay = [W.Out("o_orderkey", 1, 10, "zero"), W.Out("source", 11, 2), W.Out("pricing", 13, 5), W.Out("risk", 18, 1),
-           W.Out("overdue", 19, 5, "zero"), W.Out("undrawn", 24, 15, "implied", decimals=2), W.Out("scheme", 39, 2)]
-    main = W.to_fixed(j, lay).select("o_orderkey", F.lit("main").alias("extract"), "record")   # K2
-    imp_ext = W.to_fixed(j.where("impaired"), lay[:5]) \
-               .select("o_orderkey", F.lit("impaired").alias("extract"), "record")                                # K6
-    return main.unionByName(imp_ext)
+def assembly(feeds: dict[str, DataFrame], rept: str) -> dict[str, DataFrame]:
+    """Loans, overdrafts and open applications assembled for the registers.
+
+    ``feeds``: loans (acctno, noteno, bonusano, commno, loantype, vinno, ...), prior_loans,
+    provided, balances, commitments, excluded, applications, rejections, reviews, collateral,
+    write_offs, current, overdraft_limits, excesses; see the fixtures for their columns.
+
+    The merge on the application number comes first (it has its own key); everything after
+    it hangs on the account, alone or with a note or commitment, so the first merge's
+    exchange on the account serves the whole chain and every other input is exchanged
+    once (``spark.sql.requireAllClusterKeysForCoPartition`` off, as in ``get_spark``).
+    Right sides are made unique first where the source is not, or merged by position where it
+    is many-to-many (overdrafts with their balances).
+    """
+    f, note = feeds, ["acctno", "noteno"]
+    number = F.translate(F.substring(F.ltrim("vinno"), 1, 13), "@*(#)- ", "")                                # Q4
+    loans = f["loans"].withColumn("aano", F.when(F.length(number) == 13, number))
+    apps = K.first_by(f["applications"], "aano", [])                                                         # W4
+    apps = J.merge_left(apps, K.first_by(f["rejections"], "aano", [F.col("icdate").desc_nulls_last()]).select("aano", "rjdate"), "aano")
+    apps = apps.withColumnRenamed("acctno", "preacct").withColumn("apprlmaa", F.coalesce(F.when(F.col("app_limit_ccy") > 0, F.col("app_limit_ccy")),
+                                                                                           F.when(F.col("amount_sc") > 0, F.col("amount_sc")), "amount")).drop("app_limit_ccy", "amount_sc", "amount")
+    known = loans.where("aano IS NOT NULL").select("aano").distinct()
+    open_apps = K.join_on(apps, known, "aano", "left_anti")
+    loans = J.merge_left(loans, apps, "aano")
+    loans = loans.withColumn("purpose", F.coalesce(F.nullif(F.rtrim("purpose"), F.lit("")), F.col("app_purpose")))
+
+    # from here on the account
+    written = K.first_by(f["write_offs"], note, [])
+    by_account = K.first_by(written.where("noteno IS NULL").select("acctno", F.col("woffdt").alias("wfdate_account")), "acctno", [])
+    loans = J.merge_left(loans, by_account, "acctno")
+    loans = J.merge_left(loans, written.where("noteno IS NOT NULL").select(*note, F.col("woffdt").alias("wfdate_note")), note)
+    old = f["loans"].select("acctno", F.col("noteno").alias("bonusano"), F.col("lasttran").alias("migrated")).where("bonusano IS NOT NULL")
+    loans = J.merge_left(loans, K.first_by(old, ["acctno", "bonusano"], []), ["acctno", "bonusano"])
+    loans = J.merge_left(loans, K.first_by(f["prior_loans"].select(*note, F.col("branch").alias("oldbrh")), note, []), note).withColumn("oldbrh", F.coalesce("oldbrh", F.lit(0)))
+    provided = K.first_by(f["provided"], note, []).withColumn("gp3ind", F.when(F.col("nplind") == "N", F.lit("R")).otherwise(F.lit("A")))
+    loans = K.join_on(loans.withColumn("in_a", F.lit(True)), provided, note, "full")                           # both sides stay where provided
+    loans = loans.where((F.col("gp3ind").isNotNull()) | (~F.coalesce(F.col("reversed") == "Y", F.lit(False)) & F.col("noteno").isNotNull()
+                                                        & ~F.coalesce(F.col("borstat") == "Z", F.lit(False))))
+    loans = J.merge_left(loans, K.first_by(f["balances"], note, []), note)
+    paid, this_month = F.coalesce(F.col("paidind") == "P", F.lit(False)), F.coalesce(C.same_month("lasttran", F.lit(rept).cast("date")), F.lit(False))
+    down, off = F.coalesce(F.col("loantype").between(600, 699), F.lit(False)), F.coalesce(F.col("lsttrncd").isin(658, 662, 663), F.lit(False))
+    stays = (paid & this_month) | F.coalesce(F.col("nplind") == "P", F.lit(False)) | (paid & down & F.coalesce(F.col("lsttrncd") == 658, F.lit(False))) | (paid & ~down & off)
+    loans = loans.where(stays | ~paid | F.col("eir_adj").isNotNull())                                       # P18
+    opened_and_closed = F.col("eir_adj").isNull() & paid & F.coalesce(C.same_month("lasttran", "issued"), F.lit(False)) & ~F.coalesce(F.col("loantype").isin(AC.HIRE_PURCHASE), F.lit(False))
+    loans = loans.where(~opened_and_closed)
+    loans = J.merge_left(loans, K.first_by(f["commitments"], ["acctno", "commno"], []).withColumn("ind", F.lit("B")), ["acctno", "commno"]).withColumn("ind", F.coalesce("ind", F.lit("A")))
+    loans = K.join_on(loans, f["excluded"].select(*note), note, "left_anti")                                  # J6
+    split = F.coalesce(F.col("loantype").isin(984, 985, 994, 995, 996), F.lit(False))                         # U6: of split accounts the newest note
+    newest = loans.where(split).groupBy("acctno").agg(F.max("noteno").alias("__newest"))
+    loans = J.merge_left(loans, newest, "acctno").where(~split | F.col("noteno").eqNullSafe(F.col("__newest"))).drop("__newest")
+    loans = J.merge_left(loans, K.first_by(f["collateral"], note, []), note)
+    loans = J.merge_left(loans, K.first_by(f["reviews"], note, [F.col("reviewed").desc_nulls_last()]), note)
+    loans = FC.facility_codes(loans)                                                                         # D2
+    loans = loans.withColumns({"acty": F.lit("LN"), "wfdate": F.coalesce("wfdate_note", "wfdate_account"), "oribrh": F.col("branch"),
+                               "branch": F.when(F.col("costctr") == 4048, F.lit(903)).when(F.col("costctr") == 4043, F.lit(906)).otherwise(F.col("branch")),
+                               "leg": F.when(F.coalesce(F.rtrim("delqcd"), F.lit("")).isin(LEGAL_CODES), F.lit("A")),
+                               "cavaiamt": F.when(F.col("cavaiamt") < 0, F.lit(0)).otherwise(F.col("cavaiamt"))})
+    loans = loans.withColumn("rleasamt", RK.release_amount(F.col("loantype"), F.col("commno"), F.col("netproc"), F.col("corgamt"), F.col("cavaiamt"), F.col("cusedamt"), F.col("orgbal")))
+
+    # overdrafts: the account with its limit, excesses and balances, the last by position
+    limit = K.first_by(f["overdraft_limits"], "acctno", [F.col("lmtstdte").desc_nulls_last()])
+    od = J.merge_left(J.merge_left(K.first_by(f["current"], "acctno", []), limit, "acctno"), K.first_by(f["excesses"], "acctno", []), "acctno")
+    gone, month = F.coalesce(F.col("openind").isin("B", "C", "P"), F.lit(False)), F.coalesce(C.same_month("closed_on", F.lit(rept).cast("date")), F.lit(False))
+    od = od.where((~gone | month) & ~(gone & F.coalesce(C.same_month("closed_on", "opened"), F.lit(False))))
+    since = F.when(F.col("curbal") < 0, F.least("excess_on", "tempod_on"))
+    days = F.datediff(F.lit(rept).cast("date"), since)
+    taken = F.coalesce(days > 89, F.lit(False)) | F.coalesce(F.col("riskcode").isin("1", "2", "3", "4"), F.lit(False)) | F.coalesce(F.col("curbal") < 0, F.lit(False)) \
+        | F.coalesce(F.col("product").between(30, 34), F.lit(False)) | gone
+    od = od.withColumns({"nodays": days, "taken": taken, "delqcd": _remapped(F.col("user2"), LEGAL_BY_MARK)})
+    od = od.where(F.col("taken") | F.coalesce(F.col("apprlimt") > 1, F.lit(False))).withColumn("leg", F.when(F.coalesce(F.rtrim("delqcd"), F.lit("X")).isin(LEGAL_CODES), F.lit("A")))
+    paired = J.merge_by(f["balances"].select("acctno", "noteno", "eir_adj").withColumnRenamed("noteno", "balance_note"), od.withColumn("in_od", F.lit(True)), "acctno", ["balance_note"], [])
+    od = paired.where("in_od").withColumn("acty", F.lit("OD")).drop("in_od")
+    return {"loans": loans.drop("in_a", "wfdate_note", "wfdate_account"), "overdrafts": od, "applications": open_apps}
+
+
+# Delinquency codes under legal action, and those that a mark on an overdraft stands for
+LEGAL_CODES = ["10", "11", "12", "13", "14", "15", "16", "17", "18", "", "09", "19", "20", "21"]
+LEGAL_BY_MARK = {"": "", "A": "", "F": "10", "B": "11", "C": "12", "G": "13", "H": "14", "I": "15", "J": "16", "E": "17", "K": "18", "L": "19", "D": "20", "M": "21"}
+
+
+def _remapped(c, table: dict[str, str], default: str = "X"):
+    mark = F.coalesce(F.rtrim(c), F.lit(""))
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), mark), F.lit(default))
 
 
 def application_register(apps: DataFrame, customers: DataFrame, rates: DataFrame) -> DataFrame:

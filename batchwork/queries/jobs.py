@@ -8,7 +8,8 @@ from ..operators.joins import reconcile
 from . import load, register
 from . import _trade_feeds as TF
 from ._common import COLLATERAL_PAIRS, money_sum, msum
-from .rules import INDUSTRY, SECTOR_STEPS, TIED_SQL
+from ._loan_book import LOAN_BOOK_SQL, loan_book
+from .rules import FACILITY_SQL, INDUSTRY, SECTOR_STEPS, TIED_SQL
 
 
 def _order_feeds(spark, sf):
@@ -489,24 +490,109 @@ def pl_trade_register(spark, sf):
 
 
 
-@register("pl_assembly", """
-WITH o AS (SELECT o_custkey AS custkey, COUNT(*) AS n_orders, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS amt FROM orders GROUP BY 1),
-lt AS (SELECT * FROM (SELECT o_custkey AS custkey, o_orderkey AS last_order,
-          ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey, o_orderstatus, o_totalprice, o_orderpriority) AS rn
-          FROM orders) WHERE rn = 1),
-f(seg, facility) AS (VALUES ('AUTOMOBILE','34111'),('BUILDING','34112')),
-c AS (SELECT c_custkey AS custkey, c_name, c_mktsegment FROM customer WHERE c_custkey NOT IN (3, 7, 11, 42, 100, 1001))
-SELECT c.custkey, o.n_orders, CAST(o.amt AS DOUBLE) AS amount, lt.last_order, COALESCE(f.facility, '99999') AS facility,
-       regexp_replace(c.c_name, '[^0-9]', '', 'g') AS clean_id, length(regexp_replace(c.c_name, '[^0-9]', '', 'g')) = 9 AS valid_id
-FROM c LEFT JOIN o ON c.custkey = o.custkey LEFT JOIN lt ON c.custkey = lt.custkey LEFT JOIN f ON c.c_mktsegment = f.seg
+# the assembly's feeds: each a grouping of a whole supplied table on the account (300 of them), the note and so on
+_ACCT, _NOTE, _NUMBER = "{k} % 300", "{k} % 97", "lpad(CAST({k} % {n} AS VARCHAR), 13, '0')"
+ASSEMBLY_FEEDS: dict[str, tuple[str, str]] = {
+    "applications": ("part", f"""SELECT {_NUMBER.format(k='p_partkey', n=80)} AS aano, max(p_partkey) AS acctno, max(CAST(p_retailprice AS DECIMAL(18,2))) AS amount,
+        CASE WHEN max(p_partkey) % 3 = 0 THEN CAST(max(p_size) AS DECIMAL(18,2)) END AS app_limit_ccy, CASE WHEN max(p_partkey) % 2 = 0 THEN CAST(-min(p_size) AS DECIMAL(18,2)) ELSE CAST(7 AS DECIMAL(18,2)) END AS amount_sc,
+        CASE WHEN max(p_partkey) % 4 = 0 THEN '3100' ELSE '3300' END AS app_purpose FROM part GROUP BY 1"""),
+    "rejections": ("supplier", f"""SELECT {_NUMBER.format(k='s_suppkey', n=50)} AS aano, CAST('1998-01-01' AS DATE) + CAST(max(s_suppkey) AS INTEGER) AS icdate,
+        CAST('1997-01-01' AS DATE) + CAST(min(s_suppkey) AS INTEGER) AS rjdate FROM supplier GROUP BY 1"""),
+    "write_offs": ("lineitem", f"""SELECT l_suppkey % 300 AS acctno, CASE WHEN l_linenumber <> 1 THEN l_partkey % 970 END AS noteno, CAST(min(l_shipdate) AS DATE) AS woffdt FROM lineitem GROUP BY 1, 2"""),
+    "prior_loans": ("orders", "SELECT (o_custkey + 1) % 300 AS acctno, o_orderkey % 97 AS noteno, max(o_orderkey % 50) AS branch FROM orders GROUP BY 1, 2"),
+    "provided": ("orders", """SELECT o_custkey * 7 % 300 AS acctno, o_orderkey * 3 % 500 AS noteno, CASE max(o_orderkey) % 3 WHEN 0 THEN 'N' WHEN 1 THEN 'P' END AS nplind FROM orders GROUP BY 1, 2"""),
+    "balances": ("orders", "SELECT o_custkey % 300 AS acctno, o_orderkey % 97 AS noteno, CASE WHEN max(o_orderkey) % 4 = 0 THEN CAST(1.5 AS DECIMAL(9,2)) END AS eir_adj FROM orders GROUP BY 1, 2"),
+    "commitments": ("lineitem", """SELECT l_suppkey % 300 AS acctno, CAST(l_linenumber % 3 * 10 AS INTEGER) AS commno, max(CAST(l_extendedprice AS DECIMAL(18,2))) AS corgamt,
+        min(CAST(l_quantity AS DECIMAL(18,2))) - 3 AS cavaiamt, max(CAST(l_quantity AS DECIMAL(18,2))) AS cusedamt FROM lineitem GROUP BY 1, 2"""),
+    "excluded": ("customer", "SELECT DISTINCT c_custkey % 300 AS acctno, c_custkey % 61 AS noteno FROM customer"),
+    "collateral": ("part", "SELECT p_partkey % 300 AS acctno, p_partkey % 97 AS noteno, max(CAST(p_retailprice AS DECIMAL(18,2))) AS cprvdolv FROM part GROUP BY 1, 2"),
+    "reviews": ("lineitem", "SELECT l_orderkey % 300 AS acctno, l_partkey % 970 AS noteno, CAST(max(l_shipdate) AS DATE) AS reviewed FROM lineitem GROUP BY 1, 2"),
+    "current": ("customer", """SELECT c_custkey % 300 AS acctno, min(CAST(c_acctbal AS DECIMAL(18,2))) AS curbal, CAST('1998-08-01' AS DATE) - CAST(min(c_custkey) % 40 AS INTEGER) AS opened,
+        CASE WHEN min(c_custkey) % 4 = 0 THEN CAST('1998-08-20' AS DATE) - CAST(min(c_custkey) % 31 AS INTEGER) END AS closed_on, CASE min(c_custkey) % 5 WHEN 0 THEN 'B' WHEN 1 THEN 'C' ELSE 'O' END AS openind,
+        CAST(28 + min(c_custkey) % 9 AS INTEGER) AS product, CASE min(c_custkey) % 7 WHEN 0 THEN 'F' WHEN 1 THEN 'B' WHEN 2 THEN ' ' WHEN 3 THEN 'Z' WHEN 4 THEN 'E' END AS user2 FROM customer GROUP BY 1"""),
+    "overdraft_limits": ("supplier", """SELECT s_suppkey % 300 AS acctno, CAST(max(s_acctbal) AS DECIMAL(18,2)) AS apprlimt, CAST('1996-01-01' AS DATE) + CAST(max(s_suppkey) AS INTEGER) AS lmtstdte,
+        CASE max(s_suppkey) % 6 WHEN 0 THEN '1' WHEN 1 THEN '4' WHEN 2 THEN '9' END AS riskcode FROM supplier GROUP BY 1"""),
+    "excesses": ("part", """SELECT p_partkey % 290 AS acctno, CASE WHEN max(p_partkey) % 2 = 0 THEN CAST('1998-08-01' AS DATE) - CAST(max(p_partkey) % 200 AS INTEGER) END AS excess_on,
+        CASE WHEN max(p_partkey) % 3 = 0 THEN CAST('1998-07-01' AS DATE) - CAST(max(p_partkey) % 90 AS INTEGER) END AS tempod_on FROM part GROUP BY 1"""),
+}
+_LOAN_EXTRA = ["loantype", "paidind", "lsttrncd", "borstat", "prodcd", "purpose", "branch", "costctr", "delqcd", "commno"]
+
+
+def _assembly_loans(spark, sf):
+    k = F.col("acctno")
+    book = loan_book(spark, sf)
+    text = F.when(k % 3 == 0, F.concat(F.lit(" "), F.lpad((k % 60).cast("string"), 13, "0"))).when(k % 3 == 1, F.concat(F.lit("#"), F.lpad((k % 60).cast("string"), 13, "0")))
+    return book.select((F.col("custno") % 300).alias("acctno"), (k % 97).alias("noteno"), k.alias("loanid"), (F.floor(k / 7) % 97).alias("bonusano"), text.alias("vinno"), "issued",
+                       F.when(k % 11 != 0, F.date_add(F.col("issued"), (k % 900).cast("int"))).alias("lasttran"), F.when(k % 23 == 0, F.lit("Y")).alias("reversed"),
+                       F.col("balance").alias("netproc"), (F.col("balance") + 1).cast("decimal(18,2)").alias("orgbal"), *_LOAN_EXTRA)
+
+
+_LOANS_SQL = f"""loans AS (SELECT custno % 300 AS acctno, acctno % 97 AS noteno, acctno AS loanid, acctno // 7 % 97 AS bonusano,
+  CASE acctno % 3 WHEN 0 THEN ' ' || lpad(CAST(acctno % 60 AS VARCHAR), 13, '0') WHEN 1 THEN '#' || lpad(CAST(acctno % 60 AS VARCHAR), 13, '0') END AS vinno, issued,
+  CASE WHEN acctno % 11 <> 0 THEN CAST(issued + CAST(acctno % 900 AS INTEGER) AS DATE) END AS lasttran, CASE WHEN acctno % 23 = 0 THEN 'Y' END AS reversed, balance AS netproc, balance + 1 AS orgbal,
+  {', '.join(_LOAN_EXTRA)} FROM book)"""
+_ON = "{a}.acctno IS NOT DISTINCT FROM {b}.acctno AND {a}.noteno IS NOT DISTINCT FROM {b}.noteno"
+_ASSEMBLED = ["kind", "acctno", "noteno", "loanid", "aano", "preacct", "rjdate", "migrated", "oldbrh", "gp3ind", "ind", "wfdate", "facility", "faccode", "leg", "branch", "reviewed", "nodays", "taken", "delqcd"]
+_ASSEMBLED_MONEY = ["apprlmaa", "eir_adj", "cprvdolv", "rleasamt", "apprlimt"]
+
+
+@register("pl_assembly", f"""
+WITH {LOAN_BOOK_SQL}, {_LOANS_SQL},
+{', '.join(f"{n} AS ({sql})" for n, (_, sql) in ASSEMBLY_FEEDS.items())},
+numbered AS (SELECT *, CASE WHEN length(translate(substr(ltrim(vinno), 1, 13), '@*(#)- ', '')) = 13 THEN translate(substr(ltrim(vinno), 1, 13), '@*(#)- ', '') END AS aano FROM loans),
+apps AS (SELECT a.aano, a.acctno AS preacct, coalesce(CASE WHEN app_limit_ccy > 0 THEN app_limit_ccy END, CASE WHEN amount_sc > 0 THEN amount_sc END, amount) AS apprlmaa, app_purpose, r.rjdate
+         FROM applications a LEFT JOIN rejections r USING (aano)),
+l1 AS (SELECT n.*, a.preacct, a.apprlmaa, a.rjdate, coalesce(nullif(rtrim(n.purpose), ''), a.app_purpose) AS purpose2 FROM numbered n LEFT JOIN apps a ON n.aano = a.aano),
+oldest AS (SELECT * FROM (SELECT acctno, noteno AS bonusano, lasttran AS migrated, row_number() OVER (PARTITION BY acctno, noteno ORDER BY lasttran NULLS FIRST) AS k FROM loans) WHERE k = 1),
+l2 AS (SELECT l.*, wa.woffdt AS wfa, wn.woffdt AS wfn, o.migrated, coalesce(p.branch, 0) AS oldbrh FROM l1 l
+       LEFT JOIN write_offs wa ON l.acctno = wa.acctno AND wa.noteno IS NULL LEFT JOIN write_offs wn ON l.acctno = wn.acctno AND l.noteno = wn.noteno
+       LEFT JOIN oldest o ON l.acctno = o.acctno AND l.bonusano = o.bonusano LEFT JOIN prior_loans p ON l.acctno = p.acctno AND l.noteno = p.noteno),
+l3 AS (SELECT l.* REPLACE (coalesce(l.acctno, p.acctno) AS acctno, coalesce(l.noteno, p.noteno) AS noteno), p.nplind, CASE WHEN p.acctno IS NOT NULL THEN CASE WHEN p.nplind = 'N' THEN 'R' ELSE 'A' END END AS gp3ind
+       FROM l2 l FULL JOIN provided p ON l.acctno = p.acctno AND l.noteno = p.noteno),
+l4 AS (SELECT l.*, b.eir_adj, coalesce(l.paidind = 'P', false) AS paid, coalesce(date_trunc('month', lasttran) = date_trunc('month', DATE '{REPORT_DATE}'), false) AS now, coalesce(loantype BETWEEN 600 AND 699, false) AS down
+       FROM l3 l LEFT JOIN balances b ON {_ON.format(a='l', b='b')}
+       WHERE gp3ind IS NOT NULL OR (coalesce(reversed, '') <> 'Y' AND l.noteno IS NOT NULL AND coalesce(borstat, '') <> 'Z')),
+l5 AS (SELECT * FROM l4 WHERE (NOT paid OR eir_adj IS NOT NULL OR now OR coalesce(nplind = 'P', false) OR (down AND coalesce(lsttrncd = 658, false)) OR (NOT down AND coalesce(lsttrncd IN (658, 662, 663), false)))
+       AND NOT (eir_adj IS NULL AND paid AND coalesce(date_trunc('month', lasttran) = date_trunc('month', issued), false) AND NOT coalesce(loantype IN (128, 130, 380, 381, 700, 705, 983, 993, 996), false))),
+l6 AS (SELECT l.*, CASE WHEN c.acctno IS NULL THEN 'A' ELSE 'B' END AS ind, c.corgamt, greatest(c.cavaiamt, 0) AS avail, c.cusedamt FROM l5 l
+       LEFT JOIN commitments c ON l.acctno = c.acctno AND l.commno = c.commno WHERE (l.acctno, l.noteno) NOT IN (SELECT (acctno, noteno) FROM excluded)),
+l7 AS (SELECT *, coalesce(loantype IN (984, 985, 994, 995, 996), false) AS split, max(noteno) FILTER (loantype IN (984, 985, 994, 995, 996)) OVER (PARTITION BY acctno) AS newest FROM l6),
+l8 AS (SELECT l.*, c.cprvdolv, r.reviewed, row_number() OVER () AS rid FROM l7 l LEFT JOIN collateral c ON l.acctno = c.acctno AND l.noteno = c.noteno LEFT JOIN reviews r ON l.acctno = r.acctno AND l.noteno = r.noteno
+       WHERE NOT split OR l.noteno IS NOT DISTINCT FROM newest),
+{FACILITY_SQL.replace('FROM book', 'FROM (SELECT * EXCLUDE (purpose, acctno), rid AS acctno, purpose2 AS purpose FROM l8)').replace('p AS (SELECT * REPLACE', 'pf AS (SELECT * REPLACE').replace('FROM p)', 'FROM pf)')},
+lim AS (SELECT c.*, o.apprlimt, o.riskcode, CASE WHEN c.curbal < 0 THEN date_diff('day', least(e.excess_on, e.tempod_on), DATE '{REPORT_DATE}') END AS days, coalesce(openind IN ('B', 'C', 'P'), false) AS gone
+        FROM "current" c LEFT JOIN overdraft_limits o ON c.acctno = o.acctno LEFT JOIN excesses e ON c.acctno = e.acctno),
+od AS (SELECT *, coalesce(days > 89, false) OR coalesce(riskcode IN ('1', '2', '3', '4'), false) OR curbal < 0 OR product BETWEEN 30 AND 34 OR gone AS taken,
+              CASE coalesce(rtrim(user2), '') WHEN '' THEN '' WHEN 'F' THEN '10' WHEN 'B' THEN '11' WHEN 'E' THEN '17' ELSE 'X' END AS mark FROM lim
+       WHERE (NOT gone OR coalesce(date_trunc('month', closed_on) = date_trunc('month', DATE '{REPORT_DATE}'), false))
+         AND NOT (gone AND coalesce(date_trunc('month', closed_on) = date_trunc('month', opened), false)))
+SELECT 'loan' AS kind, l.acctno, l.noteno, loanid, aano, preacct, rjdate, migrated, oldbrh, gp3ind, ind, coalesce(wfn, wfa) AS wfdate, f.facility, coalesce(f.code, f.facility) AS faccode,
+       CASE WHEN coalesce(rtrim(delqcd), '') IN ('10','11','12','13','14','15','16','17','18','','09','19','20','21') THEN 'A' END AS leg,
+       CASE costctr WHEN 4048 THEN 903 WHEN 4043 THEN 906 ELSE branch END AS branch, reviewed, CAST(NULL AS INTEGER) AS nodays, CAST(NULL AS BOOLEAN) AS taken, delqcd,
+       CAST(apprlmaa AS DOUBLE) AS apprlmaa, CAST(eir_adj AS DOUBLE) AS eir_adj, CAST(cprvdolv AS DOUBLE) AS cprvdolv,
+       CAST(CASE WHEN l.loantype IN (128,130,131,132,380,381,700,705,720,725,750,752,760) THEN netproc WHEN commno > 0 AND l.loantype NOT IN (146,184,302,350,351,364,365,506,902,903,910,925,951,604,605,634,660,685)
+            THEN CASE WHEN corgamt IS NULL THEN -coalesce(avail, 0) ELSE corgamt - coalesce(avail, 0) END WHEN commno > 0 THEN cusedamt ELSE orgbal END AS DOUBLE) AS rleasamt, CAST(NULL AS DOUBLE) AS apprlimt
+FROM l8 l JOIN f ON l.rid = f.acctno
+UNION ALL SELECT 'overdraft', o.acctno, b.noteno, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+       CASE WHEN mark IN ('10', '11', '17', '') THEN 'A' END, NULL, NULL, days, taken, mark, NULL, CAST(b.eir_adj AS DOUBLE), NULL, NULL, CAST(o.apprlimt AS DOUBLE)
+FROM od o LEFT JOIN balances b ON o.acctno = b.acctno WHERE taken OR coalesce(apprlimt > 1, false)
+UNION ALL SELECT 'application', NULL, NULL, NULL, aano, preacct, rjdate, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CAST(apprlmaa AS DOUBLE), NULL, NULL, NULL, NULL
+FROM apps WHERE aano NOT IN (SELECT aano FROM numbered WHERE aano IS NOT NULL)
 """)
 def pl_assembly(spark, sf):
-    from .predicates import EXCLUDED_CUSTOMERS
-    ex = J.code_table(spark, EXCLUDED_CUSTOMERS, "custkey bigint")
-    fac = J.code_table(spark, [("AUTOMOBILE", "34111"), ("BUILDING", "34112")], "c_mktsegment string, facility string")
-    c = load(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), "c_name", "c_mktsegment")
-    return P.assembly(c, load(spark, sf, "orders"), ex, fac)
-
+    """Loans, overdrafts and open applications assembled from fourteen derived feeds (see ``plans.jobs.assembly``)."""
+    feeds = {"loans": _assembly_loans(spark, sf)}
+    for name, (table, sql) in ASSEMBLY_FEEDS.items():
+        # the same grouping in Spark's SQL, over the whole table
+        spelt = sql.replace("VARCHAR", "STRING").replace(f"FROM {table}", "FROM {t}").replace(" + CAST(", " + CAST(")
+        feeds[name] = spark.sql(spelt, t=load(spark, sf, table))
+    out = P.assembly(feeds, REPORT_DATE)
+
+    def shaped(df, kind: str):
+        df = df.withColumn("kind", F.lit(kind)).withColumnsRenamed({"balance_note": "noteno"})
+        have = set(df.columns)
+        return df.select(*[F.col(c) if c in have else F.lit(None).alias(c) for c in _ASSEMBLED], *[(F.col(c).cast("double") if c in have else F.lit(None).cast("double")).alias(c) for c in _ASSEMBLED_MONEY])
+    return shaped(out["loans"], "loan").unionByName(shaped(out["overdrafts"], "overdraft")).unionByName(shaped(out["applications"], "application"))
 
 
 @register("pl_application_register", """

@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # money is summed as decimal; overflow must raise, not wrap
     "spark.sql.ansi.enabled": "true",
+    # a chain of merges on (account), (account, note), (account, commitment) keeps one exchange on the account
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # only one period partition is replaced by a publish (K8)
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # explicit broadcasts are size-checked by the operators; keep the automatic
