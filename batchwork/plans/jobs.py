@@ -95,11 +95,27 @@ def staff_exceptions(loans: DataFrame, deductions: DataFrame, key: str, groups:
     return W.exception_report(rep, {"row_kind": "none"})
 
 
-def weekly_accumulate(week: DataFrame, prior: DataFrame, keys, measure: str, remap: F.Column, remap_key: str,
-                      row: str, col: str, col_values: list[str]) -> DataFrame:
-    """This week's sums + the month so far, retired keys remapped, crosstab."""
-    acc = A.accumulate(week, prior, keys, [measure], remap, remap_key)
-    return A.crosstab_totals(acc, row, col, measure, col_values)
+# Branches that have moved, old to new
+MOVED_BRANCHES = {119: 207, 132: 197, 182: 58, 212: 165, 213: 57, 227: 81, 229: 151, 255: 68, 223: 24, 236: 69, 246: 146, 250: 92, 200: 122}
+
+
+def weekly_accumulate(transactions: DataFrame, order, patches: DataFrame, history: DataFrame, prior: DataFrame, asof: str, col_values: list[str]) -> dict[str, DataFrame]:
+    """The week's transactions summed, the month so far, and its crosstab.
+
+    Ledger codes are written out and payment groups give the reference (F10); patches merge
+    by position on the reference and rename it (J10); the reference's own history adds the
+    agents; sums per branch, code, account, sub-account, liability and reference (A1) join
+    last period's, moved branches take their new number and all is summed again (A19).
+    """
+    group = ["branch", "glmnemo", "acctno", "subacct", "liabcode", "transref"]
+    ledger = TR.ledger_transactions(transactions, asof).withColumn("__in", F.lit(True))
+    patched = J.merge_by(patches.select("transref", "renamed"), ledger, "transref", ["renamed"], order).where("__in").drop("__in")
+    patched = patched.withColumn("transref", F.coalesce("renamed", "transref"))
+    detail = J.merge_left(patched, K.first_by(history, "transref", ["acctno"]).select("transref", "agent"), "transref")
+    week = detail.groupBy(*group).agg(F.sum("amount").alias("amount"))                                        # A1
+    moved = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in MOVED_BRANCHES.items() for x in kv]), F.col("branch").cast("int")), F.col("branch"))
+    total = A.accumulate(week, prior, group, ["amount"], moved, "branch")
+    return {"detail": detail, "accumulated": total, "crosstab": A.crosstab_totals(total, "branch", "liabcode", "amount", col_values)}
 
 
 def daily_detail(subs: DataFrame, credits: DataFrame, master: DataFrame, provisions: DataFrame, prior: DataFrame,
@@ -332,22 +348,58 @@ def application_register(apps: DataFrame, customers: DataFrame, rates: DataFrame
                       F.when(F.col("o_orderkey").isNotNull(), F.col("record")).alias("record"))
 
 
-def rollover_review(current: DataFrame, previous: DataFrame, customers: DataFrame) -> DataFrame:
-    """Newest deal per customer in the current generation whose date moved forward
-    since the previous one, with its share of the nation total, as fixed records."""
-    cur = K.first_by(current, "o_custkey", [F.col("d").desc(), F.col("o_orderkey").desc()])  # W4
-    moved = J.snapshot_compare(cur, previous, "o_custkey", "d")                                 # J20
-    j = moved.join(customers, "o_custkey", "inner")                                            # J2
-    tot = j.groupBy("c_nationkey").agg(F.sum("o_totalprice").alias("__t"))                     # A16
-    j = j.join(tot, "c_nationkey").withColumn("nation_share", F.round(F.col("o_totalprice") / F.col("__t"), 6))
-    lay = [W.Out("o_custkey", 1, 8, "zero"), W.Out("d", 9, 8, "date", fmt="ddMMyyyy"), W.Out("o_orderkey", 17, 10, "zero")]
-    return W.to_fixed(j, lay).select("o_custkey", "o_orderkey", F.col("d").alias("rollover_date"),
-                                                          "nation_share", "record")
-
-
-def collateral(items: DataFrame, values: DataFrame, code_col: str, key: str) -> DataFrame:
-    """Class code → category (broadcast class table), joined to the secured value,
-    routed to the category tables."""
-    j = RC.collateral_category(items, code_col).join(values, key, "inner")                     # D9 + J2
-    return W.route(j, {"property": F.col("collater") == "10", "vehicle": F.col("collater").isin("30", "40"),
-                       "unclassified": F.col("collater").isNull()}, exclusive=True, default="other")   # K5
+ROLLOVER = W.parse_layout("branch z3 | @5 acctno 10 | @16 noteno 10 | @27 indorg $1 | @29 effdate yyyyMMdd | @38 curbal z16")
+REVIEW = W.parse_layout("branch z3 | @5 acctno 10 | @16 lmtdesc $20 | @37 indorg $1 | @39 previewdt yyyyMMdd | @48 reviewdt yyyyMMdd | @57 lmtamt z17 | @75 report yyyyMMdd | @84 'R'")
+
+
+def rollover_review(notes: DataFrame, rate_changes: DataFrame, rates: DataFrame, customers: DataFrame, limits: DataFrame, prior_limits: DataFrame,
+                    start: str, rept: str) -> DataFrame:
+    """The two files of a period, as rows (acctno, file, record).
+
+    * rollover: notes with a balance and no delinquency, issued before the period, whose rate
+      changed in it (newest change, W4), balances in home currency at the latest rate (J13);
+    * review: limits whose review date moved forward since the prior generation (J20), once
+      per account and application, with the sum of their amounts (A16).
+    Customers add their kind where known (left, so none is lost).
+    """
+    day = F.lit(rept).cast("date")
+    changed = rate_changes.where(F.col("effdate").between(F.lit(start).cast("date"), day))
+    changed = changed.groupBy("acctno", "noteno").agg(F.max("effdate").alias("effdate"))
+    at = rates.where(F.col("reptdate") <= day).groupBy("curcode").agg(F.max_by("spotrate", "reptdate").alias("spotrate"))   # code table of currencies
+    n = K.join_on(J.merge_left(notes, at, "curcode"), changed, ["acctno", "noteno"])
+    n = n.withColumn("curbal", F.when(F.coalesce(F.col("curcode") == "MYR", F.lit(False)), F.col("curbal")).otherwise(F.round(F.col("curbal") * F.col("spotrate"), 2)))
+    n = n.where((F.coalesce(F.rtrim("delqcd"), F.lit("")) == "") & F.coalesce(F.col("issued") < F.lit(start).cast("date"), F.lit(True)) & ~F.col("curbal").eqNullSafe(F.lit(0)))
+    n = J.merge_left(n, customers, "acctno").withColumn("curbal", F.round(F.col("curbal") * 100).cast("decimal(24,0)"))
+    moved = J.snapshot_compare(limits.where("apprlimt > 1 AND lmtamt > 1"), prior_limits.where("apprlimt > 1 AND reviewdt IS NOT NULL").select("acctno", "lmtid", "reviewdt"), ["acctno", "lmtid"], "reviewdt")
+    moved = moved.withColumnRenamed("prev_reviewdt", "previewdt")
+    total = moved.groupBy("acctno", "lmtdesc").agg(F.sum("lmtamt").alias("total"))
+    once = J.merge_left(K.first_by(moved, ["acctno", "lmtdesc"], ["lmtid"]), total, ["acctno", "lmtdesc"])
+    once = J.merge_left(once, customers, "acctno").withColumns({"lmtamt": F.round(F.col("total") * 100).cast("decimal(24,0)"), "report": day})
+    return W.file_records(n, [("rollover", None, ROLLOVER)], ["acctno"]).unionByName(W.file_records(once, [("review", None, REVIEW)], ["acctno"]))
+
+
+# The collateral tables and their categories; two tables may take the same rows
+COLLATERAL_TABLES = {"property": "10", "motor_vehicle": "30", "other_vehicle": "40", "plant_machinery": "60", "concession": "50", "financial_asset": "29", "other_asset": "90",
+                     "guarantee": "70", "cms": "10", "insured_financial": "29", "insured_other": "90"}
+DATED_SINCE = "2018-07-01"
+
+
+def collateral(items: DataFrame, loans: DataFrame, overdrafts: DataFrame, trade: DataFrame, applications: DataFrame, summaries: DataFrame) -> DataFrame:
+    """The eleven collateral tables in one pass, as rows with the ``table`` they belong to.
+
+    Items that must be dated and are not go; loans find theirs by account and note, the
+    other accounts by account; what is found is stacked with a note of 0 where it has
+    none (U2), takes the application's location summary where there is one (no item is
+    lost) and its class's category and subtype (D9).  An insured sum is not below 0.
+    """
+    undated = F.coalesce(F.col("effective") >= F.lit(DATED_SINCE).cast("date"), F.lit(False)) & F.col("started").isNull()
+    items = items.where(~undated)
+    open_trade = trade.where(~F.coalesce(F.col("settled") == "S", F.lit(False)) & (F.col("acctno") > 0))
+    found = [K.join_on(loans, items, ["acctno", "noteno"]).withColumn("source", F.lit("loan")),
+             K.join_on(overdrafts, items.drop("noteno"), "acctno").withColumn("source", F.lit("overdraft")),
+             K.join_on(open_trade.drop("settled"), items.drop("noteno"), "acctno").withColumn("source", F.lit("trade")),
+             K.join_on(applications, items.drop("noteno"), "acctno").withColumn("source", F.lit("application"))]
+    every = S.concat(found).withColumn("noteno", F.coalesce("noteno", F.lit(0)))
+    every = J.merge_left(every, summaries, "aano")
+    every = RC.collateral_category(every, "code").withColumn("suminsure", F.greatest(F.col("suminsure"), F.lit(0)))
+    return W.route(every, {t: F.col("collater") == c for t, c in COLLATERAL_TABLES.items()}, exclusive=False, col="table")

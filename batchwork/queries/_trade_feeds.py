@@ -44,12 +44,15 @@ def master(spark, sf) -> DataFrame:
 
 
 def transactions(spark, sf) -> DataFrame:
-    li = load(spark, sf, "lineitem")
+    return transactions_of(load(spark, sf, "lineitem"))
+
+
+def transactions_of(li: DataFrame, *keep: str) -> DataFrame:
     amount = F.when(F.col("l_returnflag") == "R", -F.col("l_quantity")).otherwise(F.col("l_quantity")).cast("decimal(18,2)")
     group = F.when(F.col("l_orderkey") % 9 == 0, F.concat(F.lit("PG"), F.lpad((F.col("l_partkey") % 40).cast("string"), 5, "0"), F.lit("xx")))
     return li.select((F.col("l_suppkey") % 60).alias("acctno"), _ref("l_orderkey").alias("transref"), group.alias("paygrno"), _turn("l_orderkey", 1, CODES).alias("glmnemo"),
                      amount.alias("transamt"), (amount * 2).cast("decimal(18,2)").alias("tranamt_ccy"), _turn("l_linenumber", 1, ["MYR", "USD", "MYR", None]).alias("currency"),
-                     F.date_add(F.lit("1998-07-30").cast("date"), (F.col("l_partkey") % 20).cast("int")).alias("issued"))
+                     F.date_add(F.lit("1998-07-30").cast("date"), (F.col("l_partkey") % 20).cast("int")).alias("issued"), *keep)
 
 
 def daily(spark, sf) -> DataFrame:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from ..operators.joins import reconcile
 from . import load, register
 from . import _trade_feeds as TF
-from ._common import COLLATERAL_PAIRS, money_sum, msum
+from ._common import COLLATERAL_PAIRS, REPORT_DATE, money_sum, msum
 from ._loan_book import LOAN_BOOK_SQL, loan_book
+from ._records import record_sql
 from .rules import FACILITY_SQL, INDUSTRY, SECTOR_STEPS, TIED_SQL
 
 
@@ -312,33 +313,41 @@ def pl_staff_exceptions(spark, sf):
                       "level", "row_kind")
 
 
-@register("pl_weekly_accumulate", """
-WITH t AS (SELECT c.c_nationkey AS nation, l.l_returnflag AS flag, l.l_shipdate, CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amt
-           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey),
-wk AS (SELECT nation, flag, SUM(amt) AS amount FROM t WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1998-08-09' AND DATE '1998-08-15' GROUP BY 1, 2),
-pr AS (SELECT nation, flag, SUM(amt) AS amount FROM t WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1998-08-01' AND DATE '1998-08-08' GROUP BY 1, 2),
-acc AS (SELECT CAST(CASE WHEN nation = 24 THEN 23 ELSE nation END AS VARCHAR) AS nation, flag, SUM(amount) AS amount
-        FROM (SELECT * FROM wk UNION ALL SELECT * FROM pr) GROUP BY 1, 2),
-c AS (SELECT CASE WHEN GROUPING(nation) = 1 THEN 'TOTAL' ELSE nation END AS nation,
-             CASE WHEN GROUPING(flag) = 1 THEN 'TOTAL' ELSE flag END AS flag, SUM(amount) AS v FROM acc GROUP BY CUBE (nation, flag))
-SELECT nation, CAST(MAX(CASE WHEN flag = 'A' THEN v END) AS DOUBLE) AS A, CAST(MAX(CASE WHEN flag = 'N' THEN v END) AS DOUBLE) AS N,
-       CAST(MAX(CASE WHEN flag = 'R' THEN v END) AS DOUBLE) AS R, CAST(MAX(CASE WHEN flag = 'TOTAL' THEN v END) AS DOUBLE) AS TOTAL
-FROM c GROUP BY nation
+_LEDGER_SQL = """(SELECT * REPLACE (CASE WHEN code LIKE '0%' THEN code || '0' ELSE code END AS code) FROM txn
+       WHERE (code IS NULL OR (code NOT IN ('CONI','CONM','CONP','DDA','HOE','IBS') AND code NOT LIKE '9%')))"""
+_KIND_COLUMNS = ["BAI", "BAP", "FTI", "MCF", "BAS"]
+
+
+@register("pl_weekly_accumulate", f"""
+WITH {TF.FEEDS_SQL.replace("currency, CAST(DATE '1998-07-30'", "currency, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, 119 + l_suppkey % 20 AS branch, " + TF._sql('l_partkey', 1, TF.KINDS) + " AS liabcode, CAST(DATE '1998-07-30'", 1)},
+gl AS (SELECT *, row_number() OVER (PARTITION BY transref ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS j FROM {_LEDGER_SQL} WHERE issued <= DATE '{TF.END}'),
+pat AS (SELECT *, row_number() OVER (PARTITION BY transref ORDER BY renamed) AS i, count(*) OVER (PARTITION BY transref) AS n FROM
+        (SELECT lpad(CAST(p_partkey % 90 AS VARCHAR), 8, '0') AS transref, 'N' || lpad(CAST(p_partkey % 700 AS VARCHAR), 6, '0') AS renamed FROM part)),
+cnt AS (SELECT transref, count(*) AS m FROM gl GROUP BY 1),
+pos AS (SELECT g.*, p.renamed FROM gl g LEFT JOIN pat p ON g.transref = p.transref AND p.i = least(g.j, p.n)
+        UNION ALL SELECT g.*, p.renamed FROM pat p JOIN cnt c ON p.transref = c.transref AND p.i > c.m JOIN gl g ON g.transref = c.transref AND g.j = c.m),
+wk AS (SELECT branch, code AS glmnemo, acctno, l_linenumber AS subacct, liabcode, coalesce(renamed, transref) AS transref, sum(amt) AS amount FROM pos GROUP BY ALL),
+pr AS (SELECT 119 + o_custkey % 20 AS branch, '00110' AS glmnemo, o_custkey % 60 AS acctno, 1 AS subacct, {TF._sql('o_orderkey', 5, TF.KINDS)} AS liabcode, {TF._sql_ref('o_orderkey')} AS transref,
+              sum(CAST(o_totalprice AS DECIMAL(18,2))) AS amount FROM orders GROUP BY ALL),
+acc AS (SELECT CASE branch WHEN 119 THEN 207 WHEN 132 THEN 197 ELSE branch END AS branch, glmnemo, acctno, subacct, liabcode, transref, sum(amount) AS amount
+        FROM (SELECT * FROM wk UNION ALL SELECT * FROM pr) GROUP BY ALL),
+c AS (SELECT CASE WHEN GROUPING(branch) = 1 THEN 'TOTAL' ELSE CAST(branch AS VARCHAR) END AS branch, CASE WHEN GROUPING(liabcode) = 1 THEN 'TOTAL' ELSE liabcode END AS kind, SUM(amount) AS v
+      FROM acc GROUP BY CUBE (branch, liabcode))
+SELECT branch, {', '.join(f"CAST(MAX(CASE WHEN kind = '{k}' THEN v END) AS DOUBLE) AS {k}" for k in [*_KIND_COLUMNS, 'TOTAL'])} FROM c GROUP BY branch
 """)
 def pl_weekly_accumulate(spark, sf):
+    """Weekly transactions on derived feeds: normalised, patched by position, summed, accumulated, as a crosstab."""
     li = load(spark, sf, "lineitem")
-    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    c = load(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    t = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == F.col("c_custkey"))
-           .select(F.col("c_nationkey").alias("nation"), F.col("l_returnflag").alias("flag"),
-                   F.col("l_shipdate").cast("date").alias("d"), F.col("l_extendedprice").cast("decimal(18,2)").alias("amt")))
-    rd = F.lit(REPORT_DATE).cast("date")
-    wstart = CAL.report_period(rd)["week_start"]
-    wk = t.where(F.col("d").between(wstart, rd)).groupBy("nation", "flag").agg(F.sum("amt").alias("amount"))
-    pr = t.where((F.col("d") >= CAL.month_start(rd)) & (F.col("d") < wstart)).groupBy("nation", "flag").agg(F.sum("amt").alias("amount"))
-    remap = F.when(F.col("nation") == 24, F.lit(23)).otherwise(F.col("nation")).cast("string")
-    x = P.weekly_accumulate(wk, pr, ["nation", "flag"], "amount", remap, "nation", "nation", "flag", ["A", "N", "R"])
-    return x.select("nation", *[F.col(k).cast("double").alias(k) for k in ["A", "N", "R", "TOTAL"]])
+    t = TF.transactions_of(li, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    t = t.withColumns({"branch": F.lit(119) + F.col("l_suppkey") % 20, "liabcode": TF._turn("l_partkey", 1, TF.KINDS), "subacct": F.col("l_linenumber"), "amount": F.col("transamt")})
+    p = load(spark, sf, "part")
+    patches = p.select(F.lpad((F.col("p_partkey") % 90).cast("string"), 8, "0").alias("transref"), F.concat(F.lit("N"), F.lpad((F.col("p_partkey") % 700).cast("string"), 6, "0")).alias("renamed"))
+    history = p.select(F.concat(F.lit("N"), F.lpad((F.col("p_partkey") % 900).cast("string"), 6, "0")).alias("transref"), F.col("p_partkey").alias("acctno"), F.col("p_brand").alias("agent"))
+    o = load(spark, sf, "orders")
+    prior = o.groupBy((F.lit(119) + F.col("o_custkey") % 20).alias("branch"), F.lit("00110").alias("glmnemo"), (F.col("o_custkey") % 60).alias("acctno"), F.lit(1).alias("subacct"),
+                      TF._turn("o_orderkey", 5, TF.KINDS).alias("liabcode"), TF._ref("o_orderkey").alias("transref")).agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("amount"))
+    x = P.weekly_accumulate(t, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"], patches, history, prior, TF.END, _KIND_COLUMNS)["crosstab"]
+    return x.select("branch", *[F.col(k).cast("double").alias(k) for k in [*_KIND_COLUMNS, "TOTAL"]])
 
 
 # forty accounts whose sub-accounts come from the part number: a root, facilities, sub-limits, numbered limits and what hangs below
@@ -625,48 +634,73 @@ def pl_application_register(spark, sf):
 
 
 
-@register("pl_rollover_review", """
-WITH cur AS (SELECT * FROM (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS d, o_totalprice,
-               ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-             FROM orders WHERE o_orderdate < DATE '1998-09-01') WHERE rn = 1),
-prev AS (SELECT o_custkey, CAST(MAX(o_orderdate) AS DATE) AS pd FROM orders WHERE o_orderdate < DATE '1998-08-01' GROUP BY 1),
-j AS (SELECT cur.*, c.c_nationkey FROM cur JOIN prev ON cur.o_custkey = prev.o_custkey AND cur.d > prev.pd
-      JOIN customer c ON cur.o_custkey = c.c_custkey)
-SELECT o_custkey, o_orderkey, d AS rollover_date,
-       ROUND(o_totalprice / SUM(o_totalprice) OVER (PARTITION BY c_nationkey), 6) AS nation_share,
-       lpad(CAST(o_custkey AS VARCHAR), 8, '0') || strftime(d, '%d%m%Y') || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS record
-FROM j
+@register("pl_rollover_review", f"""
+WITH notes AS (SELECT o_custkey % 300 AS acctno, o_orderkey AS noteno, o_orderkey % 90 AS branch, CAST(o_totalprice AS DECIMAL(18,2)) AS bal, CASE o_orderkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'XXX' ELSE 'MYR' END AS cur,
+        CASE o_orderkey % 6 WHEN 0 THEN '10' WHEN 1 THEN ' ' END AS delqcd, CAST(o_orderdate AS DATE) AS issued FROM orders),
+chg AS (SELECT l_orderkey AS noteno, max(CAST(l_shipdate AS DATE)) AS effdate FROM lineitem WHERE l_shipdate >= DATE '1998-01-01' AND CAST(l_shipdate AS DATE) <= DATE '{REPORT_DATE}' GROUP BY 1),
+rate AS (SELECT 'USD' AS cur, CAST(max_by(round(value, 2), event_id) AS DECIMAL(18,2)) AS rate FROM events),
+cust AS (SELECT c_custkey % 300 AS acctno, CASE WHEN max(c_custkey) % 2 = 0 THEN 'I' ELSE 'O' END AS indorg FROM customer GROUP BY 1),
+n AS (SELECT n.*, c.effdate, CASE WHEN cur = 'MYR' THEN bal ELSE round(bal * r.rate, 2) END AS curbal FROM notes n LEFT JOIN rate r USING (cur) JOIN chg c ON n.noteno = c.noteno),
+lim AS (SELECT s_suppkey % 300 AS acctno, s_suppkey AS lmtid, s_suppkey % 90 AS branch, 'L' || (s_suppkey % 7) AS lmtdesc, CAST(s_acctbal AS DECIMAL(18,2)) AS lmtamt,
+        CASE WHEN s_suppkey % 9 <> 0 THEN CAST(DATE '1998-01-01' + CAST(s_suppkey % 200 AS INTEGER) AS DATE) END AS reviewdt FROM supplier),
+mv AS (SELECT *, CAST(DATE '1998-01-01' + CAST(lmtid % 170 AS INTEGER) AS DATE) AS previewdt, row_number() OVER (PARTITION BY acctno, lmtdesc ORDER BY lmtid) AS k, sum(lmtamt) OVER (PARTITION BY acctno, lmtdesc) AS total
+       FROM lim WHERE lmtamt > 1 AND reviewdt > CAST(DATE '1998-01-01' + CAST(lmtid % 170 AS INTEGER) AS DATE))
+SELECT n.acctno, 'rollover' AS file, {record_sql(P.ROLLOVER, {'branch': 'branch', 'acctno': 'n.acctno', 'noteno': 'noteno', 'indorg': 'indorg', 'effdate': 'effdate', 'curbal': '(curbal * 100)'})} AS record
+FROM n LEFT JOIN cust ON n.acctno = cust.acctno WHERE coalesce(rtrim(delqcd), '') = '' AND issued < DATE '1998-01-01' AND curbal IS DISTINCT FROM 0
+UNION ALL SELECT m.acctno, 'review', {record_sql(P.REVIEW, {'branch': 'branch', 'acctno': 'm.acctno', 'lmtdesc': 'lmtdesc', 'indorg': 'indorg', 'previewdt': 'previewdt', 'reviewdt': 'reviewdt', 'lmtamt': '(total * 100)',
+                                                         'report': f"DATE '{REPORT_DATE}'"})} FROM mv m LEFT JOIN cust ON m.acctno = cust.acctno WHERE k = 1
 """)
 def pl_rollover_review(spark, sf):
-    """Rollovers between the generations before 1998-09-01 and before 1998-08-01."""
-    o = load(spark, sf, "orders")
-    cur = (o.where(F.col("o_orderdate") < F.lit("1998-09-01").cast("timestamp_ntz"))
-            .select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("d"), "o_totalprice"))
-    prev = (o.where(F.col("o_orderdate") < F.lit("1998-08-01").cast("timestamp_ntz")).groupBy("o_custkey")
-             .agg(F.max(F.col("o_orderdate").cast("date")).alias("d")))
-    c = load(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    return P.rollover_review(cur, prev, c)
-
-
-
-@register("pl_collateral", """
-WITH t(cclassc, collater) AS (VALUES {COLL}),
-p AS (SELECT p_partkey, lpad(CAST(p_partkey % 150 AS VARCHAR), 3, '0') AS code, p_retailprice FROM part),
-v AS (SELECT l_partkey, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS value FROM lineitem GROUP BY 1),
-j AS (SELECT p.p_partkey, p.code, t.collater, CAST(v.value AS DOUBLE) AS value,
-             LEAST(GREATEST(p.p_retailprice / 1000.0, 0.95), 1.5) AS margin
-      FROM p JOIN v ON p.p_partkey = v.l_partkey LEFT JOIN t ON p.code = t.cclassc)
-SELECT p_partkey, code, CASE WHEN collater IN ('10') THEN 'property' WHEN collater IN ('30', '40') THEN 'vehicle'
-                             WHEN collater IS NULL THEN 'unclassified' ELSE 'other' END AS route,
-       value, margin FROM j
-""".replace("{COLL}", COLLATERAL_PAIRS))
+    """Rollover and review files on derived feeds (see ``plans.jobs.rollover_review``)."""
+    o, k = load(spark, sf, "orders"), F.col("o_orderkey")
+    notes = o.select((F.col("o_custkey") % 300).alias("acctno"), k.alias("noteno"), (k % 90).alias("branch"), F.col("o_totalprice").cast("decimal(18,2)").alias("curbal"),
+                     F.when(k % 4 == 0, F.lit("USD")).when(k % 4 == 1, F.lit("XXX")).otherwise(F.lit("MYR")).alias("curcode"), F.when(k % 6 == 0, F.lit("10")).when(k % 6 == 1, F.lit(" ")).alias("delqcd"),
+                     F.col("o_orderdate").cast("date").alias("issued"))
+    owner = o.select(k.alias("noteno"), (F.col("o_custkey") % 300).alias("acctno"))
+    changes = load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("noteno"), F.col("l_shipdate").cast("date").alias("effdate")).join(owner, "noteno")
+    rates = load(spark, sf, "events").select(F.lit("USD").alias("curcode"), F.date_add(F.lit("1990-01-01").cast("date"), (F.col("event_id") % 1).cast("int")).alias("reptdate"),
+                                             F.struct("event_id", F.round("value", 2).cast("decimal(18,2)").alias("v")).alias("s"))
+    rates = rates.groupBy("curcode", "reptdate").agg(F.max("s").alias("s")).select("curcode", "reptdate", F.col("s.v").alias("spotrate"))
+    customers = load(spark, sf, "customer").groupBy((F.col("c_custkey") % 300).alias("acctno")).agg(F.when(F.max("c_custkey") % 2 == 0, F.lit("I")).otherwise(F.lit("O")).alias("indorg"))
+    s = F.col("s_suppkey")
+    base = load(spark, sf, "supplier").select((s % 300).alias("acctno"), s.alias("lmtid"), (s % 90).alias("branch"), F.concat(F.lit("L"), (s % 7).cast("string")).alias("lmtdesc"),
+                                              F.col("s_acctbal").cast("decimal(18,2)").alias("lmtamt"), F.lit(2).alias("apprlimt"))
+    limits = base.withColumn("reviewdt", F.expr("CASE WHEN lmtid % 9 <> 0 THEN date_add(DATE '1998-01-01', CAST(lmtid % 200 AS INT)) END"))
+    prior = base.withColumn("reviewdt", F.expr("date_add(DATE '1998-01-01', CAST(lmtid % 170 AS INT))"))
+    return P.rollover_review(notes, changes, rates, customers, limits, prior, "1998-01-01", REPORT_DATE)
+
+
+_CLASS = "lpad(CAST(p_partkey % 150 AS VARCHAR), 3, '0')"
+
+
+@register("pl_collateral", f"""
+WITH t(cclassc, collater) AS (VALUES {COLLATERAL_PAIRS}),
+items AS (SELECT p_partkey AS item, p_partkey % 300 AS acctno, p_partkey % 97 AS noteno, {_CLASS} AS code, CAST(p_retailprice AS DECIMAL(18,2)) - 1200 AS suminsure FROM part
+          WHERE NOT (p_size > 25 AND p_partkey % 3 = 0)),
+found AS (SELECT 'loan' AS source, o_orderkey AS own, i.*, CASE WHEN o_orderkey % 2 = 0 THEN 'A' || (o_orderkey % 40) END AS aano FROM orders JOIN items i ON o_custkey % 300 = i.acctno AND o_orderkey % 97 = i.noteno
+          UNION ALL SELECT 'overdraft', c_custkey, i.* REPLACE (0 AS noteno), NULL FROM customer JOIN items i ON c_custkey = i.acctno
+          UNION ALL SELECT 'trade', s_suppkey, i.* REPLACE (0 AS noteno), NULL FROM supplier JOIN items i ON s_suppkey = i.acctno WHERE s_suppkey % 5 <> 0 AND s_suppkey > 0
+          UNION ALL SELECT 'application', n_nationkey, i.* REPLACE (0 AS noteno), 'A' || n_nationkey FROM nation JOIN items i ON n_nationkey = i.acctno),
+cat AS (SELECT f.*, t.collater, CASE WHEN f.aano IN (SELECT 'A' || r_regionkey FROM region) THEN 'town ' || f.aano END AS town,
+        CASE WHEN t.collater = '10' THEN (CASE WHEN f.code IN ('032','033','034') THEN 'LAND' WHEN f.code IN ('035','036','037') THEN 'BUILDING' WHEN f.code IN ('038','039','040') THEN 'HOUSE' ELSE 'OTHER' END)
+             WHEN t.collater = '30' THEN (CASE WHEN f.code IN ('004','005') THEN 'MOTOR' ELSE 'OTHER' END)
+             WHEN t.collater = '40' THEN (CASE WHEN f.code IN ('065','066') THEN 'HEAVY' ELSE 'OTHER' END) END AS subtype FROM found f JOIN t ON f.code = t.cclassc),
+tab("table", collater) AS (VALUES ('property', '10'), ('motor_vehicle', '30'), ('other_vehicle', '40'), ('plant_machinery', '60'), ('concession', '50'), ('financial_asset', '29'), ('other_asset', '90'),
+                                  ('guarantee', '70'), ('cms', '10'), ('insured_financial', '29'), ('insured_other', '90'))
+SELECT tab."table", source, own, item, acctno, noteno, code, aano, town, c.collater, subtype, CAST(greatest(suminsure, 0) AS DOUBLE) AS suminsure FROM cat c JOIN tab ON c.collater = tab.collater
+""")
 def pl_collateral(spark, sf):
-    """Collateral tables: class code of each part, its secured value (sum of lines),
-    routed by category, margin bounded to [0.95, 1.5]."""
-    p = load(spark, sf, "part").select("p_partkey", F.lpad((F.col("p_partkey") % 150).cast("string"), 3, "0").alias("code"),
-                                       "p_retailprice")
-    v = load(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")) \
-        .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("value"))
-    r = P.collateral(p, v, "code", "p_partkey")
-    return r.select("p_partkey", "code", "route", F.col("value").cast("double").alias("value"),
-                    C.clamp(F.col("p_retailprice") / 1000.0, 0.95, 1.5).alias("margin"))           # P13
+    """The eleven collateral tables on derived items and accounts (see ``plans.jobs.collateral``)."""
+    p = F.col("p_partkey")
+    items = load(spark, sf, "part").select(p.alias("item"), (p % 300).alias("acctno"), (p % 97).alias("noteno"), F.lpad((p % 150).cast("string"), 3, "0").alias("code"),
+                                           (F.col("p_retailprice").cast("decimal(18,2)") - 1200).alias("suminsure"), F.when(F.col("p_size") > 25, F.lit("2019-01-01")).otherwise(F.lit("2010-01-01")).cast("date").alias("effective"),
+                                           F.when(p % 3 != 0, F.lit("2011-01-01").cast("date")).alias("started"))
+    k = F.col("o_orderkey")
+    loans = load(spark, sf, "orders").select((F.col("o_custkey") % 300).alias("acctno"), (k % 97).alias("noteno"), k.alias("own"), F.when(k % 2 == 0, F.concat(F.lit("A"), (k % 40).cast("string"))).alias("aano"))
+    overdrafts = load(spark, sf, "customer").select(F.col("c_custkey").alias("acctno"), F.col("c_custkey").alias("own"))
+    trade = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("acctno"), F.col("s_suppkey").alias("own"), F.when(F.col("s_suppkey") % 5 == 0, F.lit("S")).alias("settled"))
+    n = F.col("n_nationkey").cast("long")
+    applications = load(spark, sf, "nation").select(n.alias("acctno"), n.alias("own"), F.concat(F.lit("A"), F.col("n_nationkey").cast("string")).alias("aano"))
+    summaries = load(spark, sf, "region").select(F.concat(F.lit("A"), F.col("r_regionkey").cast("string")).alias("aano"), F.concat(F.lit("town A"), F.col("r_regionkey").cast("string")).alias("town"))
+    out = P.collateral(items, loans, overdrafts, trade, applications, summaries)
+    return out.select("table", "source", "own", "item", "acctno", "noteno", "code", "aano", "town", "collater", "subtype", F.col("suminsure").cast("double").alias("suminsure"))
