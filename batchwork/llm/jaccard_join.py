@@ -13,7 +13,8 @@ each of its rare shingles that others share.  It is compared with its nearest pi
 already hang together with and where sizes, places and bounds leave a link possible.
 
 Blocked comparison.  A region with points that do not hang together with its pivot takes new
-pivots among them (64 times as many at each level) and compares them with the members inside
+pivots among them (one at first, ``PIVOTS`` times as many in each round, so that labels spread
+before many pairs are formed) and compares them with the members inside
 the triangle-inequality window: |d(x, p) - d(q, p)| <= radius.  The members are not dealt out to
 sub-regions, so a region whose members stay open is compared pair by pair.  Pairs already known to hang
 together, and pairs whose places of the shared shingle leave too few common ones, are left
@@ -47,6 +48,7 @@ PERCENT = 80
 COUNT_BITS = 24
 BUCKETS = 256
 CHUNK = 1 << 16
+PIVOTS = 4  # each round takes so many times the new pivots of the one before, one at first
 
 
 def shingle_sets(text: pa.Array, hasher: words.Hasher, k: int = SHINGLE) -> list[np.ndarray]:
@@ -226,8 +228,9 @@ def link_points(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, pe
     """Links (x, p) between ranks that connect all points within the radius."""
     radius = 1 - percent / 100
     points = write_scratch(rows.where("n > 0").groupBy("rank").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("profile").alias("profile"), F.first("prefix").alias("prefix")), "jaccard-points")
-    # one posting per set and token; a token's pivot is combined before the shuffle, then joined back
+    # one posting per set and token, dealt by token once: its pivot and the regions read the same exchange
     postings = points.select("rank", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
+    postings = postings.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "token")
     points = points.drop("prefix")
     pivots = postings.groupBy("token").agg(F.min(F.struct("rank", "n", "pos")).alias("v"), F.count(F.lit(1)).alias("m")).where("m > 1").select("token", "v")
     shared = write_scratch(postings.join(pivots, "token").where("rank != v.rank").select(
@@ -272,15 +275,15 @@ def link_points(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, pe
     level, tried = 1, None
     while True:
         # the next pivots of each region: its open members of lowest rank
-        q = members.where("open").withColumn("k", F.expr("row_number() over (partition by token order by x)")).where(F.col("k") <= 64 ** level) \
+        q = members.where("open").withColumn("k", F.expr("row_number() over (partition by token order by x)")).where(F.col("k") <= PIVOTS ** (level - 1)) \
             .select("token", F.col("x").alias("q"), F.col("pos").alias("pos_q"), F.col("n").alias("n_q"), F.col("label").alias("lq"), F.col("delta").alias("dq"))
         window = (F.col("label") != F.col("lq")) & (F.abs(F.col("delta") - F.col("dq")) <= radius + 1e-9) & enough("q")
         pairs = members.join(q, "token").where((F.col("x") != F.col("q")) & window).select(F.greatest("x", "q").alias("x"), F.least("x", "q").alias("p")).distinct()
         fresh = write_pairs(pairs if tried is None else pairs.join(tried, ["x", "p"], "left_anti"), f"jaccard-pairs-{level}")
-        links = links.union(compare(fresh, f"jaccard-level-{level}"))
-        if members.where("open").groupBy("token").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 64 ** level).isEmpty():
+        links = write_pairs(links.union(compare(fresh, f"jaccard-level-{level}")), f"jaccard-links-{level}")
+        if members.where("open").groupBy("token").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > PIVOTS ** (level - 1)).isEmpty():
             return links
-        tried = fresh if tried is None else tried.union(fresh)
+        tried = fresh if tried is None else write_pairs(tried.union(fresh), f"jaccard-tried-{level}")
         labels = _labels(links, f"jaccard-labels-{level + 1}")
         done = q.select("token", F.col("q").alias("x"), F.lit(True).alias("done"))
         members = labelled(members.drop("label").join(done, ["token", "x"], "left").withColumn("open", F.col("open") & F.col("done").isNull()).drop("done"), "x", "label")
