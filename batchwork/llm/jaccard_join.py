@@ -13,8 +13,8 @@ each of its rare shingles that others share.  It is compared with its nearest pi
 already hang together with and where sizes, places and bounds leave a link possible.
 
 Blocked comparison.  A region with points that do not hang together with its pivot takes new
-pivots among them (one at first, ``PIVOTS`` times as many in each round, so that labels spread
-before many pairs are formed) and compares them with the members inside
+pivots among them (one in each of the first ``SINGLE`` rounds, so that labels spread before many
+pairs are formed, then ``PIVOTS`` times as many in each round) and compares them with the members inside
 the triangle-inequality window: |d(x, p) - d(q, p)| <= radius.  The members are not dealt out to
 sub-regions, so a region whose members stay open is compared pair by pair.  Pairs already known to hang
 together, and pairs whose places of the shared shingle leave too few common ones, are left
@@ -45,10 +45,11 @@ from batchwork.llm.common import one_null_row, text_hash, text_or_empty, without
 
 SHINGLE = 5
 PERCENT = 80
-COUNT_BITS = 24
+COUNT_BITS = 22
 BUCKETS = 256
 CHUNK = 1 << 16
-PIVOTS = 4  # each round takes so many times the new pivots of the one before, one at first
+SINGLE = 4  # rounds with one new pivot per region, in which labels spread
+PIVOTS = 4  # after those, each round takes so many times the new pivots of the one before
 
 
 def shingle_sets(text: pa.Array, hasher: words.Hasher, k: int = SHINGLE) -> list[np.ndarray]:
@@ -275,13 +276,14 @@ def link_points(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, pe
     level, tried = 1, None
     while True:
         # the next pivots of each region: its open members of lowest rank
-        q = members.where("open").withColumn("k", F.expr("row_number() over (partition by token order by x)")).where(F.col("k") <= PIVOTS ** (level - 1)) \
+        new = PIVOTS ** max(level - SINGLE, 0)
+        q = members.where("open").withColumn("k", F.expr("row_number() over (partition by token order by x)")).where(F.col("k") <= new) \
             .select("token", F.col("x").alias("q"), F.col("pos").alias("pos_q"), F.col("n").alias("n_q"), F.col("label").alias("lq"), F.col("delta").alias("dq"))
         window = (F.col("label") != F.col("lq")) & (F.abs(F.col("delta") - F.col("dq")) <= radius + 1e-9) & enough("q")
         pairs = members.join(q, "token").where((F.col("x") != F.col("q")) & window).select(F.greatest("x", "q").alias("x"), F.least("x", "q").alias("p")).distinct()
         fresh = write_pairs(pairs if tried is None else pairs.join(tried, ["x", "p"], "left_anti"), f"jaccard-pairs-{level}")
         links = write_pairs(links.union(compare(fresh, f"jaccard-level-{level}")), f"jaccard-links-{level}")
-        if members.where("open").groupBy("token").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > PIVOTS ** (level - 1)).isEmpty():
+        if members.where("open").groupBy("token").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > new).isEmpty():
             return links
         tried = fresh if tried is None else write_pairs(tried.union(fresh), f"jaccard-tried-{level}")
         labels = _labels(links, f"jaccard-labels-{level + 1}")
