@@ -13,8 +13,9 @@ each of its rare shingles that others share.  It is compared with its nearest pi
 already hang together with and where sizes, places and bounds leave a link possible.
 
 Blocked comparison.  A region with points that do not hang together with its pivot takes new
-pivots among them (one in each of the first ``SINGLE`` rounds, so that labels spread before many
-pairs are formed, then ``PIVOTS`` times as many in each round) and compares them with the members inside
+pivots: in each of the first ``SINGLE`` rounds one, any of its members, which the open points meet,
+so that labels spread; then, among the points still open, ``PIVOTS`` times as many in each round,
+which all members meet.  A round compares the pivots with the members inside
 the triangle-inequality window: |d(x, p) - d(q, p)| <= radius.  The members are not dealt out to
 sub-regions, so a region whose members stay open is compared pair by pair.  Pairs already known to hang
 together, and pairs whose places of the shared shingle leave too few common ones, are left
@@ -265,30 +266,49 @@ def link_points(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, pe
     links = links.union(compare(open_pairs.join(nearest, ["x", "p"], "left_anti"), "jaccard-1"))
     labels = _labels(links, "jaccard-labels-1")
 
-    # regions with points that do not hang together with their pivot
-    state = labelled(labelled(shared, "x", "label"), "p", "lp").withColumn("open", F.col("label") != F.col("lp"))
-    sizes = state.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.count_if("open").alias("m_open")).where("m > 1 and m_open > 0")
-    members = write_scratch(state.join(sizes.select("token"), "token", "left_semi").drop("lp"), "jaccard-busy")
+    # regions with points that do not hang together with their pivot: open ones
+    def placed(members: DataFrame, name: str) -> DataFrame:
+        """Members with their labels of now, of those regions that still have open ones."""
+        state = labelled(labelled(members, "x", "label"), "p", "lp").withColumn("open", F.col("label") != F.col("lp"))
+        busy = state.groupBy("token").agg(F.count_if("open").alias("m_open")).where("m_open > 0")
+        return write_scratch(state.join(busy.select("token"), "token", "left_semi").drop("lp"), name)
+
+    def window(q: DataFrame, members: DataFrame) -> DataFrame:
+        """Pairs of members and new pivots that the triangle inequality and the shared shingle's places leave possible."""
+        near = (F.col("label") != F.col("lq")) & (F.abs(F.col("delta") - F.col("dq")) <= radius + 1e-9) & enough("q")
+        return members.join(q, "token").where((F.col("x") != F.col("q")) & near).select(F.greatest("x", "q").alias("x"), F.least("x", "q").alias("p")).distinct()
+
+    as_pivot = [F.col("x").alias("q"), F.col("pos").alias("pos_q"), F.col("n").alias("n_q"), F.col("label").alias("lq"), F.col("delta").alias("dq")]
+    members = placed(shared.select("token", "x", "pos", "n", "p"), "jaccard-busy")
     if members.isEmpty():
         return links
     deltas = bounded(members.select("x", "p").distinct(), points, percent).select("x", "p", "delta")
-    members = write_scratch(members.join(deltas, ["x", "p"]).select("token", "x", "pos", "n", "label", "open", "delta"), "jaccard-members-0")
-    level, tried = 1, None
-    while True:
-        # the next pivots of each region: its open members of lowest rank
-        new = PIVOTS ** max(level - SINGLE, 0)
-        q = members.where("open").withColumn("k", F.expr("row_number() over (partition by token order by x)")).where(F.col("k") <= new) \
-            .select("token", F.col("x").alias("q"), F.col("pos").alias("pos_q"), F.col("n").alias("n_q"), F.col("label").alias("lq"), F.col("delta").alias("dq"))
-        window = (F.col("label") != F.col("lq")) & (F.abs(F.col("delta") - F.col("dq")) <= radius + 1e-9) & enough("q")
-        pairs = members.join(q, "token").where((F.col("x") != F.col("q")) & window).select(F.greatest("x", "q").alias("x"), F.least("x", "q").alias("p")).distinct()
+    members = write_scratch(members.join(deltas, ["x", "p"]), "jaccard-members-0")
+    tried = None
+    for level in range(1, SINGLE + 1):
+        # one further pivot per region, any member: the open ones meet it, and labels spread
+        q = members.groupBy("token").agg(F.min_by(F.struct(*as_pivot), F.xxhash64("x", F.lit(level))).alias("v")).select("token", "v.*")
+        pairs = window(q, members.where("open"))
         fresh = write_pairs(pairs if tried is None else pairs.join(tried, ["x", "p"], "left_anti"), f"jaccard-pairs-{level}")
         links = write_pairs(links.union(compare(fresh, f"jaccard-level-{level}")), f"jaccard-links-{level}")
-        if members.where("open").groupBy("token").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > new).isEmpty():
-            return links
         tried = fresh if tried is None else write_pairs(tried.union(fresh), f"jaccard-tried-{level}")
         labels = _labels(links, f"jaccard-labels-{level + 1}")
+        members = placed(members.drop("label", "open"), f"jaccard-members-{level}")
+        if members.isEmpty():
+            return links
+    # what is still open meets every member of its regions
+    members, level = members.withColumn("left", F.col("open")), SINGLE + 1
+    while True:
+        new = PIVOTS ** (level - SINGLE)
+        q = members.where("left").withColumn("k", F.expr("row_number() over (partition by token order by x)")).where(F.col("k") <= new).select("token", *as_pivot)
+        fresh = write_pairs(window(q, members).join(tried, ["x", "p"], "left_anti"), f"jaccard-pairs-{level}")
+        links = write_pairs(links.union(compare(fresh, f"jaccard-level-{level}")), f"jaccard-links-{level}")
+        if members.where("left").groupBy("token").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > new).isEmpty():
+            return links
+        tried = write_pairs(tried.union(fresh), f"jaccard-tried-{level}")
+        labels = _labels(links, f"jaccard-labels-{level + 1}")
         done = q.select("token", F.col("q").alias("x"), F.lit(True).alias("done"))
-        members = labelled(members.drop("label").join(done, ["token", "x"], "left").withColumn("open", F.col("open") & F.col("done").isNull()).drop("done"), "x", "label")
+        members = labelled(members.drop("label").join(done, ["token", "x"], "left").withColumn("left", F.col("left") & F.col("done").isNull()).drop("done"), "x", "label")
         members = write_scratch(members, f"jaccard-members-{level}")
         level += 1
 
