@@ -46,7 +46,7 @@ from batchwork.llm.common import one_null_row, text_hash, text_or_empty, without
 
 SHINGLE = 5
 PERCENT = 80
-COUNT_BITS = 24
+COUNT_BITS = 22
 BUCKETS = 256
 CHUNK = 1 << 16
 SINGLE = 4  # rounds with one new pivot per region, in which labels spread
