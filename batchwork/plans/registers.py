@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clean import row_sum
 from ..operators import keys as K
 from ..rules import account as AC
+from ..rules import credit as RK
 from ..rules import facility as FC
 from ..rules import registers as RG
 from ..rules.compiler import compile_rules, ladder, listed, rule, within
@@ -47,11 +47,6 @@ def _numbers(df: DataFrame, names: list[str]) -> DataFrame:
     return df.withColumns({n: (F.col(n) if n in df.columns else F.lit(None)).cast("decimal(24,2)") for n in names})
 
 
-def undrawn_overdraft(limit: Column, balance: Column) -> Column:
-    """D8, overdrafts: the limit less the balance; all of it on a credit balance, nothing beyond the limit."""
-    return F.when(F.coalesce(balance > limit, limit.isNull() & balance.isNotNull()), F.lit(0)).when(F.coalesce(balance, F.lit(-1)) < 0, limit).otherwise(row_sum(limit, -balance))
-
-
 def account_rules(rept: str) -> list:
     """Loans and overdrafts in one list: the rules of each kind run in its block."""
     day = f"DATE '{rept}'"
@@ -89,7 +84,7 @@ def rated_accounts(loans: DataFrame, rept: str) -> DataFrame:
     d = compile_rules(d, account_rules(rept), blank=AC.TEXTS, types=_TYPES)
     tag, day = AC.latest_tag(F.col("facility"), F.col("akpk_status"), F.col("issued"), F.col("nurs_tag"), F.col("nurs_tagdt"), F.col("tfa_nurs_tag"), F.col("tfa_nurs_tag_dt"))
     overdraft = F.col("acty") == "OD"
-    left = F.when(overdraft, undrawn_overdraft(F.col("apprlimt"), F.col("balance"))).otherwise(F.col("undrawn"))
+    left = F.when(overdraft, RK.undrawn_overdraft(F.col("apprlimt"), F.col("balance"))).otherwise(F.col("undrawn"))
     # a limit counts once per commitment, on its first account
     d = d.withColumns({"ratag": tag, "ratag_date": day, "undrawn": F.greatest(F.coalesce(left, F.lit(0)), F.lit(0)).cast("decimal(24,2)"),
                        "apcode": F.col("loantype"), "ficode": F.when(F.col("loantype").between(800, 899) & (

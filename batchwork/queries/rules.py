@@ -343,15 +343,24 @@ def accrued_interest(spark, sf):
 
 
 @register("undrawn_amount", f"""
-WITH {_OL_SQL}
-SELECT o.o_orderkey, CAST(GREATEST(CASE WHEN o.o_totalprice IS NULL AND ol.drawn IS NULL THEN NULL
-        ELSE COALESCE(CAST(o.o_totalprice AS DECIMAL(18,2)), 0) - COALESCE(ol.drawn, 0) END, 0) AS DOUBLE) AS undrawn
-FROM orders o LEFT JOIN ol ON o.o_orderkey = ol.l_orderkey
+WITH {_OL_SQL}, {LOAN_BOOK_SQL},
+t AS (SELECT k.acctno, CASE WHEN k.lmtamt = 0 THEN NULL ELSE CAST(k.balance - 250000 AS DECIMAL(18,2)) END AS lim, ol.drawn, k.apprlimt * 50 AS od_limit, CAST(k.outstand AS DECIMAL(18,2)) AS od_balance,
+             k.cavaiamt, k.facility, coalesce(rtrim(k.flag1), '') AS flag1, k.apprlim2 FROM book k LEFT JOIN ol ON k.acctno = ol.l_orderkey),
+r AS (SELECT *, CASE WHEN lim IS NULL OR lim < 0 THEN CASE WHEN drawn > 0 THEN drawn ELSE 0 END ELSE lim END AS repaired FROM t)
+SELECT acctno, CAST(greatest(repaired - coalesce(drawn, 0), 0) AS DOUBLE) AS undrawn,
+  CAST(CASE WHEN od_balance > od_limit OR (od_limit IS NULL AND od_balance IS NOT NULL) THEN 0 WHEN od_balance IS NULL OR od_balance < 0 THEN od_limit ELSE od_limit - od_balance END AS DOUBLE) AS overdraft,
+  CAST(greatest(coalesce(CASE WHEN od_balance IS NULL OR od_balance < 0 THEN apprlim2 WHEN flag1 = 'F' THEN 0 WHEN flag1 IN ('P', 'I') THEN cavaiamt
+       WHEN facility IN (34331, 34332) THEN 0 ELSE cavaiamt END, 0), 0) AS DOUBLE) AS loan
+FROM r
 """)
 def undrawn_amount(spark, sf):
-    o = load(spark, sf, "orders").join(_order_lines(spark, sf), F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    u = C.row_sum(F.col("o_totalprice").cast("decimal(18,2)"), -F.col("drawn"))
-    return o.select("o_orderkey", F.greatest(u, F.lit(0)).cast("double").alias("undrawn"))
+    """The formulas side by side on the loan book: trade limits (repaired), overdrafts, loans."""
+    lines = _order_lines(spark, sf).select(F.col("l_orderkey").alias("acctno"), "drawn")
+    book, c = loan_book(spark, sf).join(lines, "acctno", "left"), F.col
+    limit = F.when(~F.coalesce(c("lmtamt") == 0, F.lit(False)), (c("balance") - 250000).cast("decimal(18,2)"))
+    od = c("outstand").cast("decimal(18,2)")
+    return book.select("acctno", RK.undrawn(limit, c("drawn"))[1].cast("double").alias("undrawn"), RK.undrawn_overdraft(c("apprlimt") * 50, od).cast("double").alias("overdraft"),
+                       RK.undrawn_loan(c("cavaiamt"), c("facility"), F.coalesce(F.rtrim("flag1"), F.lit("")), od, c("apprlim2")).cast("double").alias("loan"))
 
 
 @register("collateral_category", f"""

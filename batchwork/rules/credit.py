@@ -29,6 +29,20 @@ def undrawn(limit: Column, balance: Column) -> tuple[Column, Column]:
     return lim2, F.when(lt_missing(und, 0), F.lit(0)).otherwise(und)
 
 
+def undrawn_overdraft(limit: Column, balance: Column) -> Column:
+    """D8, overdrafts: the limit less the balance; all of it on a credit balance, nothing beyond the limit."""
+    beyond = F.coalesce(balance > limit, limit.isNull() & balance.isNotNull())
+    return F.when(beyond, F.lit(0)).when(lt_missing(balance, 0), limit).otherwise(row_sum(limit, -balance))
+
+
+def undrawn_loan(available: Column, facility: Column, release: Column, balance: Column, limit: Column) -> Column:
+    """D8, loans: what is still available; nothing on vehicle facilities unless partly released,
+    nothing when fully released; the limit on a credit balance; not below 0."""
+    left = F.when(facility.isin(34331, 34332), F.lit(0)).otherwise(F.coalesce(available, F.lit(0)))
+    left = F.when(release == "F", F.lit(0)).when(release.isin("P", "I"), F.coalesce(available, F.lit(0))).otherwise(left)
+    return F.greatest(F.coalesce(F.when(lt_missing(balance, 0), limit).otherwise(left), F.lit(0)), F.lit(0))
+
+
 def undrawn_by_use(limit: Column, direct: Column, indirect: Column, has_direct: Column, has_indirect: Column) -> tuple[Column, Column]:
     """H5: what is left of a limit beside its direct use, and beside its indirect use.
 
