@@ -375,3 +375,40 @@ def test_url_training_takes_each_url_once(spark, monkeypatch):
     # a sample without rows, or of one kind, fits nothing
     out = url_filter.url_filter(urls, labels=labelled, max_train=0).collect()
     assert len(out) == 20 and {(r.score, r.verdict) for r in out} == {(0.5, "block")}
+
+
+def test_non_negative_risk_equals_plain_python():
+    """Ten rows, loops instead of arrays: the same risk, the same rule, the same steps."""
+    import math
+    rnd = random.Random(4)
+    positive = [sorted(rnd.sample(range(4), rnd.randint(0, 3))) for _ in range(4)]
+    unlabelled = [sorted(rnd.sample(range(4), rnd.randint(0, 3))) for _ in range(6)]
+
+    def flat(rows):
+        return np.array([i for i, r in enumerate(rows) for _ in r], np.int64), np.array([j for r in rows for j in r], np.int64)
+    for prior in (0.2, 0.7):
+        w, b = [0.0] * 4, math.log(prior / (1 - prior))
+        m, v = [0.0] * 5, [0.0] * 5
+        for step in range(1, 31):
+            def margin(r):
+                return b + sum(w[j] for j in r)
+
+            def sigmoid(f):
+                return 1 / (1 + math.exp(-f))
+            negative = sum(math.log1p(math.exp(margin(r))) for r in unlabelled) / 6 - prior * sum(math.log1p(math.exp(margin(r))) for r in positive) / 4
+            up, down = [0.0] * 5, [0.0] * 5
+            for r in positive:
+                for j in [*r, 4]:
+                    up[j] += prior * (sigmoid(margin(r)) - 1) / 4
+                    down[j] -= prior * sigmoid(margin(r)) / 4
+            for r in unlabelled:
+                for j in [*r, 4]:
+                    down[j] += sigmoid(margin(r)) / 6
+            grad = [x + y for x, y in zip(up, down)] if negative >= 0 else [-y for y in down]
+            grad = [g + (1e-5 * w[j] if j < 4 else 0) for j, g in enumerate(grad)]
+            m = [0.9 * x + 0.1 * g for x, g in zip(m, grad)]
+            v = [0.999 * x + 0.001 * g * g for x, g in zip(v, grad)]
+            move = [0.1 * (x / (1 - 0.9 ** step)) / (math.sqrt(y / (1 - 0.999 ** step)) + 1e-8) for x, y in zip(m, v)]
+            w, b = [x - y for x, y in zip(w, move[:4])], b - move[4]
+        got_w, got_b = toxicity.nn_pu(flat(positive), 4, flat(unlabelled), 6, 4, prior, steps=30)
+        assert np.allclose(got_w, w, atol=1e-9) and abs(got_b - b) < 1e-9
