@@ -391,9 +391,10 @@ def fx_convert(spark, sf):
     rates = latest_as_of(ev.withColumnRenamed("event_type", "ccy"), "ccy", "ts", "value",
                          F.lit("2024-01-20 23:59:59.999999").cast("timestamp_ntz"))
     rates = rates.select("ccy", F.col("value").alias("rate"))
-    m = code_table(spark, FLAG_CURRENCY, "flag string, ccy string")
+    # one rate per currency: the flags' table keeps its proven size with its rates on it, so no line is dealt by currency
+    m = code_table(spark, FLAG_CURRENCY, "flag string, ccy string").join(rates, "ccy", "left")
     li = load(spark, sf, "lineitem")
-    j = li.join(m, li.l_returnflag == m.flag).join(rates, "ccy", "left")
+    j = li.join(F.broadcast(m), F.col("l_returnflag") == F.col("flag"))
     amt = F.round(F.col("l_extendedprice").cast("decimal(18,2)") * F.col("rate").cast("decimal(18,6)"), 2)
     return j.select("l_orderkey", "l_linenumber", "ccy", "rate", amt.cast("double").alias("amount_local"))
 

@@ -68,3 +68,14 @@ def test_numbering_shuffles_the_rows_once(spark):
     final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert len(re.findall(r"\+- Exchange rangepartitioning", final)) == 1 and "ReusedExchange" in final
     assert "SortMergeJoin" not in final
+
+
+def test_rates_are_looked_up_by_flag_and_no_line_is_dealt_by_currency(spark):
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # rates whose size Spark can't see, as on a large events table
+    try:
+        p = plan(spark, "fx_convert")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    above = p.split("FileScan parquet [l_orderkey")[0]
+    assert "BroadcastHashJoin [l_returnflag" in above and "Exchange" not in above
