@@ -79,3 +79,9 @@ def test_rates_are_looked_up_by_flag_and_no_line_is_dealt_by_currency(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
     above = p.split("FileScan parquet [l_orderkey")[0]
     assert "BroadcastHashJoin [l_returnflag" in above and "Exchange" not in above
+
+
+def test_collateral_classes_and_tables_are_settled_before_items_meet_accounts(spark):
+    p = plan(spark, "pl_collateral")
+    # one Generate per source below the union, none on the pairs above it
+    assert p.count("Generate explode") == 4 and p.index("Union") < p.index("Generate explode")

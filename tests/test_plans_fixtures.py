@@ -127,6 +127,17 @@ def test_collateral_rows_go_to_every_table_of_their_class(spark):
                           + [(t, "trade", 1, 0, 0.0, "LAND") for t in ("property", "cms")] + [(t, "trade", 3, 0, 3.0, "") for t in ("financial_asset", "insured_financial")])
 
 
+def test_collateral_locates_accounts_without_an_application_too(spark):
+    # a summary without a number belongs to the accounts without one (R3), whatever their source
+    items = spark.createDataFrame([(1, 1, 5, "001", 3.0, None, None)], "item int, acctno int, noteno int, code string, suminsure double, effective date, started date")
+    loans = spark.createDataFrame([(1, 5, "A1"), (1, 5, None), (1, 5, "A7")], "acctno int, noteno int, aano string")
+    trade = spark.createDataFrame([(1, None)], "acctno int, settled string")
+    summaries = spark.createDataFrame([("A1", "t1"), ("A1", "t2"), (None, "t0")], "aano string, town string")
+    out = P.collateral(items, loans, spark.createDataFrame([], "acctno int, own int"), trade, spark.createDataFrame([], "acctno int, aano string"), summaries)
+    rows = sorted((r.source, r.aano or "", r.town or "") for r in out.where("table = 'financial_asset'").collect())
+    assert rows == [("loan", "", "t0"), ("loan", "A1", "t1"), ("loan", "A1", "t2"), ("loan", "A7", ""), ("trade", "", "t0")]
+
+
 def test_layout_text_and_files_in_one_pass(spark):
     from batchwork.sinks import writers as W
     layout = W.parse_layout("id 4 | name $3 | @10 'xx' | amount z5 | @20 rate 6.2 | on ddMMyyyy | @40 on yyyy")
