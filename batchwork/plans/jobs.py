@@ -393,17 +393,14 @@ def collateral(items: DataFrame, loans: DataFrame, overdrafts: DataFrame, trade:
     lost) and its class's category and subtype (D9).  An insured sum is not below 0.
     """
     undated = F.coalesce(F.col("effective") >= F.lit(DATED_SINCE).cast("date"), F.lit(False)) & F.col("started").isNull()
-    # what depends on the item alone or on the account alone is settled before they meet: an account has
-    # many items and an item many accounts, and the pairs are by far the most rows
+    # what depends on the item alone is settled before items meet accounts: the pairs are by far the most rows
     items = items.where(~undated).withColumn("suminsure", F.greatest(F.col("suminsure"), F.lit(0)))
     items = RC.collateral_category(items, "code")
     items = W.route(items, {t: F.col("collater") == c for t, c in COLLATERAL_TABLES.items()}, exclusive=False, col="table")
-
-    def located(accounts: DataFrame) -> DataFrame:
-        return J.merge_left(accounts if "aano" in accounts.columns else accounts.withColumn("aano", F.lit(None).cast(summaries.schema["aano"].dataType)), summaries, "aano")
     open_trade = trade.where(~F.coalesce(F.col("settled") == "S", F.lit(False)) & (F.col("acctno") > 0))
-    found = [K.join_on(located(loans), items, ["acctno", "noteno"]).withColumn("source", F.lit("loan")),
-             K.join_on(located(overdrafts), items.drop("noteno"), "acctno").withColumn("source", F.lit("overdraft")),
-             K.join_on(located(open_trade.drop("settled")), items.drop("noteno"), "acctno").withColumn("source", F.lit("trade")),
-             K.join_on(located(applications), items.drop("noteno"), "acctno").withColumn("source", F.lit("application"))]
-    return S.concat(found).withColumn("noteno", F.coalesce("noteno", F.lit(0)))
+    found = [K.join_on(loans, items, ["acctno", "noteno"]).withColumn("source", F.lit("loan")),
+             K.join_on(overdrafts, items.drop("noteno"), "acctno").withColumn("source", F.lit("overdraft")),
+             K.join_on(open_trade.drop("settled"), items.drop("noteno"), "acctno").withColumn("source", F.lit("trade")),
+             K.join_on(applications, items.drop("noteno"), "acctno").withColumn("source", F.lit("application"))]
+    every = S.concat(found).withColumn("noteno", F.coalesce("noteno", F.lit(0)))
+    return J.merge_left(every, summaries, "aano")
