@@ -229,10 +229,15 @@ def file_records(df: DataFrame, files: list[tuple[str, Column | None, list[Out]]
     ``files`` lists (file, condition, layout); a file may be listed more than once.  Each
     row becomes an array of its (file, record) pairs, which is exploded: ``df`` is
     computed once, however many files there are.  Returns ``keys``, ``file`` and ``record``.
+
+    The array is a projection of its own, for which Spark generates code; as an argument of the
+    generator or of a filter on arrays it would be interpreted, field by field.
     """
     pairs = [F.struct(F.lit(name).alias("file"), record_column(layout).alias("record")) for name, _, layout in files]
-    each = F.array_compact(F.array(*[p if cond is None else F.when(cond, p) for p, (_, cond, _) in zip(pairs, files)]))
-    return df.select(*keys, F.explode(each).alias("__r")).select(*keys, "__r.file", "__r.record")
+    each = F.array(*[p if cond is None else F.when(cond, p) for p, (_, cond, _) in zip(pairs, files)])
+    # the outer form: no filter on the array's size, which would compute the records twice (the array is never empty)
+    rows = df.select(*keys, each.alias("__each")).select(*keys, F.explode_outer("__each").alias("__r"))
+    return rows.where("__r IS NOT NULL").select(*keys, "__r.file", "__r.record")
 
 
 def write_files(records: DataFrame, path: str) -> str:

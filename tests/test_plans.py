@@ -85,3 +85,15 @@ def test_collateral_classes_and_tables_are_settled_before_items_meet_accounts(sp
     p = plan(spark, "pl_collateral")
     # one Generate per source below the union, none on the pairs above it
     assert p.count("Generate explode") == 4 and p.index("Union") < p.index("Generate explode")
+
+
+def test_file_records_are_projected_not_interpreted_in_the_generator(spark):
+    from batchwork.sinks import writers as W
+    df = spark.range(3).select(F.col("id"), (F.col("id") * 2).alias("amount"))
+    out = W.file_records(df, [("all", None, W.parse_layout("id z4 | amount z5")), ("some", F.col("id") > 1, W.parse_layout("id z3")), ("none", F.col("id") > 9, W.parse_layout("id z3"))], ["id"])
+    lines = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    # the generator reads a finished array; the records are computed once, below it
+    generators = [line for line in lines if "Generate " in line]
+    assert len(generators) == 1 and "concat(" not in generators[0] and "array_compact" not in generators[0] and "filter(" not in generators[0]
+    assert sum("array(" in line for line in lines) == 1
+    assert sorted((r.id, r.file, r.record) for r in out.collect()) == [(0, "all", "000000000"), (1, "all", "000100002"), (2, "all", "000200004"), (2, "some", "002")]
