@@ -206,8 +206,8 @@ def parent_join(df: DataFrame, ref: str | None, child_id: str, parent_id: str, l
     as a left join per level would give them; missing keys match missing keys (R3).
 
     References of up to ``SMALL_GROUP`` rows are gathered and walked in one array: one
-    exchange on the reference serves all levels.  Larger ones, and a walk without a
-    reference, go by pointer jumping (``ancestor_paths``).
+    exchange on the reference serves all levels.  Larger ones, missing ones, and a walk
+    without a reference, go by pointer jumping (``ancestor_paths``).
     """
     names = [n for lv in range(1, levels + 1) for n in (f"anc{lv}_id", f"anc{lv}_parent", *[f"anc{lv}_{k}" for k in keep])]
 
@@ -227,11 +227,13 @@ def parent_join(df: DataFrame, ref: str | None, child_id: str, parent_id: str, l
         return rows.join(up, cond, "left").select(*[F.col(c) for c in rows.columns], *columns(lambda lv: F.get("__up", F.lit(lv - 1))))
     if not ref:
         return by_jumps(df)
-    sizes = df.groupBy(F.col(ref).alias("__of")).agg((F.count(F.lit(1)) <= SMALL_GROUP).alias("__small"))
-    tagged = df.join(sizes, F.col(ref).eqNullSafe(F.col("__of"))).drop("__of")
+    # plain equality, so that the rows dealt by reference for this join are dealt for the arrays too; a missing reference counts as large
+    known = df.where(F.col(ref).isNotNull())
+    small = known.groupBy(F.col(ref).alias("__of")).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") <= SMALL_GROUP).select("__of")
+    few = known.join(small, F.col(ref) == F.col("__of")).drop("__of")
     entry = F.struct(F.col(child_id).alias("node"), F.col(parent_id).alias("parent"), *[F.col(k).alias(k) for k in keep])
-    groups = tagged.where("__small").groupBy(ref).agg(F.collect_list(F.struct(F.struct(*[F.col(c) for c in df.columns]).alias("row"), entry.alias("self"))).alias("__rows"))
-    nothing = F.lit(None).cast(tagged.select(entry.alias("e")).schema["e"].dataType)
+    groups = few.groupBy(ref).agg(F.collect_list(F.struct(F.struct(*[F.col(c) for c in df.columns]).alias("row"), entry.alias("self"))).alias("__rows"))
+    nothing = F.lit(None).cast(df.select(entry.alias("e")).schema["e"].dataType)
 
     def climb(paths: Column, lv: int) -> Column:
         def step(p: Column) -> Column:
@@ -245,7 +247,7 @@ def parent_join(df: DataFrame, ref: str | None, child_id: str, parent_id: str, l
     for lv in range(1, levels + 1):
         paths = climb(paths, lv)
     walked = groups.select(F.explode(paths).alias("__p")).select("__p.row.*", *columns(lambda lv: F.col(f"__p.a{lv}")))
-    rest = by_jumps(tagged.where(~F.col("__small")).drop("__small"))
+    rest = by_jumps(known.join(small, F.col(ref) == F.col("__of"), "left_anti").unionByName(df.where(F.col(ref).isNull())))
     return walked.select(*df.columns, *names).unionByName(rest.select(*df.columns, *names))
 
 

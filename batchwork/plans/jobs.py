@@ -135,14 +135,15 @@ def daily_detail(subs: DataFrame, credits: DataFrame, master: DataFrame, provisi
     rows = K.join_on(rows, credits, ["ref", "sub", "maturity"], "full").where(named)
     rows = K.join_on(rows, master, "account", "full").where(named)
     rows = K.join_on(rows, provisions, ["ref2", "sub"], "full").where(named)
-    rows = J.merge_left(rows, prior, "ref")
+    # the reference is never missing here: by plain equality the rows are dealt by reference once, for this join and both windows
+    rows = rows.join(prior, "ref", "left")
     rows = K.first_by(rows, ["ref", "account", "sub", "outstanding"], [])
     rd = F.lit(rept_date).cast("date")
     receivable = RK.interest_receivable(F.col("principal"), F.col("discount"), F.col("discount_foreign"), F.col("interest_ytd"), F.col("rate"),
                                         F.col("product"), F.lit(rept_date[8:] == "01"), C.same_month("issued", rd), F.col("prior_receivable"))
     rows = rows.withColumn("receivable", receivable).withColumn("outstanding", C.row_sum("outstanding", "receivable"))
-    repeated = K.join_on(rows, K.duplicate_keys(rows, "ref").select("ref", F.lit(True).alias("repeats")), "ref", "left")
-    kept = repeated.where(F.col("repeats").isNull() | ((F.coalesce("limit_amount", F.lit(0)) != 0) & (F.coalesce("outstanding", F.lit(0)) != 0)))
+    repeated = rows.withColumn("repeats", F.count(F.lit(1)).over(Window.partitionBy("ref")))
+    kept = repeated.where((F.col("repeats") == 1) | ((F.coalesce("limit_amount", F.lit(0)) != 0) & (F.coalesce("outstanding", F.lit(0)) != 0)))
     return J.merge_left(kept.drop("repeats"), labels, "product")
 
 

@@ -97,3 +97,21 @@ def test_file_records_are_projected_not_interpreted_in_the_generator(spark):
     assert len(generators) == 1 and "concat(" not in generators[0] and "array_compact" not in generators[0] and "filter(" not in generators[0]
     assert sum("array(" in line for line in lines) == 1
     assert sorted((r.id, r.file, r.record) for r in out.collect()) == [(0, "all", "000000000"), (1, "all", "000100002"), (2, "all", "000200004"), (2, "some", "002")]
+
+
+def test_rows_of_a_reference_are_dealt_once_for_their_parent_arrays(spark):
+    from batchwork.operators.joins import parent_join
+    rows = spark.createDataFrame([("a", 1, None), ("a", 2, 1), ("b", 2, 1), (None, 1, None), (None, 2, 1)], "ref string, id int, parent int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = parent_join(rows, "ref", "id", "parent", 2, [])
+        assert sorted(map(str, out.select("ref", "id", "anc1_id").collect())) == sorted(map(str, spark.createDataFrame(
+            [("a", 1, None), ("a", 2, 1), ("b", 2, None), (None, 1, None), (None, 2, 1)], "ref string, id int, anc1_id int").collect()))
+        p = parent_join(rows, "ref", "id", "parent", 2, [])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    arrays = p.split("collect_list")
+    assert len(arrays) > 2
+    # no exchange between the partial and the final gathering
+    assert "Exchange" not in arrays[1].split("functions=[partial_")[0]
