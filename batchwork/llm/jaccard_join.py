@@ -12,14 +12,15 @@ each of its rare shingles that others share.  It is compared with its nearest pi
 (that of most of its regions), then replicated to the other regions whose pivots it does not
 already hang together with and where sizes, places and bounds leave a link possible.
 
-Blocked comparison.  A region with points that do not hang together with its pivot takes new
+Blocked comparison.  A region whose members (all but its pivot) do not all hang together takes new
 pivots: in each of the first ``SINGLE`` rounds one, any of its members, which the open points meet,
 so that labels spread; then, among the points still open, ``PIVOTS`` times as many in each round,
-which all members meet.  A round compares the pivots with the members inside
+which all members meet.  A region whose members have become one, or whose open points have all
+met the others, drops out.  A round compares the pivots with the members inside
 the triangle-inequality window: |d(x, p) - d(q, p)| <= radius.  The members are not dealt out to
-sub-regions, so a region whose members stay open is compared pair by pair.  Pairs already known to hang
-together, and pairs whose places of the shared shingle leave too few common ones, are left
-out.  Every pair that could be within the radius is either
+sub-regions, so a region whose members stay open is met pair by pair; pairs already known to hang
+together, pairs whose places of the shared shingle leave too few common ones, and pairs whose
+*sketches* (256 bits: is the bucket's count odd?) differ in more bits than linked sets can, go no further.  Every pair that could be within the radius is either
 compared in full or already joined through a pivot, so the components are exact.
 
 Rarity comes from a table of hashed counts of fixed size, filled from every shingle of every
@@ -38,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from batchwork.llm import words
@@ -83,6 +84,11 @@ def profile(s: np.ndarray) -> bytes:
     return np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=BUCKETS), 255).astype(np.uint8).tobytes()
 
 
+def sketch(counts: bytes) -> list[int]:
+    """Which of a profile's counts are odd, as four 64-bit numbers: two sets differ by a shingle at least per differing bit."""
+    return np.packbits(np.frombuffer(counts, np.uint8) & 1).view(np.int64).tolist()
+
+
 def digest_of(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
@@ -134,7 +140,7 @@ def rarity_table(texts: DataFrame, bits: int = COUNT_BITS, shingle: int = SHINGL
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str, percent: int, bits: int, shingle: int) -> DataFrame:
-    """id, text_hash, n (set size), digest, rank, prefix (rarest shingles) and profile of every row."""
+    """id, text_hash, n (set size), digest, rank, prefix (rarest shingles), profile and sketch of every row."""
     texts = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("text_hash"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     order = docs.sparkSession.sparkContext.broadcast(rarity_table(texts.select("text"), bits, shingle))  # 2**bits numbers
 
@@ -143,17 +149,20 @@ def describe(docs: DataFrame, id_col: str, text_col: str, percent: int, bits: in
         for batch in batches:
             for b in words.row_blocks(batch, "text"):
                 sets = shingle_sets(b.column("text"), hasher, shingle)
-                prefixes, digests = [], [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                prefixes, profiles, digests = [], [profile(s) for s in sets], [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 for s in sets:
                     by = np.lexsort((s, counts[(s >> np.uint64(64 - bits)).astype(np.int64)]))
                     prefixes.append(s[by[:prefix_size(len(s), percent)]].view(np.int64) if len(s) else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id"), b.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
                      pa.array([rank_of(d) for d in digests], pa.int64()),
-                     pa.array(prefixes, pa.list_(pa.int64())), pa.array([profile(s) for s in sets], pa.binary())],
-                    names=["id", "text_hash", "n", "digest", "rank", "prefix", "profile"])
+                     pa.array(prefixes, pa.list_(pa.int64())), pa.array(profiles, pa.binary()),
+                     pa.array([sketch(c) for c in profiles], pa.list_(pa.int64()))],
+                    names=["id", "text_hash", "n", "digest", "rank", "prefix", "profile", "sketch"])
     id_type = texts.schema["id"].dataType.simpleString()
-    return write_scratch(texts.mapInArrow(run, f"id {id_type}, text_hash long, n long, digest binary, rank long, prefix array<long>, profile binary"), "jaccard-rows")
+    out = write_scratch(texts.mapInArrow(run, f"id {id_type}, text_hash long, n long, digest binary, rank long, prefix array<long>, profile binary, sketch array<long>"), "jaccard-rows")
+    order.destroy()  # the rows are written
+    return out
 
 
 def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -193,21 +202,30 @@ def linked(pairs: DataFrame, points: DataFrame, docs: DataFrame, id_col: str, te
     return both.select("x", "p", common.alias("c"), (F.size("sx") + F.size("sp") - common).alias("u")).where(f"100 * c >= {percent} * u").select("x", "p")
 
 
+def _stars(now: DataFrame) -> DataFrame:
+    """One round of large and small stars over edges (a, b) with a > b: all still hang together, most nearer to their smallest node."""
+    both = now.union(now.select("b", "a"))
+    least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("m"))
+    large = both.join(least, both["a"] == least["u"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+    least = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+    small = large.join(least, large["a"] == least["u"])
+    return small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("u", "m")).where("a != b").distinct()
+
+
+def _downwards(edges: DataFrame) -> DataFrame:
+    return edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
+
+
 def components(edges: DataFrame, name: str = "components", most_rounds: int = 99) -> DataFrame:
     """node, root for every node of the undirected edges (a, b); root is the smallest node.
 
     Alternating large and small stars; each round is written to the shared folder.  If the
     last of ``most_rounds`` rounds still changed something, the components would be split: an error.
     """
-    now = write_pairs(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), f"{name}-0")
+    now = write_pairs(_downwards(edges), f"{name}-0")
     seen = None
     for step in range(1, most_rounds + 1):
-        both = now.union(now.select("b", "a"))
-        least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, both["a"] == least["u"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        least = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
-        small = large.join(least, large["a"] == least["u"])
-        now = write_pairs(small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("u", "m")).where("a != b").distinct(), f"{name}-{step}")
+        now = write_pairs(_stars(now), f"{name}-{step}")
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == seen:
             break
@@ -217,19 +235,22 @@ def components(edges: DataFrame, name: str = "components", most_rounds: int = 99
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def _gathered(links: DataFrame, name: str, before: DataFrame | None = None) -> DataFrame:
+    """Links (x, p) that stand for ``links`` and those of ``before``: both together, drawn towards their smallest points by one round of stars."""
+    edges = links if before is None else links.union(before)
+    now = write_pairs(_stars(_downwards(edges.select(F.col("x").alias("a"), F.col("p").alias("b")))), name)
+    return now.select(F.col("a").alias("x"), F.col("b").alias("p"))
+
+
 def _labels(links: DataFrame, name: str) -> DataFrame:
-    """x, label: a point that x hangs together with (a chain of links, followed four steps)."""
-    up = links.groupBy("x").agg(F.min("p").alias("label"))
-    for _ in range(2):
-        on = up.select(F.col("x").alias("label"), F.col("label").alias("next"))
-        up = up.join(on, "label", "left").select("x", F.coalesce("next", "label").alias("label"))
-    return write_pairs(up, name)
+    """x, label: the smallest point that x is linked with."""
+    return write_pairs(links.groupBy("x").agg(F.min("p").alias("label")), name)
 
 
 def link_points(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int, shingle: int) -> DataFrame:
     """Links (x, p) between ranks that connect all points within the radius."""
     radius = 1 - percent / 100
-    points = write_scratch(rows.where("n > 0").groupBy("rank").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("profile").alias("profile"), F.first("prefix").alias("prefix")), "jaccard-points")
+    points = write_scratch(rows.where("n > 0").groupBy("rank").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("profile").alias("profile"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix")), "jaccard-points")
     # one posting per set and token, dealt by token once: its pivot and the regions read the same exchange
     postings = points.select("rank", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
     postings = postings.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "token")
@@ -254,7 +275,7 @@ def link_points(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, pe
     # each point with its nearest pivot: the one of most of its regions
     nearest = shared.groupBy("x", "p").agg(F.count(F.lit(1)).alias("k")).groupBy("x").agg(F.max_by("p", F.struct("k", "p")).alias("p"))
     nearest = write_pairs(nearest, "jaccard-nearest")
-    links = compare(nearest, "jaccard-0")
+    links = _gathered(compare(nearest, "jaccard-0"), "jaccard-stars-0")
     labels = _labels(links, "jaccard-labels-0")
 
     def labelled(df: DataFrame, point: str, name: str) -> DataFrame:
@@ -263,35 +284,44 @@ def link_points(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, pe
 
     # the boundary: pivots of other regions that it does not yet hang together with
     open_pairs = labelled(labelled(shared.where(enough("p")).select("x", "p").distinct(), "x", "lx"), "p", "lp").where("lx != lp").select("x", "p")
-    links = links.union(compare(open_pairs.join(nearest, ["x", "p"], "left_anti"), "jaccard-1"))
+    links = _gathered(compare(open_pairs.join(nearest, ["x", "p"], "left_anti"), "jaccard-1"), "jaccard-stars-1", links)
     labels = _labels(links, "jaccard-labels-1")
 
-    # regions with points that do not hang together with their pivot: open ones
+    # every member has met its pivot; what is left is pairs of members that do not hang together
     def placed(members: DataFrame, name: str) -> DataFrame:
-        """Members with their labels of now, of those regions that still have open ones."""
+        """Members with their labels of now, of those regions whose members have several."""
         state = labelled(labelled(members, "x", "label"), "p", "lp").withColumn("open", F.col("label") != F.col("lp"))
-        busy = state.groupBy("token").agg(F.count_if("open").alias("m_open")).where("m_open > 0")
-        return write_scratch(state.join(busy.select("token"), "token", "left_semi").drop("lp"), name)
+        return apart(state.drop("lp"), name)
+
+    def apart(state: DataFrame, name: str) -> DataFrame:
+        busy = state.groupBy("token").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least != most")
+        return write_scratch(state.join(busy.select("token"), "token", "left_semi"), name)
 
     def window(q: DataFrame, members: DataFrame) -> DataFrame:
-        """Pairs of members and new pivots that the triangle inequality and the shared shingle's places leave possible."""
+        """Pairs of members and new pivots that the triangle inequality, the shared shingle's places and the sketches leave possible."""
+        odd = sum((F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("sketch_q", F.lit(i)))) for i in range(4)), F.lit(0))
+        common = F.floor((F.col("n") + F.col("n_q") - odd) / 2)  # at most
         near = (F.col("label") != F.col("lq")) & (F.abs(F.col("delta") - F.col("dq")) <= radius + 1e-9) & enough("q")
+        near = near & (100 * common >= percent * (F.col("n") + F.col("n_q") - common))
         return members.join(q, "token").where((F.col("x") != F.col("q")) & near).select(F.greatest("x", "q").alias("x"), F.least("x", "q").alias("p")).distinct()
 
-    as_pivot = [F.col("x").alias("q"), F.col("pos").alias("pos_q"), F.col("n").alias("n_q"), F.col("label").alias("lq"), F.col("delta").alias("dq")]
+    as_pivot = [F.col("x").alias("q"), F.col("pos").alias("pos_q"), F.col("n").alias("n_q"), F.col("label").alias("lq"), F.col("delta").alias("dq"), F.col("sketch").alias("sketch_q")]
     members = placed(shared.select("token", "x", "pos", "n", "p"), "jaccard-busy")
     if members.isEmpty():
         return links
     deltas = bounded(members.select("x", "p").distinct(), points, percent).select("x", "p", "delta")
-    members = write_scratch(members.join(deltas, ["x", "p"]), "jaccard-members-0")
+    members = write_scratch(members.join(deltas, ["x", "p"]).join(points.select(F.col("rank").alias("x"), "sketch"), "x"), "jaccard-members-0")
     tried = None
     for level in range(1, SINGLE + 1):
         # one further pivot per region, any member: the open ones meet it, and labels spread
         q = members.groupBy("token").agg(F.min_by(F.struct(*as_pivot), F.xxhash64("x", F.lit(level))).alias("v")).select("token", "v.*")
         pairs = window(q, members.where("open"))
         fresh = write_pairs(pairs if tried is None else pairs.join(tried, ["x", "p"], "left_anti"), f"jaccard-pairs-{level}")
-        links = write_pairs(links.union(compare(fresh, f"jaccard-level-{level}")), f"jaccard-links-{level}")
-        tried = fresh if tried is None else write_pairs(tried.union(fresh), f"jaccard-tried-{level}")
+        tried = fresh if tried is None else tried.union(fresh)
+        found = compare(fresh, f"jaccard-level-{level}")
+        if found.isEmpty():
+            continue
+        links = _gathered(found, f"jaccard-stars-{level + 1}", links)
         labels = _labels(links, f"jaccard-labels-{level + 1}")
         members = placed(members.drop("label", "open"), f"jaccard-members-{level}")
         if members.isEmpty():
@@ -300,16 +330,19 @@ def link_points(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, pe
     members, level = members.withColumn("left", F.col("open")), SINGLE + 1
     while True:
         new = PIVOTS ** (level - SINGLE)
-        q = members.where("left").withColumn("k", F.expr("row_number() over (partition by token order by x)")).where(F.col("k") <= new).select("token", *as_pivot)
-        fresh = write_pairs(window(q, members).join(tried, ["x", "p"], "left_anti"), f"jaccard-pairs-{level}")
-        links = write_pairs(links.union(compare(fresh, f"jaccard-level-{level}")), f"jaccard-links-{level}")
-        if members.where("left").groupBy("token").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > new).isEmpty():
+        by = Window.partitionBy("token").orderBy(F.col("left").desc(), "x")
+        members = members.withColumn("k", F.row_number().over(by)).withColumn("now", F.col("left") & (F.col("k") <= new)).drop("k")
+        members = write_scratch(members.withColumn("left", F.col("left") & ~F.col("now")), f"jaccard-turn-{level}")
+        fresh = write_pairs(window(members.where("now").select("token", *as_pivot), members).join(tried, ["x", "p"], "left_anti"), f"jaccard-pairs-{level}")
+        tried = tried.union(fresh)
+        found = compare(fresh, f"jaccard-level-{level}")
+        if not found.isEmpty():
+            links = _gathered(found, f"jaccard-stars-{level + 1}", links)
+            labels = _labels(links, f"jaccard-labels-{level + 1}")
+        goes_on = members.groupBy("token").agg(F.bool_or("left").alias("goes_on")).where("goes_on").select("token")
+        members = apart(labelled(members.drop("label", "now").join(goes_on, "token", "left_semi"), "x", "label"), f"jaccard-members-{level}")
+        if members.isEmpty():
             return links
-        tried = write_pairs(tried.union(fresh), f"jaccard-tried-{level}")
-        labels = _labels(links, f"jaccard-labels-{level + 1}")
-        done = q.select("token", F.col("q").alias("x"), F.lit(True).alias("done"))
-        members = labelled(members.drop("label").join(done, ["token", "x"], "left").withColumn("left", F.col("left") & F.col("done").isNull()).drop("done"), "x", "label")
-        members = write_scratch(members, f"jaccard-members-{level}")
         level += 1
 
 

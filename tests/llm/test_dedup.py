@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -218,3 +219,25 @@ def test_empty_tables(spark):
     nothing = table(spark, [(1, None), (2, ""), (3, " ")])
     assert sorted(map(tuple, jaccard_join.jaccard_components(nothing).select("id", "n_shingles", "component").collect())) == [(1, 0, 1), (2, 0, 2), (3, 0, 3)]
     assert suffix_dedup.repeated_passages(nothing).count() == 0
+
+
+def test_sketch_never_counts_more_than_the_sets_differ():
+    rnd = random.Random(3)
+    for size in (1, 20, 400, 30_000):
+        a = np.array([rnd.getrandbits(64) for _ in range(size)], np.uint64)
+        b = np.concatenate([a[size // 7:], np.array([rnd.getrandbits(64) for _ in range(size // 9)], np.uint64)])
+        one, two = (jaccard_join.sketch(jaccard_join.profile(np.unique(s))) for s in (a, b))
+        assert sum(bin((x ^ y) & (1 << 64) - 1).count("1") for x, y in zip(one, two)) <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
+def test_regions_whose_members_hang_together_need_no_further_rounds(spark, monkeypatch):
+    """Pairs that share a rare shingle by chance: one member beside the pivot has nobody left to meet."""
+    rnd, written = random.Random(11), []
+    rows = []
+    for i in range(0, 40, 2):
+        shared = [f"s{i}_{k}" for k in range(5)]
+        rows += [(i + j, " ".join(shared + [f"t{rnd.random()}" for _ in range(30)])) for j in (0, 1)]
+    monkeypatch.setattr(jaccard_join, "write_scratch", lambda df, name, write=jaccard_join.write_scratch: written.append(name) or write(df, name))
+    got = jaccard_join.jaccard_components(table(spark, rows), count_bits=16)
+    assert sorted(map(tuple, got.select("id", "n_shingles", "component").collect()), key=str) == brute_components(rows)
+    assert not [n for n in written if n.startswith("jaccard-members")]
