@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+# else shuffle files stay until the driver happens to collect its garbage
+DROP_SHUFFLED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,11 +20,19 @@ def text_or_empty(c: str | Column) -> Column:
 
 
 def write_scratch(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the shared checkpoint folder and read it again (cuts lineage)."""
+    """Write ``df`` under the shared checkpoint folder and read it again (cuts lineage).
+
+    What the write itself has shuffled is dropped when it ends: nothing reads it again.
+    """
     from batchwork.session import scratch_path
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(DROP_SHUFFLED, None)
+    spark.conf.set(DROP_SHUFFLED, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(DROP_SHUFFLED) if before is None else spark.conf.set(DROP_SHUFFLED, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

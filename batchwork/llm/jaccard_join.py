@@ -206,7 +206,7 @@ def _stars(now: DataFrame) -> DataFrame:
     """One round of large and small stars over edges (a, b) with a > b: all still hang together, most nearer to their smallest node."""
     both = now.union(now.select("b", "a"))
     least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = both.join(least, both["a"] == least["u"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+    large = both.join(least, both["a"] == least["u"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")  # the last distinct holds
     least = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
     small = large.join(least, large["a"] == least["u"])
     return small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("u", "m")).where("a != b").distinct()
@@ -238,7 +238,9 @@ def components(edges: DataFrame, name: str = "components", most_rounds: int = 99
 def _gathered(links: DataFrame, name: str, before: DataFrame | None = None) -> DataFrame:
     """Links (x, p) that stand for ``links`` and those of ``before``: both together, drawn towards their smallest points by one round of stars."""
     edges = links if before is None else links.union(before)
-    now = write_pairs(_stars(_downwards(edges.select(F.col("x").alias("a"), F.col("p").alias("b")))), name)
+    # written first: the round reads it four times, which else takes as many times all shuffle partitions in tasks
+    now = write_pairs(_downwards(edges.select(F.col("x").alias("a"), F.col("p").alias("b"))), f"{name}-links")
+    now = write_pairs(_stars(now), name)
     return now.select(F.col("a").alias("x"), F.col("b").alias("p"))
 
 

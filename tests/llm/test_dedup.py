@@ -1,14 +1,16 @@
 """Exact, near and passage deduplication against brute force."""
 
 import hashlib
+import os
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from batchwork.llm import exact_dedup, jaccard_join, suffix_dedup
+from batchwork.llm import common, exact_dedup, jaccard_join, suffix_dedup
 
 SCHEMA = "doc_id long, text string, digest string, n long, id string, rank int"
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -241,3 +243,21 @@ def test_regions_whose_members_hang_together_need_no_further_rounds(spark, monke
     got = jaccard_join.jaccard_components(table(spark, rows), count_bits=16)
     assert sorted(map(tuple, got.select("id", "n_shingles", "component").collect()), key=str) == brute_components(rows)
     assert not [n for n in written if n.startswith("jaccard-members")]
+
+
+def test_scratch_writes_leave_no_shuffle_files(spark):
+    """A job of many rounds would else hold every round's shuffle files until the driver collects garbage."""
+    folder = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {x for d in folder.localDirs() for _, _, names in os.walk(d.getPath()) for x in names if x.startswith("shuffle_")}
+    a = spark.range(2000).withColumn("k", F.col("id") % 97)
+    joined = a.join(a.groupBy("k").agg(F.sum("id").alias("s")).hint("merge"), "k").repartition(3, "s")
+    setting, before = spark.conf.get(common.DROP_SHUFFLED), files()
+    written = common.write_scratch(joined, "left-over")
+    end = time.time() + 10  # executors drop them a moment later
+    while time.time() < end and files() - before:
+        time.sleep(0.2)
+    assert files() - before == set()
+    assert written.count() == 2000
+    assert spark.conf.get(common.DROP_SHUFFLED) == setting
