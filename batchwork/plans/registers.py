@@ -14,7 +14,7 @@ from ..rules import account as AC
 from ..rules import credit as RK
 from ..rules import facility as FC
 from ..rules import registers as RG
-from ..rules.compiler import compile_rules, ladder, listed, rule, within
+from ..rules.compiler import ASIDE, compile_rules, ladder, listed, rule, set_aside, within
 from ..sinks import writers as W
 from ..sources.readers import conform
 
@@ -75,13 +75,21 @@ _TYPES = {**AC.STATUS_TYPES, "typeprc": "string", "specialf": "string", "fconcep
           "totiis": "decimal(24,2)", "balance": "decimal(24,2)"}
 
 
+# what ``rated_accounts`` adds after the rules
+DERIVED = ["ratag", "ratag_date", "undrawn", "apcode", "ficode", "report", "acctind", "exceeded", "mtd_repaid_amt", "limtcurr", "facility", "faccode"]
+
+
 def rated_accounts(loans: DataFrame, rept: str) -> DataFrame:
     """L15, first half: amounts in home currency, facility codes, status, pricing, schemes, tags, undrawn amounts, minor units."""
-    home = F.coalesce(F.col("curcode"), F.lit("")).isin(HOME_CURRENCY, "")
-    d = _numbers(with_missing(loans, ACCOUNT_COLUMNS), [*MINOR, "balance", "odintacc", "ccris_instlamt", "apprlimt"])
-    d = d.withColumns({c: F.when(home, F.col(c)).otherwise(F.round(F.col(c) * F.col("forate").cast("decimal(18,6)"), 2)) for c in ("curbal", "feeamt", "ccris_instlamt")})
-    d = FC.facility_codes(d.drop("facility", "faccode"))
-    d = compile_rules(d, account_rules(rept), blank=AC.TEXTS, types=_TYPES)
+    d = _numbers(with_missing(loans, ACCOUNT_COLUMNS), [*MINOR, "balance", "odintacc", "ccris_instlamt", "apprlimt"]).drop("facility", "faccode")
+    columns = [*d.columns, "facility", "faccode"]
+    # the wide row passes the lookups and the levels of the rules as one value
+    converted = ["curbal", "feeamt", "ccris_instlamt"]
+    d = set_aside(d, keep=["loantype", "prodcd", "purpose", *converted], blank=AC.TEXTS)
+    home = F.coalesce(F.col(f"{ASIDE}.curcode"), F.lit("")).isin(HOME_CURRENCY, "")
+    d = d.withColumns({c: F.when(home, F.col(c)).otherwise(F.round(F.col(c) * F.col(f"{ASIDE}.forate").cast("decimal(18,6)"), 2)) for c in converted})
+    d = FC.facility_codes(d)
+    d = compile_rules(d, account_rules(rept), types=_TYPES, columns=columns)
     tag, day = AC.latest_tag(F.col("facility"), F.col("akpk_status"), F.col("issued"), F.col("nurs_tag"), F.col("nurs_tagdt"), F.col("tfa_nurs_tag"), F.col("tfa_nurs_tag_dt"))
     overdraft = F.col("acty") == "OD"
     left = F.when(overdraft, RK.undrawn_overdraft(F.col("apprlimt"), F.col("balance"))).otherwise(F.col("undrawn"))
@@ -91,7 +99,8 @@ def rated_accounts(loans: DataFrame, rept: str) -> DataFrame:
                            F.col("acctno").between(2000000000, 2999999999) | F.col("acctno").between(8000000000, 8999999999)), F.lit(904)).otherwise(F.col("branch")),
                        "report": F.lit(rept).cast("date"), "acctind": F.when(overdraft, F.lit("D")).otherwise(F.lit("L")), "exceeded": F.col("exoddt"),
                        "mtd_repaid_amt": F.coalesce(F.col("repaid"), F.lit(0)), "limtcurr": F.coalesce(F.nullif("apprlimt", F.lit(0)), F.col("netproc"))})
-    return d.withColumns({c: F.round(F.col(c) * 100).cast("decimal(24,0)") for c in MINOR})
+    # two decimals at most: nothing is left to round
+    return d.withColumns({c: (F.col(c) * 100).cast("decimal(24,0)") for c in MINOR})
 
 
 def loan_register(loans: DataFrame, prior_overdrafts: DataFrame, rept: str) -> DataFrame:
@@ -104,8 +113,15 @@ def loan_register(loans: DataFrame, prior_overdrafts: DataFrame, rept: str) -> D
     * overdrafts of the prior period that are gone: settled (J7);
     * per branch, account and application: the account file, with the sum of limits.
     """
-    # the rated accounts are written once: three grains of files read them
-    d = W.scratch_table(rated_accounts(loans, rept), "rated-accounts")
+    rated = rated_accounts(loans, rept)
+    group = ["branch", "acctno", "aano"]
+    by_account = {*group, "commno", "noteno", "acty", "ind", "forate", "limtcurr"}
+    by_row = {"acty", "loantype", "leg", "gp3ind", "impaired", "repaid"}
+    in_files = {f.name for f in RG.layout_schema(*RG.ROW_FILES, RG.ACCOUNT).fields}
+    filled = {*loans.columns, *DERIVED, *(c for r in account_rules(rept) for c in r.writes)}
+    # the rated accounts are written once: three grains of files read them; what no file reads is left out,
+    # and so are layout columns that neither the feed nor a rule fills (the layouts add them again)
+    d = W.scratch_table(rated.select(*[c for c in rated.columns if c in by_account | by_row or c in in_files & filled]), "rated-accounts")
     rows = _with(d, RG.layout_schema(*RG.ROW_FILES), ["acty", "loantype"])
     provided = (F.coalesce(F.col("impaired") == "Y", F.lit(False)) | (F.coalesce(F.rtrim("gp3ind"), F.lit("")) != "")) & F.expr(f"NOT {listed('loantype', AC.HIRE_PURCHASE)}")
     files = [("sub_account", None, RG.SUB_ACCOUNT), ("credit_position", None, RG.CREDIT_POSITION), ("provision", provided, RG.PROVISION),
@@ -121,9 +137,9 @@ def loan_register(loans: DataFrame, prior_overdrafts: DataFrame, rept: str) -> D
                              "repaid": F.col("repaid") * 100, "disburse": F.col("disburse") * 100})
     settled = W.file_records(_with(gone, RG.layout_schema(RG.SETTLED_OVERDRAFT)), [("settled_overdraft", None, RG.SETTLED_OVERDRAFT)], ["acctno"])
 
-    group = ["branch", "acctno", "aano"]
     whole = (F.col("acty") == "OD") | ((F.col("commno") == 0) & (F.col("ind") == "A")) | ((F.col("commno") > 0) & (F.col("ind") == "B")) | (F.coalesce(F.rtrim("aano"), F.lit("")) != "")
-    counted = K.first_by(d, [*group, "commno", "noteno"], []).where(F.coalesce(whole, F.lit(False)))
+    by_account |= {f.name for f in RG.layout_schema(RG.ACCOUNT).fields}
+    counted = _first_of_key(d, loans, rept, [*group, "commno", "noteno"], [c for c in d.columns if c in by_account]).where(F.coalesce(whole, F.lit(False)))
     limits = counted.groupBy(*group).agg(F.sum("limtcurr").alias("limtcurr"))
     first = K.join_on(K.first_by(counted.drop("limtcurr"), group, ["commno", "noteno"]), limits, group)
     first = first.withColumn("fxrate", F.round(F.col("forate") * 100000).cast("decimal(24,0)"))
@@ -131,6 +147,22 @@ def loan_register(loans: DataFrame, prior_overdrafts: DataFrame, rept: str) -> D
     return out.unionByName(settled).unionByName(accounts)
 
 
+def _first_of_key(d: DataFrame, loans: DataFrame, rept: str, keys: list[str], columns: list[str]) -> DataFrame:
+    """``columns`` of the first rated account of each key: ``K.first_by(rated_accounts(loans, rept), keys, [])``.
+
+    The order is over all columns of the rated accounts, but only rows of a repeated key need it:
+    accounts with such a key (few or none in a register) are rated once more and sorted whole, and
+    the others come from ``d``, the written columns.  The repeated keys are written, so that the
+    joins on them are planned by their size.
+    """
+    repeated = W.scratch_table(K.duplicate_keys(d, keys).drop("n"), "repeated-keys")
+    if repeated.isEmpty():
+        return d.select(*columns)
+    again = rated_accounts(K.join_on(loans, repeated.select("acctno").distinct(), "acctno", "left_semi"), rept)
+    first = K.first_by(K.join_on(again, repeated, keys, "left_semi"), keys, [])
+    return K.join_on(d.select(*columns), repeated, keys, "left_anti").unionByName(first.select(*columns))
+
+
 def _with(df: DataFrame, schema, extra: list[str] | None = None) -> DataFrame:
     """The layout's columns (missing ones added), and others that conditions read."""
     have = {f.name for f in schema.fields}

@@ -6,7 +6,7 @@ codes meet all others; amounts and dates come from the order itself.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import load
@@ -102,19 +102,23 @@ DATED: dict[str, tuple[int, list]] = {
 _TURN = "o_orderkey // {step} % {n} + 1"
 
 
+def dealt(step: int, kind: str, values: list) -> Column:
+    place = (F.floor(F.col("o_orderkey") / step) % len(values) + 1).cast("int")
+    return F.element_at(F.array(*[F.lit(v).cast(kind) for v in values]), place)
+
+
 def loan_book(spark, sf) -> DataFrame:
-    o = load(spark, sf, "orders")
+    return book_of(load(spark, sf, "orders"), F.col("o_orderkey"))
+
 
-    def dealt(step: int, values: list, kind: str):
-        place = (F.floor(F.col("o_orderkey") / step) % len(values) + 1).cast("int")
-        return F.element_at(F.array(*[F.lit(v).cast(kind) for v in values]), place)
+def book_of(orders: DataFrame, acctno: Column) -> DataFrame:
     price, day = F.col("o_totalprice").cast("decimal(18,2)"), F.col("o_orderdate").cast("date")
-    return o.select(
-        F.col("o_orderkey").alias("acctno"), F.col("o_custkey").alias("custno"), day.alias("opened"),
+    return orders.select(
+        acctno.alias("acctno"), F.col("o_custkey").alias("custno"), day.alias("opened"),
         price.alias("balance"), F.when(F.col("o_orderkey") % 7 != 0, price - 150000).alias("outstand"), price.alias("curbal"),
         (price * 3).cast("decimal(18,2)").alias("interdue"), (price + 5).cast("decimal(18,2)").alias("feeamt"),
-        *[dealt(step, values, kind).alias(c) for c, (step, kind, values) in DEALT.items()],
-        *[F.date_add(day, dealt(step, values, "int")).alias(c) for c, (step, values) in DATED.items()])
+        *[dealt(*turn).alias(c) for c, turn in DEALT.items()],
+        *[F.date_add(day, dealt(step, "int", values)).alias(c) for c, (step, values) in DATED.items()])
 
 
 def _literal(v, kind: str) -> str:

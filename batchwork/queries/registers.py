@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from ..plans import registers as PR
 from ..rules import registers as RG
-from . import register
+from . import load, register
 from ._common import REPORT_DATE
-from ._loan_book import DATED, DEALT, LOAN_BOOK_SQL, loan_book
+from ._loan_book import DATED, DEALT, LOAN_BOOK_SQL, book_of, dealt
 from ._records import record_sql
 from .rules import CONCEPT_SQL, FACILITY_SQL, FUND_SQL, LOAN_PRICING_SQL, OVERDRAFT_PRICING_SQL, SYNDICATE_SQL, TAG_STEPS, status_steps
 
@@ -17,9 +17,14 @@ _REPT = f"DATE '{REPORT_DATE}'"
 
 
 def register_book(spark, sf):
-    """The loan book with overdrafts in their own range of accounts, dealt by account as the assembly job (L14) leaves it."""
-    book = loan_book(spark, sf).withColumn("acctno", F.col("acctno") + F.when(F.col("acty") == "OD", F.lit(OD_BASE)).otherwise(F.lit(0)))
-    return book.repartition("acctno")
+    """The loan book with overdrafts in their own range of accounts, dealt by account as the assembly job (L14) leaves it.
+
+    The orders are dealt, and the accounts derived from them where they arrive: a table of few
+    row groups is read in few tasks.
+    """
+    acctno = F.col("o_orderkey") + F.when(dealt(*DEALT["acty"]) == "OD", F.lit(OD_BASE)).otherwise(F.lit(0))
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", acctno.alias("acctno"))
+    return book_of(orders.repartition("acctno"), F.col("acctno"))
 
 
 def prior_overdrafts(book):

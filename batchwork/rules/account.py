@@ -268,11 +268,11 @@ def latest_tag(facility: Column, agency: Column, issued: Column, own: Column, ow
 
     Vehicle facilities carry the agency's status and the issue date.  Others carry the
     latest of the tags that belong to one of the two families; on equal dates the further
-    one, and a missing date is the earliest.  One array maximum settles it.
+    one, and a missing date is the earliest.  The greater of two structs settles it.
     """
     def dated(tag: Column, day: Column, family: int, codes: list[str]) -> Column:
         return F.when(F.rtrim(tag).isin(codes), F.struct(day.alias("day"), F.lit(family).alias("family"), F.rtrim(tag).alias("tag")))
-    best = F.array_max(F.array_compact(F.array(dated(own, own_date, 1, OWN_TAGS), dated(further, further_date, 2, FURTHER_TAGS))))
+    best = F.greatest(dated(own, own_date, 1, OWN_TAGS), dated(further, further_date, 2, FURTHER_TAGS))
     vehicle = F.coalesce(facility.isin(VEHICLE_FACILITIES), F.lit(False))
     return F.when(vehicle, agency).otherwise(best["tag"]), F.when(vehicle, issued).otherwise(best["day"])
 

@@ -7,10 +7,13 @@ fields of metadata) into one ``concat`` expression evaluated on executors.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def gathered(df: DataFrame, partition_by: list[str]) -> DataFrame:
@@ -82,7 +85,7 @@ class Out:
     cut: bool = False            # a text field that takes the first ``length`` characters
 
 
-def _render(f: Out) -> Column:
+def _render(f: Out, kind: T.DataType | None = None) -> Column:
     c = F.col(f.source or f.name) if f.kind != "constant" else None
     if f.kind == "text":
         s = F.coalesce(c.cast("string"), F.lit(""))
@@ -101,7 +104,7 @@ def _render(f: Out) -> Column:
     elif f.kind == "date":
         s = F.coalesce(F.date_format(c, f.fmt or "yyyyMMdd"), F.lit(""))
     elif f.kind == "day":
-        s = F.coalesce(F.date_format(c, f.fmt), F.lit("".join("0" if x.isalpha() else x for x in f.fmt)))
+        s = F.coalesce(_day(c, f.fmt) if isinstance(kind, T.DateType) else F.date_format(c, f.fmt), F.lit("".join("0" if x.isalpha() else x for x in f.fmt)))
     elif f.kind == "constant":
         s = F.lit(f.fmt)
     else:
@@ -109,6 +112,42 @@ def _render(f: Out) -> Column:
     return s
 
 
+_PARTS = {"dd": F.dayofmonth, "MM": F.month, "yyyy": F.year}
+
+
+def _day(c: Column, fmt: str) -> Column:
+    """``date_format`` of a date; where the format has only days, months and years, from these as one number (much cheaper)."""
+    parts = re.findall("dd|MM|yyyy", fmt)
+    if "".join(parts) != fmt:
+        return F.date_format(c, fmt)
+    number = reduce(lambda n, p: n * 10 ** len(p) + _PARTS[p](c), parts[1:], _PARTS[parts[0]](c))
+    usual = c.between(F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date"))
+    return F.when(usual, F.lpad(number.cast("string"), len(fmt), "0")).otherwise(F.date_format(c, fmt))
+
+
+def _whole_number(kind: T.DataType | None) -> bool:
+    return isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) or (isinstance(kind, T.DecimalType) and kind.scale == 0 and kind.precision <= 28)
+
+
+def _direct(f: Out, kind: T.DataType | None, wide: Column) -> Column | None:
+    """The field where the column's type says that its own text is the field's, but for filling; None elsewhere.
+
+    ``wide`` is the value of a text that is too long.  What comes out is what ``_pad`` of
+    ``_render`` gives, without decimals of other scales on the way.
+    """
+    c = F.col(f.source or f.name)
+    text = c.cast("string")
+    if f.kind == "zero" and _whole_number(kind):
+        signed = F.concat(F.lit("-"), F.lpad(F.substring(text, 2, f.length), f.length - 1, "0"))
+        filled = F.when(text.startswith("-"), signed).otherwise(F.lpad(text, f.length, "0"))
+        missing = "0" * f.length
+    elif (f.kind == "num" and kind is not None) or (f.kind == "dec" and isinstance(kind, T.DecimalType) and kind.scale == f.decimals <= 10 and kind.precision - kind.scale <= 28):
+        filled, missing = F.lpad(text, f.length, " "), " " * f.length
+    else:
+        return None
+    return F.when(c.isNull(), F.lit(missing)).when(F.length(text) > f.length, wide).otherwise(filled)
+
+
 def _raw_width(f: Out) -> Column:
     if f.kind in ("day", "constant"):
         return F.lit(len(f.fmt))
@@ -122,7 +161,7 @@ def _raw_width(f: Out) -> Column:
 
 def _pad(f: Out, s: Column) -> Column:
     if f.kind == "text" and f.cut:
-        return F.rpad(F.substring(s, 1, f.length), f.length, " ")
+        return F.rpad(s, f.length, " ")  # takes the first characters of a longer one
     if f.kind in ("num", "dec"):
         return F.lpad(s, f.length, " ")
     if f.kind in ("zero", "implied"):
@@ -158,18 +197,26 @@ def _overflows(f: Out) -> Column:
     return F.lit(False) if f.cut and f.kind == "text" else F.coalesce(_raw_width(f) > f.length, F.lit(False))
 
 
-def record_column(layout: list[Out], on_overflow: str = "raise") -> Column:
-    """K2: the fixed-layout record as one text column (see ``to_fixed``)."""
+def record_column(layout: list[Out], on_overflow: str = "raise", types: dict[str, T.DataType] | None = None) -> Column:
+    """K2: the fixed-layout record as one text column (see ``to_fixed``).
+
+    ``types`` gives the columns' types, with which many fields take fewer steps.
+    """
     if on_overflow not in ("raise", "flag"):
         raise ValueError(on_overflow)
+    types = types or {}
 
     def whole(f: Out) -> Column:
+        kind = types.get(f.source or f.name)
         if f.kind in ("day", "constant") or (f.cut and f.kind == "text"):
-            return _pad(f, _render(f))
+            return _pad(f, _render(f, kind))
         if on_overflow == "flag":
-            return F.when(_overflows(f), F.lit("*" * f.length)).otherwise(_pad(f, _render(f)))
-        message = F.concat(F.lit(f"value of field {f.name} is wider than {f.length}: "), F.col(f.source or f.name).cast("string"))
-        return F.when(_overflows(f), F.raise_error(message).cast("string")).otherwise(_pad(f, _render(f)))
+            wide = F.lit("*" * f.length)
+        else:
+            message = F.concat(F.lit(f"value of field {f.name} is wider than {f.length}: "), F.col(f.source or f.name).cast("string"))
+            wide = F.raise_error(message).cast("string")
+        direct = _direct(f, kind, wide)
+        return F.when(_overflows(f), wide).otherwise(_pad(f, _render(f))) if direct is None else direct
     # keyed by position in the layout: one column may be written at several places
     rendered = {id(f): whole(f) for f in layout}
     parts = [F.lit(" " * length) if f is None else rendered[id(f)] if length == f.length else F.substring(rendered[id(f)], off + 1, length)
@@ -177,6 +224,10 @@ def record_column(layout: list[Out], on_overflow: str = "raise") -> Column:
     return F.concat(*parts)
 
 
+def _types_of(df: DataFrame) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
 def to_fixed(df: DataFrame, layout: list[Out], record: str = "record", on_overflow: str = "raise") -> DataFrame:
     """K2: one text column per row with every field at its exact position.
 
@@ -184,7 +235,7 @@ def to_fixed(df: DataFrame, layout: list[Out], record: str = "record", on_overfl
     and names the field; ``flag`` fills the field with ``*`` and adds ``overflow``, the
     list of such fields (see ``fixed_and_rejects`` for a side output).
     """
-    out = df.withColumn(record, record_column(layout, on_overflow))
+    out = df.withColumn(record, record_column(layout, on_overflow, _types_of(df)))
     if on_overflow == "flag":
         out = out.withColumn("overflow", F.array_distinct(F.array_compact(
             F.array(*[F.when(_overflows(f), F.lit(f.name)) for f in layout]))))
@@ -223,6 +274,17 @@ def parse_layout(text: str) -> list[Out]:
     return out
 
 
+def _split_up(text: str, column: str) -> Column:
+    """``text``, in a form that keeps its projection out of whole-stage code generation.
+
+    There a projection of up to 100 columns becomes part of one method; with the fields of a
+    record that method passes the 8,000 bytes up to which the JVM compiles it, and runs interpreted
+    for good.  Outside, a projection's code is split into small methods.  A higher-order function
+    is what Spark leaves outside; this one sees nothing but whether a key is missing.
+    """
+    return F.get(F.transform(F.array(F.col(column).isNull()), lambda _: F.lit(text)), F.lit(0))
+
+
 def file_records(df: DataFrame, files: list[tuple[str, Column | None, list[Out]]], keys: list[str]) -> DataFrame:
     """K2/K5/K6: several fixed layouts in one pass.
 
@@ -233,7 +295,8 @@ def file_records(df: DataFrame, files: list[tuple[str, Column | None, list[Out]]
     The array is a projection of its own, for which Spark generates code; as an argument of the
     generator or of a filter on arrays it would be interpreted, field by field.
     """
-    pairs = [F.struct(F.lit(name).alias("file"), record_column(layout).alias("record")) for name, _, layout in files]
+    types = _types_of(df)
+    pairs = [F.struct(_split_up(name, keys[0]).alias("file"), record_column(layout, types=types).alias("record")) for name, _, layout in files]
     each = F.array(*[p if cond is None else F.when(cond, p) for p, (_, cond, _) in zip(pairs, files)])
     # the outer form: no filter on the array's size, which would compute the records twice (the array is never empty)
     rows = df.select(*keys, each.alias("__each")).select(*keys, F.explode_outer("__each").alias("__r"))

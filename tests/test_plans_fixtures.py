@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from batchwork.plans import jobs as P
@@ -150,3 +151,40 @@ def test_layout_text_and_files_in_one_pass(spark):
         (22, "all", "  22     xx00000" + " " * 9 + "00000000" + " " * 6 + "0000"), (22, "some", "022")]
     path = W.write_files(out, W.scratch_table(df, "t").inputFiles()[0].rsplit("/", 1)[0] + "-files")
     assert {r.file: r.n for r in spark.read.text(path).groupBy("file").agg(F.count(F.lit(1)).alias("n")).collect()} == {"all": 2, "some": 2}
+
+
+def test_fields_by_their_type_equal_those_without(spark):
+    from batchwork.sinks import writers as W
+    layout = W.parse_layout("n z7 | m 9 | whole z12 | cents 12.2 | half 12.2 | name $3 | on ddMMyyyy | on yyyyMMdd | on yyyy | on MM | on dd | fine 12.7")
+    rows = [(0, 0, 0.0, 0.0, 0.0, ""), (-123, -123, -99.0, -1.5, 0.005, "ab"), (999999, 2**29, 1e11, 12345.67, -2.675, "abcdef"), (None, None, None, None, None, None)]
+    dates = ["0001-01-01", "0999-12-31", "2024-02-29", None]
+    df = spark.createDataFrame([(*r, d) for r in rows for d in [*dates, "9999-12-31"]], "n int, m long, whole double, cents double, half double, name string, on string")
+    df = df.select("n", "m", F.col("whole").cast("decimal(24,0)").alias("whole"), F.col("cents").cast("decimal(24,2)").alias("cents"), F.col("half").cast("decimal(20,3)").alias("half"),
+                   "name", F.col("on").cast("date").alias("on"), F.col("half").cast("decimal(20,7)").alias("fine"))
+    both = df.select(W.record_column(layout).alias("plain"), W.record_column(layout, types={f.name: f.dataType for f in df.schema.fields}).alias("typed")).collect()
+    assert len(both) == 20 and all(r.plain == r.typed for r in both)
+    # too wide a number still fails the job, with and without its type
+    for types in ({}, {"n": df.schema["n"].dataType}):
+        with pytest.raises(Exception, match="value of field n is wider than 2"):
+            df.select(W.record_column(W.parse_layout("n z2"), types=types)).collect()
+
+
+def test_account_file_takes_the_first_of_repeated_keys_in_the_order_of_all_columns(spark):
+    from batchwork.operators import keys as K
+    from batchwork.plans import registers as PR
+    rows = [(1, "LN", 5, 10, 0, "A", 9, 300.0, 7), (1, "LN", 5, 10, 0, "A", 8, 200.0, 9), (1, "LN", 5, 20, 0, "A", 1, 50.0, 1), (2, "LN", 5, 10, 0, "A", 1, 70.0, 2),
+            (2, "LN", 5, 10, 0, "A", 1, 70.0, 2), (None, "LN", None, None, 0, "A", 4, 20.0, 3), (None, "LN", None, None, 0, "A", 3, 10.0, 4), (3, "OD", 5, 1, None, "B", 1, 5.0, 5),
+            (3, "OD", 5, 2, None, "B", 0, 6.0, 6), (4, "LN", 5, 1, 1, "A", 1, 9.0, 1)]
+    # ``custno`` is in no layout, but comes first in the order; ``costctr`` shows which row was taken
+    loans = spark.createDataFrame(rows, "acctno long, acty string, branch int, noteno int, commno int, ind string, custno int, apprlimt double, costctr int").withColumn("aano", F.lit(None).cast("string"))
+    prior = loans.where("acctno < 0").select("acctno", "branch", "noteno", F.lit(0).alias("balance"), F.lit(0).alias("outstand"), F.lit(0).alias("repaid"), "costctr", "aano")
+    out = PR.loan_register(loans, prior, "2024-06-30").where("file = 'account'").collect()
+    at = {f.name: (f.start - 1, f.start - 1 + f.length) for f in reversed(PR.RG.ACCOUNT)}
+    got = sorted((r.acctno or 0, int(r.record[slice(*at["costctr"])]), int(r.record[45:69])) for r in out)
+    first = K.first_by(PR.rated_accounts(loans, "2024-06-30"), ["branch", "acctno", "aano", "commno", "noteno"], []).where("acty = 'OD' OR (commno = 0 AND ind = 'A')").collect()
+    want = {}
+    for r in sorted(first, key=lambda r: (r.commno or 0, r.noteno or 0)):
+        seen = want.setdefault(r.acctno or 0, [r.costctr, 0])
+        seen[1] += int(r.limtcurr)
+    assert got == sorted((a, c, total) for a, (c, total) in want.items())
+    assert got == [(0, 4, 1000), (1, 9, 25000), (2, 2, 7000), (3, 6, 600)]

@@ -152,3 +152,21 @@ def test_pricing_and_scheme_examples(spark):
     df = spark.createDataFrame([(991, 566), (991, 1), (567, None), (910, None), (995, 910), (180, 0), (None, None)], "loantype int, pzipcode int")
     out = CP.compile_rules(df, AC.scheme_rules(), types={"specialf": "string", "fconcept": "int", "syndicat": "string"})
     assert [(r.specialf, r.fconcept, r.syndicat) for r in out.collect()] == [("10", 99, "N"), ("00", 99, "N"), ("12", 99, "N"), ("00", 52, "N"), ("00", 52, "N"), ("00", 13, "Y"), ("00", 99, "N")]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_rules_on_a_table_set_aside_equal_one_by_one(spark, seed):
+    rnd = random.Random(seed)
+    cols = ["a", "b", "c", "d", "e", "f", "g"]
+    df = spark.createDataFrame([(*(rnd.choice([None, 0, 1, 2, 3]) for _ in cols), rnd.choice([None, " ", "x "])) for _ in range(100)], ", ".join(f"{c} int" for c in cols) + ", t string")
+
+    def case():
+        x, y = rnd.choice(cols), rnd.choice(cols)
+        sets = {z: rnd.choice([str(rnd.randint(0, 3)), rnd.choice(cols), f"{rnd.choice(cols)} + 1"]) for z in rnd.sample(cols[:6], rnd.randint(0, 2))}
+        return rnd.choice([f"{x} = {rnd.randint(0, 3)} AND t <> 'a'", f"{x} < {y}", f"{x} IS NULL OR t = 'x'"]), sets
+    rules = [CP.Rule(tuple(case() for _ in range(rnd.randint(1, 4)))) for _ in range(12)]
+    rules += [CP.rule("t = ''", h="a"), *CP.within("a < b", "_in", *[CP.Rule((case(),)) for _ in range(3)]), CP.rule("h > 0", a="h")]
+    types = {c: "int" for c in [*cols, "h"]}
+    out = CP.compile_rules(CP.set_aside(df, keep=["b", "g"], blank=["t"]), rules, types=types, columns=df.columns)
+    want = CP.sequentially(df, rules, blank=["t"], types=types)
+    assert out.columns == [*df.columns, "h"] and rows_of(out.select(*want.columns)) == rows_of(want)
