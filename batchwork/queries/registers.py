@@ -20,11 +20,12 @@ def register_book(spark, sf):
     """The loan book with overdrafts in their own range of accounts, dealt by account as the assembly job (L14) leaves it.
 
     The orders are dealt, and the accounts derived from them where they arrive: a table of few
-    row groups is read in few tasks.
+    row groups is read in few tasks.  The count is given, since the few bytes of an order say
+    nothing of the work on its account (adaptive coalescing goes by them).
     """
     acctno = F.col("o_orderkey") + F.when(dealt(*DEALT["acty"]) == "OD", F.lit(OD_BASE)).otherwise(F.lit(0))
     orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", acctno.alias("acctno"))
-    return book_of(orders.repartition("acctno"), F.col("acctno"))
+    return book_of(orders.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "acctno"), F.col("acctno"))
 
 
 def prior_overdrafts(book):
