@@ -117,9 +117,10 @@ def test_rows_of_a_reference_are_dealt_once_for_their_parent_arrays(spark):
     assert "Exchange" not in arrays[1].split("functions=[partial_")[0]
 
 
-def _widest(lines, node):
-    """The most columns that a node of this kind gives on or takes along in a plan's text."""
-    return max([len(re.findall(r"#\d+", line)) for line in lines if node in line], default=0)
+def _widths(node, kind):
+    """How many columns come out of each node of a kind, in a logical plan."""
+    own = [node.output().size()] if node.nodeName().startswith(kind) else []
+    return own + [w for i in range(node.children().size()) for w in _widths(node.children().apply(i), kind)]
 
 
 def test_rule_levels_of_the_loan_register_carry_the_wide_row_as_one_value(spark):
@@ -127,20 +128,15 @@ def test_rule_levels_of_the_loan_register_carry_the_wide_row_as_one_value(spark)
     from batchwork.queries import registers as QR
     book = QR.register_book(spark, SF)
     rated = P.rated_accounts(book, QR.REPORT_DATE)
-    names = rated._jdf.queryExecution().optimizedPlan()
-    widths = []
-    while names.children().size():
-        widths.append(names.output().size())
-        names = names.children().apply(0)
+    widths = _widths(rated._jdf.queryExecution().optimizedPlan(), "Project")
     # the rated accounts themselves, and the feed that is put into the struct; no level between them
     assert sum(w > 60 for w in widths) <= 2 and len(widths) > 15
 
 
 def test_loan_register_moves_no_wide_rows_between_tasks(spark):
-    p = plan(spark, "pl_loan_register")
-    assert _widest(p.split("\n"), "Window ") < 60
-    # the orders are dealt by account, not the accounts derived from them
     from batchwork.queries import registers as QR
-    lines = QR.register_book(spark, SF)._jdf.queryExecution().optimizedPlan().toString().split("\n")
-    dealt = next(i for i, line in enumerate(lines) if "RepartitionByExpression" in line)
-    assert len(re.findall(r" AS ", lines[dealt + 1])) == 1
+    windows = _widths(Q["pl_loan_register"](spark, SF)._jdf.queryExecution().optimizedPlan(), "Window")
+    assert windows and max(windows) < 60
+    # the orders are dealt by account, not the accounts derived from them
+    dealt = _widths(QR.register_book(spark, SF)._jdf.queryExecution().optimizedPlan(), "Repartition")
+    assert len(dealt) == 1 and dealt[0] < 10
